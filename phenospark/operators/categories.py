@@ -58,13 +58,29 @@ def build_mapping(
     return joined.select(*MAPPING_COLUMNS)
 
 
+def key_profile(df: DataFrame, key: str = "phenotype") -> tuple[int, int, str | None]:
+    """``(rows, number of repeated keys, one repeated key)`` in one job: the
+    size check for broadcasting and the uniqueness check together."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = F.col("_n") > 1
+    row = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.count(F.when(repeated, F.lit(1))).alias("repeated"),
+        F.min(F.when(repeated, F.col(key))).alias("example"),
+    ).first()
+    return int(row["rows"]), int(row["repeated"]), row["example"]
+
+
+def _fail_on_repeats(repeated: int, example, key: str) -> None:
+    if repeated:
+        raise ValueError(f"duplicate {key} in mapping: {repeated} keys repeat, e.g. {example!r}")
+
+
 def assert_unique_keys(df: DataFrame, key: str = "phenotype") -> DataFrame:
     """Raise when a key occurs twice; a lookup join on such a key would
     multiply the rows it is applied to. Returns ``df`` for chaining."""
-    dupes = df.groupBy(key).count().where(F.col("count") > 1).limit(5).collect()
-    if dupes:
-        listed = ", ".join(repr(r[key]) for r in dupes)
-        raise ValueError(f"duplicate {key} in mapping: {listed}")
+    _, repeated, example = key_profile(df, key)
+    _fail_on_repeats(repeated, example, key)
     return df
 
 
@@ -75,11 +91,18 @@ def categorise(
     check_unique: bool = True,
 ) -> DataFrame:
     """Mentions + ``category`` (NULL when the phenotype is unmapped), by a
-    left join on ``phenotype``; mention columns keep their order."""
+    left join on ``phenotype``; mention columns keep their order.
+
+    One job over the mapping checks that its keys are unique and counts it
+    for the broadcast decision."""
     lookup = mapping.select("phenotype", "category")
+    broadcast = None
     if check_unique:
-        assert_unique_keys(lookup, "phenotype")
-    joined = lookup_join(mentions, lookup, "phenotype", "left", max_broadcast_rows)
+        rows, repeated, example = key_profile(lookup, "phenotype")
+        _fail_on_repeats(repeated, example, "phenotype")
+        if max_broadcast_rows is not None:
+            broadcast = rows <= max_broadcast_rows
+    joined = lookup_join(mentions, lookup, "phenotype", "left", max_broadcast_rows, broadcast)
     return joined.select(*mentions.columns, "category")
 
 

@@ -60,10 +60,8 @@ def flag_matrix(
     values = sorted(set(phenotypes))
     if len(values) > max_columns:
         raise ValueError(f"{len(values)} phenotypes exceed max_columns={max_columns}")
-    counted = mentions.groupBy(PERSON).pivot("phenotype", values).agg(F.count(F.lit(1)))
-    cells = [
-        (F.least(F.coalesce(F.col(f"`{v}`"), F.lit(0)), F.lit(1)) if binary
-         else F.coalesce(F.col(f"`{v}`"), F.lit(0))).alias(v)
-        for v in values
-    ]
-    return counted.select(PERSON, *cells)
+    # Whole matrix built JVM-side: the pivot aggregate yields 1 (or the count)
+    # where a person has the phenotype and NULL elsewhere; one fill turns the
+    # NULLs into 0 without a per-column expression built in Python.
+    cell = F.max(F.lit(1).cast("bigint")) if binary else F.count(F.lit(1))
+    return mentions.groupBy(PERSON).pivot("phenotype", values).agg(cell).na.fill(0)

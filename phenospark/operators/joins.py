@@ -33,11 +33,17 @@ def lookup_join(
     on: str | Sequence[str],
     how: str = "inner",
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Join a large ``facts`` side to a ``lookup`` side on equal keys.
 
-    ``max_broadcast_rows=None`` skips the check and leaves the choice to the
-    planner (its size estimate, then AQE's runtime statistics)."""
-    if max_broadcast_rows is not None and row_count_at_most(lookup, max_broadcast_rows):
+    ``broadcast=True/False`` applies a decision the caller already checked
+    (e.g. once for a codelist used by several joins); ``None`` checks here
+    against ``max_broadcast_rows``. ``max_broadcast_rows=None`` with
+    ``broadcast=None`` leaves the choice to the planner (its size estimate,
+    then AQE's runtime statistics)."""
+    if broadcast is None and max_broadcast_rows is not None:
+        broadcast = row_count_at_most(lookup, max_broadcast_rows)
+    if broadcast:
         return facts.join(F.broadcast(lookup), on, how)
     return facts.join(lookup, on, how)

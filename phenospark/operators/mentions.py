@@ -23,7 +23,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from phenospark.operators.joins import (
+    DEFAULT_MAX_BROADCAST_ROWS,
+    lookup_join,
+    row_count_at_most,
+)
 from phenospark.operators.reshape import melt_codes
 
 PERSON = "person_id_deid"
@@ -78,23 +82,28 @@ def match(
     codelist: DataFrame,
     terminology: str | None = None,
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Inner join of records to the codelist -> mentions.
 
     With ``terminology`` the records are of that one vocabulary and only its
     part of the codelist is used; without, the records carry a
     ``terminology`` column and the join key is ``(terminology, code)``.
-    A code listed under several phenotypes yields one mention per phenotype."""
+    A code listed under several phenotypes yields one mention per phenotype.
+    ``broadcast`` passes a size decision already taken for ``codelist``
+    (a filtered part of a codelist that fits, fits too)."""
     if terminology is not None:
         lookup = codelist.where(F.col("terminology") == F.lit(terminology)).select(
             "code", "phenotype"
         )
-        joined = lookup_join(records, lookup, "code", "inner", max_broadcast_rows)
+        joined = lookup_join(records, lookup, "code", "inner", max_broadcast_rows, broadcast)
         return joined.select(
             PERSON, "phenotype", "date", "code", F.lit(terminology).alias("terminology")
         )
     lookup = codelist.select("terminology", "code", "phenotype")
-    joined = lookup_join(records, lookup, ["terminology", "code"], "inner", max_broadcast_rows)
+    joined = lookup_join(
+        records, lookup, ["terminology", "code"], "inner", max_broadcast_rows, broadcast
+    )
     return joined.select(*MENTION_COLUMNS)
 
 
@@ -126,11 +135,14 @@ def mentions(
     lookup = codelist.select(*("phenotype", "terminology", "code"))
     if deduplicate:
         lookup = lookup.distinct()
+    small = None
+    if max_broadcast_rows is not None:
+        small = row_count_at_most(lookup, max_broadcast_rows)
     parts = []
     if narrow is not None:
-        parts.append(match(narrow, lookup, narrow_terminology, max_broadcast_rows))
+        parts.append(match(narrow, lookup, narrow_terminology, max_broadcast_rows, small))
     if wide is not None:
-        parts.append(match(wide, lookup, None, max_broadcast_rows))
+        parts.append(match(wide, lookup, None, max_broadcast_rows, small))
     if not parts:
         raise ValueError("mentions() needs at least one record source")
     united = unite(*parts)

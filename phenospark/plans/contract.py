@@ -18,6 +18,7 @@ from phenospark.operators import catalog as cat_ops
 from phenospark.operators import categories as category_ops
 from phenospark.operators import checks, features, summary
 from phenospark.operators.codelist import build_codelist, two_column_codes
+from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from phenospark.operators.mentions import (
     dedup,
     match,
@@ -55,20 +56,30 @@ def _catalog(s: StarSchema) -> DataFrame:
     return cat_ops.to_catalog(s.dictionary(), prefix=SOURCE_PREFIX, database=SOURCE_DATABASE)
 
 
-def _match_narrow(s: StarSchema) -> DataFrame:
-    return match(_narrow(s), s.codelist(), "SNOMEDCT")
+def _codelist(s: StarSchema) -> tuple[DataFrame, bool]:
+    """The codelist and its broadcast decision, checked once per query."""
+    codelist = s.codelist()
+    return codelist, row_count_at_most(codelist, DEFAULT_MAX_BROADCAST_ROWS)
 
 
-def _match_diagnoses(s: StarSchema) -> DataFrame:
-    return match(_melted(s, DIAG_SLOTS), s.codelist(), "ICD")
+def _match_narrow(s: StarSchema, cl=None) -> DataFrame:
+    codelist, small = cl or _codelist(s)
+    return match(_narrow(s), codelist, "SNOMEDCT", broadcast=small)
 
 
-def _match_operations(s: StarSchema) -> DataFrame:
-    return match(_melted(s, OPERTN_SLOTS), s.codelist(), "OPCS")
+def _match_diagnoses(s: StarSchema, cl=None) -> DataFrame:
+    codelist, small = cl or _codelist(s)
+    return match(_melted(s, DIAG_SLOTS), codelist, "ICD", broadcast=small)
+
+
+def _match_operations(s: StarSchema, cl=None) -> DataFrame:
+    codelist, small = cl or _codelist(s)
+    return match(_melted(s, OPERTN_SLOTS), codelist, "OPCS", broadcast=small)
 
 
 def _mentions_raw(s: StarSchema) -> DataFrame:
-    return unite(_match_narrow(s), _match_diagnoses(s), _match_operations(s))
+    cl = _codelist(s)
+    return unite(_match_narrow(s, cl), _match_diagnoses(s, cl), _match_operations(s, cl))
 
 
 def _mentions_dedup(s: StarSchema) -> DataFrame:

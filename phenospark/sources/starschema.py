@@ -19,7 +19,7 @@ grows with them. Definitions (see FIXTURES.md, section B):
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,17 +42,43 @@ def _s(c) -> F.Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
 
+_READERS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
+def _once(method):
+    """Build a fixture's plan once per :class:`StarSchema` (plans are lazy;
+    this only saves re-analysing the same plan for every use)."""
+
+    @wraps(method)
+    def cached(self, *args):
+        key = (method.__name__, *args)
+        if key not in self._plans:
+            self._plans[key] = method(self, *args)
+        return self._plans[key]
+
+    return cached
+
+
 class StarSchema:
     """Loads the driver tables of one scale factor and derives the fixtures."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._plans: dict = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver table. Its (lazy) reader is shared by every query of the
+        same session, so the file listing and footer read happen once."""
+        key = (id(self.spark), f"{self.sf_dir}/{name}.parquet")
+        entry = _READERS.get(key)
+        if entry is None or entry[0] is not self.spark:
+            entry = (self.spark, self.spark.read.parquet(key[1]))
+            _READERS[key] = entry
+        return entry[1]
 
     # -- records -----------------------------------------------------------
+    @_once
     def narrow(self) -> DataFrame:
         ev = self.table("events")
         code = _s(F.floor("value").cast("int") % F.lit(50))
@@ -62,6 +88,7 @@ class StarSchema:
             code.alias("code"),
         )
 
+    @_once
     def wide(self) -> DataFrame:
         """Lines are reduced per order before the join (a partial aggregate, so
         a hot order key is collapsed map-side), then attached to their order;
@@ -83,6 +110,7 @@ class StarSchema:
         ).agg(*[F.min(s).alias(s) for s in DIAG_SLOTS + OPERTN_SLOTS])
 
     # -- codelists ---------------------------------------------------------
+    @_once
     def _suppliers_by_region(self) -> DataFrame:
         nation = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
         region = self.table("region").select("r_regionkey", "r_name")
@@ -90,6 +118,7 @@ class StarSchema:
         geo = F.broadcast(nation.join(region, nation.n_regionkey == region.r_regionkey))
         return supplier.join(geo, supplier.s_nationkey == geo.n_nationkey)
 
+    @_once
     def codes(self) -> DataFrame:
         part = self.table("part")
         key = _s("p_partkey")
@@ -111,11 +140,13 @@ class StarSchema:
         )
         return icd.unionByName(opcs).unionByName(snomed)
 
+    @_once
     def codelist(self) -> DataFrame:
         raw = self.codes()
         return tidy_codes(raw.withColumn("phenotype", normalise_name("phenotype")))
 
     # -- categories --------------------------------------------------------
+    @_once
     def categories(self) -> DataFrame:
         part = self.table("part")
         parts = part.where(F.col("p_type") != "PROMO").select(
@@ -134,6 +165,7 @@ class StarSchema:
         )
         return reduce(DataFrame.unionByName, [parts, places, blank])
 
+    @_once
     def abbreviations(self) -> DataFrame:
         types = self.table("part").select(
             F.concat(F.col("p_type"), F.lit(" parts")).alias("Category"),
@@ -146,6 +178,7 @@ class StarSchema:
         return types.unionByName(regions)
 
     # -- dictionary and codelist sources ------------------------------------
+    @_once
     def dictionary(self) -> DataFrame:
         nation = self.table("nation")
         region = self.table("region")
@@ -161,6 +194,7 @@ class StarSchema:
             F.when(key % 4 == 0, file_name("OPCS")).alias("OPCS"),
         )
 
+    @_once
     def sources(self) -> DataFrame:
         part = self.table("part")
         icd = part.select(
@@ -177,6 +211,7 @@ class StarSchema:
         )
         return reduce(DataFrame.unionByName, [icd, opcs, snomed])
 
+    @_once
     def two_codes(self) -> DataFrame:
         return self.table("part").select(
             F.col("p_name").alias("phenotype"),

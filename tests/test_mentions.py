@@ -1,0 +1,138 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from phenospark.operators import (
+    dedup,
+    match,
+    melt,
+    melt_codes,
+    mentions,
+    narrow_records,
+    unite,
+    wide_records,
+)
+from phenospark.operators.mentions import DIAGNOSIS_SLOTS, MENTION_COLUMNS, OPERATION_SLOTS
+from phenospark.operators.summary import coverage, duplicate_volume
+from tests.conftest import rows
+
+D1, D2 = dt.date(2020, 1, 1), dt.date(2020, 2, 1)
+
+CODELIST = [
+    ("aki", "ICD", "N170"),
+    ("ckd", "ICD", "N18"),
+    ("renal", "ICD", "N18"),          # one code, two phenotypes: fan-out
+    ("hernia", "OPCS", "T201"),
+    ("hernia", "OPCS", "T201"),       # listed twice: bag until dedup
+    ("crohns", "SNOMEDCT", "34000006"),
+    ("wrong_vocab", "SNOMEDCT", "N18"),  # same string, other vocabulary
+]
+
+
+@pytest.fixture()
+def codelist(spark):
+    return spark.createDataFrame(CODELIST, "phenotype string, terminology string, code string")
+
+
+@pytest.fixture()
+def wide(spark):
+    cols = ["PERSON_ID_DEID string", "ADMIDATE date"] + [f"{c} string" for c in DIAGNOSIS_SLOTS + OPERATION_SLOTS]
+    blank = [None] * (len(DIAGNOSIS_SLOTS) + len(OPERATION_SLOTS))
+
+    def rec(pid, day, diags=(), ops=()):
+        slots = list(blank)
+        for i, c in enumerate(diags):
+            slots[i] = c
+        for i, c in enumerate(ops):
+            slots[len(DIAGNOSIS_SLOTS) + i] = c
+        return (pid, day, *slots)
+
+    data = [
+        rec("p1", D1, ["N170", None, "N18"], ["T201"]),
+        rec("p1", D1, ["N170"]),               # same day, same code again
+        rec("p2", None, ["N18"]),              # NULL date
+        rec("p2", None, ["N18"]),
+        rec("p3", D2),                         # all slots NULL
+        rec("p4", D2, [None] * 19 + ["N170"], [None] * 23 + ["T201"]),  # last slots
+    ]
+    return spark.createDataFrame(data, ", ".join(cols))
+
+
+def test_melt_keeps_nulls_and_counts(spark, wide):
+    long = melt(wide, ["PERSON_ID_DEID", "ADMIDATE"], list(DIAGNOSIS_SLOTS))
+    assert long.columns == ["PERSON_ID_DEID", "ADMIDATE", "variable", "value"]
+    assert long.count() == wide.count() * len(DIAGNOSIS_SLOTS)
+    assert long.where(F.col("value").isNotNull()).count() == 6
+
+
+def test_melt_mixed_types_cast_to_string(spark):
+    df = spark.createDataFrame([(1, "a", 5)], "id int, x string, y int")
+    out = melt(df, ["id"], ["x", "y"], "slot", "code")
+    assert out.schema["code"].dataType.simpleString() == "string"
+    assert rows(out) == [(1, "x", "a"), (1, "y", "5")]
+
+
+def test_melt_codes_methods_agree(spark, wide):
+    base = wide.select(F.col("PERSON_ID_DEID").alias("p"), "ADMIDATE", *DIAGNOSIS_SLOTS, *OPERATION_SLOTS)
+    slots = {"ICD": DIAGNOSIS_SLOTS, "OPCS": OPERATION_SLOTS}
+    a = melt_codes(base, ["p", "ADMIDATE"], slots, method="generate")
+    b = melt_codes(base, ["p", "ADMIDATE"], slots, method="unpivot")
+    assert rows(a) == rows(b)
+    assert a.count() == 8
+    assert a.where(F.col("p") == "p3").count() == 0
+
+
+def test_wide_records_one_pass(spark, wide):
+    long = wide_records(wide)
+    assert long.columns == ["person_id_deid", "date", "code", "terminology"]
+    assert rows(long.where(F.col("person_id_deid") == "p4")) == [
+        ("p4", D2, "N170", "ICD"), ("p4", D2, "T201", "OPCS")]
+
+
+def test_match_exact_by_terminology_with_fan_out(spark, wide, codelist):
+    m = match(wide_records(wide), codelist)
+    assert m.columns == list(MENTION_COLUMNS)
+    got = rows(m)
+    # N18 under ICD fans out to ckd + renal, never to the SNOMEDCT 'wrong_vocab'
+    assert ("p2", "ckd", None, "N18", "ICD") in got and ("p2", "renal", None, "N18", "ICD") in got
+    assert not [r for r in got if r[1] == "wrong_vocab"]
+    # the twice-listed OPCS code duplicates its mentions before dedup
+    assert len([r for r in got if r[:2] == ("p1", "hernia")]) == 2
+
+
+def test_match_shuffle_path_equals_broadcast_path(spark, wide, codelist):
+    records = wide_records(wide)
+    a = match(records, codelist, broadcast=True)
+    b = match(records, codelist, broadcast=False)
+    assert rows(a) == rows(b)
+
+
+def test_narrow_numeric_codes_match_under_ansi(spark, codelist):
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    raw = spark.createDataFrame([("p9", D1, 34000006), ("p9", D1, 1)], "NHS_NUMBER_DEID string, DATE date, CODE bigint")
+    m = match(narrow_records(raw), codelist, "SNOMEDCT")
+    assert rows(m) == [("p9", "crohns", D1, "34000006", "SNOMEDCT")]
+
+
+def test_dedup_all_columns_null_dates_equal(spark, wide, codelist):
+    raw = match(wide_records(wide), codelist)
+    d = dedup(raw)
+    got = rows(d)
+    assert len([r for r in got if r[0] == "p2"]) == 2  # ckd + renal, NULL date collapsed
+    assert rows(dedup(d)) == got  # idempotent
+    vol = duplicate_volume(raw).first()
+    assert (vol["n_raw"], vol["n_dedup"], vol["n_duplicates"]) == (raw.count(), d.count(), raw.count() - d.count())
+    cov = coverage(d).first()
+    assert (cov["mentions"], cov["unique_pts"], cov["phenotypes"]) == (d.count(), 3, 4)
+
+
+def test_mentions_composite_equals_branches(spark, wide, codelist):
+    narrow = narrow_records(spark.createDataFrame(
+        [("p1", D1, "34000006"), ("p1", D1, "34000006"), ("p5", D2, "N18")],
+        "NHS_NUMBER_DEID string, DATE date, CODE string"))
+    composed = mentions(codelist, narrow=narrow, wide=wide_records(wide))
+    by_hand = dedup(unite(match(narrow, codelist, "SNOMEDCT"), match(wide_records(wide), codelist)))
+    assert rows(composed) == rows(by_hand)
+    # narrow code "N18" is SNOMEDCT there: only the SNOMEDCT list applies
+    assert [r for r in rows(composed) if r[0] == "p5"] == [("p5", "wrong_vocab", D2, "N18", "SNOMEDCT")]
