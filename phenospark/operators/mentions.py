@@ -130,20 +130,42 @@ def mentions(
     """All mentions from a narrow and/or a wide record source.
 
     ``narrow`` is the output of :func:`narrow_records`, ``wide`` of
-    :func:`wide_records`. With ``deduplicate`` the codelist itself is made
-    distinct first: the result is the same and the join emits fewer rows."""
-    lookup = codelist.select(*("phenotype", "terminology", "code"))
-    if deduplicate:
-        lookup = lookup.distinct()
+    :func:`wide_records`.
+
+    With ``deduplicate`` (the default) the plan is: keep the records whose
+    ``(terminology, code)`` is in the codelist (broadcast semi join, map
+    side), deduplicate those *records* (the one shuffle, on four narrow
+    columns), then attach the phenotypes (broadcast join, map side). Against
+    a distinct codelist a mention is a function of its record, so this equals
+    deduplicating the mentions, while the shuffle carries neither the
+    phenotype names nor the fan-out copies. Without ``deduplicate`` the
+    bag of mentions is returned (one row per record x codelist entry)."""
+    if narrow is None and wide is None:
+        raise ValueError("mentions() needs at least one record source")
+    lookup = codelist.select("phenotype", "terminology", "code")
+    if not deduplicate:
+        small = None
+        if max_broadcast_rows is not None:
+            small = row_count_at_most(lookup, max_broadcast_rows)
+        parts = []
+        if narrow is not None:
+            parts.append(match(narrow, lookup, narrow_terminology, max_broadcast_rows, small))
+        if wide is not None:
+            parts.append(match(wide, lookup, None, max_broadcast_rows, small))
+        return unite(*parts)
+    lookup = lookup.distinct()
     small = None
     if max_broadcast_rows is not None:
         small = row_count_at_most(lookup, max_broadcast_rows)
-    parts = []
+    records = []
     if narrow is not None:
-        parts.append(match(narrow, lookup, narrow_terminology, max_broadcast_rows, small))
+        records.append(
+            narrow.select(PERSON, "date", "code", F.lit(narrow_terminology).alias("terminology"))
+        )
     if wide is not None:
-        parts.append(match(wide, lookup, None, max_broadcast_rows, small))
-    if not parts:
-        raise ValueError("mentions() needs at least one record source")
-    united = unite(*parts)
-    return dedup(united) if deduplicate else united
+        records.append(wide.select(PERSON, "date", "code", "terminology"))
+    keys = lookup.select("terminology", "code").distinct()
+    known = lookup_join(unite(*records), keys, ["terminology", "code"], "left_semi",
+                        max_broadcast_rows, small)
+    distinct_records = known.dropDuplicates()
+    return match(distinct_records, lookup, None, max_broadcast_rows, small)
