@@ -8,7 +8,7 @@ Records come in two shapes:
 * narrow — one code per row (primary care): :func:`narrow_records`;
 * wide — many coded slots per row (hospital episodes: 20 diagnosis slots, 24
   operation slots): :func:`wide_records` expands all slot families in one
-  pass, dropping empty slots before rows are made.
+  pass and drops the empty slots in the same stage.
 
 Matching is exact string equality on ``(terminology, code)``; equal strings
 in two vocabularies never meet. The codelist side is broadcast behind a row
@@ -65,7 +65,7 @@ def wide_records(
     person: str = "PERSON_ID_DEID",
     date: str = "ADMIDATE",
     slots: Mapping[str, Sequence[str]] = HOSPITAL_SLOTS,
-    method: str = "generate",
+    method: str = "unpivot",
 ) -> DataFrame:
     """Slots -> ``person_id_deid, date, code, terminology``, one row per
     non-NULL slot, every family in the same pass over ``df``."""
