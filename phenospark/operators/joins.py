@@ -1,9 +1,13 @@
-"""Lookup joins with a checked broadcast.
+"""Lookup joins with a checked broadcast and a salted fallback.
 
 A lookup side (codelist, catalog, category mapping) is broadcast only after
-its row count has been checked against a bound; above the bound the join is a
-shuffle join, where AQE's skew-join rule splits any partition that a hot key
-(one code holding a third of all records, say) makes oversized.
+its row count has been checked against a bound. Above the bound the join is
+a shuffle join that must survive a hot key (one code holding a third of all
+records): the fact rows get a deterministic salt from a hash of their own
+content, the lookup rows are replicated once per salt value, and the join key
+is ``(keys..., salt)``, so a hot key is spread over ``salt_buckets`` tasks.
+The salt depends only on the row, so a retried task sends every row to the
+same place again.
 """
 
 from __future__ import annotations
@@ -17,6 +21,13 @@ from pyspark.sql import functions as F
 # strings per row (<100 bytes), so the bound keeps a broadcast under ~100 MB.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
+# Number of salt values of the shuffle fallback (the lookup side is
+# replicated this many times, which is cheap next to the facts it meets).
+DEFAULT_SALT_BUCKETS = 32
+
+SALTABLE_JOINS = ("inner", "left", "leftouter", "left_outer", "left_semi", "leftsemi",
+                  "semi", "left_anti", "leftanti", "anti")
+
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
@@ -27,6 +38,24 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.count() <= max_rows
 
 
+def salted_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+) -> DataFrame:
+    """Shuffle join with the facts spread by a content-hash salt. Exact for
+    inner, left outer, semi and anti joins: every salt value of a key exists
+    on the lookup side, so each fact row meets exactly the rows it would meet
+    without the salt. Rows that are exact copies share a salt; callers that
+    expect many copies collapse them first (see ``mentions.match``)."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt_buckets))
+    spread = facts.withColumn("_salt", salt.cast("int"))
+    replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return spread.join(replicated, [*on, "_salt"], how).drop("_salt")
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -34,6 +63,7 @@ def lookup_join(
     how: str = "inner",
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
     broadcast: bool | None = None,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """Join a large ``facts`` side to a ``lookup`` side on equal keys.
 
@@ -41,9 +71,13 @@ def lookup_join(
     (e.g. once for a codelist used by several joins); ``None`` checks here
     against ``max_broadcast_rows``. ``max_broadcast_rows=None`` with
     ``broadcast=None`` leaves the choice to the planner (its size estimate,
-    then AQE's runtime statistics)."""
+    then AQE's runtime statistics). When the lookup does not fit, the join is
+    salted over ``salt_buckets`` (``1`` = plain shuffle join)."""
+    keys = [on] if isinstance(on, str) else list(on)
     if broadcast is None and max_broadcast_rows is not None:
         broadcast = row_count_at_most(lookup, max_broadcast_rows)
     if broadcast:
-        return facts.join(F.broadcast(lookup), on, how)
-    return facts.join(lookup, on, how)
+        return facts.join(F.broadcast(lookup), keys, how)
+    if broadcast is False and salt_buckets > 1 and how.lower() in SALTABLE_JOINS:
+        return salted_join(facts, lookup, keys, how, salt_buckets)
+    return facts.join(lookup, keys, how)

@@ -84,27 +84,40 @@ def match(
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
     broadcast: bool | None = None,
 ) -> DataFrame:
-    """Inner join of records to the codelist -> mentions.
+    """Inner join of records to the codelist -> mentions (a bag: a record
+    listed twice, or a code listed twice, gives two mentions).
 
     With ``terminology`` the records are of that one vocabulary and only its
     part of the codelist is used; without, the records carry a
     ``terminology`` column and the join key is ``(terminology, code)``.
     A code listed under several phenotypes yields one mention per phenotype.
     ``broadcast`` passes a size decision already taken for ``codelist``
-    (a filtered part of a codelist that fits, fits too)."""
+    (a filtered part of a codelist that fits, fits too).
+
+    When the codelist is too large to broadcast, copies of a record are first
+    counted (a partial aggregate, so they never travel one by one), the
+    distinct records meet the codelist in a salted shuffle join, and the
+    copies are restored afterwards."""
     if terminology is not None:
         lookup = codelist.where(F.col("terminology") == F.lit(terminology)).select(
             "code", "phenotype"
         )
-        joined = lookup_join(records, lookup, "code", "inner", max_broadcast_rows, broadcast)
-        return joined.select(
-            PERSON, "phenotype", "date", "code", F.lit(terminology).alias("terminology")
-        )
-    lookup = codelist.select("terminology", "code", "phenotype")
-    joined = lookup_join(
-        records, lookup, ["terminology", "code"], "inner", max_broadcast_rows, broadcast
-    )
-    return joined.select(*MENTION_COLUMNS)
+        keys = ["code"]
+        fixed = [F.lit(terminology).alias("terminology")]
+        out = [PERSON, "phenotype", "date", "code", *fixed]
+    else:
+        lookup = codelist.select("terminology", "code", "phenotype")
+        keys = ["terminology", "code"]
+        out = list(MENTION_COLUMNS)
+    if broadcast is None and max_broadcast_rows is not None:
+        broadcast = row_count_at_most(lookup, max_broadcast_rows)
+    if broadcast or broadcast is None:
+        joined = lookup_join(records, lookup, keys, "inner", None, broadcast)
+        return joined.select(*out)
+    copies = records.groupBy(*records.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    joined = lookup_join(copies, lookup, keys, "inner", None, False)
+    restored = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return restored.select(*out)
 
 
 def unite(*mentions: DataFrame) -> DataFrame:
@@ -138,8 +151,11 @@ def mentions(
     columns), then attach the phenotypes (broadcast join, map side). Against
     a distinct codelist a mention is a function of its record, so this equals
     deduplicating the mentions, while the shuffle carries neither the
-    phenotype names nor the fan-out copies. Without ``deduplicate`` the
-    bag of mentions is returned (one row per record x codelist entry)."""
+    phenotype names nor the fan-out copies. If the codelist is too large to
+    broadcast, the records are deduplicated first (partial aggregate before
+    the exchange) and then meet the codelist in a salted shuffle join.
+    Without ``deduplicate`` the bag of mentions is returned (one row per
+    record x codelist entry)."""
     if narrow is None and wide is None:
         raise ValueError("mentions() needs at least one record source")
     lookup = codelist.select("phenotype", "terminology", "code")
@@ -164,8 +180,14 @@ def mentions(
         )
     if wide is not None:
         records.append(wide.select(PERSON, "date", "code", "terminology"))
-    keys = lookup.select("terminology", "code").distinct()
-    known = lookup_join(unite(*records), keys, ["terminology", "code"], "left_semi",
-                        max_broadcast_rows, small)
+    united = unite(*records)
+    keys = ["terminology", "code"]
+    if small is False:
+        # Lookup too large to broadcast: collapse repeated records first
+        # (map-side partial aggregate), then a salted join to the codelist.
+        distinct_records = united.where(F.col("code").isNotNull()).dropDuplicates()
+        joined = lookup_join(distinct_records, lookup, keys, "inner", None, False)
+        return joined.select(*MENTION_COLUMNS)
+    known = lookup_join(united, lookup.select(*keys).distinct(), keys, "left_semi", None, small)
     distinct_records = known.dropDuplicates()
-    return match(distinct_records, lookup, None, max_broadcast_rows, small)
+    return match(distinct_records, lookup, None, None, small)

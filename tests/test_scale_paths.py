@@ -85,3 +85,30 @@ def test_streaming_match_equals_batch(spark, tmp_dir):
     got = rows(spark.table("stream_mentions"))
     expected = sorted(set(_brute_mentions(data, entries)), key=lambda t: tuple((v is not None, str(v)) for v in t))
     assert got == expected
+
+
+def test_fallback_paths_equal_broadcast_paths(spark):
+    """max_broadcast_rows=0 forces every lookup join onto the salted shuffle
+    path; results must not change."""
+    from phenospark.operators import categorise, mentions
+    from phenospark.operators.joins import lookup_join
+
+    data, records = _hot_records(spark, 900)
+    entries, codelist = _codelist(spark)
+    # copies: every record twice
+    doubled = records.unionByName(records)
+    for dedup_flag in (True, False):
+        a = mentions(codelist, narrow=doubled, deduplicate=dedup_flag)
+        b = mentions(codelist, narrow=doubled, deduplicate=dedup_flag, max_broadcast_rows=0)
+        assert rows(a) == rows(b)
+    raw = mentions(codelist, narrow=doubled, deduplicate=False)
+    assert raw.count() == 2 * len(_brute_mentions(data, entries))
+    mapping = spark.createDataFrame([("hot_pheno", "cat_a", "a"), ("ph1", "cat_b", "b")],
+                                    "phenotype string, category string, cat string")
+    m = mentions(codelist, narrow=records)
+    assert rows(categorise(m, mapping)) == rows(categorise(m, mapping, max_broadcast_rows=0))
+    for how in ("left_semi", "left_anti", "left"):
+        keys = codelist.select("code").distinct()
+        x = lookup_join(records, keys, "code", how, broadcast=True)
+        y = lookup_join(records, keys, "code", how, broadcast=False)
+        assert rows(x) == rows(y)
