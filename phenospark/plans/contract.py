@@ -28,6 +28,7 @@ from phenospark.operators.mentions import (
     wide_records,
 )
 from phenospark.operators.reshape import melt, melt_codes
+from phenospark.sinks import materialise
 from phenospark.sources.starschema import (
     DIAG_SLOTS,
     OPERTN_SLOTS,
@@ -243,7 +244,9 @@ def n_occurrences(s: StarSchema) -> DataFrame:
 
 
 def flag_matrix(s: StarSchema) -> DataFrame:
-    return features.flag_matrix(_mentions_dedup(s))
+    """Mentions are written once (checkpoint folder) so finding the phenotype
+    columns and building the matrix share one computation of them."""
+    return features.flag_matrix(materialise(_mentions_dedup(s), "flag_matrix_mentions"))
 
 
 # -- categories ----------------------------------------------------------------

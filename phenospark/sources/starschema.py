@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from phenospark.functions.names import normalise_name
 from phenospark.operators.codelist import tidy_codes
+from phenospark.sources.tables import spread
 
 # Lines per order in the driver's lineitem table (l_linenumber 1..7): the
 # number of slots per family in the wide fixture.
@@ -33,6 +34,10 @@ WIDE_SLOTS = 7
 DIAG_SLOTS = tuple(f"diag_{i:02d}" for i in range(1, WIDE_SLOTS + 1))
 OPERTN_SLOTS = tuple(f"opertn_{i:02d}" for i in range(1, WIDE_SLOTS + 1))
 
+# Driver tables that hold the records; spread over the cores when their file
+# has fewer splits than that (see ``sources.tables.spread``).
+FACT_TABLES = ("lineitem", "orders", "events")
+
 # Prefix and database of the derived codelist catalog (stems of ``sources``).
 SOURCE_PREFIX = "codes_"
 SOURCE_DATABASE = "codelists"
@@ -73,7 +78,8 @@ class StarSchema:
         key = (id(self.spark), f"{self.sf_dir}/{name}.parquet")
         entry = _READERS.get(key)
         if entry is None or entry[0] is not self.spark:
-            entry = (self.spark, self.spark.read.parquet(key[1]))
+            df = self.spark.read.parquet(key[1])
+            entry = (self.spark, spread(df) if name in FACT_TABLES else df)
             _READERS[key] = entry
         return entry[1]
 
