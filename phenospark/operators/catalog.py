@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from phenospark.operators.reshape import map_columns
 from phenospark.functions.names import (
     normalise_name,
     qualified_name,
@@ -48,10 +49,11 @@ def to_catalog(
     name + ``_snomedct``, only where a CPRD list exists); one row per non-NULL
     cell; lower-case and prefix the table name; normalise the phenotype.
     A phenotype without any file yields no row."""
-    names = {c: strip_extension(c) for c in file_columns}
+    stripped = map_columns(dictionary.select("phenotype", *file_columns), strip_extension, file_columns)
+    names = {c: F.col(c) for c in file_columns}
     if derived_from is not None:
-        names[derived_terminology] = with_suffix(names[derived_from], derived_suffix)
-    wide = dictionary.select("phenotype", *[expr.alias(term) for term, expr in names.items()])
+        names[derived_terminology] = with_suffix(derived_from, derived_suffix)
+    wide = stripped.select("phenotype", *[expr.alias(term) for term, expr in names.items()])
     long = wide.unpivot("phenotype", list(names), "terminology", "table").na.drop("any")
     table = with_prefix(F.lower("table"), prefix)
     return long.select(

@@ -81,6 +81,14 @@ def melt_codes(
     raise ValueError(f"unknown melt method {method!r}")
 
 
+def map_columns(df: DataFrame, fn, columns: Sequence[str] | None = None) -> DataFrame:
+    """Apply one column function to every listed column (default: every
+    string column), keeping the column names and order."""
+    if columns is None:
+        columns = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    return df.withColumns({c: fn(F.col(c)) for c in columns})
+
+
 def slot_columns(df: DataFrame, prefix: str) -> list[str]:
     """Columns named ``prefix`` + anything, in schema order (``DIAG_4_``)."""
     return [c for c in df.columns if c.startswith(prefix)]

@@ -50,7 +50,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir
-    return spark.sparkContext.getCheckpointDir()
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # sessions without a SparkContext handle
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -58,9 +61,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     none is configured (tests and local runs)."""
     existing = checkpoint_dir(spark)
     if existing:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(existing)
+        try:
+            if not spark.sparkContext.getCheckpointDir():
+                spark.sparkContext.setCheckpointDir(existing)
+        except Exception:
+            pass
         return existing
     local = tempfile.mkdtemp(prefix="phenospark-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir()
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:
+        return local
