@@ -69,6 +69,6 @@ def qualified_name(database: str | Column | None, table: str | Column) -> Column
 
 def file_stem(path: str | Column) -> Column:
     """Base name of a path or URI without its extension:
-    ``'s3://b/x/caliber_icd_aaa.csv'`` -> ``'caliber_icd_aaa'``."""
+    ``'s3://b/x/codelist_icd_aaa.csv'`` -> ``'codelist_icd_aaa'``."""
     base = F.regexp_extract(as_column(path), r"([^/]+)$", 1)
     return F.regexp_replace(base, r"\.[^.]*$", "")

@@ -1,7 +1,7 @@
 """Which code column a codelist source holds, decided from its name.
 
 Source tables carry no terminology column: it is implied by the name
-(``caliber_icd_*`` holds ``ICD10code``, ``caliber_cprd_*_snomedct`` holds
+(``codelist_icd_*`` holds ``ICD10code``, ``codelist_cprd_*_snomedct`` holds
 ``conceptId`` ...). The routing is a ``CASE`` over the name, evaluated in the
 JVM for every catalog row; a name that matches nothing raises.
 """

@@ -23,13 +23,15 @@ from phenospark.functions.names import (
 )
 
 # The dictionary's file columns, the terminology derived from the
-# CPRD lists (SNOMED CT versions of them), the suffix naming those tables, and
-# the prefix every codelist table carries.
+# CPRD lists (SNOMED CT versions of them) and the suffix naming those tables.
 FILE_COLUMNS = ("CPRD", "ICD", "OPCS")
 DERIVED_TERMINOLOGY = "SNOMEDCT"
 DERIVED_FROM = "CPRD"
 DERIVED_SUFFIX = "_snomedct"
-DEFAULT_TABLE_PREFIX = "caliber_"
+
+# Naming prefix of the codelist tables in the user's store (a deployment
+# setting: pass the one your tables carry).
+DEFAULT_TABLE_PREFIX = "codelist_"
 
 CATALOG_COLUMNS = ("phenotype", "terminology", "table", "database", "path")
 

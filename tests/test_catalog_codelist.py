@@ -41,14 +41,14 @@ def test_read_dictionary_handles_quotes_and_empty_cells(dictionary):
 
 
 def test_catalog_unpivot(dictionary):
-    cat = to_catalog(dictionary, database="byod")
+    cat = to_catalog(dictionary, database="cldb")
     got = rows(cat.select("phenotype", "terminology", "table", "path"))
-    assert ("abdominal_hernia", "SNOMEDCT", "caliber_cprd_hernia_abdo_snomedct",
-            "byod.caliber_cprd_hernia_abdo_snomedct") in got
-    assert ("crohns_disease", "ICD", "caliber_icd_crohns", "byod.caliber_icd_crohns") in got
+    assert ("abdominal_hernia", "SNOMEDCT", "codelist_cprd_hernia_abdo_snomedct",
+            "cldb.codelist_cprd_hernia_abdo_snomedct") in got
+    assert ("crohns_disease", "ICD", "codelist_icd_crohns", "cldb.codelist_icd_crohns") in got
     # a phenotype without a CPRD list has no SNOMED CT row; one without files has none
     aki = [r for r in got if r[0] == "acute_kidney_injury"]
-    assert aki == [("acute_kidney_injury", "ICD", "caliber_icd_aki", "byod.caliber_icd_aki")]
+    assert aki == [("acute_kidney_injury", "ICD", "codelist_icd_aki", "cldb.codelist_icd_aki")]
     assert not [r for r in got if r[0] == "raised_ldl-c"]
     # 3 + 3 + 3 files plus their SNOMED CT twins (3) + AKI
     assert len(got) == 4 + 3 + 3 + 1
@@ -60,13 +60,13 @@ def test_build_codelist_joins_sources_and_strips_dots(spark, dictionary):
     cat = to_catalog(dictionary)
     codes = spark.createDataFrame(
         [
-            ("caliber_icd_aki", "N17.0"),
-            ("caliber_icd_aki", "N17.9"),
-            ("caliber_icd_crohns", "K50"),
-            ("caliber_cprd_crohns_snomedct", "34000006"),
-            ("caliber_cprd_crohns", "J40..00"),  # CPRD is left out
-            ("caliber_opcs_hernia_abdo", "T20.1"),
-            ("caliber_icd_unlisted", "Z99"),
+            ("codelist_icd_aki", "N17.0"),
+            ("codelist_icd_aki", "N17.9"),
+            ("codelist_icd_crohns", "K50"),
+            ("codelist_cprd_crohns_snomedct", "34000006"),
+            ("codelist_cprd_crohns", "J40..00"),  # CPRD is left out
+            ("codelist_opcs_hernia_abdo", "T20.1"),
+            ("codelist_icd_unlisted", "Z99"),
         ],
         "source string, code string",
     )
@@ -100,10 +100,10 @@ def test_numeric_source_codes_become_strings(spark):
 
 def test_missing_sources_lists_catalog_rows_without_files(spark, dictionary):
     cat = to_catalog(dictionary)
-    present = spark.createDataFrame([("caliber_icd_aki",)], "source string")
+    present = spark.createDataFrame([("codelist_icd_aki",)], "source string")
     missing = missing_sources(cat, present)
     assert missing.count() == 10
-    assert missing.where(F.col("table") == "caliber_icd_aki").count() == 0
+    assert missing.where(F.col("table") == "codelist_icd_aki").count() == 0
 
 
 def test_two_code_columns(spark):
@@ -125,40 +125,40 @@ def _write_csv(path, header, lines):
 
 
 def test_read_code_files_routes_every_file_once(spark, tmp_dir):
-    _write_csv(f"{tmp_dir}/caliber_icd_aki.csv", "Disease,ICD10code", ["AKI,N17.0", "AKI,N17.9"])
-    _write_csv(f"{tmp_dir}/caliber_icd_crohns.csv", "Disease,ICD10code", ["Crohns,K50"])
-    _write_csv(f"{tmp_dir}/caliber_cprd_crohns_snomedct.csv", "Disease,conceptId", ["Crohns,34000006"])
-    _write_csv(f"{tmp_dir}/caliber_cprd_crohns.csv", "Disease,Readcode,Medcode",
+    _write_csv(f"{tmp_dir}/codelist_icd_aki.csv", "Disease,ICD10code", ["AKI,N17.0", "AKI,N17.9"])
+    _write_csv(f"{tmp_dir}/codelist_icd_crohns.csv", "Disease,ICD10code", ["Crohns,K50"])
+    _write_csv(f"{tmp_dir}/codelist_cprd_crohns_snomedct.csv", "Disease,conceptId", ["Crohns,34000006"])
+    _write_csv(f"{tmp_dir}/codelist_cprd_crohns.csv", "Disease,Readcode,Medcode",
                ["Crohns,J40..00,123", "Crohns,J40z.00,"])
-    _write_csv(f"{tmp_dir}/caliber_opcs_hernia.csv", "Disease,OPCS4code", ["Hernia,T20.1"])
+    _write_csv(f"{tmp_dir}/codelist_opcs_hernia.csv", "Disease,OPCS4code", ["Hernia,T20.1"])
     got = rows(read_code_files(spark, tmp_dir))
     assert got == sorted([
-        ("caliber_cprd_crohns", "Medcode", "123"),
-        ("caliber_cprd_crohns", "Readcode", "J40..00"),
-        ("caliber_cprd_crohns", "Readcode", "J40z.00"),
-        ("caliber_cprd_crohns_snomedct", "SNOMEDCT", "34000006"),
-        ("caliber_icd_aki", "ICD", "N17.0"),
-        ("caliber_icd_aki", "ICD", "N17.9"),
-        ("caliber_icd_crohns", "ICD", "K50"),
-        ("caliber_opcs_hernia", "OPCS", "T20.1"),
+        ("codelist_cprd_crohns", "Medcode", "123"),
+        ("codelist_cprd_crohns", "Readcode", "J40..00"),
+        ("codelist_cprd_crohns", "Readcode", "J40z.00"),
+        ("codelist_cprd_crohns_snomedct", "SNOMEDCT", "34000006"),
+        ("codelist_icd_aki", "ICD", "N17.0"),
+        ("codelist_icd_aki", "ICD", "N17.9"),
+        ("codelist_icd_crohns", "ICD", "K50"),
+        ("codelist_opcs_hernia", "OPCS", "T20.1"),
     ], key=lambda t: tuple((v is not None, str(v)) for v in t))
-    listed = rows(list_sources(spark, tmp_dir, "caliber_*").select("source"))
+    listed = rows(list_sources(spark, tmp_dir, "codelist_*").select("source"))
     assert len(listed) == 5
 
 
 def test_read_code_tables_and_list_tables(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS byod_test")
+    spark.sql("CREATE DATABASE IF NOT EXISTS cl_test")
     spark.createDataFrame([("N17.0",)], "ICD10code string").write.mode("overwrite").saveAsTable(
-        "byod_test.caliber_icd_aki")
+        "cl_test.codelist_icd_aki")
     spark.createDataFrame([(34000006,)], "conceptId bigint").write.mode("overwrite").saveAsTable(
-        "byod_test.caliber_cprd_x_snomedct")
+        "cl_test.codelist_cprd_x_snomedct")
     spark.createDataFrame([("T20.1",)], "OPCS4code string").write.mode("overwrite").saveAsTable(
-        "byod_test.caliber_opcs_h")
-    names = rows(list_tables(spark, "byod_test", "caliber*").select("table"))
-    assert [n[0] for n in names] == ["caliber_cprd_x_snomedct", "caliber_icd_aki", "caliber_opcs_h"]
-    codes = read_code_tables(spark, [f"byod_test.{n[0]}" for n in names])
+        "cl_test.codelist_opcs_h")
+    names = rows(list_tables(spark, "cl_test", "codelist*").select("table"))
+    assert [n[0] for n in names] == ["codelist_cprd_x_snomedct", "codelist_icd_aki", "codelist_opcs_h"]
+    codes = read_code_tables(spark, [f"cl_test.{n[0]}" for n in names])
     assert rows(codes) == [
-        ("caliber_cprd_x_snomedct", "SNOMEDCT", "34000006"),
-        ("caliber_icd_aki", "ICD", "N17.0"),
-        ("caliber_opcs_h", "OPCS", "T20.1"),
+        ("codelist_cprd_x_snomedct", "SNOMEDCT", "34000006"),
+        ("codelist_icd_aki", "ICD", "N17.0"),
+        ("codelist_opcs_h", "OPCS", "T20.1"),
     ]

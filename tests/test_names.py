@@ -50,22 +50,22 @@ def test_code_and_file_helpers(spark):
     assert _one(spark, strip_extension, "ICD_AAA.csvx") == "ICD_AAA.csvx"
     assert _one(spark, lambda c: with_suffix(c, "_snomedct"), "CPRD_x") == "CPRD_x_snomedct"
     assert _one(spark, lambda c: with_suffix(c, "_snomedct"), None) is None
-    assert _one(spark, lambda c: with_prefix(c, "caliber_"), "icd_x") == "caliber_icd_x"
+    assert _one(spark, lambda c: with_prefix(c, "codelist_"), "icd_x") == "codelist_icd_x"
     assert _one(spark, lambda c: qualified_name("db", c), "t") == "db.t"
     assert _one(spark, lambda c: qualified_name(None, c), "t") == "t"
-    assert _one(spark, file_stem, "s3://bucket/dir/caliber_icd_aaa.csv") == "caliber_icd_aaa"
+    assert _one(spark, file_stem, "s3://bucket/dir/codelist_icd_aaa.csv") == "codelist_icd_aaa"
     assert _one(spark, file_stem, "/a/b/x.part.parquet") == "x.part"
 
 
 @pytest.mark.parametrize(
     "name, columns",
     [
-        ("db.caliber_icd_aaa", "ICD10code"),
-        ("db.caliber_cprd_aaa_snomedct", "conceptId"),
-        ("db.caliber_cprd_aaa", "Readcode,Medcode"),
-        ("db.caliber_opcs_aaa", "OPCS4code"),
+        ("db.codelist_icd_aaa", "ICD10code"),
+        ("db.codelist_cprd_aaa_snomedct", "conceptId"),
+        ("db.codelist_cprd_aaa", "Readcode,Medcode"),
+        ("db.codelist_opcs_aaa", "OPCS4code"),
         # first match wins: a name with both tokens routes to ICD
-        ("db.caliber_icd_x_snomedct", "ICD10code"),
+        ("db.codelist_icd_x_snomedct", "ICD10code"),
     ],
 )
 def test_code_column_routing(spark, name, columns):
@@ -75,7 +75,7 @@ def test_code_column_routing(spark, name, columns):
 
 def test_unroutable_source_name_raises(spark):
     with pytest.raises(ValueError):
-        code_columns_for_name("db.caliber_unknown")
-    df = spark.createDataFrame([("db.caliber_unknown",)], "x string")
+        code_columns_for_name("db.codelist_unknown")
+    df = spark.createDataFrame([("db.codelist_unknown",)], "x string")
     with pytest.raises(PySparkException):
         df.select(code_columns_for("x")).collect()
