@@ -20,10 +20,18 @@ def codelist_totals(codelist: DataFrame) -> DataFrame:
     )
 
 
-def codelist_per_phenotype(codelist: DataFrame) -> DataFrame:
+def _distinct_codes(by_terminology: bool):
+    """Distinct codes; a code string used by two vocabularies counts once
+    unless ``by_terminology`` counts ``(terminology, code)`` pairs."""
+    if by_terminology:
+        return F.count_distinct("terminology", "code")
+    return F.count_distinct("code")
+
+
+def codelist_per_phenotype(codelist: DataFrame, by_terminology: bool = False) -> DataFrame:
     """``phenotype, n_codes, n_terminologies`` (distinct counts)."""
     return codelist.groupBy("phenotype").agg(
-        F.count_distinct("code").alias("n_codes"),
+        _distinct_codes(by_terminology).alias("n_codes"),
         F.count_distinct("terminology").alias("n_terminologies"),
     )
 
@@ -33,12 +41,22 @@ def codelist_phenotypes(codelist: DataFrame) -> DataFrame:
     return codelist.select("phenotype").distinct()
 
 
-def coverage(mentions: DataFrame) -> DataFrame:
-    """``mentions, unique_pts, phenotypes`` of a mention table."""
+def coverage(mentions: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """``mentions, unique_pts, phenotypes`` of a mention table.
+
+    Exact by default. ``approx_rsd`` (e.g. 0.01) switches the two distinct
+    counts to HyperLogLog sketches: one pass, merged map-side, no shuffle of
+    the distinct values — for quick looks at very large tables."""
+    if approx_rsd is None:
+        people = F.count_distinct(PERSON)
+        phenotypes = F.count_distinct("phenotype")
+    else:
+        people = F.approx_count_distinct(PERSON, approx_rsd)
+        phenotypes = F.approx_count_distinct("phenotype", approx_rsd)
     return mentions.agg(
         F.count(F.lit(1)).alias("mentions"),
-        F.count_distinct(PERSON).alias("unique_pts"),
-        F.count_distinct("phenotype").alias("phenotypes"),
+        people.alias("unique_pts"),
+        phenotypes.alias("phenotypes"),
     )
 
 
@@ -63,11 +81,11 @@ def category_sizes(mapping: DataFrame) -> DataFrame:
     ).select("category", "cat", "n_phenotypes")
 
 
-def codes_per_category(categorised: DataFrame) -> DataFrame:
+def codes_per_category(categorised: DataFrame, by_terminology: bool = False) -> DataFrame:
     """``category, n_codes``; unmapped mentions form the NULL group."""
-    return categorised.groupBy("category").agg(F.count_distinct("code").alias("n_codes"))
+    return categorised.groupBy("category").agg(_distinct_codes(by_terminology).alias("n_codes"))
 
 
-def codes_per_phenotype(mentions: DataFrame) -> DataFrame:
+def codes_per_phenotype(mentions: DataFrame, by_terminology: bool = False) -> DataFrame:
     """``phenotype, n_codes`` seen in a mention table."""
-    return mentions.groupBy("phenotype").agg(F.count_distinct("code").alias("n_codes"))
+    return mentions.groupBy("phenotype").agg(_distinct_codes(by_terminology).alias("n_codes"))

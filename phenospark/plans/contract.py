@@ -275,6 +275,12 @@ def codes_per_phenotype(s: StarSchema) -> DataFrame:
     return summary.codes_per_phenotype(_mentions_dedup(s))
 
 
+def codes_per_category_by_terminology(s: StarSchema) -> DataFrame:
+    """Distinct (terminology, code) pairs per category."""
+    categorised = category_ops.categorise(_mentions_dedup(s), _mapping(s))
+    return summary.codes_per_category(categorised, by_terminology=True)
+
+
 def unmapped_phenotypes(s: StarSchema) -> DataFrame:
     """Codelist phenotypes without a category."""
     return checks.unmapped(s.codelist(), _mapping(s))
@@ -333,6 +339,7 @@ QUERIES: dict[str, Query] = {
         categorise_map,
         codes_per_category,
         codes_per_phenotype,
+        codes_per_category_by_terminology,
         unmapped_phenotypes,
         orphan_categories,
         unabbreviated_categories,

@@ -243,6 +243,9 @@ FROM f_mapping GROUP BY cat, category""", "f_mapping"),
     "codes_per_category": with_ctes("""
 SELECT category, COUNT(DISTINCT code) AS n_codes FROM f_categorised GROUP BY category""",
         "f_categorised"),
+    "codes_per_category_by_terminology": with_ctes("""
+SELECT category, COUNT(DISTINCT (terminology, code)) AS n_codes FROM f_categorised GROUP BY category""",
+        "f_categorised"),
     "codes_per_phenotype": with_ctes("""
 SELECT phenotype, COUNT(DISTINCT code) AS n_codes FROM f_mentions GROUP BY phenotype""",
         "f_mentions"),

@@ -126,3 +126,18 @@ def test_integrity_checks(spark, lists):
     mapping = build_mapping(categories, abbreviations)
     assert rows(unmapped(codelist, mapping)) == [("zzz",)]
     assert rows(orphans(mapping, codelist)) == [("chronic_kidney_disease",), ("crohns_disease",)]
+
+
+def test_distinct_code_counts_by_terminology_and_approx(spark):
+    from phenospark.operators.summary import codelist_per_phenotype, coverage
+
+    cl = spark.createDataFrame(
+        [("p", "ICD", "X1"), ("p", "OPCS", "X1"), ("p", "ICD", "X2")],
+        "phenotype string, terminology string, code string")
+    assert codelist_per_phenotype(cl).first()["n_codes"] == 2
+    assert codelist_per_phenotype(cl, by_terminology=True).first()["n_codes"] == 3
+    m = spark.range(1000).select(F.col("id").alias("person_id_deid"), (F.col("id") % 7).cast("string").alias("phenotype"))
+    exact = coverage(m).first()
+    approx = coverage(m, approx_rsd=0.01).first()
+    assert exact["unique_pts"] == 1000 and exact["phenotypes"] == 7
+    assert abs(approx["unique_pts"] - 1000) <= 30 and approx["phenotypes"] == 7
