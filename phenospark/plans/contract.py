@@ -58,8 +58,9 @@ def _catalog(s: StarSchema) -> DataFrame:
 
 
 def _codelist(s: StarSchema) -> tuple[DataFrame, bool]:
-    """The codelist and its broadcast decision, checked once per query."""
-    codelist = s.codelist()
+    """The codelist, written once (its size check and the broadcast then read
+    the small table instead of re-deriving it), and its broadcast decision."""
+    codelist = materialise(s.codelist(), "codelist")
     return codelist, row_count_at_most(codelist, DEFAULT_MAX_BROADCAST_ROWS)
 
 
@@ -88,7 +89,9 @@ def _mentions_dedup(s: StarSchema) -> DataFrame:
 
 
 def _mapping(s: StarSchema) -> DataFrame:
-    return category_ops.build_mapping(s.categories(), s.abbreviations())
+    """The category mapping, written once: its uniqueness/size check and the
+    broadcast read the small table."""
+    return materialise(category_ops.build_mapping(s.categories(), s.abbreviations()), "category_mapping")
 
 
 def _q(build: Callable[[StarSchema], DataFrame]) -> Query:
