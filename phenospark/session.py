@@ -56,9 +56,21 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", None)
+    if master is None:
+        try:
+            master = spark.sparkContext.master
+        except Exception:
+            master = ""
+    return str(master).startswith("local")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a fresh local one only when
-    none is configured (tests and local runs)."""
+    """Return the session's checkpoint folder. Only a local session (tests,
+    local runs) gets a fresh temporary one when none is configured; on a
+    cluster an unset ``spark.checkpoint.dir`` is an error, because a folder
+    local to one machine is invisible to the executors."""
     existing = checkpoint_dir(spark)
     if existing:
         try:
@@ -67,6 +79,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             pass
         return existing
+    if not _is_local(spark):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: point it at a folder every executor shares"
+        )
     local = tempfile.mkdtemp(prefix="phenospark-ckpt-", dir="/tmp")
     try:
         spark.sparkContext.setCheckpointDir(local)

@@ -121,7 +121,7 @@ class StarSchema:
         nation = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
         region = self.table("region").select("r_regionkey", "r_name")
         supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
-        geo = F.broadcast(nation.join(region, nation.n_regionkey == region.r_regionkey))
+        geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
         return supplier.join(geo, supplier.s_nationkey == geo.n_nationkey)
 
     @_once
