@@ -83,7 +83,9 @@ def read_code_files(
     route its name matches, as in :func:`code_columns_for`. ``terminology`` is
     the vocabulary of the column read (``ICD``, ``SNOMEDCT``, ``OPCS``,
     ``Readcode``, ``Medcode``)."""
-    opts = {"header": "true"} if fmt == "csv" else {}
+    # CSV: columns are matched by position, so every file's header is checked
+    # against the first one's (a reordered header fails instead of misreading).
+    opts = {"header": "true", "enforceSchema": "false"} if fmt == "csv" else {}
     opts.update(options or {})
     parts = []
     for token, columns in CODE_COLUMN_ROUTES:
@@ -95,8 +97,9 @@ def read_code_files(
             if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
                 continue
             raise
-        if not set(columns) <= set(df.columns):
-            continue
+        missing = [c for c in columns if c not in df.columns]
+        if missing:
+            raise ValueError(f"codelist files matching {glob!r} lack column(s) {missing}")
         named = df.select(
             file_stem(F.col("_metadata.file_path")).alias("source"),
             *[F.col(c) for c in columns],

@@ -162,3 +162,16 @@ def test_read_code_tables_and_list_tables(spark):
         ("codelist_icd_aki", "ICD", "N17.0"),
         ("codelist_opcs_h", "OPCS", "T20.1"),
     ]
+
+
+def test_read_code_files_rejects_reordered_headers(spark, tmp_dir):
+    _write_csv(f"{tmp_dir}/codelist_icd_a.csv", "Disease,ICD10code", ["A,N17"])
+    _write_csv(f"{tmp_dir}/codelist_icd_b.csv", "ICD10code,Disease", ["K50,B"])
+    with pytest.raises(Exception):
+        read_code_files(spark, tmp_dir).collect()
+
+
+def test_read_code_files_requires_the_routed_column(spark, tmp_dir):
+    _write_csv(f"{tmp_dir}/codelist_opcs_a.csv", "Disease,conceptId", ["A,123"])
+    with pytest.raises(ValueError, match="OPCS4code"):
+        read_code_files(spark, tmp_dir)
