@@ -51,7 +51,7 @@ def list_tables(spark: SparkSession, database: str, pattern: str | None = None)
     return spark.createDataFrame(rows, "database string, table string")
 
 
-def _route_codes(df: DataFrame, route_columns: Sequence[str], token: str) -> DataFrame:
+def _route_codes(df: DataFrame, route_columns: Sequence[str]) -> DataFrame:
     """Rows of the sources whose name routes to ``route_columns``, melted to
     ``source, terminology, code`` (NULL codes kept, as the sources hold them;
     two-column sources give one row per non-NULL column value)."""
@@ -73,38 +73,46 @@ def read_code_files(
     spark: SparkSession,
     root: str,
     fmt: str = "csv",
-    name_glob: str = "*",
+    name_glob: str | None = None,
+    source_from: str = "file",
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """All codelist files under ``root`` -> ``source, terminology, code``.
 
-    One scan per terminology route (four at most, whatever the number of
-    files); each file's ``source`` is its stem. A file is taken by the first
-    route its name matches, as in :func:`code_columns_for`. ``terminology`` is
-    the vocabulary of the column read (``ICD``, ``SNOMEDCT``, ``OPCS``,
-    ``Readcode``, ``Medcode``)."""
+    The files are listed once and each is routed by its name
+    (:func:`code_columns_for`, first match wins, unroutable names raise);
+    then every route's files are read by **one** scan — at most four scans
+    whatever the number of files. ``source`` is the file stem, or with
+    ``source_from="directory"`` the name of the folder holding the file (one
+    folder per codelist table, e.g. parquet part files). ``terminology`` is the
+    vocabulary of the column read (``ICD``, ``SNOMEDCT``, ``OPCS``,
+    ``Readcode``, ``Medcode``). Only file names and routes reach the driver."""
+    glob = name_glob or ("*.csv" if fmt == "csv" else f"*.{fmt}")
+    listed = list_sources(spark, root, glob)
+    if source_from == "directory":
+        listed = listed.withColumn("source", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))
+    routed = listed.select("path", code_columns_for("source").alias("route")).collect()
+    paths_by_route: dict[str, list[str]] = {}
+    for row in routed:
+        paths_by_route.setdefault(row["route"], []).append(row["path"])
     # CSV: columns are matched by position, so every file's header is checked
     # against the first one's (a reordered header fails instead of misreading).
     opts = {"header": "true", "enforceSchema": "false"} if fmt == "csv" else {}
     opts.update(options or {})
     parts = []
-    for token, columns in CODE_COLUMN_ROUTES:
-        glob = name_glob if name_glob != "*" else f"*{token}*"
-        reader = spark.read.format(fmt).options(**opts).option("pathGlobFilter", glob)
-        try:
-            df = reader.option("recursiveFileLookup", "true").load(root)
-        except Exception as exc:  # no file of this route
-            if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-                continue
-            raise
+    for _, columns in CODE_COLUMN_ROUTES:
+        paths = paths_by_route.get(",".join(columns))
+        if not paths:
+            continue
+        df = spark.read.format(fmt).options(**opts).load(sorted(paths))
         missing = [c for c in columns if c not in df.columns]
         if missing:
-            raise ValueError(f"codelist files matching {glob!r} lack column(s) {missing}")
-        named = df.select(
-            file_stem(F.col("_metadata.file_path")).alias("source"),
-            *[F.col(c) for c in columns],
-        )
-        parts.append(_route_codes(named, columns, token))
+            raise ValueError(f"codelist files {sorted(paths)[:3]}... lack column(s) {missing}")
+        source = file_stem(F.col("_metadata.file_path"))
+        if source_from == "directory":
+            source = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+        named = df.select(source.alias("source"), *[F.col(c) for c in columns])
+        parts.append(_route_codes(named, columns))
     if not parts:
         return spark.createDataFrame([], "source string, terminology string, code string")
     return reduce(DataFrame.unionByName, parts)
@@ -121,7 +129,7 @@ def read_code_tables(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
         columns = code_columns_for_name(name)
         stem = name.rsplit(".", 1)[-1]
         df = spark.table(name).withColumn("source", F.lit(stem))
-        parts.append(_route_codes(df, columns, ""))
+        parts.append(_route_codes(df, columns))
     if not parts:
         return spark.createDataFrame([], "source string, terminology string, code string")
     while len(parts) > 1:

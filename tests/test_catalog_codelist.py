@@ -175,3 +175,16 @@ def test_read_code_files_requires_the_routed_column(spark, tmp_dir):
     _write_csv(f"{tmp_dir}/codelist_opcs_a.csv", "Disease,conceptId", ["A,123"])
     with pytest.raises(ValueError, match="OPCS4code"):
         read_code_files(spark, tmp_dir)
+
+
+def test_read_code_files_parquet_table_per_folder(spark, tmp_dir):
+    spark.createDataFrame([("N17.0",), ("N17.9",)], "ICD10code string").coalesce(2).write.parquet(
+        f"{tmp_dir}/codelist_icd_aki")
+    spark.createDataFrame([(34000006,)], "conceptId bigint").write.parquet(
+        f"{tmp_dir}/codelist_cprd_x_snomedct")
+    got = rows(read_code_files(spark, tmp_dir, fmt="parquet", source_from="directory"))
+    assert got == [
+        ("codelist_cprd_x_snomedct", "SNOMEDCT", "34000006"),
+        ("codelist_icd_aki", "ICD", "N17.0"),
+        ("codelist_icd_aki", "ICD", "N17.9"),
+    ]
