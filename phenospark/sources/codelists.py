@@ -89,8 +89,9 @@ def read_code_files(
     ``Readcode``, ``Medcode``). Only file names and routes reach the driver."""
     glob = name_glob or ("*.csv" if fmt == "csv" else f"*.{fmt}")
     listed = list_sources(spark, root, glob)
-    if source_from == "directory":
-        listed = listed.withColumn("source", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1))
+    folder_pattern = {"directory": r"([^/]+)/[^/]+$", "partition": r"[^/=]+=([^/]+)/[^/]+$"}
+    if source_from in folder_pattern:
+        listed = listed.withColumn("source", F.regexp_extract("path", folder_pattern[source_from], 1))
     routed = listed.select("path", code_columns_for("source").alias("route")).collect()
     paths_by_route: dict[str, list[str]] = {}
     for row in routed:
@@ -104,13 +105,20 @@ def read_code_files(
         paths = paths_by_route.get(",".join(columns))
         if not paths:
             continue
-        df = spark.read.format(fmt).options(**opts).load(sorted(paths))
+        paths = sorted(paths)
+        reader = spark.read.format(fmt).options(**opts)
+        if fmt == "csv":
+            # The schema comes from one file's header; the scan still checks
+            # every other file's header against it (enforceSchema=false), so
+            # no inference pass over all files is needed.
+            reader = reader.schema(spark.read.options(**opts).csv(paths[0]).schema)
+        df = reader.load(paths)
         missing = [c for c in columns if c not in df.columns]
         if missing:
             raise ValueError(f"codelist files {sorted(paths)[:3]}... lack column(s) {missing}")
         source = file_stem(F.col("_metadata.file_path"))
-        if source_from == "directory":
-            source = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+        if source_from in folder_pattern:
+            source = F.regexp_extract(F.col("_metadata.file_path"), folder_pattern[source_from], 1)
         named = df.select(source.alias("source"), *[F.col(c) for c in columns])
         parts.append(_route_codes(named, columns))
     if not parts:

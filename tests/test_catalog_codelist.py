@@ -188,3 +188,15 @@ def test_read_code_files_parquet_table_per_folder(spark, tmp_dir):
         ("codelist_icd_aki", "ICD", "N17.0"),
         ("codelist_icd_aki", "ICD", "N17.9"),
     ]
+
+
+def test_read_code_files_partitioned_by_source(spark, tmp_dir):
+    root = f"{tmp_dir}/lists"
+    spark.createDataFrame([("codelist_icd_aki", "N17.0"), ("codelist_icd_ckd", "N18")],
+                          "source string, ICD10code string").write.partitionBy("source").option(
+        "header", True).csv(root)
+    spark.createDataFrame([("codelist_opcs_h", "T20.1")], "source string, OPCS4code string").write.mode(
+        "append").partitionBy("source").option("header", True).csv(root)
+    got = rows(read_code_files(spark, root, source_from="partition"))
+    assert got == [("codelist_icd_aki", "ICD", "N17.0"), ("codelist_icd_ckd", "ICD", "N18"),
+                   ("codelist_opcs_h", "OPCS", "T20.1")]
