@@ -31,7 +31,7 @@ from phenospark.operators.mentions import (
     narrow_records,
     wide_records,
 )
-from phenospark.sinks import write_table
+from phenospark.sinks import write_and_read
 from phenospark.sources.codelists import read_code_files
 from phenospark.sources.tables import (
     read_abbreviations,
@@ -41,10 +41,8 @@ from phenospark.sources.tables import (
 )
 
 
-def _write_read(df: DataFrame, out_root: str, name: str, cluster_by=None) -> DataFrame:
-    path = f"{out_root.rstrip('/')}/{name}"
-    write_table(df, path, cluster_by=cluster_by)
-    return df.sparkSession.read.parquet(path)
+def _write_read(df: DataFrame, out_root: str, name: str) -> DataFrame:
+    return write_and_read(df, f"{out_root.rstrip('/')}/{name}")
 
 
 def codelist_job(

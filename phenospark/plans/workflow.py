@@ -19,7 +19,7 @@ from phenospark.operators import categories as category_ops
 from phenospark.operators import features, summary
 from phenospark.operators.codelist import build_codelist
 from phenospark.operators.mentions import mentions as build_mentions
-from phenospark.sinks import materialise, write_table
+from phenospark.sinks import materialise, write_and_read
 
 
 @dataclass
@@ -39,12 +39,10 @@ class WorkflowInputs:
     database: str | None = None
 
 
-def _keep(df: DataFrame, name: str, out_root: str | None, cluster_by=None) -> DataFrame:
+def _keep(df: DataFrame, name: str, out_root: str | None) -> DataFrame:
     if out_root is None:
-        return materialise(df, name, cluster_by)
-    path = f"{out_root.rstrip('/')}/{name}"
-    write_table(df, path, cluster_by=cluster_by)
-    return df.sparkSession.read.parquet(path)
+        return materialise(df, name)
+    return write_and_read(df, f"{out_root.rstrip('/')}/{name}")
 
 
 def codelist_stage(inputs: WorkflowInputs, out_root: str | None = None) -> dict[str, DataFrame]:

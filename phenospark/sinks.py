@@ -41,17 +41,21 @@ def write_table(
         writer.saveAsTable(target)
 
 
+def write_and_read(df: DataFrame, path: str, cluster_by: Sequence[str] | None = None) -> DataFrame:
+    """Write ``df`` as parquet at ``path`` and return the table read back:
+    what follows starts from the files, not from ``df``'s lineage."""
+    write_table(df, path, cluster_by=cluster_by)
+    return df.sparkSession.read.parquet(path)
+
+
 def materialise(df: DataFrame, name: str, cluster_by: Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` under the session's checkpoint folder and read it back.
 
     The returned DataFrame's lineage starts at the written files, so a lost
     executor costs a re-read, not a recomputation of the whole history, and
     several downstream counts share one computation."""
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/phenospark/{name}-{uuid.uuid4().hex[:12]}"
-    write_table(df, path, cluster_by=cluster_by)
-    return spark.read.parquet(path)
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    return write_and_read(df, f"{root}/phenospark/{name}-{uuid.uuid4().hex[:12]}", cluster_by)
 
 
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
