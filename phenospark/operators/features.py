@@ -61,7 +61,9 @@ def flag_matrix(
     if len(values) > max_columns:
         raise ValueError(f"{len(values)} phenotypes exceed max_columns={max_columns}")
     # Whole matrix built JVM-side: the pivot aggregate yields 1 (or the count)
-    # where a person has the phenotype and NULL elsewhere; one fill turns the
+    # where a person has the phenotype and NULL elsewhere; one fill over the
+    # phenotype columns (names quoted, the person id untouched) turns those
     # NULLs into 0 without a per-column expression built in Python.
     cell = F.max(F.lit(1).cast("bigint")) if binary else F.count(F.lit(1))
-    return mentions.groupBy(PERSON).pivot("phenotype", values).agg(cell).na.fill(0)
+    wide = mentions.groupBy(PERSON).pivot("phenotype", values).agg(cell)
+    return wide.na.fill(0, subset=["`" + v.replace("`", "``") + "`" for v in values])

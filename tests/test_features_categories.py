@@ -141,3 +141,9 @@ def test_distinct_code_counts_by_terminology_and_approx(spark):
     approx = coverage(m, approx_rsd=0.01).first()
     assert exact["unique_pts"] == 1000 and exact["phenotypes"] == 7
     assert abs(approx["unique_pts"] - 1000) <= 30 and approx["phenotypes"] == 7
+
+
+def test_flag_matrix_keeps_null_person_and_odd_names(spark):
+    m = spark.createDataFrame([(1, "a.b"), (None, "c d"), (2, "x`y")], "person_id_deid bigint, phenotype string")
+    got = rows(flag_matrix(m))
+    assert (None, 0, 1, 0) in got and (1, 1, 0, 0) in got and (2, 0, 0, 1) in got
