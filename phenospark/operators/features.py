@@ -57,7 +57,7 @@ def flag_matrix(
         if len(names) > max_columns:
             raise ValueError(f"more than {max_columns} phenotypes; pass phenotypes= explicitly")
         phenotypes = [r[0] for r in names]
-    values = sorted(set(phenotypes))
+    values = sorted({p for p in phenotypes if p is not None})
     if len(values) > max_columns:
         raise ValueError(f"{len(values)} phenotypes exceed max_columns={max_columns}")
     # Whole matrix built JVM-side: the pivot aggregate yields 1 (or the count)
