@@ -58,6 +58,22 @@ def materialise(df: DataFrame, name: str, cluster_by: Sequence[str] | None = Non
     return write_and_read(df, f"{root}/phenospark/{name}-{uuid.uuid4().hex[:12]}", cluster_by)
 
 
+def register_view(df: DataFrame, name: str, global_view: bool = False) -> DataFrame:
+    """Expose ``df`` to SQL as a (global) temporary view; returns ``df``.
+    Inside the library DataFrames are passed directly; this is for SQL users."""
+    if global_view:
+        df.createOrReplaceGlobalTempView(name)
+    else:
+        df.createOrReplaceTempView(name)
+    return df
+
+
+def drop_table(spark, name: str) -> None:
+    """``DROP TABLE IF EXISTS`` with the name bound as a parameter, never
+    pasted into the SQL text."""
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` rows, for display."""
     return df.limit(n)

@@ -125,3 +125,18 @@ def test_clustered_write_splits_a_hot_key(spark, tmp_dir):
     files_with_hot = back.where(F.col("k") == "hot").select(F.input_file_name()).distinct().count()
     assert files_with_hot > 1
     assert back.count() == 30000
+
+
+def test_views_and_drop_table(spark):
+    from phenospark.sinks import drop_table, register_view
+
+    df = spark.range(3)
+    register_view(df, "pheno_view")
+    assert spark.sql("SELECT COUNT(*) AS n FROM pheno_view").first()["n"] == 3
+    register_view(df, "pheno_gview", global_view=True)
+    assert spark.sql("SELECT COUNT(*) AS n FROM global_temp.pheno_gview").first()["n"] == 3
+    write_table(df, "pheno_table")
+    assert spark.catalog.tableExists("pheno_table")
+    drop_table(spark, "pheno_table")
+    assert not spark.catalog.tableExists("pheno_table")
+    drop_table(spark, "pheno_table")  # absent: no error
