@@ -200,3 +200,13 @@ def test_read_code_files_partitioned_by_source(spark, tmp_dir):
     got = rows(read_code_files(spark, root, source_from="partition"))
     assert got == [("codelist_icd_aki", "ICD", "N17.0"), ("codelist_icd_ckd", "ICD", "N18"),
                    ("codelist_opcs_h", "OPCS", "T20.1")]
+
+
+def test_tidy_codes_keeps_read_code_dots(spark):
+    from phenospark.operators import tidy_codes
+
+    cl = spark.createDataFrame(
+        [("p", "ICD", "I21.0"), ("p", "OPCS", "K40.1"), ("p", "SNOMEDCT", "1.2"), ("p", "Readcode", "G30..00")],
+        "phenotype string, terminology string, code string")
+    got = {r["terminology"]: r["code"] for r in tidy_codes(cl).collect()}
+    assert got == {"ICD": "I210", "OPCS": "K401", "SNOMEDCT": "12", "Readcode": "G30..00"}
