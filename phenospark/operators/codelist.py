@@ -28,6 +28,10 @@ DOTLESS_TERMINOLOGIES = ("ICD", "OPCS", "SNOMEDCT")
 # two-column sources are handled by :func:`two_column_codes`).
 EXCLUDED_TERMINOLOGIES = ("CPRD",)
 
+# Catalog terminologies whose sources hold several vocabularies; when they
+# are built, each code keeps the vocabulary of its column (Readcode, Medcode).
+SPLIT_TERMINOLOGIES = ("CPRD",)
+
 
 def tidy_codes(
     codelist: DataFrame, dotless: Sequence[str] = DOTLESS_TERMINOLOGIES
@@ -45,6 +49,7 @@ def build_codelist(
     exclude: Sequence[str] = EXCLUDED_TERMINOLOGIES,
     dotless: Sequence[str] = DOTLESS_TERMINOLOGIES,
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    split: Sequence[str] = SPLIT_TERMINOLOGIES,
 ) -> DataFrame:
     """Join the codes of all sources to the catalog and tidy them.
 
@@ -52,14 +57,27 @@ def build_codelist(
     ``codes``: one row per code with the name of its source in ``source_col``
     (the catalog's ``table``). A source listed for two phenotypes gives its
     codes to both; a catalog row without a source gives nothing (see
-    :func:`phenospark.operators.checks.missing_sources`)."""
+    :func:`phenospark.operators.checks.missing_sources`).
+
+    The terminology is the catalog's, except for the ``split`` ones (CPRD,
+    when not excluded): their codes keep the vocabulary of the column they
+    were read from, if ``codes`` carries a ``terminology`` column."""
     entries = catalog.select(
         "phenotype", "terminology", F.col("table").alias(source_col)
     )
     if exclude:
         entries = entries.where(~F.col("terminology").isin(*exclude))
-    facts = codes.select(source_col, F.col(code_col).cast("string").alias("code"))
+    per_column = "terminology" in codes.columns and bool(split)
+    facts = codes.select(
+        source_col,
+        F.col(code_col).cast("string").alias("code"),
+        *([F.col("terminology").alias("_column_terminology")] if per_column else []),
+    )
     joined = lookup_join(facts, entries, source_col, "inner", max_broadcast_rows)
+    if per_column:
+        term = F.when(F.col("terminology").isin(*split), F.col("_column_terminology")).otherwise(
+            F.col("terminology"))
+        joined = joined.withColumn("terminology", term)
     return tidy_codes(joined.select(*CODELIST_COLUMNS), dotless)
 
 

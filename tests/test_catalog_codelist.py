@@ -210,3 +210,22 @@ def test_tidy_codes_keeps_read_code_dots(spark):
         "phenotype string, terminology string, code string")
     got = {r["terminology"]: r["code"] for r in tidy_codes(cl).collect()}
     assert got == {"ICD": "I210", "OPCS": "K401", "SNOMEDCT": "12", "Readcode": "G30..00"}
+
+
+def test_build_codelist_with_cprd_keeps_read_and_med_codes(spark, dictionary, tmp_dir):
+    lists = os.path.join(tmp_dir, "lists")
+    os.makedirs(lists)
+    _write_csv(f"{lists}/codelist_cprd_crohns.csv", "Disease,Readcode,Medcode",
+               ["Crohns,J40..00,123", "Crohns,J40z.00,"])
+    _write_csv(f"{lists}/codelist_icd_crohns.csv", "Disease,ICD10code", ["Crohns,K50.0"])
+    cat = to_catalog(dictionary, prefix="codelist_")
+    codes = read_code_files(spark, lists)
+    default = rows(build_codelist(cat, codes))
+    assert default == [("crohns_disease", "ICD", "K500")]
+    with_cprd = rows(build_codelist(cat, codes, exclude=()))
+    assert with_cprd == [
+        ("crohns_disease", "ICD", "K500"),
+        ("crohns_disease", "Medcode", "123"),
+        ("crohns_disease", "Readcode", "J40..00"),
+        ("crohns_disease", "Readcode", "J40z.00"),
+    ]
