@@ -139,11 +139,15 @@ def mentions(
     narrow_terminology: str = "SNOMEDCT",
     deduplicate: bool = True,
     max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    records: DataFrame | None = None,
 ) -> DataFrame:
     """All mentions from a narrow and/or a wide record source.
 
-    ``narrow`` is the output of :func:`narrow_records`, ``wide`` of
-    :func:`wide_records`.
+    ``narrow`` is the output of :func:`narrow_records` (one vocabulary,
+    ``narrow_terminology``), ``wide`` of :func:`wide_records`; ``records``
+    takes any further long records that carry their own ``terminology``
+    column (e.g. ``narrow_records(df, terminology="Readcode")`` of several
+    sources, unioned).
 
     With ``deduplicate`` (the default) the plan is: keep the records whose
     ``(terminology, code)`` is in the codelist (broadcast semi join, map
@@ -156,8 +160,11 @@ def mentions(
     the exchange) and then meet the codelist in a salted shuffle join.
     Without ``deduplicate`` the bag of mentions is returned (one row per
     record x codelist entry)."""
-    if narrow is None and wide is None:
+    if narrow is None and wide is None and records is None:
         raise ValueError("mentions() needs at least one record source")
+    long_sources = [df for df in (wide, records) if df is not None]
+    wide = unite(*[df.select(PERSON, "date", "code", "terminology") for df in long_sources]) \
+        if long_sources else None
     lookup = codelist.select("phenotype", "terminology", "code")
     if not deduplicate:
         small = None

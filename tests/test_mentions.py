@@ -136,3 +136,13 @@ def test_mentions_composite_equals_branches(spark, wide, codelist):
     assert rows(composed) == rows(by_hand)
     # narrow code "N18" is SNOMEDCT there: only the SNOMEDCT list applies
     assert [r for r in rows(composed) if r[0] == "p5"] == [("p5", "wrong_vocab", D2, "N18", "SNOMEDCT")]
+
+
+def test_mentions_from_long_records_of_several_vocabularies(spark, codelist):
+    read = narrow_records(spark.createDataFrame([("p7", D1, "N18")], "NHS_NUMBER_DEID string, DATE date, CODE string"),
+                          terminology="ICD")
+    snomed = narrow_records(spark.createDataFrame([("p7", D2, "N18")], "NHS_NUMBER_DEID string, DATE date, CODE string"),
+                            terminology="SNOMEDCT")
+    got = rows(mentions(codelist, records=read.unionByName(snomed)))
+    assert got == [("p7", "ckd", D1, "N18", "ICD"), ("p7", "renal", D1, "N18", "ICD"),
+                   ("p7", "wrong_vocab", D2, "N18", "SNOMEDCT")]
