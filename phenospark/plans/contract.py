@@ -220,6 +220,24 @@ def mentions_one_pass(s: StarSchema) -> DataFrame:
     )
 
 
+def _wide_long(s: StarSchema) -> DataFrame:
+    return wide_records(s.wide(), person="person_id", date="dt",
+                        slots={"ICD": DIAG_SLOTS, "OPCS": OPERTN_SLOTS})
+
+
+def mentions_dedup_shuffle(s: StarSchema) -> DataFrame:
+    """``mentions_one_pass`` with the codelist treated as too large to
+    broadcast: records deduplicated first, then a salted shuffle join."""
+    return mentions(s.codelist(), narrow=_narrow(s), wide=_wide_long(s), max_broadcast_rows=0)
+
+
+def mentions_raw_shuffle(s: StarSchema) -> DataFrame:
+    """The bag of mentions through the salted shuffle join (record copies
+    counted before the shuffle and restored after). Equals ``mentions_raw``."""
+    return mentions(s.codelist(), narrow=_narrow(s), wide=_wide_long(s),
+                    deduplicate=False, max_broadcast_rows=0)
+
+
 def mentions_totals_raw(s: StarSchema) -> DataFrame:
     return summary.coverage(_mentions_raw(s))
 
@@ -266,6 +284,12 @@ def categorise_join(s: StarSchema) -> DataFrame:
     return category_ops.categorise(_mentions_dedup(s), _mapping(s))
 
 
+def categorise_join_shuffle(s: StarSchema) -> DataFrame:
+    """``categorise_join`` with the mapping treated as too large to broadcast
+    (salted left join)."""
+    return category_ops.categorise(_mentions_dedup(s), _mapping(s), max_broadcast_rows=0)
+
+
 def categorise_map(s: StarSchema) -> DataFrame:
     return category_ops.categorise_map(_mentions_dedup(s), _mapping(s))
 
@@ -329,6 +353,8 @@ QUERIES: dict[str, Query] = {
         mentions_raw,
         mentions_dedup,
         mentions_one_pass,
+        mentions_dedup_shuffle,
+        mentions_raw_shuffle,
         mentions_totals_raw,
         mentions_totals_dedup,
         duplicate_volume,
@@ -339,6 +365,7 @@ QUERIES: dict[str, Query] = {
         category_mapping,
         category_sizes,
         categorise_join,
+        categorise_join_shuffle,
         categorise_map,
         codes_per_category,
         codes_per_phenotype,

@@ -214,6 +214,8 @@ FROM f_codelist GROUP BY phenotype""", "f_codelist"),
     "mentions_raw": with_ctes("SELECT * FROM f_mentions_raw", "f_mentions_raw"),
     "mentions_dedup": with_ctes("SELECT * FROM f_mentions", "f_mentions"),
     "mentions_one_pass": with_ctes("SELECT * FROM f_mentions", "f_mentions"),
+    "mentions_dedup_shuffle": with_ctes("SELECT * FROM f_mentions", "f_mentions"),
+    "mentions_raw_shuffle": with_ctes("SELECT * FROM f_mentions_raw", "f_mentions_raw"),
     "mentions_totals_raw": with_ctes(COVERAGE.format("f_mentions_raw"), "f_mentions_raw"),
     "mentions_totals_dedup": with_ctes(COVERAGE.format("f_mentions"), "f_mentions"),
     "duplicate_volume": with_ctes("""
@@ -240,6 +242,7 @@ SELECT category, cat, COUNT(DISTINCT phenotype) AS n_phenotypes
 FROM f_mapping GROUP BY cat, category""", "f_mapping"),
     "categorise_join": with_ctes("SELECT * FROM f_categorised", "f_categorised"),
     "categorise_map": with_ctes("SELECT * FROM f_categorised", "f_categorised"),
+    "categorise_join_shuffle": with_ctes("SELECT * FROM f_categorised", "f_categorised"),
     "codes_per_category": with_ctes("""
 SELECT category, COUNT(DISTINCT code) AS n_codes FROM f_categorised GROUP BY category""",
         "f_categorised"),
