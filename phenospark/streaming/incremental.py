@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most, salted_join
 from phenospark.operators.mentions import MENTION_COLUMNS, match
 
 
@@ -21,9 +22,26 @@ def match_stream(
     records: DataFrame,
     codelist: DataFrame,
     terminology: str | None = None,
-    broadcast: bool = True,
+    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Streaming records -> streaming mentions (no state)."""
+    """Streaming records -> streaming mentions (no state). The static
+    codelist is counted once; it is broadcast only within the bound, else
+    the stream-static join is salted (a hot code spreads over the salt
+    values; copies of a record share a salt, as a stream cannot count them
+    without state)."""
+    broadcast = None
+    if max_broadcast_rows is not None:
+        broadcast = row_count_at_most(codelist, max_broadcast_rows)
+    if broadcast is False:
+        lookup = codelist.select("terminology", "code", "phenotype")
+        keys = ["terminology", "code"]
+        if terminology is not None:
+            lookup = codelist.where(F.col("terminology") == F.lit(terminology)).select("code", "phenotype")
+            keys = ["code"]
+            records = records.select(*[c for c in records.columns if c != "terminology"])
+        joined = salted_join(records, lookup, keys, "inner")
+        term = F.lit(terminology).alias("terminology") if terminology else F.col("terminology")
+        return joined.select("person_id_deid", "phenotype", "date", "code", term)
     return match(records, codelist, terminology, max_broadcast_rows=None, broadcast=broadcast)
 
 

@@ -140,3 +140,18 @@ def test_views_and_drop_table(spark):
     drop_table(spark, "pheno_table")
     assert not spark.catalog.tableExists("pheno_table")
     drop_table(spark, "pheno_table")  # absent: no error
+
+
+def test_streaming_match_shuffle_path(spark, tmp_dir):
+    data, _ = _hot_records(spark, 120)
+    entries, codelist = _codelist(spark)
+    src = os.path.join(tmp_dir, "records2")
+    spark.createDataFrame(data, "NHS_NUMBER_DEID string, DATE date, CODE string").write.parquet(src)
+    stream = spark.readStream.schema("NHS_NUMBER_DEID string, DATE date, CODE string").parquet(src)
+    out = match_stream(narrow_records(stream), codelist, "SNOMEDCT", max_broadcast_rows=0)
+    q = out.writeStream.format("memory").queryName("stream_mentions_shuffle").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    got = rows(spark.table("stream_mentions_shuffle"))
+    expected = sorted(_brute_mentions(data, entries), key=lambda t: tuple((v is not None, str(v)) for v in t))
+    assert got == expected
