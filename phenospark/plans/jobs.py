@@ -53,12 +53,13 @@ def codelist_job(
     codelist_format: str = "csv",
     table_prefix: str = catalog_ops.DEFAULT_TABLE_PREFIX,
     database: str | None = None,
+    source_from: str = "file",
 ) -> dict[str, DataFrame]:
     catalog = _write_read(
         catalog_ops.to_catalog(read_dictionary(spark, dictionary_csv), table_prefix, database),
         out_root, "catalog",
     )
-    codes = read_code_files(spark, codelist_root, fmt=codelist_format)
+    codes = read_code_files(spark, codelist_root, fmt=codelist_format, source_from=source_from)
     codelist = _write_read(build_codelist(catalog, codes), out_root, "codelist")
     return {
         "catalog": catalog,

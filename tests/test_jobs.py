@@ -62,3 +62,22 @@ def test_three_jobs(spark, tmp_dir):
     assert [r[0] for r in k["orphan_categories"].collect()] == ["appendicitis"]
     assert k["rows_without_phenotype"].count() == 1
     assert k["category_sizes"].where(F.col("cat") == "gi").first()["n_phenotypes"] == 2
+
+
+def test_command_line(spark, tmp_dir):
+    from phenospark.plans.__main__ import main
+
+    _write(f"{tmp_dir}/dictionary.csv", "phenotype,CPRD,ICD,OPCS\nAcute Kidney Injury,,ICD_AKI.csv,\n")
+    lists = os.path.join(tmp_dir, "lists")
+    os.makedirs(lists)
+    _write(f"{lists}/codelist_icd_aki.csv", "Disease,ICD10code\nAKI,N17.0\n")
+    d1 = dt.date(2021, 3, 1)
+    blank = [None] * (len(DIAGNOSIS_SLOTS) + len(OPERATION_SLOTS))
+    row = list(blank)
+    row[0] = "N170"
+    cols = ", ".join(["PERSON_ID_DEID string", "ADMIDATE date"]
+                     + [f"{c} string" for c in DIAGNOSIS_SLOTS + OPERATION_SLOTS])
+    spark.createDataFrame([("a", d1, *row)], cols).write.parquet(f"{tmp_dir}/wide")
+    out = main(["--dictionary", f"{tmp_dir}/dictionary.csv", "--codelists", lists,
+                "--wide", f"{tmp_dir}/wide", "--out", f"{tmp_dir}/out"], spark=spark)
+    assert [tuple(r) for r in out["mentions"].collect()] == [("a", "acute_kidney_injury", d1, "N170", "ICD")]
