@@ -29,6 +29,7 @@ from phenospark.operators.mentions import (
 )
 from phenospark.operators.reshape import melt, melt_codes
 from phenospark.sinks import materialise
+from phenospark.sources.codelists import read_code_files
 from phenospark.sources.starschema import (
     DIAG_SLOTS,
     OPERTN_SLOTS,
@@ -141,6 +142,27 @@ def codelist_build(s: StarSchema) -> DataFrame:
     return build_codelist(_catalog(s), codes)
 
 
+def codelist_build_from_files(s: StarSchema) -> DataFrame:
+    """``codelist_build`` through real files: the sources are written as a CSV
+    dataset partitioned by source (one folder per codelist, under the
+    checkpoint folder), then listed, routed by name, read with one scan per
+    terminology and joined to the catalog."""
+    import uuid
+
+    from phenospark.session import ensure_checkpoint_dir
+
+    root = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/phenospark/codelist_files-{uuid.uuid4().hex[:12]}"
+    src = s.sources()
+    column_of = {"codes_icd_": "ICD10code", "codes_opcs_": "OPCS4code", "codes_cprd_": "conceptId"}
+    for i, (prefix, column) in enumerate(column_of.items()):
+        part = src.where(F.col("stem").startswith(prefix)).select(
+            F.col("stem").alias("source"), F.col("code").alias(column))
+        part.write.mode("overwrite" if i == 0 else "append").partitionBy("source").option(
+            "header", True).csv(root)
+    codes = read_code_files(s.spark, root, source_from="partition")
+    return build_codelist(_catalog(s), codes)
+
+
 def codelist_missing_sources(s: StarSchema) -> DataFrame:
     """Catalog entries whose source does not exist."""
     present = s.sources().select(F.col("stem").alias("source"))
@@ -337,6 +359,7 @@ QUERIES: dict[str, Query] = {
         catalog_without_cprd,
         code_column_routing,
         codelist_build,
+        codelist_build_from_files,
         codelist_missing_sources,
         codelist_two_code_columns,
         codelist_totals,

@@ -185,6 +185,11 @@ FROM f_catalog""", "f_catalog"),
 SELECT c.phenotype, c.terminology,
   CASE WHEN c.terminology IN ('ICD', 'OPCS', 'SNOMEDCT') THEN replace(s.code, '.', '') ELSE s.code END AS code
 FROM f_sources s JOIN f_catalog c ON s.stem = c."table"
+WHERE c.terminology <> 'CPRD'""", "f_sources", "f_catalog"),
+    "codelist_build_from_files": with_ctes("""
+SELECT c.phenotype, c.terminology,
+  CASE WHEN c.terminology IN ('ICD', 'OPCS', 'SNOMEDCT') THEN replace(s.code, '.', '') ELSE s.code END AS code
+FROM f_sources s JOIN f_catalog c ON s.stem = c."table"
 WHERE c.terminology <> 'CPRD'""", "f_sources", "f_catalog"),
     "codelist_missing_sources": with_ctes("""
 SELECT phenotype, terminology, "table" FROM f_catalog c
