@@ -19,6 +19,30 @@ from phenospark.operators.mentions import MENTION_COLUMNS, PERSON
 DEFAULT_MAX_FLAG_COLUMNS = 10_000
 
 
+def code_summary(mentions: DataFrame) -> DataFrame:
+    """One aggregation over the mentions per person, phenotype, code and
+    terminology: first ``date`` and ``n`` mentions. Every per-person feature
+    below can be derived from it, so the full mention table is shuffled once
+    for all of them (:func:`features_from_summary`)."""
+    keys = [PERSON, "phenotype", "code", "terminology"]
+    return mentions.groupBy(*keys).agg(
+        F.min("date").alias("date"), F.count(F.lit(1)).alias("n")
+    )
+
+
+def features_from_summary(summary: DataFrame) -> dict[str, DataFrame]:
+    """``first_dates``, ``first_dates_by_phenotype`` and ``n_occurrences`` from
+    a :func:`code_summary` (write it once, then these read the smaller
+    table): the same results as the functions applied to the mentions."""
+    return {
+        "first_dates": summary.select(*MENTION_COLUMNS),
+        "first_dates_by_phenotype": summary.groupBy(PERSON, "phenotype").agg(
+            F.min("date").alias("date")),
+        "n_occurrences": summary.groupBy(PERSON, "phenotype").agg(
+            F.sum("n").alias("n_occurrences")),
+    }
+
+
 def first_dates(mentions: DataFrame) -> DataFrame:
     """Earliest date of each code per person and phenotype, in mention shape
     (``person_id_deid, phenotype, date, code, terminology``)."""

@@ -286,6 +286,11 @@ def n_occurrences(s: StarSchema) -> DataFrame:
     return features.n_occurrences(_mentions_dedup(s))
 
 
+def n_occurrences_from_summary(s: StarSchema) -> DataFrame:
+    """Occurrences derived from the one-shuffle per-code summary."""
+    return features.features_from_summary(features.code_summary(_mentions_dedup(s)))["n_occurrences"]
+
+
 def flag_matrix(s: StarSchema) -> DataFrame:
     """Mentions are written once (checkpoint folder) so finding the phenotype
     columns and building the matrix share one computation of them."""
@@ -384,6 +389,7 @@ QUERIES: dict[str, Query] = {
         first_dates_by_code,
         first_dates_by_phenotype,
         n_occurrences,
+        n_occurrences_from_summary,
         flag_matrix,
         category_mapping,
         category_sizes,

@@ -235,6 +235,9 @@ SELECT person_id_deid, phenotype, MIN(date) AS date
 FROM f_mentions GROUP BY person_id_deid, phenotype""", "f_mentions"),
     "n_occurrences": with_ctes("""
 SELECT person_id_deid, phenotype, COUNT(*) AS n_occurrences
+FROM f_mentions GROUP BY person_id_deid, phenotype""", "f_mentions"),
+    "n_occurrences_from_summary": with_ctes("""
+SELECT person_id_deid, phenotype, COUNT(*) AS n_occurrences
 FROM f_mentions GROUP BY person_id_deid, phenotype""", "f_mentions"),
     "flag_matrix": with_ctes("""
 SELECT * FROM (

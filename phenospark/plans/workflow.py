@@ -62,10 +62,11 @@ def mentions_stage(
 
 
 def feature_stage(mentions: DataFrame, out_root: str | None = None) -> dict[str, DataFrame]:
-    return {
-        "first_dates": _keep(features.first_dates(mentions), "first_dates", out_root),
-        "n_occurrences": _keep(features.n_occurrences(mentions), "n_occurrences", out_root),
-    }
+    """One shuffle of the mentions (the per-code summary, written), then the
+    features from that smaller table."""
+    per_code = _keep(features.code_summary(mentions), "code_summary", out_root)
+    derived = features.features_from_summary(per_code)
+    return {name: _keep(df, name, out_root) for name, df in derived.items()}
 
 
 def category_stage(

@@ -147,3 +147,12 @@ def test_flag_matrix_keeps_null_person_and_odd_names(spark):
     m = spark.createDataFrame([(1, "a.b"), (None, "c d"), (2, "x`y")], "person_id_deid bigint, phenotype string")
     got = rows(flag_matrix(m))
     assert (None, 0, 1, 0) in got and (1, 1, 0, 0) in got and (2, 0, 0, 1) in got
+
+
+def test_features_from_one_summary_equal_direct(mentions):
+    from phenospark.operators.features import code_summary, features_from_summary
+
+    derived = features_from_summary(code_summary(mentions))
+    assert rows(derived["first_dates"]) == rows(first_dates(mentions))
+    assert rows(derived["first_dates_by_phenotype"]) == rows(first_dates_by_phenotype(mentions))
+    assert rows(derived["n_occurrences"]) == rows(n_occurrences(mentions))
