@@ -77,6 +77,9 @@ def main() -> None:
          mentions(codelist, narrow=narrow, wide=wide, max_broadcast_rows=0)),
         ("Raw (bag) mentions", mentions(codelist, narrow=narrow, wide=wide, deduplicate=False)),
         ("First dates", features.first_dates(m)),
+        ("Per-code summary (the one shuffle behind all per-person features)", features.code_summary(m)),
+        ("Occurrences derived from the summary", features.features_from_summary(
+            write_and_read(features.code_summary(m), f"{root}/code_summary"))["n_occurrences"]),
         ("Flag matrix", features.flag_matrix(m)),
         ("Coverage (exact distinct counts)", summary.coverage(m)),
         ("Categorise (left join, checked broadcast)", category_ops.categorise(m, mapping)),
