@@ -125,23 +125,94 @@ def read_code_files(
     return reduce(DataFrame.unionByName, parts)
 
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
+
+
+def _describe(spark: SparkSession, name: str) -> tuple[str | None, str | None, dict[str, str]]:
+    """Provider, location and column types of a metastore table (catalog
+    metadata; the name is bound as a parameter)."""
+    rows = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:t)", args={"t": name}).collect()
+    types: dict[str, str] = {}
+    info: dict[str, str] = {}
+    in_columns = True
+    for r in rows:
+        key, value = (r["col_name"] or "").strip(), (r["data_type"] or "").strip()
+        if not key or key.startswith("#"):
+            in_columns = False
+            continue
+        if in_columns:
+            types[key] = value
+        else:
+            info[key] = value
+    return info.get("Provider"), info.get("Location"), types
+
+
+def _table_folder(path: F.Column) -> F.Column:
+    """A data file's table folder: its parent without ``key=value`` partition
+    folders, scheme and slashes normalised (``/warehouse/db.db/t``)."""
+    parent = F.regexp_extract(path, r"^(.*)/[^/]+$", 1)
+    unpartitioned = F.regexp_replace(parent, r"(/[^/=]+=[^/]*)+$", "")
+    return F.regexp_replace(unpartitioned, _SCHEME, "/")
+
+
 def read_code_tables(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
     """Codelist tables of a metastore -> ``source, terminology, code``.
 
-    Table names are catalog metadata and are needed to plan the scans; the
-    per-table selections are unioned as a balanced tree (depth log2 n) so the
-    plan stays shallow for hundreds of tables."""
-    parts = []
+    Each table is described once (metadata). Parquet tables are grouped by
+    route and code-column type and every group is read by **one** scan of
+    its table folders; each row finds its table through its file's folder
+    (a broadcast of the folder -> table list, whose size is the number of
+    tables). Tables of other formats are planned one scan each and unioned
+    as a balanced tree (depth log2 n)."""
+    import re
+
+    from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+
+    tables = list(tables)
     for name in tables:
+        code_columns_for_name(name)  # unroutable names fail before any lookup
+
+    from concurrent.futures import ThreadPoolExecutor
+
+    # metastore lookups are independent and wait on I/O: a few in flight
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        described = list(pool.map(lambda n: _describe(spark, n), tables))
+    groups: dict[tuple, list[tuple[str, str]]] = {}
+    per_table: list[str] = []
+    for name, (provider, location, types) in zip(tables, described):
         columns = code_columns_for_name(name)
+        if (provider or "").lower() == "parquet" and location and all(c in types for c in columns):
+            key = (columns, tuple(types[c] for c in columns))
+            groups.setdefault(key, []).append((name.rsplit(".", 1)[-1], location))
+        else:
+            per_table.append(name)
+    parts = []
+    for (columns, types), entries in groups.items():
+        schema = ", ".join(f"`{c}` {t}" for c, t in zip(columns, types))
+        # recursive lookup: files of partitioned and plain tables alike, no
+        # partition inference across unrelated table folders
+        df = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(
+            *[loc for _, loc in entries])
+        folders = spark.createDataFrame(
+            [(re.sub(_SCHEME, "/", loc).rstrip("/"), stem) for stem, loc in entries],
+            "folder string, source string",
+        )
+        named = lookup_join(
+            df.select(_table_folder(F.col("_metadata.file_path")).alias("folder"), *columns),
+            folders, "folder", "inner", None, len(entries) <= DEFAULT_MAX_BROADCAST_ROWS,
+        )
+        parts.append(_route_codes(named.select("source", *columns), columns))
+    singles = []
+    for name in per_table:
         stem = name.rsplit(".", 1)[-1]
-        df = spark.table(name).withColumn("source", F.lit(stem))
-        parts.append(_route_codes(df, columns))
+        singles.append(_route_codes(spark.table(name).withColumn("source", F.lit(stem)),
+                                    code_columns_for_name(name)))
+    while len(singles) > 1:
+        paired = [singles[i].unionByName(singles[i + 1]) for i in range(0, len(singles) - 1, 2)]
+        if len(singles) % 2:
+            paired.append(singles[-1])
+        singles = paired
+    parts += singles
     if not parts:
         return spark.createDataFrame([], "source string, terminology string, code string")
-    while len(parts) > 1:
-        paired = [parts[i].unionByName(parts[i + 1]) for i in range(0, len(parts) - 1, 2)]
-        if len(parts) % 2:
-            paired.append(parts[-1])
-        parts = paired
-    return parts[0]
+    return reduce(DataFrame.unionByName, parts)

@@ -229,3 +229,21 @@ def test_build_codelist_with_cprd_keeps_read_and_med_codes(spark, dictionary, tm
         ("crohns_disease", "Readcode", "J40..00"),
         ("crohns_disease", "Readcode", "J40z.00"),
     ]
+
+
+def test_read_code_tables_partitioned_and_other_formats(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS cl_test2")
+    spark.createDataFrame([("N17.0", "a"), ("N17.9", "b")], "ICD10code string, part string").write.mode(
+        "overwrite").partitionBy("part").saveAsTable("cl_test2.codelist_icd_parted")
+    spark.createDataFrame([("K50",)], "ICD10code string").write.mode("overwrite").format("json").saveAsTable(
+        "cl_test2.codelist_icd_json")
+    spark.createDataFrame([("K51",)], "ICD10code string").write.mode("overwrite").saveAsTable(
+        "cl_test2.codelist_icd_plain")
+    codes = read_code_tables(spark, ["cl_test2.codelist_icd_parted", "cl_test2.codelist_icd_json",
+                                     "cl_test2.codelist_icd_plain"])
+    assert rows(codes) == [
+        ("codelist_icd_json", "ICD", "K50"),
+        ("codelist_icd_parted", "ICD", "N17.0"),
+        ("codelist_icd_parted", "ICD", "N17.9"),
+        ("codelist_icd_plain", "ICD", "K51"),
+    ]
