@@ -61,12 +61,24 @@ def mentions_stage(
     return {"mentions": _keep(mentions, "mentions", out_root)}
 
 
-def feature_stage(mentions: DataFrame, out_root: str | None = None) -> dict[str, DataFrame]:
+def feature_stage(
+    mentions: DataFrame, out_root: str | None = None, codelist: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """One shuffle of the mentions (the per-code summary, written), then the
-    features from that smaller table."""
+    features from that smaller table; with ``codelist``, also the flag matrix
+    with one column per codelist phenotype (a fixed schema, whatever the
+    records hold)."""
     per_code = _keep(features.code_summary(mentions), "code_summary", out_root)
     derived = features.features_from_summary(per_code)
-    return {name: _keep(df, name, out_root) for name, df in derived.items()}
+    out = {name: _keep(df, name, out_root) for name, df in derived.items()}
+    if codelist is not None:
+        limit = features.DEFAULT_MAX_FLAG_COLUMNS
+        names = codelist.select("phenotype").distinct().limit(limit + 1).collect()
+        if len(names) > limit:
+            raise ValueError(f"more than {limit} phenotypes for a flag matrix")
+        out["flag_matrix"] = _keep(
+            features.flag_matrix(per_code, phenotypes=[r[0] for r in names]), "flag_matrix", out_root)
+    return out
 
 
 def category_stage(
@@ -84,7 +96,7 @@ def run_workflow(inputs: WorkflowInputs, out_root: str | None = None) -> dict[st
     summary frames computed from them."""
     out = codelist_stage(inputs, out_root)
     out.update(mentions_stage(out["codelist"], inputs, out_root))
-    out.update(feature_stage(out["mentions"], out_root))
+    out.update(feature_stage(out["mentions"], out_root, codelist=out["codelist"]))
     out.update(category_stage(out["mentions"], inputs, out_root))
     out["codelist_totals"] = summary.codelist_totals(out["codelist"])
     out["mentions_totals"] = summary.coverage(out["mentions"])

@@ -77,3 +77,8 @@ def test_workflow_equals_contract_queries(spark):
     assert out["mentions"].count() > 0
     assert out["mentions_categorised"].count() == out["mentions"].count()
     assert os.path.commonprefix([out["mentions"].inputFiles()[0], "file:/"]) == "file:/"
+    flags = out["flag_matrix"]
+    n_phenotypes = out["codelist"].select("phenotype").distinct().count()
+    assert flags.columns[0] == "person_id_deid" and len(flags.columns) == 1 + n_phenotypes
+    pairs = out["mentions"].select("person_id_deid", "phenotype").distinct().count()
+    assert sum(sum(r[1:]) for r in flags.collect()) == pairs
