@@ -91,11 +91,13 @@ def categorise(
     check_unique: bool = True,
 ) -> DataFrame:
     """Mentions + ``category`` (NULL when the phenotype is unmapped), by a
-    left join on ``phenotype``; mention columns keep their order.
+    left join on ``phenotype``; mention columns keep their order, and an
+    existing ``category`` column is replaced.
 
     One job over the mapping checks that its keys are unique and counts it
     for the broadcast decision."""
     lookup = mapping.select("phenotype", "category")
+    mentions = mentions.drop("category")
     broadcast = None
     if check_unique:
         rows, repeated, example = key_profile(lookup, "phenotype")

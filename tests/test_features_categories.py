@@ -156,3 +156,11 @@ def test_features_from_one_summary_equal_direct(mentions):
     assert rows(derived["first_dates"]) == rows(first_dates(mentions))
     assert rows(derived["first_dates_by_phenotype"]) == rows(first_dates_by_phenotype(mentions))
     assert rows(derived["n_occurrences"]) == rows(n_occurrences(mentions))
+
+
+def test_categorise_replaces_an_existing_category(spark, mentions):
+    mapping = spark.createDataFrame([("aki", "renal", "gu")], "phenotype string, category string, cat string")
+    once = categorise(mentions, mapping)
+    twice = categorise(once, mapping)
+    assert twice.columns == once.columns
+    assert rows(twice) == rows(once)
