@@ -18,12 +18,14 @@ from phenospark.operators.checks import (
 )
 from phenospark.operators.codelist import build_codelist, tidy_codes, two_column_codes
 from phenospark.operators.features import (
+    code_summary,
+    features_from_summary,
     first_dates,
     first_dates_by_phenotype,
     flag_matrix,
     n_occurrences,
 )
-from phenospark.operators.joins import lookup_join
+from phenospark.operators.joins import lookup_join, salted_join
 from phenospark.operators.mentions import (
     MENTION_COLUMNS,
     dedup,
@@ -33,7 +35,7 @@ from phenospark.operators.mentions import (
     unite,
     wide_records,
 )
-from phenospark.operators.reshape import melt, melt_codes
+from phenospark.operators.reshape import map_columns, melt, melt_codes
 
 __all__ = [
     "MENTION_COLUMNS",
@@ -42,12 +44,15 @@ __all__ = [
     "build_mapping",
     "categorise",
     "categorise_map",
+    "code_summary",
     "dedup",
     "duplicate_keys",
+    "features_from_summary",
     "first_dates",
     "first_dates_by_phenotype",
     "flag_matrix",
     "lookup_join",
+    "map_columns",
     "match",
     "melt",
     "melt_codes",
@@ -57,6 +62,7 @@ __all__ = [
     "narrow_records",
     "null_keys",
     "orphans",
+    "salted_join",
     "tidy_abbreviations",
     "tidy_categories",
     "tidy_codes",
