@@ -164,3 +164,10 @@ def test_categorise_replaces_an_existing_category(spark, mentions):
     twice = categorise(once, mapping)
     assert twice.columns == once.columns
     assert rows(twice) == rows(once)
+
+
+def test_categorise_map_falls_back_to_join_above_its_bound(spark, mentions):
+    mapping = spark.createDataFrame([("aki", "renal", "gu"), ("ckd", "renal", "gu")],
+                                    "phenotype string, category string, cat string")
+    assert rows(categorise_map(mentions, mapping, max_entries=1)) == rows(categorise(mentions, mapping))
+    assert rows(categorise_map(mentions, mapping)) == rows(categorise(mentions, mapping))
