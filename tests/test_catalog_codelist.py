@@ -247,3 +247,15 @@ def test_read_code_tables_partitioned_and_other_formats(spark):
         ("codelist_icd_parted", "ICD", "N17.9"),
         ("codelist_icd_plain", "ICD", "K51"),
     ]
+
+
+def test_read_code_files_empty_folder_and_single_route(spark, tmp_dir):
+    empty = os.path.join(tmp_dir, "empty")
+    os.makedirs(empty)
+    assert read_code_files(spark, empty).count() == 0
+    only = os.path.join(tmp_dir, "only_opcs")
+    os.makedirs(only)
+    _write_csv(f"{only}/codelist_opcs_h.csv", "Disease,OPCS4code", ["H,T20.1", "H,"])
+    # a NULL code cell stays a row (the codelist keeps what its sources hold)
+    assert rows(read_code_files(spark, only)) == [("codelist_opcs_h", "OPCS", None),
+                                                  ("codelist_opcs_h", "OPCS", "T20.1")]
