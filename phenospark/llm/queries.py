@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenospark.llm.common import table
+from phenospark.llm import bpe, langid, lm, substring, toxicity
+from phenospark.llm.common import fold, table
 from phenospark.llm.decontam import contained_items
 from phenospark.llm.exact_dedup import exact_duplicates
 from phenospark.llm.html import extract_text
@@ -22,14 +24,33 @@ URL_RULES = (
 )
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 3, 1))
+
+
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.token_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"), 7, 2)
+
+
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 4, 2)
+    net = langid.train(docs.where(~held_out))
+    return langid.identify(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=3)
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -39,14 +60,23 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_html": op2_html,
+    "op3_bpe": op3_bpe,
+    "op4_lm": op4_lm,
     "op5_urls": op5_urls,
+    "op6_language": op6_language,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_substring": op9_substring,
     "op10_decontamination": op10_decontamination,
 }
