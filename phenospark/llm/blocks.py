@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from phenospark.llm.common import pieces
+
 #: Text of a block, and text whose keys one part should get.
 BLOCK_BYTES = 8 << 20
 PART_BYTES = 16 << 20
@@ -98,7 +100,7 @@ def store_blocks(docs: DataFrame, name: str, packer: Packer, fields: str, block_
             row = {"grp": grp, "block": block, "n_bytes": size, "ids": ids, **packer(ids, texts)}
             return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in arrow], schema=arrow)
 
-        for batch in batches:
+        for batch in pieces(batches, 1):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = text or ""
                 if rows and size + len(text) > block_bytes:

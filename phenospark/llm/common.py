@@ -8,6 +8,8 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,10 +32,31 @@ def in_fold(doc_id: int | None, parts: int, part: int) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % parts == part
 
 
+def keep_rows(docs: DataFrame, keepers: DataFrame, mark: Column) -> DataFrame:
+    """The rows of ``docs`` (all columns) that ``keepers`` (doc_id, mark) names,
+    one for each; ``mark``: a column of ``docs`` that tells texts apart."""
+    key = "key"
+    while key in docs.columns:
+        key += "_"
+    def name(mark: Column) -> Column:
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), mark)
+
+    named = keepers.select(name(F.col("mark")).alias(key)).distinct()
+    return docs.withColumn(key, name(mark)).join(named, key, "left_semi").dropDuplicates([key]).drop(key)
+
+
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def pieces(batches: Iterable[pa.RecordBatch], text: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in smaller batches of about ``limit`` bytes in column number ``text``."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        for i, j in slices(sizes.tolist(), limit):
+            yield batch.slice(i, j - i)
+
+
 def slices(sizes: Iterable[int], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes; a longer row is a range of its own."""
     first = total = i = 0

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenospark.llm.common import WORD, Block, gram_hashes, slices
+from phenospark.llm.common import WORD, Block, gram_hashes, pieces
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -101,15 +101,14 @@ def _grams(words: np.ndarray) -> np.ndarray:
 def _matches(texts: pa.Array, items: _Items) -> Iterator[tuple[int, int, int, int]]:
     """(row, item, shared shingles, item's shingles) of every counting pair of a batch."""
     raw = [t.encode() if t else b"" for t in texts.to_pylist()]
-    for i, j in slices(map(len, raw)):
-        block = Block(raw[i:j], lower=True)
-        for k in range(block.n):
-            found = items.candidates(_grams(block.hash[block.first[k] : block.first[k + 1]]))
-            own = shingles(raw[i + k]) if found else set()
-            for c in sorted(found):
-                n, of = len(items.items[c][1] & own), len(items.items[c][1])
-                if n >= items.threshold * of - 1e-9:
-                    yield i + k, c, n, of
+    block = Block(raw, lower=True)
+    for k in range(block.n):
+        found = items.candidates(_grams(block.hash[block.first[k] : block.first[k + 1]]))
+        own = shingles(raw[k]) if found else set()
+        for c in sorted(found):
+            n, of = len(items.items[c][1] & own), len(items.items[c][1])
+            if n >= items.threshold * of - 1e-9:
+                yield k, c, n, of
 
 
 def _item_blocks(items: DataFrame, threshold: float, block_bytes: int) -> Iterator[_Items]:
@@ -131,7 +130,7 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
     parts = []
     for block in _item_blocks(items, threshold, block_bytes):
         def search(batches: Iterator[pa.RecordBatch], block: _Items = block) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in pieces(batches, 1):
                 ids = batch.column(0).to_pylist()
                 out = [(ids[r], block.items[c][0], n, of, n / of) for r, c, n, of in _matches(batch.column(1), block)]
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
@@ -152,7 +151,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
     at = docs.columns.index("text")
     for block in _item_blocks(items, threshold, block_bytes):
         def clean(batches: Iterator[pa.RecordBatch], block: _Items = block) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in pieces(batches, at):
                 keep = np.ones(batch.num_rows, dtype=bool)
                 keep[[m[0] for m in _matches(batch.column(at), block)]] = False
                 yield batch.filter(pa.array(keep))

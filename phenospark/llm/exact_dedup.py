@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from phenospark.llm.common import sha256, slices
+from phenospark.llm.common import keep_rows, sha256, slices
 from phenospark.sinks import materialise
 
 #: A cut is made at about one byte position in so many, at least and at most so many bytes apart.
@@ -119,3 +119,9 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     groups = rows.groupBy("ids").agg(F.max(at).alias("keep"), F.count("*").alias("group_size"))
     return rows.join(groups, "ids").select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (at == F.col("keep")).alias("kept"), "text_sha256")
+
+
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) that stay, one for each distinct text."""
+    kept = exact_duplicates(docs).where("kept").select("doc_id", F.col("text_sha256").alias("mark"))
+    return keep_rows(docs, kept, F.sha2(F.coalesce("text", F.lit("")), 256))

@@ -32,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from phenospark.llm.common import pieces
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|svg|math|iframe|object|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
     r".*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
@@ -264,7 +266,7 @@ def extract_text(pages: DataFrame, depth: int = 8) -> DataFrame:
     tree = trained_tree(depth)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 2):
             texts = [main_text(page.as_py(), tree) for page in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from phenospark.llm.common import pieces
+
 UNKNOWN = "und"
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -233,7 +235,7 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """doc_id, lang_pred, score for every row of ``docs`` (doc_id, text); no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.pair_tables() if net else None
-        for batch in batches:
+        for batch in pieces(batches, 1):
             found = predict(batch.column(1).to_pylist(), net, tables)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())],
@@ -249,7 +251,7 @@ def known_language(docs: DataFrame, net: Network | None, least: float) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.pair_tables() if net else None
-        for batch in batches:
+        for batch in pieces(batches, at):
             found = predict(batch.column(at).to_pylist(), net, tables)
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
 

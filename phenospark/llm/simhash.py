@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenospark.llm.common import WORD, mix
+from phenospark.llm.common import WORD, keep_rows, mix, pieces
 from phenospark.llm.components import components
 from phenospark.sinks import materialise
 
@@ -74,14 +74,17 @@ def fingerprint(text: bytes, shingle: int = 3, slice_words: int = 1 << 16) -> in
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) for every row of ``docs`` (doc_id, text)."""
+    """doc_id, fp (the fingerprint as a signed long), text_hash (XXH64 of the text) for every row of ``docs`` (doc_id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([fingerprint(t.encode(), shingle) if t else 0 for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+        for batch in pieces(batches, 1):
+            raw = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
+            found = np.array([fingerprint(t, shingle) for t in raw], dtype=np.uint64)
+            own = np.array([xxhash.xxh64_intdigest(t, 42) for t in raw], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found.view(np.int64)), pa.array(own.view(np.int64))], names=["doc_id", "fp", "text_hash"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint, text_hash bigint")
 
 
 # --- ball hashing --------------------------------------------------------------
@@ -228,8 +231,8 @@ def links(fps: DataFrame, n: int, max_distance: int = 3) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
-    """doc_id, fp (signed long), component_id (the least doc_id that is
-    reachable over links) for every row of ``docs`` (doc_id, text)."""
+    """doc_id, fp (signed long), text_hash, component_id (the least doc_id that
+    is reachable over links) for every row of ``docs`` (doc_id, text)."""
     rows = materialise(fingerprints(docs, shingle), "simhash")
     distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash_distinct")
     if max_distance:
@@ -240,7 +243,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 3) ->
         distinct = distinct.join(names, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
     else:
         distinct = distinct.withColumnRenamed("least", "component_id")
-    return rows.join(distinct, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(distinct, "fp").select("doc_id", "fp", "text_hash", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_distance: int = 3) -> DataFrame:
+    """The rows of ``docs`` (all columns) that stay: of each component the row of the least doc_id."""
+    found = near_duplicates(docs, shingle, max_distance)
+    # A component without any doc_id is known by its fingerprint; such rows are few and stand for themselves.
+    component = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp")))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    kept = found.groupBy(component.alias("c")).agg(least.alias("k")).select("k.doc_id", F.col("k.text_hash").cast("string").alias("mark"))
+    return keep_rows(docs, kept, F.xxhash64(F.coalesce("text", F.lit(""))).cast("string"))
 
 
 def hex_fingerprint(fp):

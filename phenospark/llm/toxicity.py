@@ -42,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from phenospark.llm.common import BLOCK_BYTES, pieces
 from phenospark.sinks import materialise
 
 PREFIXES = range(3, 9)
@@ -63,7 +64,7 @@ def count_words(labelled: DataFrame) -> DataFrame:
     """word, toxic, texts: over the rows of ``labelled`` (text, toxic 0/1), in how
     many (toxic) texts each word stands; each task adds up its rows first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0, 4 * BLOCK_BYTES):
             seen: Counter[str] = Counter()
             bad: Counter[str] = Counter()
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -253,7 +254,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 def evidence(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, evidence for every row of ``docs`` (doc_id, text); no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 1):
             found = [model.text_evidence(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["doc_id", "evidence"])
 
