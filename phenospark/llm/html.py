@@ -205,6 +205,12 @@ LABELLED = (
     <p data-y=1>Cut in late winter.</p><p data-y=1>See <a>our guide to tools</a> for saws.</p></div>
     <div class="related"><h4 data-y=0>You may also like</h4><p data-y=0><a>Planting a hedge in the autumn rain</a></p></div>
     <footer><div data-y=0>Garden Club, Post Box 12</div><div data-y=0>Sunday talks on trees and soil are open to all who care to come.</div></footer>""",
+    """<h1 data-y=1>A note</h1><p data-y=1>The ferry will leave from the old pier until the new one is safe to stand on again.</p>
+    <p data-y=1>Thank you.</p>""",
+    """<p data-y=1>One paragraph alone is a page as well, if it says what it has to say in enough words.</p>""",
+    """<p data-y=1>Low tide is at six in the morning and at half past six in the evening of the same day.</p>
+    <p data-y=1>Walk out to the island only while the sand is dry and the wind is calm.</p><p data-y=0><a>Tide tables</a> <a>Maps</a></p>""",
+    """<div data-y=0><a>Fields</a> <a>Barns</a> <a>Tools</a></div><article><p data-y=1>Hay.</p></article>""",
 )
 
 
