@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from phenospark.llm.common import keep_rows, sha256, slices
+from phenospark.llm.common import keep_rows, pieces, sha256
 from phenospark.sinks import materialise
 
 #: A cut is made at about one byte position in so many, at least and at most so many bytes apart.
@@ -60,22 +60,21 @@ def cut(text: bytes) -> list[bytes]:
 
 def _blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     block = TaskContext.get().partitionId() << 32
-    for batch in batches:
+    for batch in pieces(batches, 1):
         ids, raw = batch.column(0), [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
-        for i, j in slices(map(len, raw)):
-            number: dict[bytes, int] = {}
-            recipes = [[number.setdefault(c, len(number)) for c in cut(t)] for t in raw[i:j]]
-            n, m = j - i, len(number)
-            docs = [pa.array([block] * n, pa.int64()), pa.array(range(n), pa.int32()), ids[i:j],
-                    pa.array([sha256(t) for t in raw[i:j]]), pa.array(recipes, pa.list_(pa.int32())),
-                    pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())]
-            yield pa.RecordBatch.from_arrays(docs, schema=schema)
-            chunks = [pa.array([block] * m, pa.int64()), pa.array(range(m), pa.int32()), pa.nulls(m, ids.type),
-                      pa.nulls(m, pa.string()), pa.nulls(m, pa.list_(pa.int32())),
-                      pa.array([hashlib.blake2b(c, digest_size=16).digest() for c in number], pa.binary()),
-                      pa.array(list(number), pa.binary())]
-            yield pa.RecordBatch.from_arrays(chunks, schema=schema)
-            block += 1
+        number: dict[bytes, int] = {}
+        found = [[number.setdefault(c, len(number)) for c in cut(t)] for t in raw]
+        n, m = len(raw), len(number)
+        docs = [pa.array([block] * n, pa.int64()), pa.array(range(n), pa.int32()), ids,
+                pa.array([sha256(t) for t in raw]), pa.array(found, pa.list_(pa.int32())),
+                pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())]
+        yield pa.RecordBatch.from_arrays(docs, schema=schema)
+        chunks = [pa.array([block] * m, pa.int64()), pa.array(range(m), pa.int32()), pa.nulls(m, ids.type),
+                  pa.nulls(m, pa.string()), pa.nulls(m, pa.list_(pa.int32())),
+                  pa.array([hashlib.blake2b(c, digest_size=16).digest() for c in number], pa.binary()),
+                  pa.array(list(number), pa.binary())]
+        yield pa.RecordBatch.from_arrays(chunks, schema=schema)
+        block += 1
 
 
 def recipes(docs: DataFrame) -> DataFrame:
