@@ -19,6 +19,7 @@ from phenospark.operators.checks import (
 from phenospark.operators.codelist import build_codelist, tidy_codes, two_column_codes
 from phenospark.operators.features import (
     code_summary,
+    features_by_phenotype,
     features_from_summary,
     first_dates,
     first_dates_by_phenotype,
@@ -47,6 +48,7 @@ __all__ = [
     "code_summary",
     "dedup",
     "duplicate_keys",
+    "features_by_phenotype",
     "features_from_summary",
     "first_dates",
     "first_dates_by_phenotype",

@@ -15,13 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenospark.functions.names import normalise_name
-from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, lookup_join, row_bytes
 
 MAPPING_COLUMNS = ("phenotype", "category", "cat")
 
-# Upper bound for turning the mapping into a literal map expression.
-DEFAULT_MAX_MAP_ENTRIES = 10_000
-
 
 def tidy_categories(
     categories: DataFrame, phenotype: str = "Phenotype", category: str = "Category"
@@ -46,29 +43,29 @@ def tidy_abbreviations(
 def build_mapping(
     categories: DataFrame,
     abbreviations: DataFrame,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner join of tidied categories and abbreviations on ``category`` ->
     ``phenotype, category, cat``. A category without an abbreviation drops
     its phenotypes (:func:`phenospark.operators.checks.orphans` lists them)."""
     joined = lookup_join(
         tidy_categories(categories), tidy_abbreviations(abbreviations),
-        "category", "inner", max_broadcast_rows,
+        "category", "inner", max_broadcast_bytes,
     )
     return joined.select(*MAPPING_COLUMNS)
 
 
 def key_profile(df: DataFrame, key: str = "phenotype") -> tuple[int, int, str | None]:
-    """``(rows, number of repeated keys, one repeated key)`` in one job: the
+    """``(bytes, number of repeated keys, one repeated key)`` in one job: the
     size check for broadcasting and the uniqueness check together."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_bytes(df)).alias("_bytes"))
     repeated = F.col("_n") > 1
     row = per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes"),
         F.count(F.when(repeated, F.lit(1))).alias("repeated"),
         F.min(F.when(repeated, F.col(key))).alias("example"),
     ).first()
-    return int(row["rows"]), int(row["repeated"]), row["example"]
+    return int(row["bytes"]), int(row["repeated"]), row["example"]
 
 
 def _fail_on_repeats(repeated: int, example, key: str) -> None:
@@ -87,45 +84,37 @@ def assert_unique_keys(df: DataFrame, key: str = "phenotype") -> DataFrame:
 def categorise(
     mentions: DataFrame,
     mapping: DataFrame,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
     check_unique: bool = True,
 ) -> DataFrame:
     """Mentions + ``category`` (NULL when the phenotype is unmapped), by a
     left join on ``phenotype``; mention columns keep their order, and an
     existing ``category`` column is replaced.
 
-    One job over the mapping checks that its keys are unique and counts it
-    for the broadcast decision."""
+    One job over the mapping checks that its keys are unique and sums its
+    bytes for the broadcast decision."""
     lookup = mapping.select("phenotype", "category")
     mentions = mentions.drop("category")
     broadcast = None
     if check_unique:
-        rows, repeated, example = key_profile(lookup, "phenotype")
+        size, repeated, example = key_profile(lookup, "phenotype")
         _fail_on_repeats(repeated, example, "phenotype")
-        if max_broadcast_rows is not None:
-            broadcast = rows <= max_broadcast_rows
-    joined = lookup_join(mentions, lookup, "phenotype", "left", max_broadcast_rows, broadcast)
+        if max_broadcast_bytes is not None:
+            broadcast = size <= max_broadcast_bytes
+    joined = lookup_join(mentions, lookup, "phenotype", "left", max_broadcast_bytes, broadcast)
     return joined.select(*mentions.columns, "category")
 
 
-def categorise_map(
-    mentions: DataFrame,
-    mapping: DataFrame,
-    max_entries: int = DEFAULT_MAX_MAP_ENTRIES,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def categorise_map(mentions: DataFrame, mapping: DataFrame) -> DataFrame:
     """Same result as :func:`categorise`, through a literal ``map`` expression
-    (no join in the plan; the map is folded into the projection).
-
-    The mapping is checked to hold unique keys and at most ``max_entries``
-    rows before it is brought to the driver; a larger mapping goes through
-    :func:`categorise` instead."""
+    (no join in the plan; the map is folded into the projection). The literal
+    holds the whole mapping, a user's list of categories, which therefore comes
+    to the driver; a mapping of another size belongs in :func:`categorise`. Keys
+    must be unique; an existing ``category`` column is replaced."""
     lookup = mapping.select("phenotype", "category").where(F.col("phenotype").isNotNull())
-    rows = lookup.limit(max_entries + 1).collect()
-    if len(rows) > max_entries:
-        return categorise(mentions, mapping, max_broadcast_rows)
-    keys = [r["phenotype"] for r in rows]
-    if len(set(keys)) != len(keys):
+    rows = lookup.collect()
+    mentions = mentions.drop("category")
+    if len({r["phenotype"] for r in rows}) != len(rows):
         assert_unique_keys(lookup, "phenotype")
     if not rows:
         return mentions.withColumn("category", F.lit(None).cast("string"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenospark.functions.names import strip_dots
-from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, lookup_join
 from phenospark.operators.reshape import melt_codes
 
 CODELIST_COLUMNS = ("phenotype", "terminology", "code")
@@ -48,7 +48,7 @@ def build_codelist(
     code_col: str = "code",
     exclude: Sequence[str] = EXCLUDED_TERMINOLOGIES,
     dotless: Sequence[str] = DOTLESS_TERMINOLOGIES,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
     split: Sequence[str] = SPLIT_TERMINOLOGIES,
 ) -> DataFrame:
     """Join the codes of all sources to the catalog and tidy them.
@@ -73,7 +73,7 @@ def build_codelist(
         F.col(code_col).cast("string").alias("code"),
         *([F.col("terminology").alias("_column_terminology")] if per_column else []),
     )
-    joined = lookup_join(facts, entries, source_col, "inner", max_broadcast_rows)
+    joined = lookup_join(facts, entries, source_col, "inner", max_broadcast_bytes)
     if per_column:
         term = F.when(F.col("terminology").isin(*split), F.col("_column_terminology")).otherwise(
             F.col("terminology"))

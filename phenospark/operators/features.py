@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from phenospark.operators.mentions import MENTION_COLUMNS, PERSON
 
-# Upper bound for the number of flag-matrix columns (one per phenotype).
-DEFAULT_MAX_FLAG_COLUMNS = 10_000
-
 
 def code_summary(mentions: DataFrame) -> DataFrame:
     """One aggregation over the mentions per person, phenotype, code and
@@ -31,15 +28,14 @@ def code_summary(mentions: DataFrame) -> DataFrame:
 
 
 def features_from_summary(summary: DataFrame) -> dict[str, DataFrame]:
-    """``first_dates``, ``first_dates_by_phenotype`` and ``n_occurrences`` from
-    a :func:`code_summary` (write it once, then these read the smaller
-    table): the same results as the functions applied to the mentions."""
+    """``first_dates`` and ``features_by_phenotype`` (first date and number of
+    mentions per person and phenotype) from a :func:`code_summary`: the same
+    results as the functions applied to the mentions. The first is a projection,
+    the second one aggregation of the smaller table."""
     return {
         "first_dates": summary.select(*MENTION_COLUMNS),
-        "first_dates_by_phenotype": summary.groupBy(PERSON, "phenotype").agg(
-            F.min("date").alias("date")),
-        "n_occurrences": summary.groupBy(PERSON, "phenotype").agg(
-            F.sum("n").alias("n_occurrences")),
+        "features_by_phenotype": summary.groupBy(PERSON, "phenotype").agg(
+            F.min("date").alias("date"), F.sum("n").alias("n_occurrences")),
     }
 
 
@@ -62,32 +58,54 @@ def n_occurrences(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy(PERSON, "phenotype").agg(F.count(F.lit(1)).alias("n_occurrences"))
 
 
+def features_by_phenotype(mentions: DataFrame) -> DataFrame:
+    """First date and number of (deduplicated) mentions per person and phenotype
+    in one aggregation: ``person_id_deid, phenotype, date, n_occurrences``."""
+    return mentions.groupBy(PERSON, "phenotype").agg(
+        F.min("date").alias("date"), F.count(F.lit(1)).alias("n_occurrences"))
+
+
+def phenotype_names(df: DataFrame) -> list[str]:
+    """The distinct phenotypes of a mention table or codelist, sorted. They
+    become column names of the flag matrix, so they come to the driver (as
+    many names as the codelist has phenotypes)."""
+    return sorted(r[0] for r in df.select("phenotype").where("phenotype is not null").distinct().collect())
+
+
 def flag_matrix(
-    mentions: DataFrame,
-    phenotypes: Sequence[str] | None = None,
-    binary: bool = True,
-    max_columns: int = DEFAULT_MAX_FLAG_COLUMNS,
+    mentions: DataFrame, phenotypes: Sequence[str] | None = None, binary: bool = True
 ) -> DataFrame:
     """Wide person x phenotype matrix: ``person_id_deid`` plus one column per
     phenotype holding 1/0 (``binary``) or the mention count.
 
     Pass ``phenotypes`` (e.g. the codelist's) to fix the columns up front;
     otherwise they are the phenotypes present in ``mentions``, found by one
-    small distinct job whose size is checked against ``max_columns``.
-    Column order is the sorted phenotype names either way."""
+    small distinct job. Column order is the sorted phenotype names either way.
+
+    Mentions are first reduced to one row per person and phenotype; these rows
+    are sent to their person's partition and pivoted there, so the shuffles
+    carry pairs, never rows as wide as the matrix, and a person has at most one
+    row per phenotype."""
     if phenotypes is None:
-        found = mentions.select("phenotype").distinct().where(F.col("phenotype").isNotNull())
-        names = found.limit(max_columns + 1).collect()
-        if len(names) > max_columns:
-            raise ValueError(f"more than {max_columns} phenotypes; pass phenotypes= explicitly")
-        phenotypes = [r[0] for r in names]
+        phenotypes = phenotype_names(mentions)
     values = sorted({p for p in phenotypes if p is not None})
-    if len(values) > max_columns:
-        raise ValueError(f"{len(values)} phenotypes exceed max_columns={max_columns}")
-    # Whole matrix built JVM-side: the pivot aggregate yields 1 (or the count)
-    # where a person has the phenotype and NULL elsewhere; one fill over the
-    # phenotype columns (names quoted, the person id untouched) turns those
-    # NULLs into 0 without a per-column expression built in Python.
-    cell = F.max(F.lit(1).cast("bigint")) if binary else F.count(F.lit(1))
-    wide = mentions.groupBy(PERSON).pivot("phenotype", values).agg(cell)
+    cell = F.lit(1).cast("bigint") if binary else F.count(F.lit(1))
+    keys = [PERSON, "phenotype"]
+    pairs = (mentions.select(*keys).distinct().withColumn("cell", cell) if binary
+             else mentions.groupBy(*keys).agg(cell.alias("cell")))
+    wide = pairs.repartition(PERSON).groupBy(PERSON).pivot("phenotype", values).agg(F.max("cell"))
+    # One fill over the phenotype columns (names quoted, the person id untouched).
     return wide.na.fill(0, subset=["`" + v.replace("`", "``") + "`" for v in values])
+
+
+def flag_cells(matrix: DataFrame) -> DataFrame:
+    """A flag matrix in long form: ``person_id_deid, phenotype, flag``, every cell."""
+    names = [c for c in matrix.columns if c != PERSON]
+    values = [F.col("`" + c.replace("`", "``") + "`").alias(c) for c in names]
+    return matrix.unpivot([PERSON], values, "phenotype", "flag")
+
+
+def flag_sizes(matrix: DataFrame) -> DataFrame:
+    """``phenotype, n_ones, n_zeros`` of a binary flag matrix."""
+    return flag_cells(matrix).groupBy("phenotype").agg(
+        F.sum("flag").alias("n_ones"), F.sum(1 - F.col("flag")).alias("n_zeros"))

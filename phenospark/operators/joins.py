@@ -1,41 +1,50 @@
 """Lookup joins with a checked broadcast and a salted fallback.
 
 A lookup side (codelist, catalog, category mapping) is broadcast only after
-its row count has been checked against a bound. Above the bound the join is
-a shuffle join that must survive a hot key (one code holding a third of all
-records): the fact rows get a deterministic salt from a hash of their own
-content, the lookup rows are replicated once per salt value, and the join key
-is ``(keys..., salt)``, so a hot key is spread over ``salt_buckets`` tasks.
-The salt depends only on the row, so a retried task sends every row to the
-same place again.
+its size in bytes has been summed and checked against a bound. Above the bound
+the join is a sort-merge join that must survive a hot key (one code holding a
+third of all records): the fact rows get a salt from a hash of their content and
+of the partition they are in, the lookup rows are replicated once per salt
+value, and the join key is ``(keys..., salt)``, so a hot key, and even copies of
+one hot record, are spread over many tasks. A retried task reads the same rows
+in the same partition, so it sends every row to the same place again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound for broadcasting a lookup side. The lookups here are a few short
-# strings per row (<100 bytes), so the bound keeps a broadcast under ~100 MB.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-
-# Number of salt values of the shuffle fallback (the lookup side is
-# replicated this many times, which is cheap next to the facts it meets).
-DEFAULT_SALT_BUCKETS = 32
+# Upper bound for the bytes of a lookup side that is broadcast.
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 SALTABLE_JOINS = ("inner", "left", "leftouter", "left_outer", "left_semi", "leftsemi",
                   "semi", "left_anti", "leftanti", "anti")
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: its strings' bytes, and 16 for every column."""
+    strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
+               if f.dataType.simpleString() in ("string", "binary")]
+    return sum(strings, F.lit(16 * len(df.columns))).cast("bigint")
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """Bytes of all rows, by one aggregate; one number reaches the driver."""
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0]
+
+
+def fits(df: DataFrame, max_bytes: int) -> bool:
+    """Whether ``df`` is small enough to be sent to every task."""
+    return size_in_bytes(df) <= max_bytes
+
 
-    A plain ``count()``: each task counts its partition and only one long per
-    task reaches the driver, so this is safe on any size (a ``limit`` would
-    funnel rows into one task instead)."""
-    return df.count() <= max_rows
+def salt_count(df: DataFrame) -> int:
+    """Salt values of the fallback: as many as the session's shuffle has
+    partitions, so a hot key can use all of them."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def salted_join(
@@ -43,17 +52,21 @@ def salted_join(
     lookup: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
-    """Shuffle join with the facts spread by a content-hash salt. Exact for
-    inner, left outer, semi and anti joins: every salt value of a key exists
-    on the lookup side, so each fact row meets exactly the rows it would meet
-    without the salt. Rows that are exact copies share a salt; callers that
-    expect many copies collapse them first (see ``mentions.match``)."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt_buckets))
+    """Sort-merge join with the facts spread by a salt (default: one value per
+    shuffle partition). Exact for inner, left outer, semi and anti joins: every
+    salt value of a key exists on the lookup side, so each fact row meets
+    exactly the rows it would meet without the salt. Streams are salted by their
+    content alone."""
+    salt_buckets = salt_buckets or salt_count(facts)
+    spread_by = [F.col(c) for c in facts.columns]
+    if not facts.isStreaming:
+        spread_by.append(F.spark_partition_id())
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salt_buckets))
     spread = facts.withColumn("_salt", salt.cast("int"))
     replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return spread.join(replicated, [*on, "_salt"], how).drop("_salt")
+    return spread.join(replicated.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
@@ -61,23 +74,23 @@ def lookup_join(
     lookup: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
     broadcast: bool | None = None,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Join a large ``facts`` side to a ``lookup`` side on equal keys.
 
     ``broadcast=True/False`` applies a decision the caller already checked
     (e.g. once for a codelist used by several joins); ``None`` checks here
-    against ``max_broadcast_rows``. ``max_broadcast_rows=None`` with
+    against ``max_broadcast_bytes``. ``max_broadcast_bytes=None`` with
     ``broadcast=None`` leaves the choice to the planner (its size estimate,
     then AQE's runtime statistics). When the lookup does not fit, the join is
-    salted over ``salt_buckets`` (``1`` = plain shuffle join)."""
+    salted (``salt_buckets=1``: a plain shuffle join)."""
     keys = [on] if isinstance(on, str) else list(on)
-    if broadcast is None and max_broadcast_rows is not None:
-        broadcast = row_count_at_most(lookup, max_broadcast_rows)
+    if broadcast is None and max_broadcast_bytes is not None:
+        broadcast = fits(lookup, max_broadcast_bytes)
     if broadcast:
         return facts.join(F.broadcast(lookup), keys, how)
-    if broadcast is False and salt_buckets > 1 and how.lower() in SALTABLE_JOINS:
+    if broadcast is False and salt_buckets != 1 and how.lower() in SALTABLE_JOINS:
         return salted_join(facts, lookup, keys, how, salt_buckets)
     return facts.join(lookup, keys, how)

@@ -11,8 +11,8 @@ Records come in two shapes:
   pass and drops the empty slots in the same stage.
 
 Matching is exact string equality on ``(terminology, code)``; equal strings
-in two vocabularies never meet. The codelist side is broadcast behind a row
-count check (see :mod:`phenospark.operators.joins`).
+in two vocabularies never meet. The codelist side is broadcast behind a size
+check (see :mod:`phenospark.operators.joins`).
 """
 
 from __future__ import annotations
@@ -23,11 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenospark.operators.joins import (
-    DEFAULT_MAX_BROADCAST_ROWS,
-    lookup_join,
-    row_count_at_most,
-)
+from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits, lookup_join
 from phenospark.operators.reshape import melt_codes
 
 PERSON = "person_id_deid"
@@ -81,7 +77,7 @@ def match(
     records: DataFrame,
     codelist: DataFrame,
     terminology: str | None = None,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
     broadcast: bool | None = None,
 ) -> DataFrame:
     """Inner join of records to the codelist -> mentions (a bag: a record
@@ -94,10 +90,9 @@ def match(
     ``broadcast`` passes a size decision already taken for ``codelist``
     (a filtered part of a codelist that fits, fits too).
 
-    When the codelist is too large to broadcast, copies of a record are first
-    counted (a partial aggregate, so they never travel one by one), the
-    distinct records meet the codelist in a salted shuffle join, and the
-    copies are restored afterwards."""
+    When the codelist is too large to broadcast, the records meet it in a
+    salted join; copies of a record from different partitions get different
+    salts, so they are spread too."""
     if terminology is not None:
         lookup = codelist.where(F.col("terminology") == F.lit(terminology)).select(
             "code", "phenotype"
@@ -109,15 +104,9 @@ def match(
         lookup = codelist.select("terminology", "code", "phenotype")
         keys = ["terminology", "code"]
         out = list(MENTION_COLUMNS)
-    if broadcast is None and max_broadcast_rows is not None:
-        broadcast = row_count_at_most(lookup, max_broadcast_rows)
-    if broadcast or broadcast is None:
-        joined = lookup_join(records, lookup, keys, "inner", None, broadcast)
-        return joined.select(*out)
-    copies = records.groupBy(*records.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    joined = lookup_join(copies, lookup, keys, "inner", None, False)
-    restored = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return restored.select(*out)
+    if broadcast is None and max_broadcast_bytes is not None:
+        broadcast = fits(lookup, max_broadcast_bytes)
+    return lookup_join(records, lookup, keys, "inner", None, broadcast).select(*out)
 
 
 def unite(*mentions: DataFrame) -> DataFrame:
@@ -138,7 +127,7 @@ def mentions(
     wide: DataFrame | None = None,
     narrow_terminology: str = "SNOMEDCT",
     deduplicate: bool = True,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
     records: DataFrame | None = None,
 ) -> DataFrame:
     """All mentions from a narrow and/or a wide record source.
@@ -168,18 +157,18 @@ def mentions(
     lookup = codelist.select("phenotype", "terminology", "code")
     if not deduplicate:
         small = None
-        if max_broadcast_rows is not None:
-            small = row_count_at_most(lookup, max_broadcast_rows)
+        if max_broadcast_bytes is not None:
+            small = fits(lookup, max_broadcast_bytes)
         parts = []
         if narrow is not None:
-            parts.append(match(narrow, lookup, narrow_terminology, max_broadcast_rows, small))
+            parts.append(match(narrow, lookup, narrow_terminology, max_broadcast_bytes, small))
         if wide is not None:
-            parts.append(match(wide, lookup, None, max_broadcast_rows, small))
+            parts.append(match(wide, lookup, None, max_broadcast_bytes, small))
         return unite(*parts)
     lookup = lookup.distinct()
     small = None
-    if max_broadcast_rows is not None:
-        small = row_count_at_most(lookup, max_broadcast_rows)
+    if max_broadcast_bytes is not None:
+        small = fits(lookup, max_broadcast_bytes)
     records = []
     if narrow is not None:
         records.append(

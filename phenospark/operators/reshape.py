@@ -71,12 +71,12 @@ def melt_codes(
             out.append(F.col("_t").alias(terminology_name))
         return long.select(*out)
     if method == "unpivot":
-        values = [F.col(slot).cast("string").alias(slot) for _, slot in pairs]
-        long = df.unpivot(list(id_vars), values, "_slot", "_c").where(F.col("_c").isNotNull())
+        # Each slot goes under its terminology's name, so the variable column is the terminology.
+        values = [F.col(slot).cast("string").alias(term) for term, slot in pairs]
+        long = df.unpivot(list(id_vars), values, "_t", "_c").where(F.col("_c").isNotNull())
         out = [*ids, F.col("_c").alias(code_name)]
         if terminology_name:
-            slot_to_term = F.create_map(*[F.lit(x) for term, slot in pairs for x in (slot, term)])
-            out.append(slot_to_term[F.col("_slot")].alias(terminology_name))
+            out.append(F.col("_t").alias(terminology_name))
         return long.select(*out)
     raise ValueError(f"unknown melt method {method!r}")
 

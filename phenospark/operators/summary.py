@@ -6,9 +6,12 @@ Each returns a small DataFrame; distinct counts are exact (Spark plans several
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, lookup_join
 from phenospark.operators.mentions import PERSON
 
 
@@ -74,6 +77,46 @@ def duplicate_volume(mentions: DataFrame) -> DataFrame:
     )
 
 
+def mention_volumes(
+    codelist: DataFrame,
+    narrow: DataFrame | None = None,
+    wide: DataFrame | None = None,
+    narrow_terminology: str = "SNOMEDCT",
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Every count of the mentions stage from one pass over each source: raw and
+    deduplicated mentions, duplicates, people and phenotypes, and the narrow
+    source's own raw coverage.
+
+    Copies of a record are counted first (partial aggregates, so copies never
+    travel), and so are repeated codelist rows; each distinct record then meets
+    the distinct codelist once, and a mention's raw multiplicity is the product
+    of the two counts."""
+    sources = []
+    if narrow is not None:
+        sources.append(narrow.select(PERSON, "date", "code", F.lit(narrow_terminology).alias("terminology"),
+                                     F.lit(1).alias("_narrow")))
+    if wide is not None:
+        sources.append(wide.select(PERSON, "date", "code", "terminology", F.lit(0).alias("_narrow")))
+    keys = [PERSON, "date", "code", "terminology"]
+    records = reduce(DataFrame.unionByName, sources).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_copies"), F.sum("_narrow").alias("_narrow"))
+    listed = codelist.groupBy("phenotype", "terminology", "code").agg(F.count(F.lit(1)).alias("_listed"))
+    found = lookup_join(records, listed, ["terminology", "code"], "inner", max_broadcast_bytes)
+    in_narrow = F.col("_narrow") > 0
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return found.agg(
+        total(F.col("_copies") * F.col("_listed")).alias("n_raw"),
+        F.count(F.lit(1)).alias("n_dedup"),
+        (total(F.col("_copies") * F.col("_listed")) - F.count(F.lit(1))).alias("n_duplicates"),
+        F.count_distinct(PERSON).alias("unique_pts"),
+        F.count_distinct("phenotype").alias("phenotypes"),
+        total(F.col("_narrow") * F.col("_listed")).alias("narrow_raw"),
+        F.count_distinct(F.when(in_narrow, F.col(PERSON))).alias("narrow_pts"),
+        F.count_distinct(F.when(in_narrow, F.col("phenotype"))).alias("narrow_phenotypes"),
+    )
+
+
 def category_sizes(mapping: DataFrame) -> DataFrame:
     """``category, cat, n_phenotypes`` of a category mapping."""
     return mapping.groupBy("cat", "category").agg(

@@ -30,6 +30,8 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--categories", default=None, help="category list CSV (Phenotype,Category)")
     p.add_argument("--abbreviations", default=None, help="abbreviations CSV (Category,Short)")
     p.add_argument("--keep-raw", action="store_true", help="also write the raw (bag) mentions")
+    p.add_argument("--cluster-codelist", nargs="+", default=None, help="columns that order the written codelist")
+    p.add_argument("--cluster-mentions", nargs="+", default=None, help="columns that order the written mentions")
     p.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     return p.parse_args(argv)
 
@@ -40,10 +42,12 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     results = codelist_job(
         spark, args.dictionary, args.codelists, args.out, codelist_format=args.codelist_format,
         table_prefix=args.table_prefix, database=args.database, source_from=args.source_from,
+        cluster_by=args.cluster_codelist,
     )
     if args.narrow or args.wide:
         results.update(mentions_job(spark, results["codelist"], args.out, narrow_table=args.narrow,
-                                    wide_table=args.wide, keep_raw=args.keep_raw))
+                                    wide_table=args.wide, keep_raw=args.keep_raw,
+                                    cluster_by=args.cluster_mentions))
         if args.categories and args.abbreviations:
             results.update(categories_job(spark, args.categories, args.abbreviations,
                                           results["mentions"], args.out, codelist=results["codelist"]))

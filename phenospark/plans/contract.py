@@ -7,6 +7,7 @@ Each query is ``(spark, sf_dir) -> DataFrame`` and has a DuckDB twin in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,9 @@ from phenospark.operators import catalog as cat_ops
 from phenospark.operators import categories as category_ops
 from phenospark.operators import checks, features, summary
 from phenospark.operators.codelist import build_codelist, two_column_codes
-from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from phenospark.operators.mentions import (
+    DIAGNOSIS_SLOTS,
+    OPERATION_SLOTS,
     dedup,
     match,
     mentions,
@@ -29,7 +31,9 @@ from phenospark.operators.mentions import (
 )
 from phenospark.operators.reshape import melt, melt_codes
 from phenospark.sinks import materialise
+from phenospark.session import ensure_checkpoint_dir
 from phenospark.sources.codelists import read_code_files
+from phenospark.sources.tables import read_abbreviations, read_categories, read_dictionary
 from phenospark.sources.starschema import (
     DIAG_SLOTS,
     OPERTN_SLOTS,
@@ -58,41 +62,33 @@ def _catalog(s: StarSchema) -> DataFrame:
     return cat_ops.to_catalog(s.dictionary(), prefix=SOURCE_PREFIX, database=SOURCE_DATABASE)
 
 
-def _codelist(s: StarSchema) -> tuple[DataFrame, bool]:
-    """The codelist, written once (its size check and the broadcast then read
-    the small table instead of re-deriving it), and its broadcast decision."""
-    codelist = materialise(s.codelist(), "codelist")
-    return codelist, row_count_at_most(codelist, DEFAULT_MAX_BROADCAST_ROWS)
-
-
-def _match_narrow(s: StarSchema, cl=None) -> DataFrame:
-    codelist, small = cl or _codelist(s)
-    return match(_narrow(s), codelist, "SNOMEDCT", broadcast=small)
-
-
-def _match_diagnoses(s: StarSchema, cl=None) -> DataFrame:
-    codelist, small = cl or _codelist(s)
-    return match(_melted(s, DIAG_SLOTS), codelist, "ICD", broadcast=small)
+def _wide_long(s: StarSchema) -> DataFrame:
+    return wide_records(s.wide(), person="person_id", date="dt",
+                        slots={"ICD": DIAG_SLOTS, "OPCS": OPERTN_SLOTS})
 
 
-def _match_operations(s: StarSchema, cl=None) -> DataFrame:
-    codelist, small = cl or _codelist(s)
-    return match(_melted(s, OPERTN_SLOTS), codelist, "OPCS", broadcast=small)
+def _match_narrow(s: StarSchema) -> DataFrame:
+    return match(_narrow(s), s.codelist(), "SNOMEDCT")
 
 
 def _mentions_raw(s: StarSchema) -> DataFrame:
-    cl = _codelist(s)
-    return unite(_match_narrow(s, cl), _match_diagnoses(s, cl), _match_operations(s, cl))
+    """The bag: both slot families from one scan of the wide source."""
+    return mentions(s.codelist(), narrow=_narrow(s), wide=_wide_long(s), deduplicate=False)
 
 
 def _mentions_dedup(s: StarSchema) -> DataFrame:
-    return dedup(_mentions_raw(s))
+    """The library's composed plan: each source scanned once, records
+    deduplicated before the phenotypes are attached."""
+    return mentions(s.codelist(), narrow=_narrow(s), wide=_wide_long(s))
 
 
 def _mapping(s: StarSchema) -> DataFrame:
-    """The category mapping, written once: its uniqueness/size check and the
-    broadcast read the small table."""
-    return materialise(category_ops.build_mapping(s.categories(), s.abbreviations()), "category_mapping")
+    return category_ops.build_mapping(s.categories(), s.abbreviations())
+
+
+def _scratch(s: StarSchema, name: str) -> str:
+    """A folder of its own below the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/phenospark/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def _q(build: Callable[[StarSchema], DataFrame]) -> Query:
@@ -143,24 +139,46 @@ def codelist_build(s: StarSchema) -> DataFrame:
 
 
 def codelist_build_from_files(s: StarSchema) -> DataFrame:
-    """``codelist_build`` through real files: the sources are written as a CSV
-    dataset partitioned by source (one folder per codelist, under the
-    checkpoint folder), then listed, routed by name, read with one scan per
-    terminology and joined to the catalog."""
-    import uuid
-
-    from phenospark.session import ensure_checkpoint_dir
-
-    root = f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/phenospark/codelist_files-{uuid.uuid4().hex[:12]}"
+    """``codelist_build`` through real files: the sources are written as CSV
+    files partitioned by source, with headers that differ between terminologies
+    and within them (the OPCS files carry a further column in front), in folders
+    with spaces in their names, next to an empty file and one that is no
+    codelist; then all are read by one scan and joined to the catalog."""
+    root = _scratch(s, "codelist files")
     src = s.sources()
     column_of = {"codes_icd_": "ICD10code", "codes_opcs_": "OPCS4code", "codes_cprd_": "conceptId"}
-    for i, (prefix, column) in enumerate(column_of.items()):
-        part = src.where(F.col("stem").startswith(prefix)).select(
-            F.col("stem").alias("source"), F.col("code").alias(column))
-        part.write.mode("overwrite" if i == 0 else "append").partitionBy("source").option(
-            "header", True).csv(root)
-    codes = read_code_files(s.spark, root, source_from="partition")
-    return build_codelist(_catalog(s), codes)
+
+    def write(df: DataFrame, folder: str) -> None:
+        df.write.partitionBy("source").option("header", True).csv(f"{root}/{folder}")
+
+    for prefix, column in column_of.items():
+        part = src.where(F.col("stem").startswith(prefix))
+        named = part.select(F.upper("stem").alias("source"), F.col("code").alias(column))
+        if column == "OPCS4code":
+            named = part.select(F.upper("stem").alias("source"), F.lit("a, b").alias("Disease"), F.col("code").alias(column))
+        write(named, f"lists {prefix}")
+    nothing = s.spark.range(0).select(F.lit("codes_icd_unused").alias("source"), F.lit("").alias("ICD10code"))
+    write(nothing, "empty")
+    write(s.table("region").select(F.lit("readme").alias("source"), "r_name"), "other")
+    catalog = _catalog(s)
+    wanted = cat_ops.without_terminology(catalog, "CPRD")
+    codes = read_code_files(s.spark, root, source_from="partition", catalog=wanted)
+    return build_codelist(catalog, codes)
+
+
+def catalog_from_csv(s: StarSchema) -> DataFrame:
+    """``catalog_unpivot`` from a written dictionary CSV."""
+    path = _scratch(s, "dictionary")
+    s.dictionary().write.option("header", True).csv(path)
+    return cat_ops.to_catalog(read_dictionary(s.spark, path), prefix=SOURCE_PREFIX, database=SOURCE_DATABASE)
+
+
+def category_mapping_from_csv(s: StarSchema) -> DataFrame:
+    """``category_mapping`` from written category and abbreviation CSVs."""
+    listed, short = _scratch(s, "categories"), _scratch(s, "abbreviations")
+    s.categories().write.option("header", True).csv(listed)
+    s.abbreviations().write.option("header", True).csv(short)
+    return category_ops.build_mapping(read_categories(s.spark, listed), read_abbreviations(s.spark, short))
 
 
 def codelist_missing_sources(s: StarSchema) -> DataFrame:
@@ -212,11 +230,31 @@ def match_narrow(s: StarSchema) -> DataFrame:
 
 
 def match_diagnoses(s: StarSchema) -> DataFrame:
-    return _match_diagnoses(s)
+    return match(_melted(s, DIAG_SLOTS), s.codelist(), "ICD")
 
 
 def match_operations(s: StarSchema) -> DataFrame:
-    return _match_operations(s)
+    return match(_melted(s, OPERTN_SLOTS), s.codelist(), "OPCS")
+
+
+def melt_codes_generate(s: StarSchema) -> DataFrame:
+    """``wide_records_one_pass`` through arrays of structs, filtered and inlined."""
+    return wide_records(s.wide(), person="person_id", date="dt",
+                        slots={"ICD": DIAG_SLOTS, "OPCS": OPERTN_SLOTS}, method="generate")
+
+
+def wide_records_hospital_layout(s: StarSchema) -> DataFrame:
+    """The hospital source's own 20 diagnosis and 24 operation slots, with the
+    derived slots at their front, middle and end."""
+    def place(slots, names):
+        first, last = names[: len(slots) - 1], names[-1]
+        own = {n: F.col(c) for n, c in zip([*first, last], slots)}
+        return [own.get(n, F.lit(None).cast("string")).alias(n) for n in names]
+
+    table = s.wide().select(
+        F.col("person_id").alias("PERSON_ID_DEID"), F.col("dt").alias("ADMIDATE"),
+        *place(DIAG_SLOTS, DIAGNOSIS_SLOTS), *place(OPERTN_SLOTS, OPERATION_SLOTS))
+    return wide_records(table)
 
 
 def narrow_coverage(s: StarSchema) -> DataFrame:
@@ -231,33 +269,22 @@ def mentions_dedup(s: StarSchema) -> DataFrame:
     return _mentions_dedup(s)
 
 
-def mentions_one_pass(s: StarSchema) -> DataFrame:
-    """The library's composed form: one melt of the wide source, one join on
-    (terminology, code), distinct codelist, dedup. Equals ``mentions_dedup``."""
-    return mentions(
-        s.codelist(),
-        narrow=_narrow(s),
-        wide=wide_records(s.wide(), person="person_id", date="dt",
-                          slots={"ICD": DIAG_SLOTS, "OPCS": OPERTN_SLOTS}),
-    )
-
-
-def _wide_long(s: StarSchema) -> DataFrame:
-    return wide_records(s.wide(), person="person_id", date="dt",
-                        slots={"ICD": DIAG_SLOTS, "OPCS": OPERTN_SLOTS})
+def mentions_by_source(s: StarSchema) -> DataFrame:
+    """``mentions_dedup`` the long way: one match per source and slot family,
+    united, deduplicated as mentions. Equals ``mentions_dedup``."""
+    return dedup(unite(_match_narrow(s), match_diagnoses(s), match_operations(s)))
 
 
 def mentions_dedup_shuffle(s: StarSchema) -> DataFrame:
-    """``mentions_one_pass`` with the codelist treated as too large to
+    """``mentions_dedup`` with the codelist treated as too large to
     broadcast: records deduplicated first, then a salted shuffle join."""
-    return mentions(s.codelist(), narrow=_narrow(s), wide=_wide_long(s), max_broadcast_rows=0)
+    return mentions(s.codelist(), narrow=_narrow(s), wide=_wide_long(s), max_broadcast_bytes=0)
 
 
 def mentions_raw_shuffle(s: StarSchema) -> DataFrame:
-    """The bag of mentions through the salted shuffle join (record copies
-    counted before the shuffle and restored after). Equals ``mentions_raw``."""
+    """The bag of mentions through the salted shuffle join. Equals ``mentions_raw``."""
     return mentions(s.codelist(), narrow=_narrow(s), wide=_wide_long(s),
-                    deduplicate=False, max_broadcast_rows=0)
+                    deduplicate=False, max_broadcast_bytes=0)
 
 
 def mentions_totals_raw(s: StarSchema) -> DataFrame:
@@ -272,6 +299,19 @@ def duplicate_volume(s: StarSchema) -> DataFrame:
     return summary.duplicate_volume(_mentions_raw(s))
 
 
+def mention_volumes(s: StarSchema) -> DataFrame:
+    """All counts of the mentions stage from one pass over each source."""
+    return summary.mention_volumes(s.codelist(), _narrow(s), _wide_long(s))
+
+
+def mentions_clustered(s: StarSchema) -> DataFrame:
+    """The mentions written clustered by phenotype and date and read back; per
+    phenotype, its mentions and the date range of what the files hold."""
+    back = materialise(_mentions_dedup(s), "mentions_clustered", cluster_by=["phenotype", "date"])
+    return back.groupBy("phenotype").agg(
+        F.count("*").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
 # -- features ----------------------------------------------------------------
 
 def first_dates_by_code(s: StarSchema) -> DataFrame:
@@ -286,15 +326,29 @@ def n_occurrences(s: StarSchema) -> DataFrame:
     return features.n_occurrences(_mentions_dedup(s))
 
 
-def n_occurrences_from_summary(s: StarSchema) -> DataFrame:
-    """Occurrences derived from the one-shuffle per-code summary."""
-    return features.features_from_summary(features.code_summary(_mentions_dedup(s)))["n_occurrences"]
+def features_by_phenotype(s: StarSchema) -> DataFrame:
+    """First date and occurrences in one aggregation."""
+    return features.features_by_phenotype(_mentions_dedup(s))
+
+
+def features_from_code_summary(s: StarSchema) -> DataFrame:
+    """The same, from the per-code summary."""
+    return features.features_from_summary(features.code_summary(_mentions_dedup(s)))["features_by_phenotype"]
+
+
+def _matrix(s: StarSchema) -> DataFrame:
+    return features.flag_matrix(_mentions_dedup(s), phenotypes=features.phenotype_names(s.codelist()))
 
 
 def flag_matrix(s: StarSchema) -> DataFrame:
-    """Mentions are written once (checkpoint folder) so finding the phenotype
-    columns and building the matrix share one computation of them."""
-    return features.flag_matrix(materialise(_mentions_dedup(s), "flag_matrix_mentions"))
+    """The person x phenotype matrix (one column for each phenotype of the
+    codelist), as its cells that are one."""
+    return features.flag_cells(_matrix(s)).where("flag = 1")
+
+
+def flag_matrix_sizes(s: StarSchema) -> DataFrame:
+    """Ones and zeros of every column of the matrix."""
+    return features.flag_sizes(_matrix(s))
 
 
 # -- categories ----------------------------------------------------------------
@@ -314,7 +368,7 @@ def categorise_join(s: StarSchema) -> DataFrame:
 def categorise_join_shuffle(s: StarSchema) -> DataFrame:
     """``categorise_join`` with the mapping treated as too large to broadcast
     (salted left join)."""
-    return category_ops.categorise(_mentions_dedup(s), _mapping(s), max_broadcast_rows=0)
+    return category_ops.categorise(_mentions_dedup(s), _mapping(s), max_broadcast_bytes=0)
 
 
 def categorise_map(s: StarSchema) -> DataFrame:
@@ -361,6 +415,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         normalise_names,
         catalog_unpivot,
+        catalog_from_csv,
         catalog_without_cprd,
         code_column_routing,
         codelist_build,
@@ -374,24 +429,31 @@ QUERIES: dict[str, Query] = {
         melt_diagnoses,
         melt_operations,
         wide_records_one_pass,
+        wide_records_hospital_layout,
+        melt_codes_generate,
         match_narrow,
         match_diagnoses,
         match_operations,
         narrow_coverage,
         mentions_raw,
         mentions_dedup,
-        mentions_one_pass,
+        mentions_by_source,
         mentions_dedup_shuffle,
         mentions_raw_shuffle,
         mentions_totals_raw,
         mentions_totals_dedup,
         duplicate_volume,
+        mention_volumes,
+        mentions_clustered,
         first_dates_by_code,
         first_dates_by_phenotype,
         n_occurrences,
-        n_occurrences_from_summary,
+        features_by_phenotype,
+        features_from_code_summary,
         flag_matrix,
+        flag_matrix_sizes,
         category_mapping,
+        category_mapping_from_csv,
         category_sizes,
         categorise_join,
         categorise_join_shuffle,

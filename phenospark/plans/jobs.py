@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from phenospark.operators import catalog as catalog_ops
 from phenospark.operators import categories as category_ops
@@ -26,13 +27,12 @@ from phenospark.operators import checks, summary
 from phenospark.operators.codelist import build_codelist
 from phenospark.operators.mentions import (
     HOSPITAL_SLOTS,
-    match,
     mentions,
     narrow_records,
     wide_records,
 )
 from phenospark.sinks import write_and_read
-from phenospark.sources.codelists import read_code_files
+from phenospark.sources.codelists import list_sources, read_code_files
 from phenospark.sources.tables import (
     read_abbreviations,
     read_categories,
@@ -41,8 +41,8 @@ from phenospark.sources.tables import (
 )
 
 
-def _write_read(df: DataFrame, out_root: str, name: str) -> DataFrame:
-    return write_and_read(df, f"{out_root.rstrip('/')}/{name}")
+def _write_read(df: DataFrame, out_root: str, name: str, cluster_by: Sequence[str] | None = None) -> DataFrame:
+    return write_and_read(df, f"{out_root.rstrip('/')}/{name}", cluster_by)
 
 
 def codelist_job(
@@ -54,17 +54,22 @@ def codelist_job(
     table_prefix: str = catalog_ops.DEFAULT_TABLE_PREFIX,
     database: str | None = None,
     source_from: str = "file",
+    cluster_by: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
+    """``cluster_by``: columns by which the written codelist is ordered."""
     catalog = _write_read(
         catalog_ops.to_catalog(read_dictionary(spark, dictionary_csv), table_prefix, database),
         out_root, "catalog",
     )
-    codes = read_code_files(spark, codelist_root, fmt=codelist_format, source_from=source_from)
-    codelist = _write_read(build_codelist(catalog, codes), out_root, "codelist")
+    wanted = catalog_ops.without_terminology(catalog, "CPRD")
+    codes = read_code_files(spark, codelist_root, fmt=codelist_format, source_from=source_from, catalog=wanted)
+    codelist = _write_read(build_codelist(catalog, codes), out_root, "codelist", cluster_by)
+    # What is missing is decided by the files, not their rows: an empty codelist exists.
+    present = list_sources(spark, codelist_root, f"*.{codelist_format}", source_from)
     return {
         "catalog": catalog,
         "codelist": codelist,
-        "missing_sources": checks.missing_sources(catalog, codes),
+        "missing_sources": checks.missing_sources(catalog, present),
         "totals": summary.codelist_totals(codelist),
         "phenotypes": summary.codelist_phenotypes(codelist),
         "per_phenotype": summary.codelist_per_phenotype(codelist),
@@ -82,9 +87,15 @@ def mentions_job(
     wide_slots: Mapping[str, Sequence[str]] = HOSPITAL_SLOTS,
     narrow_terminology: str = "SNOMEDCT",
     keep_raw: bool = False,
+    cluster_by: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """``narrow_columns`` / ``wide_columns`` rename the record columns for the
-    adapters (``person``, ``date``[, ``code``])."""
+    adapters (``person``, ``date``[, ``code``]); ``cluster_by``: columns by
+    which the written mentions are ordered.
+
+    ``volumes`` has all counts (raw, deduplicated, duplicates, people,
+    phenotypes, the narrow source's coverage) from one pass over each source;
+    with ``keep_raw`` the bag of mentions is written too."""
     cl = read_table(spark, codelist) if isinstance(codelist, str) else codelist
     narrow = wide = None
     if narrow_table is not None:
@@ -92,24 +103,25 @@ def mentions_job(
     if wide_table is not None:
         wide = wide_records(read_table(spark, wide_table), slots=wide_slots, **(wide_columns or {}))
     out: dict[str, DataFrame] = {}
-    deduped = _write_read(
+    out["mentions"] = _write_read(
         mentions(cl, narrow=narrow, wide=wide, narrow_terminology=narrow_terminology),
-        out_root, "mentions",
+        out_root, "mentions", cluster_by,
     )
-    out["mentions"] = deduped
-    out["totals_dedup"] = summary.coverage(deduped)
+    out["totals_dedup"] = summary.coverage(out["mentions"])
+    out["volumes"] = _write_read(
+        summary.mention_volumes(cl, narrow, wide, narrow_terminology), out_root, "mention_volumes")
+    out["duplicate_volume"] = out["volumes"].select("n_raw", "n_dedup", "n_duplicates")
+    out["totals_raw"] = out["volumes"].select(F.col("n_raw").alias("mentions"), "unique_pts", "phenotypes")
     if narrow is not None:
-        # the narrow source on its own, before dedup (a map-side join)
-        out["narrow_coverage"] = summary.coverage(match(narrow, cl, narrow_terminology))
+        out["narrow_coverage"] = out["volumes"].select(
+            F.col("narrow_raw").alias("mentions"), F.col("narrow_pts").alias("unique_pts"),
+            F.col("narrow_phenotypes").alias("phenotypes"))
     if keep_raw:
-        raw = _write_read(
+        out["mentions_raw"] = _write_read(
             mentions(cl, narrow=narrow, wide=wide, narrow_terminology=narrow_terminology,
                      deduplicate=False),
-            out_root, "mentions_raw",
+            out_root, "mentions_raw", cluster_by,
         )
-        out["mentions_raw"] = raw
-        out["totals_raw"] = summary.coverage(raw)
-        out["duplicate_volume"] = summary.duplicate_volume(raw)
     return out
 
 

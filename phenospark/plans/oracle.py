@@ -53,19 +53,19 @@ def _melt(slots: list[str], terminology: str | None = None) -> str:
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "f_narrow": ((), """
   SELECT user_id AS person_id, CAST(ts AS DATE) AS dt,
-         CAST(CAST(FLOOR(value) AS INTEGER) % 50 AS VARCHAR) AS code
+         CAST(CAST(FLOOR(value * 25) AS BIGINT) AS VARCHAR) AS code
   FROM events"""),
     "f_wide": ((), _wide_cte()),
     "f_codes": ((), """
   SELECT p_type || ' (' || p_name || ')' AS phenotype, 'ICD' AS terminology,
          'P' || substr(CAST(p_partkey AS VARCHAR), 1, 1) || '.' || substr(CAST(p_partkey AS VARCHAR), 2) AS code
-  FROM part WHERE p_size <= 25
+  FROM part
   UNION ALL
   SELECT n_name || '/' || r_name, 'OPCS', 'S' || CAST(s_suppkey AS VARCHAR)
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
   UNION ALL
-  SELECT p_type || ' & ' || p_brand, 'SNOMEDCT', CAST(p_size AS VARCHAR)
-  FROM part WHERE p_partkey % 40 = 0"""),
+  SELECT p_type || ' & ' || p_brand, 'SNOMEDCT', CAST(CAST(FLOOR(p_partkey / 4) AS BIGINT) AS VARCHAR)
+  FROM part"""),
     "f_codelist": (("f_codes",), f"""
   SELECT {norm('phenotype')} AS phenotype, terminology,
          CASE WHEN terminology IN ('ICD', 'OPCS', 'SNOMEDCT') THEN replace(code, '.', '') ELSE code END AS code
@@ -160,6 +160,11 @@ COVERAGE = """SELECT COUNT(*) AS mentions, COUNT(DISTINCT person_id_deid) AS uni
        COUNT(DISTINCT phenotype) AS phenotypes FROM {}"""
 
 
+FEATURES = """
+SELECT person_id_deid, phenotype, MIN(date) AS date, COUNT(*) AS n_occurrences
+FROM f_mentions GROUP BY person_id_deid, phenotype"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "normalise_names": with_ctes(f"""
 SELECT DISTINCT name, {norm('name')} AS normalised FROM (
@@ -218,7 +223,7 @@ FROM f_codelist GROUP BY phenotype""", "f_codelist"),
     "narrow_coverage": with_ctes(COVERAGE.format("f_match_narrow"), "f_match_narrow"),
     "mentions_raw": with_ctes("SELECT * FROM f_mentions_raw", "f_mentions_raw"),
     "mentions_dedup": with_ctes("SELECT * FROM f_mentions", "f_mentions"),
-    "mentions_one_pass": with_ctes("SELECT * FROM f_mentions", "f_mentions"),
+    "mentions_by_source": with_ctes("SELECT * FROM f_mentions", "f_mentions"),
     "mentions_dedup_shuffle": with_ctes("SELECT * FROM f_mentions", "f_mentions"),
     "mentions_raw_shuffle": with_ctes("SELECT * FROM f_mentions_raw", "f_mentions_raw"),
     "mentions_totals_raw": with_ctes(COVERAGE.format("f_mentions_raw"), "f_mentions_raw"),
@@ -236,14 +241,27 @@ FROM f_mentions GROUP BY person_id_deid, phenotype""", "f_mentions"),
     "n_occurrences": with_ctes("""
 SELECT person_id_deid, phenotype, COUNT(*) AS n_occurrences
 FROM f_mentions GROUP BY person_id_deid, phenotype""", "f_mentions"),
-    "n_occurrences_from_summary": with_ctes("""
-SELECT person_id_deid, phenotype, COUNT(*) AS n_occurrences
-FROM f_mentions GROUP BY person_id_deid, phenotype""", "f_mentions"),
+    "features_by_phenotype": with_ctes(FEATURES, "f_mentions"),
+    "features_from_code_summary": with_ctes(FEATURES, "f_mentions"),
     "flag_matrix": with_ctes("""
-SELECT * FROM (
-  PIVOT (SELECT person_id_deid, phenotype FROM f_mentions)
-  ON phenotype USING least(COUNT(*), 1) GROUP BY person_id_deid
-)""", "f_mentions"),
+SELECT DISTINCT person_id_deid, phenotype, CAST(1 AS BIGINT) AS flag FROM f_mentions""", "f_mentions"),
+    "flag_matrix_sizes": with_ctes("""
+SELECT c.phenotype, COUNT(DISTINCT m.person_id_deid) AS n_ones,
+       (SELECT COUNT(DISTINCT person_id_deid) FROM f_mentions) - COUNT(DISTINCT m.person_id_deid) AS n_zeros
+FROM (SELECT DISTINCT phenotype FROM f_codelist) c LEFT JOIN f_mentions m ON m.phenotype = c.phenotype
+GROUP BY c.phenotype""", "f_codelist", "f_mentions"),
+    "mention_volumes": with_ctes("""
+SELECT r.n_raw, d.n_dedup, r.n_raw - d.n_dedup AS n_duplicates, d.unique_pts, d.phenotypes,
+       n.narrow_raw, n.narrow_pts, n.narrow_phenotypes
+FROM (SELECT COUNT(*) AS n_raw FROM f_mentions_raw) r,
+     (SELECT COUNT(*) AS n_dedup, COUNT(DISTINCT person_id_deid) AS unique_pts,
+             COUNT(DISTINCT phenotype) AS phenotypes FROM f_mentions) d,
+     (SELECT COUNT(*) AS narrow_raw, COUNT(DISTINCT person_id_deid) AS narrow_pts,
+             COUNT(DISTINCT phenotype) AS narrow_phenotypes FROM f_match_narrow) n""",
+        "f_mentions_raw", "f_mentions", "f_match_narrow"),
+    "mentions_clustered": with_ctes("""
+SELECT phenotype, COUNT(*) AS n, MIN(date) AS first_date, MAX(date) AS last_date
+FROM f_mentions GROUP BY phenotype""", "f_mentions"),
     "category_mapping": with_ctes("SELECT phenotype, category, cat FROM f_mapping", "f_mapping"),
     "category_sizes": with_ctes("""
 SELECT category, cat, COUNT(DISTINCT phenotype) AS n_phenotypes
@@ -278,3 +296,11 @@ SELECT DISTINCT category, 'abbreviation' AS side FROM f_short s
 WHERE category IS NOT NULL AND NOT EXISTS (SELECT 1 FROM f_listed l WHERE l.category = s.category)""",
         "f_listed", "f_short"),
 }
+
+# The same tables by another way: through files, arrays of structs, or the full slot layout.
+ORACLE_SQL |= {
+    "catalog_from_csv": ORACLE_SQL["catalog_unpivot"],
+    "category_mapping_from_csv": ORACLE_SQL["category_mapping"],
+    "melt_codes_generate": ORACLE_SQL["wide_records_one_pass"],
+    "wide_records_hospital_layout": ORACLE_SQL["wide_records_one_pass"],
+}

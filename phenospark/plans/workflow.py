@@ -72,12 +72,8 @@ def feature_stage(
     derived = features.features_from_summary(per_code)
     out = {name: _keep(df, name, out_root) for name, df in derived.items()}
     if codelist is not None:
-        limit = features.DEFAULT_MAX_FLAG_COLUMNS
-        names = codelist.select("phenotype").distinct().limit(limit + 1).collect()
-        if len(names) > limit:
-            raise ValueError(f"more than {limit} phenotypes for a flag matrix")
         out["flag_matrix"] = _keep(
-            features.flag_matrix(per_code, phenotypes=[r[0] for r in names]), "flag_matrix", out_root)
+            features.flag_matrix(per_code, phenotypes=features.phenotype_names(codelist)), "flag_matrix", out_root)
     return out
 
 

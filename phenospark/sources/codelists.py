@@ -2,34 +2,53 @@
 
 A codelist source is a file (or table) per phenotype and terminology whose
 name says which terminology it holds (see
-:mod:`phenospark.functions.routing`). Instead of one query per source, every
-source of a terminology is read by **one** scan, its name taken from the
-file's metadata; the result is ``source, terminology, code`` for all of
-them. Listing is a distributed file scan too (``binaryFile`` without its
-content column), so nothing scales with the number of sources on the driver.
+:mod:`phenospark.functions.routing`). CSV files, the form codelists come in,
+are all read by **one** scan, whatever their number: the source's name comes
+from the file's metadata, and lines are parsed by the header of their own file.
+Listing is a distributed file scan too (``binaryFile`` without its content
+column). The result is ``source, terminology, code`` for all of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+import csv
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phenospark.functions.names import file_stem
-from phenospark.operators.reshape import melt_codes
 from phenospark.functions.routing import (
     CODE_COLUMN_ROUTES,
     TERMINOLOGY_OF_COLUMN,
     code_columns_for,
     code_columns_for_name,
 )
+from phenospark.operators.joins import lookup_join
+from phenospark.operators.reshape import melt_codes
+
+
+def decoded(path: Column) -> Column:
+    """A path of file metadata without URL escapes (``a%20b`` -> ``a b``)."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
 
+#: Where a source's name stands in the path of its file.
+_SOURCE_PATTERN = {"file": None, "directory": r"([^/]+)/[^/]+$", "partition": r"[^/=]+=([^/]+)/[^/]+$"}
 
-def list_sources(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Files under ``root`` whose name matches the glob ``pattern``:
-    ``path, source, length, modified`` (``source`` = file stem)."""
+
+def _source_of(path: Column, source_from: str) -> Column:
+    """The source's name, in lower case as the catalog has it."""
+    pattern = _SOURCE_PATTERN[source_from]
+    return F.lower(file_stem(path) if pattern is None else F.regexp_extract(path, pattern, 1))
+
+
+def list_sources(spark: SparkSession, root: str, pattern: str = "*", source_from: str = "file") -> DataFrame:
+    """Files under ``root`` whose name matches the glob ``pattern``: ``path,
+    source, length, modified`` (``source``: the file stem, or with
+    ``source_from`` the folder or partition value, in lower case). A file
+    with a header only is listed too (one of no bytes at all is not: Spark's
+    scans skip those)."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
@@ -38,7 +57,7 @@ def list_sources(spark: SparkSession, root: str, pattern: str = "*") -> DataFram
     )
     return files.select(
         "path",
-        file_stem("path").alias("source"),
+        _source_of(F.col("path"), source_from).alias("source"),
         "length",
         F.col("modificationTime").alias("modified"),
     )
@@ -52,20 +71,82 @@ def list_tables(spark: SparkSession, database: str, pattern: str | None = None)
     return spark.createDataFrame(rows, "database string, table string")
 
 
-def _route_codes(df: DataFrame, route_columns: Sequence[str]) -> DataFrame:
-    """Rows of the sources whose name routes to ``route_columns``, melted to
-    ``source, terminology, code`` (NULL codes kept, as the sources hold them;
-    two-column sources give one row per non-NULL column value)."""
-    routed = df.where(code_columns_for("source") == F.lit(",".join(route_columns)))
-    if len(route_columns) == 1:
-        column = route_columns[0]
-        return routed.select(
+def _melt_routed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``source`` and the code columns of one route -> ``source, terminology,
+    code`` (NULL codes kept, as the sources hold them; two-column sources give
+    one row per non-NULL column value)."""
+    if len(columns) == 1:
+        return df.select(
             "source",
-            F.lit(TERMINOLOGY_OF_COLUMN[column]).alias("terminology"),
-            F.col(column).cast("string").alias("code"),
+            F.lit(TERMINOLOGY_OF_COLUMN[columns[0]]).alias("terminology"),
+            F.col(columns[0]).cast("string").alias("code"),
         )
-    slots = {TERMINOLOGY_OF_COLUMN[c]: [c] for c in route_columns}
-    return melt_codes(routed, ["source"], slots).select("source", "terminology", "code")
+    slots = {TERMINOLOGY_OF_COLUMN[c]: [c] for c in columns}
+    return melt_codes(df, ["source"], slots).select("source", "terminology", "code")
+
+
+def _union(parts: list[DataFrame], spark: SparkSession) -> DataFrame:
+    """A balanced union (depth log2 n); an empty table for no parts."""
+    if not parts:
+        return spark.createDataFrame([], "source string, terminology string, code string")
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def _wanted(sources: DataFrame, catalog: DataFrame | None) -> DataFrame:
+    """The sources that the catalog names; without one, those whose name says a terminology."""
+    if catalog is not None:
+        named = catalog.select(F.lower("table").alias("source")).distinct()
+        return lookup_join(sources, named, "source", "left_semi")
+    tokens = "|".join(token for token, _ in CODE_COLUMN_ROUTES)
+    return sources.where(F.col("source").rlike(tokens))
+
+
+def _csv_codes(spark: SparkSession, root: str, glob: str, source_from: str, catalog: DataFrame | None,
+               options: Mapping[str, str]) -> DataFrame:
+    """Codes of CSV files with a header each. The files are read as lines, by
+    one scan. Each file's first line is its header; files are grouped by header
+    and route, and a group's lines are parsed with its own column names, so
+    headers may differ in columns and order. Headers, not paths, come to the
+    driver: one row for every distinct (header, route)."""
+    lines = (
+        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(root)
+        .select("value", F.col("_metadata.file_block_start").alias("block"),
+                _source_of(decoded(F.col("_metadata.file_path")), source_from).alias("source"),
+                F.col("_metadata.file_path").alias("file"))
+    )
+    lines = _wanted(lines, catalog).where(F.length(F.trim("value")) > 0)
+    # A file's first line: the least row number of its first block (numbers rise inside a block).
+    headers = (
+        lines.where("block = 0").withColumn("at", F.monotonically_increasing_id())
+        .groupBy("file").agg(F.min_by("value", "at").alias("header"), F.first("source").alias("source"))
+        .withColumn("route", code_columns_for("source"))
+    )
+    groups = headers.groupBy("header", "route").agg(F.min("source").alias("example")).collect()
+    if not groups:
+        return _union([], spark)
+    sep, quote = options.get("sep", ","), options.get("quote", '"')
+    cells = F.lit(None).cast("array<string>")
+    for g in sorted(groups, key=lambda g: (g["route"], g["header"])):
+        names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([g["header"]], delimiter=sep, quotechar=quote))]
+        columns = g["route"].split(",")
+        missing = [c for c in columns if c not in names]
+        if missing:
+            raise ValueError(f"codelist source {g['example']!r} lacks column(s) {missing}; it has {names}")
+        schema = ", ".join(f"c{i} string" for i in range(len(names)))
+        parsed = F.from_csv("value", schema, {"sep": sep, "quote": quote, **options})
+        codes = F.array(*[parsed[f"c{names.index(c)}"] for c in columns])
+        cells = F.when((F.col("header") == g["header"]) & (F.col("route") == g["route"]), codes).otherwise(cells)
+    body = lookup_join(lines.select("file", "value", "source"), headers.select("file", "header", "route"), "file")
+    body = body.where(F.col("value") != F.col("header")).select("source", "route", cells.alias("cells"))
+    parts = []
+    for _, columns in CODE_COLUMN_ROUTES:
+        if any(g["route"] == ",".join(columns) for g in groups):
+            own = body.where(F.col("route") == ",".join(columns))
+            own = own.select("source", *[F.col("cells")[i].alias(c) for i, c in enumerate(columns)])
+            parts.append(_melt_routed(own, columns))
+    return _union(parts, spark)
 
 
 def read_code_files(
@@ -75,144 +156,49 @@ def read_code_files(
     name_glob: str | None = None,
     source_from: str = "file",
     options: dict[str, str] | None = None,
+    catalog: DataFrame | None = None,
 ) -> DataFrame:
     """All codelist files under ``root`` -> ``source, terminology, code``.
 
-    The files are listed once and each is routed by its name
-    (:func:`code_columns_for`, first match wins, unroutable names raise);
-    then every route's files are read by **one** scan — at most four scans
-    whatever the number of files. ``source`` is the file stem, or with
+    ``source`` is the file stem in lower case, or with
     ``source_from="directory"`` the name of the folder holding the file (one
-    folder per codelist table, e.g. parquet part files). ``terminology`` is the
-    vocabulary of the column read (``ICD``, ``SNOMEDCT``, ``OPCS``,
-    ``Readcode``, ``Medcode``). Only file names and routes reach the driver."""
+    folder per codelist table, e.g. parquet part files), or with
+    ``"partition"`` the value of a ``key=value`` folder. With ``catalog``
+    (``table`` column) only the sources it names are read, and one of them
+    without a terminology in its name is an error; without, files whose name
+    says no terminology are left alone. Code columns are found by name in each
+    source; a source that lacks its column is an error that names it.
+    ``terminology`` is the vocabulary of the column read (``ICD``,
+    ``SNOMEDCT``, ``OPCS``, ``Readcode``, ``Medcode``)."""
     glob = name_glob or ("*.csv" if fmt == "csv" else f"*.{fmt}")
-    listed = list_sources(spark, root, glob)
-    folder_pattern = {"directory": r"([^/]+)/[^/]+$", "partition": r"[^/=]+=([^/]+)/[^/]+$"}
-    if source_from in folder_pattern:
-        listed = listed.withColumn("source", F.regexp_extract("path", folder_pattern[source_from], 1))
-    routed = listed.select("path", code_columns_for("source").alias("route")).collect()
-    paths_by_route: dict[str, list[str]] = {}
-    for row in routed:
-        paths_by_route.setdefault(row["route"], []).append(row["path"])
-    # CSV: columns are matched by position, so every file's header is checked
-    # against the first one's (a reordered header fails instead of misreading).
-    opts = {"header": "true", "enforceSchema": "false"} if fmt == "csv" else {}
-    opts.update(options or {})
+    if fmt == "csv":
+        return _csv_codes(spark, root, glob, source_from, catalog, options or {})
+    # Typed formats: a codelist table per folder (or file), each with a schema of its own.
+    listed = _wanted(list_sources(spark, root, glob, source_from), catalog)
+    place = F.col("path") if source_from == "file" else F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    tables = listed.select("source", place.alias("place")).distinct().orderBy("place").collect()
     parts = []
-    for _, columns in CODE_COLUMN_ROUTES:
-        paths = paths_by_route.get(",".join(columns))
-        if not paths:
-            continue
-        paths = sorted(paths)
-        reader = spark.read.format(fmt).options(**opts)
-        if fmt == "csv":
-            # The schema comes from one file's header; the scan still checks
-            # every other file's header against it (enforceSchema=false), so
-            # no inference pass over all files is needed.
-            reader = reader.schema(spark.read.options(**opts).csv(paths[0]).schema)
-        df = reader.load(paths)
-        missing = [c for c in columns if c not in df.columns]
-        if missing:
-            raise ValueError(f"codelist files {sorted(paths)[:3]}... lack column(s) {missing}")
-        source = file_stem(F.col("_metadata.file_path"))
-        if source_from in folder_pattern:
-            source = F.regexp_extract(F.col("_metadata.file_path"), folder_pattern[source_from], 1)
-        named = df.select(source.alias("source"), *[F.col(c) for c in columns])
-        parts.append(_route_codes(named, columns))
-    if not parts:
-        return spark.createDataFrame([], "source string, terminology string, code string")
-    return reduce(DataFrame.unionByName, parts)
-
+    for t in tables:
+        df = spark.read.format(fmt).options(**(options or {})).load(t["place"])
+        parts.append(_melt_routed(_code_columns(df, t["source"]), code_columns_for_name(t["source"])))
+    return _union(parts, spark)
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:/*"
 
-
-def _describe(spark: SparkSession, name: str) -> tuple[str | None, str | None, dict[str, str]]:
-    """Provider, location and column types of a metastore table (catalog
-    metadata; the name is bound as a parameter)."""
-    rows = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:t)", args={"t": name}).collect()
-    types: dict[str, str] = {}
-    info: dict[str, str] = {}
-    in_columns = True
-    for r in rows:
-        key, value = (r["col_name"] or "").strip(), (r["data_type"] or "").strip()
-        if not key or key.startswith("#"):
-            in_columns = False
-            continue
-        if in_columns:
-            types[key] = value
-        else:
-            info[key] = value
-    return info.get("Provider"), info.get("Location"), types
-
-
-def _table_folder(path: F.Column) -> F.Column:
-    """A data file's table folder: its parent without ``key=value`` partition
-    folders, scheme and slashes normalised (``/warehouse/db.db/t``)."""
-    parent = F.regexp_extract(path, r"^(.*)/[^/]+$", 1)
-    unpartitioned = F.regexp_replace(parent, r"(/[^/=]+=[^/]*)+$", "")
-    return F.regexp_replace(unpartitioned, _SCHEME, "/")
+def _code_columns(df: DataFrame, source: str) -> DataFrame:
+    """``source`` and the code columns that its name asks for, as strings."""
+    columns = code_columns_for_name(source)
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"codelist source {source!r} lacks column(s) {missing}; it has {df.columns}")
+    return df.select(F.lit(source).alias("source"), *[F.col(c).cast("string").alias(c) for c in columns])
 
 
 def read_code_tables(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
-    """Codelist tables of a metastore -> ``source, terminology, code``.
-
-    Each table is described once (metadata). Parquet tables are grouped by
-    route and code-column type and every group is read by **one** scan of
-    its table folders; each row finds its table through its file's folder
-    (a broadcast of the folder -> table list, whose size is the number of
-    tables). Tables of other formats are planned one scan each and unioned
-    as a balanced tree (depth log2 n)."""
-    import re
-
-    from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
-
-    tables = list(tables)
-    for name in tables:
-        code_columns_for_name(name)  # unroutable names fail before any lookup
-
-    from concurrent.futures import ThreadPoolExecutor
-
-    # metastore lookups are independent and wait on I/O: a few in flight
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        described = list(pool.map(lambda n: _describe(spark, n), tables))
-    groups: dict[tuple, list[tuple[str, str]]] = {}
-    per_table: list[str] = []
-    for name, (provider, location, types) in zip(tables, described):
-        columns = code_columns_for_name(name)
-        if (provider or "").lower() == "parquet" and location and all(c in types for c in columns):
-            key = (columns, tuple(types[c] for c in columns))
-            groups.setdefault(key, []).append((name.rsplit(".", 1)[-1], location))
-        else:
-            per_table.append(name)
+    """Codelist tables of a metastore -> ``source, terminology, code``: each is
+    read through the catalog (so its own partitions, formats and partition
+    columns count), one branch per table in a balanced union."""
     parts = []
-    for (columns, types), entries in groups.items():
-        schema = ", ".join(f"`{c}` {t}" for c, t in zip(columns, types))
-        # recursive lookup: files of partitioned and plain tables alike, no
-        # partition inference across unrelated table folders
-        df = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(
-            *[loc for _, loc in entries])
-        folders = spark.createDataFrame(
-            [(re.sub(_SCHEME, "/", loc).rstrip("/"), stem) for stem, loc in entries],
-            "folder string, source string",
-        )
-        named = lookup_join(
-            df.select(_table_folder(F.col("_metadata.file_path")).alias("folder"), *columns),
-            folders, "folder", "inner", None, len(entries) <= DEFAULT_MAX_BROADCAST_ROWS,
-        )
-        parts.append(_route_codes(named.select("source", *columns), columns))
-    singles = []
-    for name in per_table:
-        stem = name.rsplit(".", 1)[-1]
-        singles.append(_route_codes(spark.table(name).withColumn("source", F.lit(stem)),
-                                    code_columns_for_name(name)))
-    while len(singles) > 1:
-        paired = [singles[i].unionByName(singles[i + 1]) for i in range(0, len(singles) - 1, 2)]
-        if len(singles) % 2:
-            paired.append(singles[-1])
-        singles = paired
-    parts += singles
-    if not parts:
-        return spark.createDataFrame([], "source string, terminology string, code string")
-    return reduce(DataFrame.unionByName, parts)
+    for name in tables:
+        stem = name.rsplit(".", 1)[-1].lower()
+        parts.append(_melt_routed(_code_columns(spark.table(name), stem), code_columns_for_name(stem)))
+    return _union(parts, spark)

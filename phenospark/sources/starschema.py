@@ -11,7 +11,7 @@ grows with them. Definitions (see FIXTURES.md, section B):
                     key of line i) and 7 operation slots (``'S'`` + supplier
                     key of line i).
 * ``codes``       — a raw codelist over three terminologies (ICD from parts,
-                    OPCS from suppliers, SNOMEDCT from part sizes).
+                    OPCS from suppliers, SNOMEDCT from groups of four parts).
 * ``categories``, ``abbreviations``, ``dictionary``, ``sources``,
   ``two_codes`` — the category list, its abbreviations, the wide dictionary,
   the codelist files as ``(stem, code)`` and a two-code-column source.
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from phenospark.functions.names import normalise_name
 from phenospark.operators.codelist import tidy_codes
-from phenospark.sources.tables import spread
 
 # Lines per order in the driver's lineitem table (l_linenumber 1..7): the
 # number of slots per family in the wide fixture.
@@ -34,10 +33,6 @@ WIDE_SLOTS = 7
 DIAG_SLOTS = tuple(f"diag_{i:02d}" for i in range(1, WIDE_SLOTS + 1))
 OPERTN_SLOTS = tuple(f"opertn_{i:02d}" for i in range(1, WIDE_SLOTS + 1))
 
-# Driver tables that hold the records; spread over the cores when their file
-# has fewer splits than that (see ``sources.tables.spread``).
-FACT_TABLES = ("lineitem", "orders", "events")
-
 # Prefix and database of the derived codelist catalog (stems of ``sources``).
 SOURCE_PREFIX = "codes_"
 SOURCE_DATABASE = "codelists"
@@ -78,8 +73,7 @@ class StarSchema:
         key = (id(self.spark), f"{self.sf_dir}/{name}.parquet")
         entry = _READERS.get(key)
         if entry is None or entry[0] is not self.spark:
-            df = self.spark.read.parquet(key[1])
-            entry = (self.spark, spread(df) if name in FACT_TABLES else df)
+            entry = (self.spark, self.spark.read.parquet(key[1]))
             _READERS[key] = entry
         return entry[1]
 
@@ -87,7 +81,7 @@ class StarSchema:
     @_once
     def narrow(self) -> DataFrame:
         ev = self.table("events")
-        code = _s(F.floor("value").cast("int") % F.lit(50))
+        code = _s(F.floor(F.col("value") * 25).cast("bigint"))
         return ev.select(
             F.col("user_id").alias("person_id"),
             F.col("ts").cast("date").alias("dt"),
@@ -128,7 +122,7 @@ class StarSchema:
     def codes(self) -> DataFrame:
         part = self.table("part")
         key = _s("p_partkey")
-        icd = part.where(F.col("p_size") <= 25).select(
+        icd = part.select(
             F.concat(F.col("p_type"), F.lit(" ("), F.col("p_name"), F.lit(")")).alias("phenotype"),
             F.lit("ICD").alias("terminology"),
             F.concat(F.lit("P"), F.substr(key, F.lit(1), F.lit(1)), F.lit("."),
@@ -139,10 +133,11 @@ class StarSchema:
             F.lit("OPCS").alias("terminology"),
             F.concat(F.lit("S"), _s("s_suppkey")).alias("code"),
         )
-        snomed = part.where(F.col("p_partkey") % 40 == 0).select(
+        # four neighbouring parts share a code: a code of several phenotypes
+        snomed = part.select(
             F.concat(F.col("p_type"), F.lit(" & "), F.col("p_brand")).alias("phenotype"),
             F.lit("SNOMEDCT").alias("terminology"),
-            _s("p_size").alias("code"),
+            _s(F.floor(F.col("p_partkey") / 4).cast("bigint")).alias("code"),
         )
         return icd.unionByName(opcs).unionByName(snomed)
 

@@ -48,19 +48,6 @@ def read_abbreviations(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_csv_table(spark, path, ABBREVIATION_SCHEMA)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` (default: the
-    cluster's parallelism) when its scan yields fewer splits — e.g. a file
-    written as one row group. A no-op for any table large enough to matter,
-    whose scan already has more splits than there are cores."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the plan as it is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 def read_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
     """A record table: a metastore name (``db.table``) or a path."""
     if "/" in name_or_path or ":" in name_or_path:

@@ -15,12 +15,13 @@ from phenospark.sources import (
 )
 from tests.conftest import rows
 
+# Invented phenotypes that hold the traps: a quoted comma, an apostrophe, no CPRD list, upper case, no list at all.
 DICTIONARY_CSV = """phenotype,CPRD,ICD,OPCS
-Abdominal Hernia,CPRD_hernia_abdo.csv,ICD_hernia_abdo.csv,OPCS_hernia_abdo.csv
-"Postviral fatigue syndrome, neurasthenia and fibromyalgia",CPRD_pvfs.csv,ICD_pvfs.csv,
-Crohn's disease,CPRD_crohns.csv,ICD_crohns.csv,
-Acute Kidney Injury,,ICD_AKI.csv,
-Raised LDL-C,,,
+Creaking Knee,CPRD_knee.csv,ICD_knee.csv,OPCS_knee.csv
+"Restless sleep, humming and sighs",CPRD_rshs.csv,ICD_rshs.csv,
+Miller's cough,CPRD_miller.csv,ICD_miller.csv,
+Loud Ear Ring,,ICD_LER.csv,
+Cold Toe-T,,,
 """
 
 
@@ -35,21 +36,21 @@ def dictionary(spark, tmp_dir):
 def test_read_dictionary_handles_quotes_and_empty_cells(dictionary):
     got = {r["phenotype"]: r for r in dictionary.collect()}
     assert len(got) == 5
-    pv = got["Postviral fatigue syndrome, neurasthenia and fibromyalgia"]
-    assert pv["CPRD"] == "CPRD_pvfs.csv" and pv["OPCS"] is None
-    assert got["Raised LDL-C"]["ICD"] is None
+    pv = got["Restless sleep, humming and sighs"]
+    assert pv["CPRD"] == "CPRD_rshs.csv" and pv["OPCS"] is None
+    assert got["Cold Toe-T"]["ICD"] is None
 
 
 def test_catalog_unpivot(dictionary):
     cat = to_catalog(dictionary, database="cldb")
     got = rows(cat.select("phenotype", "terminology", "table", "path"))
-    assert ("abdominal_hernia", "SNOMEDCT", "codelist_cprd_hernia_abdo_snomedct",
-            "cldb.codelist_cprd_hernia_abdo_snomedct") in got
-    assert ("crohns_disease", "ICD", "codelist_icd_crohns", "cldb.codelist_icd_crohns") in got
+    assert ("creaking_knee", "SNOMEDCT", "codelist_cprd_knee_snomedct",
+            "cldb.codelist_cprd_knee_snomedct") in got
+    assert ("millers_cough", "ICD", "codelist_icd_miller", "cldb.codelist_icd_miller") in got
     # a phenotype without a CPRD list has no SNOMED CT row; one without files has none
-    aki = [r for r in got if r[0] == "acute_kidney_injury"]
-    assert aki == [("acute_kidney_injury", "ICD", "codelist_icd_aki", "cldb.codelist_icd_aki")]
-    assert not [r for r in got if r[0] == "raised_ldl-c"]
+    aki = [r for r in got if r[0] == "loud_ear_ring"]
+    assert aki == [("loud_ear_ring", "ICD", "codelist_icd_ler", "cldb.codelist_icd_ler")]
+    assert not [r for r in got if r[0] == "cold_toe-t"]
     # 3 + 3 + 3 files plus their SNOMED CT twins (3) + AKI
     assert len(got) == 4 + 3 + 3 + 1
     assert without_terminology(cat, "CPRD").where(F.col("terminology") == "CPRD").count() == 0
@@ -60,12 +61,12 @@ def test_build_codelist_joins_sources_and_strips_dots(spark, dictionary):
     cat = to_catalog(dictionary)
     codes = spark.createDataFrame(
         [
-            ("codelist_icd_aki", "N17.0"),
-            ("codelist_icd_aki", "N17.9"),
-            ("codelist_icd_crohns", "K50"),
-            ("codelist_cprd_crohns_snomedct", "34000006"),
-            ("codelist_cprd_crohns", "J40..00"),  # CPRD is left out
-            ("codelist_opcs_hernia_abdo", "T20.1"),
+            ("codelist_icd_ler", "N17.0"),
+            ("codelist_icd_ler", "N17.9"),
+            ("codelist_icd_miller", "K50"),
+            ("codelist_cprd_miller_snomedct", "34000006"),
+            ("codelist_cprd_miller", "J40..00"),  # CPRD is left out
+            ("codelist_opcs_knee", "T20.1"),
             ("codelist_icd_unlisted", "Z99"),
         ],
         "source string, code string",
@@ -73,11 +74,11 @@ def test_build_codelist_joins_sources_and_strips_dots(spark, dictionary):
     cl = build_codelist(cat, codes)
     assert rows(cl) == sorted(
         [
-            ("abdominal_hernia", "OPCS", "T201"),
-            ("acute_kidney_injury", "ICD", "N170"),
-            ("acute_kidney_injury", "ICD", "N179"),
-            ("crohns_disease", "ICD", "K50"),
-            ("crohns_disease", "SNOMEDCT", "34000006"),
+            ("creaking_knee", "OPCS", "T201"),
+            ("loud_ear_ring", "ICD", "N170"),
+            ("loud_ear_ring", "ICD", "N179"),
+            ("millers_cough", "ICD", "K50"),
+            ("millers_cough", "SNOMEDCT", "34000006"),
         ]
     )
     assert dict(cl.schema.fields and [(f.name, f.dataType.simpleString()) for f in cl.schema.fields]) == {
@@ -86,7 +87,7 @@ def test_build_codelist_joins_sources_and_strips_dots(spark, dictionary):
     totals = codelist_totals(cl).first()
     assert (totals["n_codes"], totals["n_phenotypes"]) == (5, 3)
     per = {r["phenotype"]: (r["n_codes"], r["n_terminologies"]) for r in codelist_per_phenotype(cl).collect()}
-    assert per["crohns_disease"] == (2, 2)
+    assert per["millers_cough"] == (2, 2)
     assert codelist_phenotypes(cl).count() == 3
 
 
@@ -100,10 +101,10 @@ def test_numeric_source_codes_become_strings(spark):
 
 def test_missing_sources_lists_catalog_rows_without_files(spark, dictionary):
     cat = to_catalog(dictionary)
-    present = spark.createDataFrame([("codelist_icd_aki",)], "source string")
+    present = spark.createDataFrame([("codelist_icd_ler",)], "source string")
     missing = missing_sources(cat, present)
     assert missing.count() == 10
-    assert missing.where(F.col("table") == "codelist_icd_aki").count() == 0
+    assert missing.where(F.col("table") == "codelist_icd_ler").count() == 0
 
 
 def test_two_code_columns(spark):
@@ -125,21 +126,21 @@ def _write_csv(path, header, lines):
 
 
 def test_read_code_files_routes_every_file_once(spark, tmp_dir):
-    _write_csv(f"{tmp_dir}/codelist_icd_aki.csv", "Disease,ICD10code", ["AKI,N17.0", "AKI,N17.9"])
-    _write_csv(f"{tmp_dir}/codelist_icd_crohns.csv", "Disease,ICD10code", ["Crohns,K50"])
-    _write_csv(f"{tmp_dir}/codelist_cprd_crohns_snomedct.csv", "Disease,conceptId", ["Crohns,34000006"])
-    _write_csv(f"{tmp_dir}/codelist_cprd_crohns.csv", "Disease,Readcode,Medcode",
+    _write_csv(f"{tmp_dir}/codelist_icd_ler.csv", "Disease,ICD10code", ["AKI,N17.0", "AKI,N17.9"])
+    _write_csv(f"{tmp_dir}/codelist_icd_miller.csv", "Disease,ICD10code", ["Crohns,K50"])
+    _write_csv(f"{tmp_dir}/codelist_cprd_miller_snomedct.csv", "Disease,conceptId", ["Crohns,34000006"])
+    _write_csv(f"{tmp_dir}/codelist_cprd_miller.csv", "Disease,Readcode,Medcode",
                ["Crohns,J40..00,123", "Crohns,J40z.00,"])
     _write_csv(f"{tmp_dir}/codelist_opcs_hernia.csv", "Disease,OPCS4code", ["Hernia,T20.1"])
     got = rows(read_code_files(spark, tmp_dir))
     assert got == sorted([
-        ("codelist_cprd_crohns", "Medcode", "123"),
-        ("codelist_cprd_crohns", "Readcode", "J40..00"),
-        ("codelist_cprd_crohns", "Readcode", "J40z.00"),
-        ("codelist_cprd_crohns_snomedct", "SNOMEDCT", "34000006"),
-        ("codelist_icd_aki", "ICD", "N17.0"),
-        ("codelist_icd_aki", "ICD", "N17.9"),
-        ("codelist_icd_crohns", "ICD", "K50"),
+        ("codelist_cprd_miller", "Medcode", "123"),
+        ("codelist_cprd_miller", "Readcode", "J40..00"),
+        ("codelist_cprd_miller", "Readcode", "J40z.00"),
+        ("codelist_cprd_miller_snomedct", "SNOMEDCT", "34000006"),
+        ("codelist_icd_ler", "ICD", "N17.0"),
+        ("codelist_icd_ler", "ICD", "N17.9"),
+        ("codelist_icd_miller", "ICD", "K50"),
         ("codelist_opcs_hernia", "OPCS", "T20.1"),
     ], key=lambda t: tuple((v is not None, str(v)) for v in t))
     listed = rows(list_sources(spark, tmp_dir, "codelist_*").select("source"))
@@ -149,56 +150,98 @@ def test_read_code_files_routes_every_file_once(spark, tmp_dir):
 def test_read_code_tables_and_list_tables(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS cl_test")
     spark.createDataFrame([("N17.0",)], "ICD10code string").write.mode("overwrite").saveAsTable(
-        "cl_test.codelist_icd_aki")
+        "cl_test.codelist_icd_ler")
     spark.createDataFrame([(34000006,)], "conceptId bigint").write.mode("overwrite").saveAsTable(
         "cl_test.codelist_cprd_x_snomedct")
     spark.createDataFrame([("T20.1",)], "OPCS4code string").write.mode("overwrite").saveAsTable(
         "cl_test.codelist_opcs_h")
     names = rows(list_tables(spark, "cl_test", "codelist*").select("table"))
-    assert [n[0] for n in names] == ["codelist_cprd_x_snomedct", "codelist_icd_aki", "codelist_opcs_h"]
+    assert [n[0] for n in names] == ["codelist_cprd_x_snomedct", "codelist_icd_ler", "codelist_opcs_h"]
     codes = read_code_tables(spark, [f"cl_test.{n[0]}" for n in names])
     assert rows(codes) == [
         ("codelist_cprd_x_snomedct", "SNOMEDCT", "34000006"),
-        ("codelist_icd_aki", "ICD", "N17.0"),
+        ("codelist_icd_ler", "ICD", "N17.0"),
         ("codelist_opcs_h", "OPCS", "T20.1"),
     ]
 
 
-def test_read_code_files_rejects_reordered_headers(spark, tmp_dir):
+def test_read_code_files_takes_columns_by_name(spark, tmp_dir):
+    _write_csv(f"{tmp_dir}/codelist_icd_a.csv", "Disease,ICD10code", ['"A, quoted",N17'])
+    _write_csv(f"{tmp_dir}/codelist_icd_b.csv", "ICD10code,Disease,Extra", ["K50,B,x", ",C,y"])
+    assert rows(read_code_files(spark, tmp_dir)) == [
+        ("codelist_icd_a", "ICD", "N17"), ("codelist_icd_b", "ICD", None), ("codelist_icd_b", "ICD", "K50")]
+
+
+def test_read_code_files_names_upper_case_spaces_and_plus(spark, tmp_dir):
+    _write_csv(f"{tmp_dir}/codelist icd a+b 100%.csv", "ICD10code", ["N17"])
+    _write_csv(f"{tmp_dir}/ICD_AAA.csv", "ICD10code", ["K50"])
+    assert rows(read_code_files(spark, tmp_dir)) == [("codelist icd a+b 100%", "ICD", "N17"), ("icd_aaa", "ICD", "K50")]
+    listed = rows(list_sources(spark, tmp_dir).select("source"))
+    assert listed == [("codelist icd a+b 100%",), ("icd_aaa",)]
+
+
+def test_read_code_files_reads_only_what_the_catalog_names(spark, tmp_dir):
     _write_csv(f"{tmp_dir}/codelist_icd_a.csv", "Disease,ICD10code", ["A,N17"])
-    _write_csv(f"{tmp_dir}/codelist_icd_b.csv", "ICD10code,Disease", ["K50,B"])
-    with pytest.raises(Exception):
-        read_code_files(spark, tmp_dir).collect()
+    _write_csv(f"{tmp_dir}/codelist_icd_other.csv", "Something", ["without the column"])
+    _write_csv(f"{tmp_dir}/readme.csv", "notes", ["no codes here"])
+    _write_csv(f"{tmp_dir}/codelist_icd_empty.csv", "Disease,ICD10code", [])
+    catalog = spark.createDataFrame(
+        [("a", "ICD", "codelist_icd_A"), ("b", "ICD", "codelist_icd_empty"), ("c", "ICD", "codelist_icd_none")],
+        "phenotype string, terminology string, table string")
+    assert rows(read_code_files(spark, tmp_dir, catalog=catalog)) == [("codelist_icd_a", "ICD", "N17")]
+    # an empty codelist exists, an absent one is missing
+    lower = catalog.withColumn("table", F.lower("table"))
+    assert [r["table"] for r in missing_sources(lower, list_sources(spark, tmp_dir)).collect()] == ["codelist_icd_none"]
+    odd = catalog.withColumn("table", F.lit("readme"))
+    with pytest.raises(Exception, match="no terminology in source name"):
+        read_code_files(spark, tmp_dir, catalog=odd).collect()
 
 
 def test_read_code_files_requires_the_routed_column(spark, tmp_dir):
     _write_csv(f"{tmp_dir}/codelist_opcs_a.csv", "Disease,conceptId", ["A,123"])
-    with pytest.raises(ValueError, match="OPCS4code"):
+    with pytest.raises(ValueError, match="codelist_opcs_a.*OPCS4code"):
         read_code_files(spark, tmp_dir)
 
 
+def test_typed_sources_without_their_column_fail_by_name(spark, tmp_dir):
+    spark.createDataFrame([("N17",)], "ICD10code string").write.parquet(f"{tmp_dir}/codelist_icd_good")
+    spark.createDataFrame([("N18",)], "icd_code string").write.parquet(f"{tmp_dir}/codelist_icd_bad")
+    with pytest.raises(ValueError, match="codelist_icd_bad.*ICD10code"):
+        read_code_files(spark, tmp_dir, fmt="parquet", source_from="directory")
+    spark.createDataFrame([("N18",)], "icd_code string").write.mode("overwrite").saveAsTable("codelist_icd_lacking")
+    with pytest.raises(ValueError, match="codelist_icd_lacking"):
+        read_code_tables(spark, ["codelist_icd_lacking"])
+
+
+def test_read_code_tables_code_column_as_partition_column(spark):
+    spark.createDataFrame([("a", "N17"), ("b", "N18")], "x string, ICD10code string").write.mode(
+        "overwrite").partitionBy("ICD10code").saveAsTable("codelist_icd_by_code")
+    assert rows(read_code_tables(spark, ["codelist_icd_by_code"])) == [
+        ("codelist_icd_by_code", "ICD", "N17"), ("codelist_icd_by_code", "ICD", "N18")]
+
+
 def test_read_code_files_parquet_table_per_folder(spark, tmp_dir):
     spark.createDataFrame([("N17.0",), ("N17.9",)], "ICD10code string").coalesce(2).write.parquet(
-        f"{tmp_dir}/codelist_icd_aki")
+        f"{tmp_dir}/codelist_icd_ler")
     spark.createDataFrame([(34000006,)], "conceptId bigint").write.parquet(
         f"{tmp_dir}/codelist_cprd_x_snomedct")
     got = rows(read_code_files(spark, tmp_dir, fmt="parquet", source_from="directory"))
     assert got == [
         ("codelist_cprd_x_snomedct", "SNOMEDCT", "34000006"),
-        ("codelist_icd_aki", "ICD", "N17.0"),
-        ("codelist_icd_aki", "ICD", "N17.9"),
+        ("codelist_icd_ler", "ICD", "N17.0"),
+        ("codelist_icd_ler", "ICD", "N17.9"),
     ]
 
 
 def test_read_code_files_partitioned_by_source(spark, tmp_dir):
     root = f"{tmp_dir}/lists"
-    spark.createDataFrame([("codelist_icd_aki", "N17.0"), ("codelist_icd_ckd", "N18")],
+    spark.createDataFrame([("codelist_icd_ler", "N17.0"), ("codelist_icd_ckd", "N18")],
                           "source string, ICD10code string").write.partitionBy("source").option(
         "header", True).csv(root)
     spark.createDataFrame([("codelist_opcs_h", "T20.1")], "source string, OPCS4code string").write.mode(
         "append").partitionBy("source").option("header", True).csv(root)
     got = rows(read_code_files(spark, root, source_from="partition"))
-    assert got == [("codelist_icd_aki", "ICD", "N17.0"), ("codelist_icd_ckd", "ICD", "N18"),
+    assert got == [("codelist_icd_ckd", "ICD", "N18"), ("codelist_icd_ler", "ICD", "N17.0"),
                    ("codelist_opcs_h", "OPCS", "T20.1")]
 
 
@@ -215,19 +258,19 @@ def test_tidy_codes_keeps_read_code_dots(spark):
 def test_build_codelist_with_cprd_keeps_read_and_med_codes(spark, dictionary, tmp_dir):
     lists = os.path.join(tmp_dir, "lists")
     os.makedirs(lists)
-    _write_csv(f"{lists}/codelist_cprd_crohns.csv", "Disease,Readcode,Medcode",
+    _write_csv(f"{lists}/codelist_cprd_miller.csv", "Disease,Readcode,Medcode",
                ["Crohns,J40..00,123", "Crohns,J40z.00,"])
-    _write_csv(f"{lists}/codelist_icd_crohns.csv", "Disease,ICD10code", ["Crohns,K50.0"])
+    _write_csv(f"{lists}/codelist_icd_miller.csv", "Disease,ICD10code", ["Crohns,K50.0"])
     cat = to_catalog(dictionary, prefix="codelist_")
     codes = read_code_files(spark, lists)
     default = rows(build_codelist(cat, codes))
-    assert default == [("crohns_disease", "ICD", "K500")]
+    assert default == [("millers_cough", "ICD", "K500")]
     with_cprd = rows(build_codelist(cat, codes, exclude=()))
     assert with_cprd == [
-        ("crohns_disease", "ICD", "K500"),
-        ("crohns_disease", "Medcode", "123"),
-        ("crohns_disease", "Readcode", "J40..00"),
-        ("crohns_disease", "Readcode", "J40z.00"),
+        ("millers_cough", "ICD", "K500"),
+        ("millers_cough", "Medcode", "123"),
+        ("millers_cough", "Readcode", "J40..00"),
+        ("millers_cough", "Readcode", "J40z.00"),
     ]
 
 

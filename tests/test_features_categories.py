@@ -57,21 +57,25 @@ def test_flag_matrix(mentions):
     counts = flag_matrix(mentions, phenotypes=["aki", "zzz"], binary=False)
     assert counts.columns == ["person_id_deid", "aki", "zzz"]
     assert rows(counts) == [("p1", 3, 0), ("p2", 1, 0)]
-    with pytest.raises(ValueError):
-        flag_matrix(mentions, max_columns=2)
+    from phenospark.operators.features import flag_cells, flag_sizes
 
+    assert {tuple(r) for r in flag_sizes(flags).collect()} == {
+        ("aki", 2, 0), ("ckd", 1, 1), ("crohns_disease", 1, 1), ("unmapped_one", 1, 1)}
+    assert flag_cells(flags).count() == 8
 
+
+# Invented names that hold the traps: an apostrophe, a comma, a category without an abbreviation and the reverse, no phenotype.
 CATEGORIES = """Phenotype,Category
-Acute Kidney Injury,Diseases of the Genitourinary system
-Crohn's disease,Diseases of the Digestive System
-Chronic Kidney Disease,Diseases of the Genitourinary system
+Left Knee Creak,Joints & Hinges
+Miller's cough,"Dust, Lungs"
+Slow Knee Creak,Joints & Hinges
 Orphaned thing,Uncategorised Stuff
-,Diseases of the Digestive System
+,"Dust, Lungs"
 """
 ABBREVIATIONS = """Category,Short
-Diseases of the Genitourinary system,gu
-Diseases of the Digestive System,gi
-Cancers,cancer
+Joints & Hinges,jh
+"Dust, Lungs",dl
+Nowhere used,nu
 """
 
 
@@ -88,21 +92,21 @@ def test_mapping_and_categorise(spark, lists, mentions):
     assert null_keys(categories, "Phenotype").count() == 1
     mapping = build_mapping(categories, abbreviations)
     assert rows(mapping) == [
-        ("acute_kidney_injury", "diseases_of_the_genitourinary_system", "gu"),
-        ("chronic_kidney_disease", "diseases_of_the_genitourinary_system", "gu"),
-        ("crohns_disease", "diseases_of_the_digestive_system", "gi"),
+        ("left_knee_creak", "joints__hinges", "jh"),
+        ("millers_cough", "dust_lungs", "dl"),
+        ("slow_knee_creak", "joints__hinges", "jh"),
     ]
     sizes = {r["cat"]: r["n_phenotypes"] for r in category_sizes(mapping).collect()}
-    assert sizes == {"gu": 2, "gi": 1}
-    m = mentions.withColumn("phenotype", F.when(F.col("phenotype") == "aki", "acute_kidney_injury")
-                            .otherwise(F.col("phenotype")))
+    assert sizes == {"jh": 2, "dl": 1}
+    new = {"aki": "left_knee_creak", "crohns_disease": "millers_cough"}
+    m = mentions.replace(new, subset=["phenotype"])
     joined = categorise(m, mapping)
     assert joined.count() == m.count()  # never drops a mention
-    assert joined.where(F.col("category").isNull()).count() == 2  # ckd (not normalised) + unmapped
+    assert joined.where(F.col("category").isNull()).count() == 2  # two phenotypes without a category
     assert rows(categorise_map(m, mapping)) == rows(joined)
     per_cat = {r["category"]: r["n_codes"] for r in codes_per_category(joined).collect()}
-    assert per_cat[None] == 2 and per_cat["diseases_of_the_genitourinary_system"] == 2
-    assert {r["phenotype"]: r["n_codes"] for r in codes_per_phenotype(m).collect()}["acute_kidney_injury"] == 2
+    assert per_cat[None] == 2 and per_cat["joints__hinges"] == 2
+    assert {r["phenotype"]: r["n_codes"] for r in codes_per_phenotype(m).collect()}["left_knee_creak"] == 2
 
 
 def test_duplicate_mapping_key_fails(spark, mentions):
@@ -121,11 +125,11 @@ def test_integrity_checks(spark, lists):
 
     listed, short = tidy_categories(categories), tidy_abbreviations(abbreviations)
     assert rows(unmapped(listed, short, "category")) == [("uncategorised_stuff",)]
-    assert rows(orphans(short, listed, "category")) == [("cancers",)]
-    codelist = spark.createDataFrame([("acute_kidney_injury",), ("zzz",)], "phenotype string")
+    assert rows(orphans(short, listed, "category")) == [("nowhere_used",)]
+    codelist = spark.createDataFrame([("left_knee_creak",), ("zzz",)], "phenotype string")
     mapping = build_mapping(categories, abbreviations)
     assert rows(unmapped(codelist, mapping)) == [("zzz",)]
-    assert rows(orphans(mapping, codelist)) == [("chronic_kidney_disease",), ("crohns_disease",)]
+    assert rows(orphans(mapping, codelist)) == [("millers_cough",), ("slow_knee_creak",)]
 
 
 def test_distinct_code_counts_by_terminology_and_approx(spark):
@@ -154,8 +158,12 @@ def test_features_from_one_summary_equal_direct(mentions):
 
     derived = features_from_summary(code_summary(mentions))
     assert rows(derived["first_dates"]) == rows(first_dates(mentions))
-    assert rows(derived["first_dates_by_phenotype"]) == rows(first_dates_by_phenotype(mentions))
-    assert rows(derived["n_occurrences"]) == rows(n_occurrences(mentions))
+    from phenospark.operators.features import features_by_phenotype
+
+    both = rows(derived["features_by_phenotype"])
+    assert both == rows(features_by_phenotype(mentions))
+    assert [r[:3] for r in both] == rows(first_dates_by_phenotype(mentions))
+    assert [(*r[:2], r[3]) for r in both] == rows(n_occurrences(mentions))
 
 
 def test_categorise_replaces_an_existing_category(spark, mentions):
@@ -166,8 +174,30 @@ def test_categorise_replaces_an_existing_category(spark, mentions):
     assert rows(twice) == rows(once)
 
 
-def test_categorise_map_falls_back_to_join_above_its_bound(spark, mentions):
-    mapping = spark.createDataFrame([("aki", "renal", "gu"), ("ckd", "renal", "gu")],
-                                    "phenotype string, category string, cat string")
-    assert rows(categorise_map(mentions, mapping, max_entries=1)) == rows(categorise(mentions, mapping))
+def test_categorise_map_equals_the_join_and_takes_no_rows(spark, mentions):
+    schema = "phenotype string, category string, cat string"
+    mapping = spark.createDataFrame([("aki", "renal", "gu"), ("ckd", "renal", "gu")], schema)
     assert rows(categorise_map(mentions, mapping)) == rows(categorise(mentions, mapping))
+    none = spark.createDataFrame([], schema)
+    assert rows(categorise_map(mentions, none)) == rows(categorise(mentions, none))
+
+
+def test_mention_volumes_equal_the_separate_counts(spark):
+    from phenospark.operators import match, mentions as all_mentions, narrow_records
+    from phenospark.operators.summary import coverage, duplicate_volume, mention_volumes
+
+    narrow = narrow_records(spark.createDataFrame(
+        [("a", D[0], "1"), ("a", D[0], "1"), ("b", None, "2"), ("b", None, "9")], "p string, d date, c string"), "p", "d", "c")
+    wide = spark.createDataFrame(
+        [("a", D[0], "K1", "ICD"), ("a", D[0], "K1", "ICD"), ("c", D[1], "1", "SNOMEDCT"), ("a", D[0], "1", "SNOMEDCT")],
+        "person_id_deid string, date date, code string, terminology string")
+    codelist = spark.createDataFrame(
+        [("x", "SNOMEDCT", "1"), ("y", "SNOMEDCT", "1"), ("x", "SNOMEDCT", "1"), ("z", "SNOMEDCT", "2"), ("w", "ICD", "K1")],
+        "phenotype string, terminology string, code string")
+    raw = all_mentions(codelist, narrow=narrow, wide=wide, deduplicate=False)
+    v = mention_volumes(codelist, narrow, wide).first()
+    assert (v.n_raw, v.n_dedup, v.n_duplicates) == tuple(duplicate_volume(raw).first())
+    assert (v.n_raw, v.unique_pts, v.phenotypes) == tuple(coverage(raw).first())
+    own = coverage(match(narrow, codelist, "SNOMEDCT")).first()
+    assert (v.narrow_raw, v.narrow_pts, v.narrow_phenotypes) == tuple(own)
+    assert mention_volumes(codelist.limit(0), narrow, wide).first().n_raw == 0

@@ -43,7 +43,7 @@ def test_mentions_equal_brute_force(spark, records, codelist):
     cl = spark.createDataFrame(codelist, "phenotype string, terminology string, code string")
     bag = _brute(records, codelist)
     for bound in (None, 0):
-        kwargs = {} if bound is None else {"max_broadcast_rows": bound}
+        kwargs = {} if bound is None else {"max_broadcast_bytes": bound}
         got = [tuple(r) for r in mentions(cl, records=long, **kwargs).collect()]
         assert _sorted(got) == _sorted(set(bag))
         got_bag = [tuple(r) for r in mentions(cl, records=long, deduplicate=False, **kwargs).collect()]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from phenospark.operators import dedup, first_dates, match, n_occurrences, narrow_records
 from phenospark.sinks import materialise, preview, write_table
-from phenospark.streaming.incremental import dedup_stream, match_stream
+from phenospark.streaming.incremental import match_stream, read_mentions, store_mentions
 from tests.conftest import rows
 
 
@@ -72,23 +72,50 @@ def test_materialise_and_write_table(spark, tmp_dir):
     assert preview(df, 5).count() == 5
 
 
-def test_streaming_match_equals_batch(spark, tmp_dir):
-    data, _ = _hot_records(spark, 300)
+def test_streamed_mentions_are_stored_once_whatever_their_date(spark, tmp_dir):
+    """Three batches; the last one holds records that are ten years older than
+    what came before, next to repeats of the earlier ones."""
     entries, codelist = _codelist(spark)
-    src = os.path.join(tmp_dir, "records")
-    spark.createDataFrame(data, "NHS_NUMBER_DEID string, DATE date, CODE string").write.parquet(src)
-    stream = spark.readStream.schema("NHS_NUMBER_DEID string, DATE date, CODE string").parquet(src)
-    mentions = dedup_stream(match_stream(narrow_records(stream), codelist, "SNOMEDCT"))
-    q = mentions.writeStream.format("memory").queryName("stream_mentions").outputMode("append").start()
-    q.processAllAvailable()
-    q.stop()
-    got = rows(spark.table("stream_mentions"))
-    expected = sorted(set(_brute_mentions(data, entries)), key=lambda t: tuple((v is not None, str(v)) for v in t))
-    assert got == expected
+    recent, _ = _hot_records(spark, 300)
+    old = [(p, day.replace(year=2010), c) for p, day, c in recent[:90]]
+    batches = [recent[:200], recent[100:], old + recent[50:150] + old[:10] + [("px", None, "H1")] * 2]
+    schema = "NHS_NUMBER_DEID string, DATE date, CODE string"
+    src, target, checkpoint = (os.path.join(tmp_dir, d) for d in ("records", "stored", "checkpoint"))
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = match_stream(narrow_records(spark.readStream.schema(schema).parquet(src)), codelist, "SNOMEDCT")
+        store_mentions(stream, target, checkpoint).awaitTermination()
+    got = rows(read_mentions(spark, target))
+    expected = set(_brute_mentions([r for b in batches for r in b], entries))
+    assert got == sorted(expected, key=lambda t: tuple((v is not None, str(v)) for v in t))
+
+
+def test_a_batch_run_again_writes_the_same(spark, tmp_dir):
+    from phenospark.streaming.incremental import add_new_mentions
+
+    entries, codelist = _codelist(spark)
+    data, records = _hot_records(spark, 60)
+    found = match(records, codelist, "SNOMEDCT")
+    target = os.path.join(tmp_dir, "stored")
+    for batch_id in (0, 1, 1, 2):
+        add_new_mentions(found, batch_id, target)
+    assert rows(read_mentions(spark, target)) == rows(found.distinct())
+
+
+def test_salted_join_is_planned_as_a_merge_join_and_spreads_copies(spark):
+    from phenospark.operators.joins import salted_join
+
+    facts = spark.range(0, 4000, 1, 8).select(F.lit("hot").alias("code"))  # copies of one record in eight partitions
+    lookup = spark.createDataFrame([("hot", "p")], "code string, phenotype string")
+    joined = salted_join(facts, lookup, ["code"], salt_buckets=64)
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 4000
+    salts = facts.select(F.pmod(F.xxhash64("code", F.spark_partition_id()), F.lit(64)).alias("s")).distinct().count()
+    assert salts > 1
 
 
 def test_fallback_paths_equal_broadcast_paths(spark):
-    """max_broadcast_rows=0 forces every lookup join onto the salted shuffle
+    """max_broadcast_bytes=0 forces every lookup join onto the salted shuffle
     path; results must not change."""
     from phenospark.operators import categorise, mentions
     from phenospark.operators.joins import lookup_join
@@ -99,14 +126,14 @@ def test_fallback_paths_equal_broadcast_paths(spark):
     doubled = records.unionByName(records)
     for dedup_flag in (True, False):
         a = mentions(codelist, narrow=doubled, deduplicate=dedup_flag)
-        b = mentions(codelist, narrow=doubled, deduplicate=dedup_flag, max_broadcast_rows=0)
+        b = mentions(codelist, narrow=doubled, deduplicate=dedup_flag, max_broadcast_bytes=0)
         assert rows(a) == rows(b)
     raw = mentions(codelist, narrow=doubled, deduplicate=False)
     assert raw.count() == 2 * len(_brute_mentions(data, entries))
     mapping = spark.createDataFrame([("hot_pheno", "cat_a", "a"), ("ph1", "cat_b", "b")],
                                     "phenotype string, category string, cat string")
     m = mentions(codelist, narrow=records)
-    assert rows(categorise(m, mapping)) == rows(categorise(m, mapping, max_broadcast_rows=0))
+    assert rows(categorise(m, mapping)) == rows(categorise(m, mapping, max_broadcast_bytes=0))
     for how in ("left_semi", "left_anti", "left"):
         keys = codelist.select("code").distinct()
         x = lookup_join(records, keys, "code", how, broadcast=True)
@@ -148,7 +175,7 @@ def test_streaming_match_shuffle_path(spark, tmp_dir):
     src = os.path.join(tmp_dir, "records2")
     spark.createDataFrame(data, "NHS_NUMBER_DEID string, DATE date, CODE string").write.parquet(src)
     stream = spark.readStream.schema("NHS_NUMBER_DEID string, DATE date, CODE string").parquet(src)
-    out = match_stream(narrow_records(stream), codelist, "SNOMEDCT", max_broadcast_rows=0)
+    out = match_stream(narrow_records(stream), codelist, "SNOMEDCT", max_broadcast_bytes=0)
     q = out.writeStream.format("memory").queryName("stream_mentions_shuffle").outputMode("append").start()
     q.processAllAvailable()
     q.stop()

@@ -74,20 +74,18 @@ def main() -> None:
         ("Mentions (codelist fits: broadcast semi join, one exchange, broadcast join)",
          mentions(codelist, narrow=narrow, wide=wide)),
         ("Mentions, codelist over the broadcast bound (salted shuffle fallback)",
-         mentions(codelist, narrow=narrow, wide=wide, max_broadcast_rows=0)),
+         mentions(codelist, narrow=narrow, wide=wide, max_broadcast_bytes=0)),
         ("Raw (bag) mentions", mentions(codelist, narrow=narrow, wide=wide, deduplicate=False)),
         ("First dates", features.first_dates(m)),
         ("Per-code summary (the one shuffle behind all per-person features)", features.code_summary(m)),
-        ("Occurrences derived from the summary", features.features_from_summary(
-            write_and_read(features.code_summary(m), f"{root}/code_summary"))["n_occurrences"]),
+        ("First date and occurrences per phenotype, from the summary", features.features_from_summary(
+            write_and_read(features.code_summary(m), f"{root}/code_summary"))["features_by_phenotype"]),
+        ("All counts of the mentions stage", summary.mention_volumes(codelist, narrow, wide)),
         ("Flag matrix", features.flag_matrix(m)),
         ("Coverage (exact distinct counts)", summary.coverage(m)),
         ("Categorise (left join, checked broadcast)", category_ops.categorise(m, mapping)),
         ("Codes per category", summary.codes_per_category(category_ops.categorise(m, mapping))),
     ]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    fallback = plan_text(mentions(codelist, narrow=narrow, wide=wide, max_broadcast_rows=0))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
     out = ["# Physical plans of the core stages",
            "",
            f"Generated by `tools/explain_plans.py` on inputs derived from `{sf_dir}` and",
@@ -96,8 +94,6 @@ def main() -> None:
            ""]
     for title, df in sections:
         out += [f"## {title}", "", "```", plan_text(df), "```", ""]
-    out += ["## Mentions fallback with the planner's own broadcast switched off",
-            "", "```", fallback, "```", ""]
     target = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(target, "w") as fh:
         fh.write("\n".join(out))
