@@ -6,10 +6,11 @@ every word, in how many labelled texts and in how many toxic ones it stands
 (equal texts count once), and the same for the word's prefixes of 3 to 8
 letters, so that inflected forms share what is known of their stem. A node (a
 prefix, or a whole word) has the log-odds of toxic against clean texts under a
-Dirichlet prior with the corpus' own share; nodes whose log-odds stand out by
-``Z_LEAST`` standard deviations form the lexicon, together with the nodes below
-them that don't stand out. A word scores as its longest node in the lexicon, any
-other word has the slightly negative score of a toxic passage's plain words.
+Dirichlet prior with the corpus' own share; nodes that stand out by ``Z_LEAST``
+standard deviations with log-odds of at least ``ODDS_LEAST`` are marked. They
+form the lexicon, together with the nodes below them that turn out plain. A word
+scores as its longest node in the lexicon, if that is marked; any other word has
+the slightly negative score of a toxic passage's plain words.
 
 A linear-time scan (Ruzzo and Tompa) then finds all maximal-scoring segments of
 a text's word scores. With the decay rate lambda for which clean words' scores
@@ -48,6 +49,10 @@ from phenospark.sinks import materialise
 PREFIXES = range(3, 9)
 PRIOR = 4.0
 Z_LEAST = 3.5
+#: Least log-odds of a marked node (20 times as likely in toxic texts): a long text has many weaker ones by chance.
+ODDS_LEAST = 3.0
+#: Log-odds under which a node is plain though its stem is marked.
+ODDS_PLAIN = 0.5
 #: Least number of toxic texts that a node of the lexicon stands in.
 TEXTS_LEAST = 3
 MAX_NODES = 1 << 17
@@ -102,12 +107,11 @@ def _evidence(share: float) -> tuple[Column, Column]:
 
 
 class Model:
-    """The lexicon, the decay rate and K of the extreme-value law, and the logistic curve."""
+    """The lexicon (node: log-odds, 0 if plain), and the decay rate and K of the extreme-value law."""
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
         self.decay, self.k = 1.0, 1e-6
-        self.slope, self.offset = 1.0, 0.0
         self._known: dict[str, float] = {}
 
     def __getstate__(self) -> dict:
@@ -121,7 +125,7 @@ class Model:
                 if score is not None:
                     break
                 score = self.lexicon.get(word[:n])
-            score = _OTHER if score is None or score < -_OTHER else score
+            score = score or _OTHER
             if len(self._known) >= 200_000:  # a task's memory of words is bounded
                 self._known.clear()
             self._known[word] = score
@@ -216,22 +220,22 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     odds, z = _evidence(share)
     marked = tree.select("node", "toxic", "texts", odds.alias("odds"), z.alias("z"))
     high = (
-        marked.where((F.col("z") >= Z_LEAST) & (F.col("toxic") >= TEXTS_LEAST))
+        marked.where((F.col("z") >= Z_LEAST) & (F.col("odds") >= ODDS_LEAST) & (F.col("toxic") >= TEXTS_LEAST))
         .orderBy(F.desc("z"), "node").limit(MAX_NODES // 2).collect()
     )
     lexicon = {r["node"]: r["odds"] for r in high}
     stems = [n for n in lexicon if not n.endswith("$")]
-    if stems:  # what stands below a stem without standing out itself keeps its own, lower odds
+    if stems:  # what stands below a marked stem without being marked itself may be plain
         above = F.expr("explode(transform(sequence(3, greatest(3, least(8, length(node) - 1))), n -> substr(node, 1, n)))")
         stem_rows = tree.sparkSession.createDataFrame([(s,) for s in stems], "above string")
         below = (
-            marked.where((F.col("z") < Z_LEAST) & (F.col("texts") >= TEXTS_LEAST))
-            .select("node", "odds", "z", above.alias("above"))
-            .join(F.broadcast(stem_rows), "above", "left_semi")
-            .where(F.col("odds") < 0.5).select("node", "odds", "z").distinct()
-            .orderBy("z", "node").limit(MAX_NODES // 2).collect()
+            marked.where((F.col("texts") >= TEXTS_LEAST) & (
+                (F.col("odds") < ODDS_PLAIN) | ((F.col("odds") < ODDS_LEAST) & (F.col("z") >= Z_LEAST))))
+            .select("node", "texts", above.alias("above"))
+            .join(F.broadcast(stem_rows), "above", "left_semi").select("node", "texts").distinct()
+            .orderBy(F.desc("texts"), "node").limit(MAX_NODES // 2).collect()
         )
-        lexicon.update({r["node"]: r["odds"] for r in below})
+        lexicon.update({r["node"]: 0.0 for r in below})
     model = Model(lexicon)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
