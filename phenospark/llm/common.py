@@ -4,6 +4,7 @@ scanner and 64-bit word hashes (numpy, used inside Spark tasks)."""
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -19,7 +20,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 4 << 20
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Adds this package's place to the Python workers' search path, for sessions
+    whose driver imports it from a folder of its own. (On a cluster the package
+    is shipped as usual, e.g. by ``--py-files``.)"""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, known)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the corpus."""
+    workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
