@@ -14,8 +14,8 @@ from phenospark.llm import bpe, decontam, exact_dedup, langid, simhash
 from phenospark.llm.common import fold, table
 from phenospark.sinks import materialise
 
-#: A document goes if no language reaches this share of the network's belief.
-LEAST_LANGUAGE_SCORE = 0.5
+#: A document goes if no language reaches this share of the network's belief (texts in two languages stay).
+LEAST_LANGUAGE_SCORE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
