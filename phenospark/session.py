@@ -8,7 +8,9 @@ and only when it is unset.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -84,6 +86,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set: point it at a folder every executor shares"
         )
     local = tempfile.mkdtemp(prefix="phenospark-ckpt-", dir="/tmp")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)  # made here, so removed here
     try:
         spark.sparkContext.setCheckpointDir(local)
         return spark.sparkContext.getCheckpointDir()
