@@ -23,6 +23,20 @@ ORACLE_SQL = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op9_substring": r"""
+        WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM texts WHERE len(w) >= 50),
+        windows AS (SELECT doc_id, s, array_to_string(w[s : s + 49], ' ') AS k FROM starts),
+        firsts AS (SELECT k, min(doc_id) AS first_id FROM windows GROUP BY k),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS pos
+            FROM windows JOIN firsts USING (k) WHERE doc_id > first_id),
+        lost AS (SELECT doc_id, list(pos) AS positions FROM gone GROUP BY doc_id)
+        SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(positions), 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(array_to_string(
+                   CASE WHEN positions IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(positions, i)) END, ' '), '')) AS kept_sha256
+        FROM texts t LEFT JOIN lost l ON t.doc_id = l.doc_id
+    """,
     "op10_decontamination": r"""
         WITH texts AS (
             SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
