@@ -22,14 +22,14 @@ from __future__ import annotations
 import base64
 import heapq
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from phenospark.llm.blocks import ask, finish, pack, pack_bytes, part_count, store_blocks, unpack, unpack_bytes
+from phenospark.llm.blocks import BLOCK_BYTES, ask, finish, pack, pack_bytes, part_count, store_blocks, unpack, unpack_bytes
 from phenospark.llm.common import sha256
 
 
@@ -73,9 +73,14 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 def _packer(pattern: str):
     compiled = regex.compile(pattern)
 
+    def pieces_of(text: str) -> Iterable[str]:
+        if len(text) <= BLOCK_BYTES:
+            return compiled.findall(text)
+        return (m[0] for m in compiled.finditer(text))  # a long text isn't listed whole
+
     def run(ids: list, texts: list[str]) -> dict:
         number: dict[str, int] = {}
-        docs = [np.fromiter((number.setdefault(w, len(number)) for w in compiled.findall(t)), np.uint32) for t in texts]
+        docs = [np.fromiter((number.setdefault(w, len(number)) for w in pieces_of(t)), np.uint32) for t in texts]
         return {
             "sizes": [len(d) for d in docs],
             "places": pack(np.concatenate(docs) if docs else np.zeros(0, np.uint32)),

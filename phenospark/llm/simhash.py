@@ -50,26 +50,39 @@ from phenospark.sinks import materialise
 #: Fingerprints whose keys one part of the shuffle should get (about 12 bytes a key).
 PART_FINGERPRINTS = 6_000
 _WORD = re.compile(WORD.encode())
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _OWN = 63  # "no bit flipped", in place of a bit's number
 
 
-def fingerprint(text: bytes, shingle: int = 3, slice_words: int = 1 << 16) -> int:
-    """The 64-bit SimHash of a text."""
-    words = _WORD.findall(text.translate(_LOWER))
-    if not words:
-        return 0
-    n = max(1, len(words) - shingle + 1)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    joined = b" ".join(words)
+def _pieces(text: bytes, size: int) -> Iterator[bytes]:
+    """A text in pieces of about ``size`` bytes, cut between words."""
+    at = 0
+    while at < len(text):
+        gap = _GAP.search(text, at + size)
+        to = gap.end() if gap else len(text)
+        yield text[at:to]
+        at = to
+
+
+def fingerprint(text: bytes, shingle: int = 3, piece: int = 1 << 20) -> int:
+    """The 64-bit SimHash of a text; its words are listed a piece at a time."""
     digest = xxhash.xxh64_intdigest
     ones = np.zeros(64, dtype=np.int64)
-    last = ends[shingle - 1 :] if len(words) >= shingle else ends[-1:]
-    for i in range(0, n, slice_words):
-        pairs = zip(starts[i : min(i + slice_words, n)].tolist(), last[i : i + slice_words].tolist())
-        h = np.array([digest(joined[a:b], 42) for a, b in pairs], dtype="<u8")
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    n = 0
+    words: list[bytes] = []
+    for part in _pieces(text, piece):
+        words += _WORD.findall(part.translate(_LOWER))
+        if len(words) >= shingle:
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+            starts = [0, *(ends[:-1] + 1).tolist()]
+            joined = b" ".join(words)
+            h = np.array([digest(joined[a:b], 42) for a, b in zip(starts, ends[shingle - 1 :].tolist())], dtype="<u8")
+            ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            n += len(h)
+            words = words[len(words) - shingle + 1 :]
+    if not n:  # fewer words than a shingle has
+        return digest(b" ".join(words), 42) if words else 0
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 

@@ -36,7 +36,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -133,15 +133,23 @@ class Model:
 
     def text_evidence(self, text: str | None) -> float:
         """Sum of -ln E over the significant segments, or the best segment's -ln E."""
-        words = _WORD.findall((text or "").lower())
-        base = -math.log(self.k * max(len(words), 1))
-        found = [base + self.decay * s for _, _, s in segments([self.word_score(w) for w in words])]
+        n = 0
+
+        def scores() -> Iterator[float]:  # word by word, so a long text isn't listed whole
+            nonlocal n
+            for m in _WORD.finditer((text or "").lower()):
+                n += 1
+                yield self.word_score(m[0])
+
+        best = segments(scores())
+        base = -math.log(self.k * max(n, 1))
+        found = [base + self.decay * s for _, _, s in best]
         strong = [x for x in found if x > -math.log(SIGNIFICANT)]
         return sum(strong) if strong else max(found, default=base)
 
 
-def segments(scores: Sequence[float]) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments (first, end, score) of a list, in order.
+def segments(scores: Iterable[float]) -> list[tuple[int, int, float]]:
+    """All maximal-scoring segments (first, end, score) of a sequence, in order.
 
     Runs of negative scores only add to the running total, so the work on the
     stack is in the positive ones."""

@@ -104,7 +104,9 @@ def test_fingerprint_equals_spark_hash_votes(spark):
     got = spark.range(1).select(F.xxhash64(F.lit("two words"))).first()[0]
     assert got % 2**64 == brute_fingerprint("two  Words")
     long = " ".join(str(i % 977) for i in range(70_000))
-    assert simhash.fingerprint(long.encode(), slice_words=1000) == simhash.fingerprint(long.encode())
+    for piece in (1, 50, 5000):
+        assert simhash.fingerprint(long.encode(), piece=piece) == simhash.fingerprint(long.encode()) == brute_fingerprint(long)
+    assert simhash.fingerprint(b"a b", piece=1) == brute_fingerprint("a b")
 
 
 def test_near_duplicates_against_brute_force(spark):
