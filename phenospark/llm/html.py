@@ -62,6 +62,16 @@ _BOILER_WORD = set(
 _COMMENT_WORD = set("comment comments commentlist reply replies respond disqus discussion feedback reader readers responses".split())
 _ARTICLE_WORD = set("article content post entry story main articlebody body text".split())
 
+#: Words that say nothing by themselves: a name of these and boilerplate words names boilerplate (``site-header``), one with
+#: any other word doesn't (``article-header``, ``has-sidebar``).
+_NEUTRAL_WORD = set(
+    "left right top bottom upper lower first last main primary secondary global site page box wrap wrapper container inner outer "
+    "block section area list item items group panel slot unit bar row col column buttons button link links icons icon text title "
+    "big small wide mobile desktop sticky fixed the js is".split()
+)
+#: Elements that are never boilerplate as a whole, whatever their names say.
+_WHOLE = {"html", "body", "main", "article"}
+
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
             "in_boiler_tag", "boiler_word", "comment_word", "in_article", "article_word", "heading")
 
@@ -152,13 +162,21 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
 
 @cache
 def _named(tag: str, words: str) -> tuple[int, int, int, int, int, int]:
-    names = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", words).lower()))
-    return (int(tag in _BOILER_TAG), int(bool(names & _BOILER_WORD)), int(bool(names & _COMMENT_WORD)),
-            int(tag in _ARTICLE_TAG), int(bool(names & _ARTICLE_WORD)), int(tag in _HEADING))
+    boiler = comment = article = False
+    for name in words.split("\n"):
+        parts = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
+        known = parts <= _BOILER_WORD | _COMMENT_WORD | _NEUTRAL_WORD and tag not in _WHOLE
+        boiler |= known and bool(parts & _BOILER_WORD)
+        comment |= known and bool(parts & _COMMENT_WORD)
+        article |= bool(parts & _ARTICLE_WORD)
+    return (int(tag in _BOILER_TAG), int(boiler), int(comment), int(tag in _ARTICLE_TAG), int(article), int(tag in _HEADING))
 
 
 def _place(tag: str, attrs: str, outer: tuple[int, ...]) -> tuple[int, ...]:
-    words = " ".join(a or b or c for _, a, b, c in _ATTR.findall(attrs)) if "=" in attrs else ""
+    words = ""
+    if "=" in attrs:  # one name a line: each class by itself, an id, role or label as a whole
+        found = [(key.lower(), a or b or c) for key, a, b, c in _ATTR.findall(attrs)]
+        words = "\n".join(n for key, value in found for n in (value.split() if key == "class" else [value]))
     own = _named(tag, words) if len(words) < 200 else _named.__wrapped__(tag, words)
     place = [max(a, b) for a, b in zip(own, outer)]
     place[5] = own[5] if tag in _HEADING else (outer[5] if tag in _INLINE else 0)

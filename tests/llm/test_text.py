@@ -268,6 +268,10 @@ def test_main_text_of_awkward_pages():
     plain = "<p>" + "A long enough paragraph of plain words stands here without any links. " * 3
     assert html.main_text(plain, tree) == " ".join(plain[3:].split())
     assert html.main_text("<article><p>cut off &am", tree) == "cut off &am"
+    named = ('<body class="single has-sidebar"><div class="content-wrap with-sidebar"><div class="article-header"><h1>Title</h1></div>'
+             '<p>Some words of the article itself.</p><div class="site-footer">All rights kept by all of us here.</div>'
+             '<div id="reader-comments"><p>I think so too, and so do all my friends.</p></div></div>')
+    assert html.main_text(named, tree) == "Title\nSome words of the article itself."
     assert "x" * 100_000 in html.main_text("<article><p>" + "x" * 100_000, tree)
 
 
