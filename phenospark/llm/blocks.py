@@ -128,6 +128,15 @@ def part_count(blocks: DataFrame, part_bytes: int = PART_BYTES) -> int:
     return max(1, math.ceil(total / part_bytes))
 
 
+_SEND_BYTES = 2 << 20
+
+
+def each(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    """The rows, one at a time: those of the others are not unpacked yet."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def ask(blocks: DataFrame, columns: list[str], request: Callable[[dict], Iterator[tuple]],
         answer: Callable[[list[tuple[int, int, str, bytes]]], Iterator[tuple]]) -> DataFrame:
     """grp, block, kind, part, reply: the answers to every block's questions.
@@ -135,16 +144,27 @@ def ask(blocks: DataFrame, columns: list[str], request: Callable[[dict], Iterato
     ``request(block)`` gives (part, kind, keys) of a block (a dict of
     ``columns``); ``answer`` gets the (grp, block, kind, keys) of one part and
     gives (grp, block, kind, reply)."""
+    def rows(block: dict, asked: list[tuple]) -> pa.RecordBatch:
+        n = len(asked)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([a[0] for a in asked], pa.int32()), pa.array([block["grp"]] * n, pa.int32()),
+             pa.array([block["block"]] * n, pa.int64()), pa.array([a[1] for a in asked], pa.string()),
+             pa.array([a[2] for a in asked], pa.binary())],
+            names=["part", "grp", "block", "kind", "keys"])
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                asked = list(request(row))
+            for row in each(batch):
+                asked: list[tuple] = []
+                size = 0
+                for a in request(row):
+                    asked.append(a)
+                    size += len(a[2])
+                    if size >= _SEND_BYTES:
+                        yield rows(row, asked)
+                        asked, size = [], 0
                 if asked:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([a[0] for a in asked], pa.int32()), pa.array([row["grp"]] * len(asked), pa.int32()),
-                         pa.array([row["block"]] * len(asked), pa.int64()), pa.array([a[1] for a in asked], pa.string()),
-                         pa.array([a[2] for a in asked], pa.binary())],
-                        names=["part", "grp", "block", "kind", "keys"])
+                    yield rows(row, asked)
 
     def reply(table: pa.Table) -> pa.Table:
         part = table["part"][0].as_py()
@@ -169,7 +189,7 @@ def finish(blocks: DataFrame, columns: list[str], replies: DataFrame,
         of: dict[int, list[dict]] = {}
         for row in right.to_pylist():
             of.setdefault(row["block"], []).append(row)
-        out = [r for row in left.to_pylist() for r in work(row, of.get(row["block"], []))]
+        out = [r for row in each(left) for r in work(row, of.pop(row["block"], []))]
         return pa.table([pa.array([r[i] for r in out], f.type) for i, f in enumerate(arrow)], schema=arrow)
 
     return (

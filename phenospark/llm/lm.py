@@ -16,8 +16,9 @@ The automaton grows with the corpus and is never held whole: each block of
 documents asks for the counts of its own distinct n-grams (blocks.py), which
 are exactly the states and arcs that its texts can touch, and its texts are read
 on that piece of the automaton. Counts cover all training texts. N-grams are
-told apart by 64-bit hashes (two of a billion n-grams share one with a chance of
-a few per cent).
+told apart by hashes: tokens by 64 bits (two of a billion share one with a chance
+of a few per cent), longer n-grams by 56 (of five billion, one in ten million
+meets another).
 
 Defined results: null and empty texts consist of the end token; a null doc_id
 is not held out; without training texts every token is unseen and has
@@ -44,6 +45,10 @@ from phenospark.sinks import materialise
 #: Longest n-gram, and the weight of the shorter history in tokens, for histories of 1, 2, ... tokens.
 ORDER = 3
 PRIOR = (30.0, 4.0)
+#: Bits of a longer n-gram's hash that count.
+_KEPT = np.uint64(2**64 - 2**8)
+#: Text of a block, and text whose n-grams one part should get.
+_BLOCK_BYTES, _PART_BYTES = 4 << 20, 8 << 20
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -59,10 +64,9 @@ def unpack_texts(block: dict) -> list[bytes]:
 
 
 class _Grams:
-    """The n-grams of a block: for each order the sorted distinct keys, and at
-    which tokens (places in one row of start, words and end per text) they end."""
+    """The tokens of a block: one row of start, words and end per text."""
 
-    def __init__(self, texts: list[bytes], order: int):
+    def __init__(self, texts: list[bytes]):
         scan = Block(texts, lower=True)
         words = np.diff(scan.first)
         self.begin = np.concatenate(([0], np.cumsum(words + 2)))  # of each text's row
@@ -72,37 +76,33 @@ class _Grams:
         is_end = np.zeros(len(row), dtype=bool)
         is_end[self.begin[1:] - 1] = True
         row[self.is_start], row[is_end], row[~(self.is_start | is_end)] = _START, _END, scan.hash
-        self.text = np.repeat(np.arange(len(texts)), words + 2)
-        self.keys: list[np.ndarray] = []
-        self.number: list[np.ndarray] = []  # of the key
-        self.end: list[np.ndarray] = []  # the n-gram's last token
-        for n in range(1, order + 1):
-            at = np.arange(len(row) - n + 1)
-            at = at[self.text[at] == self.text[at + n - 1]] if n > 1 else at[~self.is_start]
-            keys, number = np.unique(gram_hashes(row, n)[at], return_inverse=True)
-            self.keys.append(keys)
-            self.number.append(number)
-            self.end.append(at + n - 1)
-
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), words + 2)
+        self.row = row
 
-def _counts(texts_trained: np.ndarray, grams: _Grams, n: int) -> np.ndarray:
-    """How often each distinct n-gram stands in the block's training texts."""
-    used = texts_trained[grams.text[grams.end[n - 1]]]
-    return np.bincount(grams.number[n - 1][used], minlength=len(grams.keys[n - 1])).astype(np.uint32)
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the n-grams: the sorted distinct keys, each n-gram's number among them, and the place of its last token."""
+        last = np.arange(n - 1, len(self.row), dtype=np.int32)
+        last = last[self.text[last] == self.text[last - n + 1]] if n > 1 else last[~self.is_start]
+        hashes = gram_hashes(self.row, n)[last - n + 1]
+        if n > 1:
+            hashes &= _KEPT
+        keys, number = np.unique(hashes, return_inverse=True)
+        return keys, number.astype(np.int32), last
 
 
 def score_texts(docs: DataFrame, parts_of_fold: int, held_part: int, order: int = ORDER, prior: Sequence[float] = PRIOR) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for
     every row of ``docs`` (doc_id, text). Texts whose crc32(doc_id) mod
     ``parts_of_fold`` is ``held_part`` are scored but not learned from."""
-    blocks = store_blocks(docs, "lm", pack_texts, "sizes array<int>, packed binary")
-    parts = part_count(blocks)
+    blocks = store_blocks(docs, "lm", pack_texts, "sizes array<int>, packed binary", _BLOCK_BYTES)
+    parts = part_count(blocks, _PART_BYTES)
 
     def request(block: dict) -> Iterator[tuple]:
-        grams = _Grams(unpack_texts(block), order)
-        trained = np.array([not in_fold(i, parts_of_fold, held_part) for i in block["ids"]])
+        grams = _Grams(unpack_texts(block))
+        trained = np.array([not in_fold(i, parts_of_fold, held_part) for i in block["ids"]])[grams.text]
         for n in range(1, order + 1):
-            keys, counts = grams.keys[n - 1], _counts(trained, grams, n)
+            keys, number, last = grams.of(n)
+            counts = np.bincount(number[trained[last]], minlength=len(keys)).astype(np.uint32)
             bounds = part_bounds(keys, parts)
             for p in np.flatnonzero(np.diff(bounds)):
                 own = slice(bounds[p], bounds[p + 1])
@@ -113,8 +113,10 @@ def score_texts(docs: DataFrame, parts_of_fold: int, held_part: int, order: int
             own = [(g, b, *unpack_bytes(k)) for g, b, kind, k in asked if kind == n]
             keys = [unpack_sorted(k) for _, _, k, _ in own]
             distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
+            number = number.astype(np.int32)
             counts = np.concatenate([unpack(c, "<u4") for *_, c in own])
             total = np.bincount(number, weights=counts, minlength=len(distinct)).astype(np.uint32)
+            del distinct, counts
             at = 0
             for (g, b, _, _), k in zip(own, keys):
                 yield g, b, n, pack(total[number[at : at + len(k)]])
@@ -129,14 +131,15 @@ def score_texts(docs: DataFrame, parts_of_fold: int, held_part: int, order: int
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
 
     def work(block: dict, own: list[dict]) -> Iterator[tuple]:
-        grams = _Grams(unpack_texts(block), order)
+        grams = _Grams(unpack_texts(block))
         size = int(grams.begin[-1])
         count = []  # by order, of the n-gram that ends at a token; 0 where there is none
         for n in range(1, order + 1):
             mine = sorted((r for r in own if r["kind"] == str(n)), key=lambda r: r["part"])
             total = np.concatenate([unpack(r["reply"], "<u4") for r in mine]) if mine else np.zeros(0, np.uint32)
+            _, number, last = grams.of(n)
             at = np.zeros(size)
-            at[grams.end[n - 1]] = total[grams.number[n - 1]]
+            at[last] = total[number]
             count.append(at)
         token = ~grams.is_start
         seen = count[0] > 0

@@ -45,6 +45,8 @@ from phenospark.llm.lm import pack_texts, unpack_texts
 from phenospark.sinks import materialise
 
 WINDOW = 50
+#: Text of a block, and text whose windows one part should get.
+_BLOCK_BYTES, _PART_BYTES = 4 << 20, 8 << 20
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 2**64)
 
@@ -171,7 +173,7 @@ def _verify(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 def shared_spans(blocks: DataFrame, window: int) -> DataFrame:
     """Of every block: ``ref`` rows (a document's passages that later ones share),
     ``cand`` rows (spans that point to an owner), ``text`` rows (their distinct contents)."""
-    parts = part_count(blocks)
+    parts = part_count(blocks, _PART_BYTES)
 
     def request(block: dict) -> Iterator[tuple]:
         w = _Windows(block, window)
@@ -248,7 +250,7 @@ def shared_spans(blocks: DataFrame, window: int) -> DataFrame:
 def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and the kept words as ``text``)
     for every row of ``docs`` (doc_id integer, text)."""
-    blocks = store_blocks(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")), "spans", pack_texts, "sizes array<int>, packed binary")
+    blocks = store_blocks(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")), "spans", pack_texts, "sizes array<int>, packed binary", _BLOCK_BYTES)
     spans = materialise(shared_spans(blocks, window), "spans")
     shards = spans.where("kind = 'ref'").groupBy("owner").agg(F.collect_list("text").alias("shard"))  # of one document each
     contents = spans.where("kind = 'text'").select("owner", "content", "text").distinct()
