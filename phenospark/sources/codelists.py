@@ -26,6 +26,7 @@ from phenospark.functions.routing import (
 )
 from phenospark.operators.joins import lookup_join
 from phenospark.operators.reshape import melt_codes
+from phenospark.sinks import materialise
 
 
 def decoded(path: Column) -> Column:
@@ -118,11 +119,11 @@ def _csv_codes(spark: SparkSession, root: str, glob: str, source_from: str, cata
     )
     lines = _wanted(lines, catalog).where(F.length(F.trim("value")) > 0)
     # A file's first line: the least row number of its first block (numbers rise inside a block).
-    headers = (
+    # Written once: the scan that finds them isn't run again for the groups, the size check and the join.
+    headers = materialise(
         lines.where("block = 0").withColumn("at", F.monotonically_increasing_id())
         .groupBy("file").agg(F.min_by("value", "at").alias("header"), F.first("source").alias("source"))
-        .withColumn("route", code_columns_for("source"))
-    )
+        .withColumn("route", code_columns_for("source")), "codelist_headers")
     groups = headers.groupBy("header", "route").agg(F.min("source").alias("example")).collect()
     if not groups:
         return _union([], spark)
