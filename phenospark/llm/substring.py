@@ -152,7 +152,7 @@ def verified_ranges(automaton: SuffixAutomaton, words: list[str], window: int) -
 
 
 _SPANS = ("kind string, owner bigint, content binary, text string, grp int, block bigint, row int, start int")
-_MEMORY = 64  # automata that a task keeps
+_STATES = 200_000  # of the automata that a task keeps beside the one in use
 
 
 def _verify(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -164,7 +164,7 @@ def _verify(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
         for i, owner in enumerate(owners.to_pylist()):
             if owner not in kept:
                 kept[owner] = SuffixAutomaton([p.split(" ") for doc in shards[i].as_py() for p in doc.split("\n")])
-                if len(kept) > _MEMORY:
+                while len(kept) > 1 and sum(len(a.next) for a in kept.values()) > _STATES:
                     kept.popitem(last=False)
             out.append([{"a": a, "b": b} for a, b in verified_ranges(kept[owner], texts[i].as_py().split(" "), window)])
         yield pa.RecordBatch.from_arrays([owners, contents, pa.array(out, kind)], names=["owner", "content", "ranges"])
