@@ -14,7 +14,8 @@ from phenospark.llm import bpe, decontam, exact_dedup, langid, simhash
 from phenospark.llm.common import fold, table
 from phenospark.sinks import materialise
 
-#: A document goes if no language reaches this share of the network's belief (texts in two languages stay).
+#: A document goes if neither in it as a whole nor in one of its windows a language reaches this share of the
+#: network's belief (texts in any number of languages stay).
 LEAST_LANGUAGE_SCORE = 0.4
 
 

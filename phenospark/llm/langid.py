@@ -44,6 +44,8 @@ SAMPLE_CHARS = 1024
 _LETTER = re.compile(r"[^\W\d_]")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Lower-cased bytes that are a letter, or part of a character beyond ASCII.
+_LETTER_BYTE = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
 #: Windows handled at once.
 _BATCH = 1024
 
@@ -191,12 +193,14 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, steps: int = 1200)
     return net
 
 
-def predict(texts: list[str | None], net: Network | None, tables: dict[int, list[np.ndarray]] | None) -> list[tuple[str, float]]:
-    """(language, score) of whole texts; windows of several texts go through the network together."""
-    out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
+def judge(texts: list[str | None], net: Network | None, tables: dict[int, list[np.ndarray]] | None) -> list[tuple[str, float, float]]:
+    """(language, score, best score of a single window with letters) of whole
+    texts; windows of several texts go through the network together."""
+    out: list[tuple[str, float, float]] = [(UNKNOWN, 0.0, 0.0)] * len(texts)
     if net is None:
         return out
     total = np.zeros((len(texts), len(net.languages)))
+    peak = np.full(len(texts), -np.inf)
     count = np.zeros(len(texts), dtype=np.int64)
     waiting: list[np.ndarray] = []
     owner: list[int] = []
@@ -206,6 +210,8 @@ def predict(texts: list[str | None], net: Network | None, tables: dict[int, list
         for i in range(0, len(x), _BATCH):
             logp = net.log_probabilities(x[i : i + _BATCH], tables)
             np.add.at(total, of[i : i + _BATCH], logp)
+            letters = _LETTER_BYTE[x[i : i + _BATCH]].any(axis=1)
+            np.maximum.at(peak, of[i : i + _BATCH][letters], logp[letters].max(axis=1))
         waiting.clear()
         owner.clear()
 
@@ -227,10 +233,15 @@ def predict(texts: list[str | None], net: Network | None, tables: dict[int, list
         p = np.exp(mean - mean.max())
         p /= p.sum()
         best = int(p.argmax())
-        out[i] = (net.languages[best], float(p[best]))
+        out[i] = (net.languages[best], float(p[best]), float(np.exp(peak[i])))
     return out
 
 
+def predict(texts: list[str | None], net: Network | None, tables: dict[int, list[np.ndarray]] | None) -> list[tuple[str, float]]:
+    """(language, score) of whole texts."""
+    return [(lang, score) for lang, score, _ in judge(texts, net, tables)]
+
+
 def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """doc_id, lang_pred, score for every row of ``docs`` (doc_id, text); no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,13 +257,15 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
 
 def known_language(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose text is in a learned language with a score of at least ``least``."""
+    """The rows of ``docs`` (all columns) in whose text a learned language is
+    recognised: the whole text or one of its windows has a score of at least
+    ``least``. Windows need not agree, so a text in several languages stays."""
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.pair_tables() if net else None
         for batch in pieces(batches, at):
-            found = predict(batch.column(at).to_pylist(), net, tables)
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
+            found = judge(batch.column(at).to_pylist(), net, tables)
+            yield batch.filter(pa.array([lang != UNKNOWN and max(score, window) >= least for lang, score, window in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -7,6 +7,8 @@ import random
 import zlib
 from collections import Counter
 
+import corpus_pipeline
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -206,6 +208,47 @@ def test_language_of_held_out_rows(spark):
     assert langid.identify(docs.limit(0), net).count() == 0
 
 
+def test_texts_in_several_languages_are_known(spark):
+    rng = random.Random(8)
+    syllables = {"xx": ["ka", "to", "mi", "ru"], "yy": ["schl", "ung", "eit", "öß"], "zz": ["ção", "lhe", "ém", "qui"], "ww": ["ндо", "при", "ска", "ть"]}
+
+    def part(lang, size=4 * langid.WINDOW):
+        text = ""
+        while len(text.encode()) < size:
+            text += "".join(rng.choices(syllables[lang], k=3)) + " "
+        text = text.encode()[:size].decode(errors="ignore")
+        return text + " " * (size - len(text.encode()))
+
+    rows = [(i, part(lang, 600), lang) for i, lang in enumerate(list(syllables) * 40)]
+    mixed = [["xx", "yy"], ["zz", "ww"], ["xx", "yy", "zz"], ["yy", "zz", "ww"], list(syllables)]
+    texts = [(1000 + i, "".join(map(part, langs)), None) for i, langs in enumerate(mixed)] + [(2000, "12 34 ++ " * 300, None), (2001, "", None)]
+    schema = "doc_id bigint, text string, lang string"
+    net = langid.train(spark.createDataFrame(rows, schema), steps=300)
+    left = langid.known_language(spark.createDataFrame(texts, schema), net, corpus_pipeline.LEAST_LANGUAGE_SCORE)
+    assert {r.doc_id for r in left.collect()} == {1000 + i for i in range(len(mixed))}
+
+
+class _Fixed:
+    """A network whose windows have given log-probabilities, by their first byte."""
+
+    languages = ("en", "es", "fr")
+
+    def __init__(self, by):
+        self.by = {ord(k): np.array(v, dtype=float) for k, v in by.items()}
+
+    def log_probabilities(self, x, tables):
+        z = np.stack([self.by[b] for b in x[:, 0]])
+        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+
+def test_a_runner_up_common_to_all_parts_drops_no_text():
+    net = _Fixed({"a": (0, -4, -8), "b": (-8, -4, 0), "c": (0, 0, 0), "1": (0, -9, -9)})
+    part = {k: k * langid.WINDOW for k in "abc1"}
+    found = langid.judge([part["a"] + part["b"], part["c"], part["c"] + part["1"]], net, None)
+    assert [round(score, 3) for _, score, _ in found][:2] == [0.333, 0.333]
+    assert [round(window, 2) for _, _, window in found] == [0.98, 0.33, 0.33]  # a window without letters says nothing
+
+
 def test_windows_cover_the_whole_text():
     for n in (1, 255, 256, 257, 1000):
         text = bytes(i % 251 for i in range(n)).lower()
