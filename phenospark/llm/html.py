@@ -17,7 +17,8 @@ blocks without visible characters vanish, nothing else is dropped.
 Defined results: null or empty html gives an empty text; unclosed, misnested
 or cut-off markup is read leniently (an end tag closes the nearest open element
 of its name, ends of elements that are not open are ignored); contents of
-script, style and the like never count as text; repeated rows are extracted
+script, style, svg and the like never count as text, those of math and object
+do; a head ends where anything stands that can't be in it; repeated rows are extracted
 alike; an empty table gives an empty result; further columns are ignored.
 """
 
@@ -34,19 +35,35 @@ from pyspark.sql import DataFrame
 
 from phenospark.llm.common import pieces
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|svg|math|iframe|object|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-    r".*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
-    re.S | re.I,
+#: Tokens of a page, and of an svg's inside, where a raw element may be closed by its own start tag (``<style/>``).
+_TOKEN, _SVG_TOKEN = (
+    re.compile(
+        r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|iframe|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*" + closed +
+        r".*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
+        re.S | re.I,
+    )
+    for closed in (">", "(?<!/)>")
 )
 _ATTR = re.compile(r"\b(class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 # Fixed values of the HTML standard: elements without contents, and elements whose contents flow inside a line.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = set(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter output progress q "
+_MATH = set(
+    "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts "
+    "mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
+)
+_INLINE = _MATH | set(
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter object output progress q "
     "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
+#: Elements without contents that may stand in a head; any other element, and text, ends an open head.
+_IN_HEAD = set("html head base basefont bgsound link meta".split())
+#: Elements that end an open svg, and the svg elements inside which they don't.
+_ENDS_SVG = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strong strike sub sup table tt u ul var html article main section header footer nav aside form".split()
+)
+_SVG_HOLDS_HTML = {"foreignobject", "desc"}
 #: Elements that hold no article text by their meaning.
 _BOILER_TAG = set("nav header footer aside form head menu dialog button fieldset select address".split())
 _ARTICLE_TAG = {"article", "main"}
@@ -91,6 +108,7 @@ class _Block:
 def blocks_of(page: str) -> list[tuple[str, list[float]]]:
     """(text, features) of every flat block that has visible characters, in page order."""
     stack: list[tuple[str, tuple[int, ...]]] = []
+    hidden: list[str] = []  # open elements from the outermost open svg on
     blocks: list[_Block] = []
     now = _Block()
     link = 0
@@ -102,8 +120,10 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
         now = _Block()
 
     def text(run: str) -> None:
-        if not run:
+        if not run or hidden:
             return
+        if stack and stack[-1][0] == "head" and run.strip():
+            stack.pop()
         run = _html.unescape(run) if "&" in run else run
         n = len(run.split())
         if n:
@@ -114,14 +134,45 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
                 now.place = stack[-1][1] if stack else _NOWHERE
         now.parts.append(run)
 
+    def in_svg(tag: str, end: bool, closed: bool) -> bool:
+        """Whether a tag belongs to the open svg; one that doesn't has ended it."""
+        if end:
+            for i in range(len(hidden) - 1, -1, -1):
+                if hidden[i] == tag:
+                    del hidden[i:]
+                    return True
+            if any(x == tag for x, _ in stack):
+                hidden.clear()
+            return bool(hidden)
+        if tag in _ENDS_SVG:
+            for i in range(len(hidden) - 1, -1, -1):
+                if hidden[i] in _SVG_HOLDS_HTML:
+                    break
+                if hidden[i] == "svg":
+                    del hidden[i:]
+                    if not hidden:
+                        return False
+        if not closed and tag not in _VOID:
+            hidden.append(tag)
+        return True
+
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := (_SVG_TOKEN if hidden else _TOKEN).search(page, at):
         text(page[at : m.start()])
         at = m.end()
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
+        closed = (m["attrs"] or "").endswith("/")
+        if hidden and in_svg(tag, bool(m["end"]), closed):
+            continue
+        if not m["end"] and stack and stack[-1][0] == "head" and tag not in _IN_HEAD:
+            stack.pop()
+        if tag == "svg":
+            if not m["end"] and not closed:
+                hidden.append(tag)
+            continue
         if tag == "br":
             text(" ")
             continue
@@ -134,10 +185,10 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
                     link -= sum(1 for x in stack[i:] if x[0] == "a")
                     del stack[i:]
                     break
-                if inline and stack[i][0] not in _INLINE:
+                if inline and tag != "object" and stack[i][0] not in _INLINE:
                     break
             continue
-        if tag in _VOID:
+        if tag in _VOID or (tag in _MATH and closed):
             continue
         if not inline:  # a block element ends an open paragraph
             for i in range(len(stack) - 1, -1, -1):

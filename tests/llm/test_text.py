@@ -318,6 +318,29 @@ def test_main_text_of_awkward_pages():
     assert "x" * 100_000 in html.main_text("<article><p>" + "x" * 100_000, tree)
 
 
+def test_icons_formulas_and_objects_lose_no_text():
+    tree = html.trained_tree()
+    page = "<article><h1>Title</h1><p>Words before {} and words after it.</p><p>The last paragraph.</p></article>"
+    for icon in ('<svg class="i" width="1"/>', "<svg/>", "<SVG />", "<svg><title/><style/><path d='M0'/><text>no</text></svg>", "<math/>",
+                 "<svg><svg><g></g></svg><text>no</text></svg>", "<svg><foreignObject><div>no</div></foreignObject></svg>", "<a><svg><a>no</a></svg></a>"):
+        assert html.main_text(page.format(icon), tree) == "Title\nWords before and words after it.\nThe last paragraph.", icon
+        assert html.main_text(icon + page.format(""), tree) == "Title\nWords before and words after it.\nThe last paragraph.", icon
+    assert html.main_text(page.format("<svg><path>"), tree) == "Title\nWords before\nThe last paragraph."  # an open svg ends with its paragraph
+    formula = "<math><mrow><mi>x</mi><mo>+</mo><mspace/><mn>1</mn></mrow></math>"
+    assert html.main_text(page.format(formula), tree) == "Title\nWords before x+1 and words after it.\nThe last paragraph."
+    assert html.main_text(page.format("<object data=x>a picture</object>"), tree) == "Title\nWords before a picture and words after it.\nThe last paragraph."
+
+
+def test_a_head_without_end_tag_ends_with_the_body():
+    tree = html.trained_tree()
+    body = "<h1>Title</h1><p>A paragraph that says what it has to say in enough plain words.</p><p>Short.</p>"
+    for start in ("<html><head><meta charset=utf-8><title>No</title><body>", "<head><link rel=x><script>no</script>", "<head><title>No</title><body class=x><div>"):
+        got = html.blocks_of(start + body)
+        assert [f for _, f in got] == [f for _, f in html.blocks_of(body)] and got[0][0] == "Title"
+        assert html.main_text(start + body, tree) == html.main_text(body, tree)
+    assert [f[6] for _, f in html.blocks_of("<head><title>No</title>Bare words. <p>More.")] == [0.0, 0.0]
+
+
 def test_tree_fits_its_labelled_table():
     x, y = html.labelled_blocks()
     assert [html.classify(html.trained_tree(), list(r)) for r in x] == [bool(v) for v in y]
