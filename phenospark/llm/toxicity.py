@@ -20,9 +20,12 @@ Altschul). A text's evidence is the sum of -ln E over its significant segments
 (E below ``SIGNIFICANT``), or its best segment's -ln E; a logistic curve,
 fitted on the labelled texts' histogram of it, turns it into the score.
 
-The lexicon is the model that every task gets: at most ``MAX_NODES`` nodes, the
-most significant ones. Counts cover all training rows; they are summed in Spark
-with partial aggregates, and the driver sees the lexicon and two histograms.
+The lexicon has every such node. Up to ``MAX_NODES`` nodes it goes to every task;
+a larger one stays a table, the distinct words of each block of texts are looked
+up in it by joins, and a block gets the scores of its own words. Both ways give
+the same scores. Counts cover all training rows; they are summed in Spark with
+partial aggregates, and the driver sees a lexicon up to that size and two
+histograms.
 
 Defined results: a null or empty text has no segment and gets the score of a text
 of no evidence; a doc_id with several labels is toxic if one of them says so;
@@ -42,7 +45,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from phenospark.llm.blocks import each, finish, pack_bytes, store_blocks, unpack_bytes
 from phenospark.llm.common import BLOCK_BYTES, pieces
 from phenospark.sinks import materialise
 
@@ -55,6 +60,7 @@ ODDS_LEAST = 3.0
 ODDS_PLAIN = 0.5
 #: Least number of toxic texts that a node of the lexicon stands in.
 TEXTS_LEAST = 3
+#: Largest lexicon that goes to the tasks as a whole; a larger one is joined.
 MAX_NODES = 1 << 17
 #: Share of marked words expected inside a toxic passage: ln(1 - share) is the score of its other words.
 PASSAGE_SHARE = 0.08
@@ -87,17 +93,29 @@ def count_words(labelled: DataFrame) -> DataFrame:
     )
 
 
-def nodes(words: DataFrame) -> DataFrame:
-    """node, toxic, texts: the words (marked by a final ``$``) and their prefixes."""
+def _nodes_of_word() -> Column:
+    """The nodes of ``word``, the longest last: its prefixes and the whole word (marked by a final ``$``)."""
     prefix = F.transform(
         F.filter(F.array(*map(F.lit, PREFIXES)), lambda n: n <= F.length("word")), lambda n: F.substr(F.col("word"), F.lit(1), n))
-    all_of = F.concat(prefix, F.array(F.concat("word", F.lit("$"))))
+    return F.concat(prefix, F.array(F.concat("word", F.lit("$"))))
+
+
+def nodes(words: DataFrame) -> DataFrame:
+    """node, toxic, texts: the words (marked by a final ``$``) and their prefixes."""
     return (
-        words.select(F.explode(all_of).alias("node"), "toxic", "texts")
+        words.select(F.explode(_nodes_of_word()).alias("node"), "toxic", "texts")
         .groupBy("node").agg(F.sum("toxic").alias("toxic"), F.sum("texts").alias("texts"))
     )
 
 
+def marked_words(words: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """word, score of the distinct words of ``words`` whose longest node in ``lexicon`` (node, odds) is marked."""
+    return (
+        words.select("word").distinct().select("word", F.posexplode(_nodes_of_word()).alias("place", "node"))
+        .join(lexicon, "node").groupBy("word").agg(F.max_by("odds", "place").alias("score")).where("score > 0")
+    )
+
+
 def _evidence(share: float) -> tuple[Column, Column]:
     """(log-odds against the corpus' share, its z) of a node under the Dirichlet prior."""
     t = F.col("toxic") + F.lit(PRIOR * share)
@@ -107,15 +125,23 @@ def _evidence(share: float) -> tuple[Column, Column]:
 
 
 class Model:
-    """The lexicon (node: log-odds, 0 if plain), and the decay rate and K of the extreme-value law."""
+    """The lexicon (node: log-odds, 0 if plain; or the ``table`` of it, node, odds),
+    and the decay rate and K of the extreme-value law."""
 
-    def __init__(self, lexicon: dict[str, float]):
+    def __init__(self, lexicon: dict[str, float], table: DataFrame | None = None):
         self.lexicon = lexicon
+        self.table = table
         self.decay, self.k = 1.0, 1e-6
         self._known: dict[str, float] = {}
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "_known": {}}
+        return {**self.__dict__, "_known": {}, "table": None}
+
+    def of_words(self, scores: dict[str, float]) -> Model:
+        """The model of texts whose marked words and their scores are given."""
+        own = Model({word + "$": score for word, score in scores.items()})
+        own.decay, own.k = self.decay, self.k
+        return own
 
     def word_score(self, word: str) -> float:
         score = self._known.get(word)
@@ -227,32 +253,35 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     tree = materialise(nodes(words), "tox_nodes")
     odds, z = _evidence(share)
     marked = tree.select("node", "toxic", "texts", odds.alias("odds"), z.alias("z"))
-    high = (
-        marked.where((F.col("z") >= Z_LEAST) & (F.col("odds") >= ODDS_LEAST) & (F.col("toxic") >= TEXTS_LEAST))
-        .orderBy(F.desc("z"), "node").limit(MAX_NODES // 2).collect()
+    high = materialise(
+        marked.where((F.col("z") >= Z_LEAST) & (F.col("odds") >= ODDS_LEAST) & (F.col("toxic") >= TEXTS_LEAST)).select("node", "odds"),
+        "tox_marked")
+    # what stands below a marked stem without being marked itself may be plain
+    above = F.expr("explode(transform(sequence(3, greatest(3, least(8, length(node) - 1))), n -> substr(node, 1, n)))")
+    stems = high.where(~F.col("node").endswith("$")).select(F.col("node").alias("above"))
+    below = (
+        marked.where((F.col("texts") >= TEXTS_LEAST) & (
+            (F.col("odds") < ODDS_PLAIN) | ((F.col("odds") < ODDS_LEAST) & (F.col("z") >= Z_LEAST))))
+        .select("node", above.alias("above"))
+        .join(F.broadcast(stems) if stems.count() <= MAX_NODES else stems, "above", "left_semi").select("node").distinct()
     )
-    lexicon = {r["node"]: r["odds"] for r in high}
-    stems = [n for n in lexicon if not n.endswith("$")]
-    if stems:  # what stands below a marked stem without being marked itself may be plain
-        above = F.expr("explode(transform(sequence(3, greatest(3, least(8, length(node) - 1))), n -> substr(node, 1, n)))")
-        stem_rows = tree.sparkSession.createDataFrame([(s,) for s in stems], "above string")
-        below = (
-            marked.where((F.col("texts") >= TEXTS_LEAST) & (
-                (F.col("odds") < ODDS_PLAIN) | ((F.col("odds") < ODDS_LEAST) & (F.col("z") >= Z_LEAST))))
-            .select("node", "texts", above.alias("above"))
-            .join(F.broadcast(stem_rows), "above", "left_semi").select("node", "texts").distinct()
-            .orderBy(F.desc("texts"), "node").limit(MAX_NODES // 2).collect()
-        )
-        lexicon.update({r["node"]: 0.0 for r in below})
-    model = Model(lexicon)
+    lexicon = materialise(high.unionAll(below.select("node", F.lit(0.0).alias("odds"))), "tox_lexicon")
+    if lexicon.count() <= MAX_NODES:
+        model = Model({r["node"]: r["odds"] for r in lexicon.collect()})
+        counts = words.select("word", (F.col("texts") - F.col("toxic")).alias("n"), F.lit(None).cast("double").alias("score"))
+    else:
+        model = Model({}, lexicon)
+        counts = words.select("word", (F.col("texts") - F.col("toxic")).alias("n")).join(
+            marked_words(words, lexicon), "word", "left").select("word", "n", F.coalesce("score", F.lit(_OTHER)).alias("score"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s = [round(model.word_score(w), 1) for w in batch.column(0).to_pylist()]
+            given = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+            s = [round(model.word_score(w) if known is None else known, 1) for w, known in given]
             yield pa.RecordBatch.from_arrays([pa.array(s, pa.float64()), batch.column(1)], names=["s", "n"])
 
     clean = (
-        words.select("word", (F.col("texts") - F.col("toxic")).alias("n")).mapInArrow(score, "s double, n bigint")
+        counts.mapInArrow(score, "s double, n bigint")
         .groupBy("s").agg(F.sum("n").alias("n")).collect()
     )
     s = np.array([r["s"] for r in clean])
@@ -264,7 +293,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def evidence(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, evidence for every row of ``docs`` (doc_id, text); no shuffle."""
+    """doc_id, evidence for every row of ``docs`` (doc_id, text); no shuffle of texts."""
+    if model.table is not None:
+        return _evidence_of_blocks(docs, model)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1):
             found = [model.text_evidence(t) for t in batch.column(1).to_pylist()]
@@ -274,11 +306,35 @@ def evidence(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, evidence double")
 
 
+def _evidence_of_blocks(docs: DataFrame, model: Model) -> DataFrame:
+    """``evidence`` with a lexicon that stays a table: each block is scored with its own marked words."""
+    blocks = store_blocks(docs, "tox", lambda ids, texts: {"texts": pack_bytes([t.encode() for t in texts])}, "texts binary")
+
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in each(batch):
+                words = list({w for t in unpack_bytes(block["texts"]) for w in _WORD.findall(t.decode().lower())})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block["grp"]] * len(words), pa.int32()), pa.array([block["block"]] * len(words), pa.int64()),
+                     pa.array(words, pa.string())], names=["grp", "block", "word"])
+
+    words = materialise(blocks.select("grp", "block", "texts").mapInArrow(words_of, "grp int, block bigint, word string"), "tox_block_words")
+    replies = words.join(marked_words(words, model.table), "word")
+
+    def work(block: dict, own: list[dict]) -> Iterator[tuple]:
+        known = model.of_words({r["word"]: r["score"] for r in own})
+        for doc_id, text in zip(block["ids"], unpack_bytes(block["texts"])):
+            yield doc_id, known.text_evidence(text.decode())
+
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("evidence", T.DoubleType())])
+    return finish(blocks, ["ids", "texts"], replies, work, schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs`` (doc_id,
     text). ``held_out`` (of doc_id) marks the rows whose labels are never read."""
     model = train(docs.where(~held_out), labels)
-    if not model.lexicon:
+    if not model.lexicon and model.table is None:
         return docs.select("doc_id", held_out.alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     rows = materialise(evidence(docs, model).withColumn("held_out", held_out), "tox_evidence")
     said = labels.where("toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))

@@ -179,6 +179,27 @@ def test_toxic_texts_score_high_on_held_out_rows(spark):
     assert toxicity.toxicity(empty(spark), table, held).count() == 0
 
 
+def test_a_lexicon_beyond_the_bound_scores_alike(spark, monkeypatch):
+    rng = random.Random(10)
+    plain = [a + b + "wort" for a in "bdfgklmnprst" for b in "aeiou"]
+    docs, labels = [], []
+    for i in range(400):
+        text = rng.choices(plain, k=rng.randint(5, 40))
+        text += [["vilestone", "grubface", "murkhound", "vilestonish"][i // 4 % 4]] * 2 if i % 4 == 0 else ["vilepost"] if i % 50 == 1 else []
+        rng.shuffle(text)
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(i % 4 == 0)))
+    docs += [(700, None), (701, ""), (None, "x grubface"), (5, docs[5][1])]
+    table = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    whole = sorted((tuple(r) for r in toxicity.toxicity(frame(spark, docs), table, held).collect()), key=key)
+    monkeypatch.setattr(toxicity, "MAX_NODES", 2)
+    assert toxicity.train(frame(spark, docs).where(~held), table).lexicon == {}
+    joined = sorted((tuple(r) for r in toxicity.toxicity(frame(spark, docs), table, held).collect()), key=key)
+    assert [(r[:2], r[3]) for r in joined] == [(r[:2], r[3]) for r in whole] and sum(r[3] for r in whole) >= 20
+    assert [r[2] for r in joined] == pytest.approx([r[2] for r in whole], rel=1e-6)
+
+
 # --- language -----------------------------------------------------------------------
 
 
