@@ -54,4 +54,41 @@ ORACLE_SQL = {
                shared.n / sizes.n AS containment
         FROM shared JOIN sizes ON sizes.id = item_id WHERE shared.n >= 0.8 * sizes.n
     """,
+    "op13_spelling": r"""
+        WITH RECURSIVE bytes AS (SELECT CAST(range AS BIGINT) AS i FROM range(256)),
+        one_byte(i, v, k) AS (
+            SELECT i, i, 0 FROM bytes UNION ALL
+            SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM one_byte WHERE k < 8),
+        crc_table AS (SELECT list(v ORDER BY i) AS t FROM one_byte WHERE k = 8),
+        runs AS (
+            SELECT doc_id, run, count(*) AS n FROM (
+                SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+            WHERE length(run) >= 6 GROUP BY ALL),
+        hexed AS (SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+        summed AS (
+            SELECT run, n, xor(list_reduce(
+                list_transform(range(0, length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+            FROM hexed, crc_table),
+        spelt AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+                   ELSE run END AS word, n FROM summed),
+        words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        shorter AS (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+        near AS (
+            SELECT a.word, b.word AS near, b.n AS m FROM shorter a JOIN shorter b USING (d, i) WHERE a.word <> b.word UNION
+            SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON b.word = a.d UNION
+            SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON b.word = a.d),
+        best AS (
+            SELECT word, count(*) AS n_near, first(near ORDER BY m DESC, encode(near)) AS near, max(m) AS m FROM near GROUP BY word),
+        judged AS (
+            SELECT w.word, CASE WHEN m >= 5 * w.n THEN near END AS form, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * w.n THEN m END AS form_n
+            FROM words w LEFT JOIN best USING (word)),
+        follow(word, now, d) AS (
+            SELECT word, word, 0 FROM judged UNION ALL SELECT f.word, j.form, d + 1 FROM follow f JOIN judged j ON j.word = f.now WHERE j.form IS NOT NULL),
+        roots AS (SELECT word, arg_max(now, d) AS root FROM follow GROUP BY word)
+        SELECT word, form, root, n, n_near, form_n FROM judged JOIN roots USING (word)
+    """,
 }

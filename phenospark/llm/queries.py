@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenospark.llm import bpe, langid, lm, substring, toxicity
+from phenospark.llm import bpe, langid, lm, spelling, substring, toxicity
 from phenospark.llm.common import fold, table
 from phenospark.llm.decontam import contained_items
 from phenospark.llm.exact_dedup import exact_duplicates
@@ -68,6 +68,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_html": op2_html,
@@ -79,4 +83,5 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring": op9_substring,
     "op10_decontamination": op10_decontamination,
+    "op13_spelling": op13_spelling,
 }
