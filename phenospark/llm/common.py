@@ -118,15 +118,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def scan_words(raw: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def scan_words(raw: bytes, lower: bool, kinds: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, 64-bit hash) of every word of ``raw`` (UTF-8). ``lower``: A-Z count as a-z.
+    ``kinds``: each byte's kind (0: between words); a word is a longest run of one kind.
 
     Works through the bytes in chunks cut between words, so memory beyond the
     result is bounded but for a single word longer than a chunk."""
     data = np.frombuffer(raw, dtype=np.uint8)
     if lower:
         data = _LOWER[data]
-    is_word = _IS_WORD[data]
+    is_word = kinds[data]
     starts, ends, hashes = [], [], []
     i, n = 0, len(data)
     while i < n:
@@ -138,8 +139,11 @@ def scan_words(raw: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndar
             else:
                 while j < n and is_word[j]:
                     j += 1
-        edge = np.diff(np.concatenate(([np.int8(0)], is_word[i:j], [np.int8(0)])))
-        a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        edge = np.concatenate(([np.int8(0)], is_word[i:j], [np.int8(0)]))
+        at = np.flatnonzero(edge[1:] != edge[:-1])  # every run, those of kind 0 between words too, ends where the next begins
+        a, b = at[:-1], at[1:]
+        words = edge[a + 1] != 0
+        a, b = a[words], b[words]
         up, down = _power_tables(j - i)
         total = np.zeros(j - i + 1, dtype=np.uint64)
         np.cumsum(_BYTE_CODE[data[i:j]] * up[: j - i], out=total[1:])
@@ -171,10 +175,10 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 class Block:
     """Some texts scanned together: the words of text ``i`` are ``first[i]:first[i + 1]``."""
 
-    def __init__(self, texts: list[bytes], lower: bool):
+    def __init__(self, texts: list[bytes], lower: bool, kinds: np.ndarray = _IS_WORD):
         self.raw = b"\n".join(texts)
         sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
         bounds = np.concatenate(([0], np.cumsum(sizes)))
-        self.start, self.end, self.hash = scan_words(self.raw, lower)
+        self.start, self.end, self.hash = scan_words(self.raw, lower, kinds)
         self.first = np.searchsorted(self.start, bounds)
         self.n = len(texts)

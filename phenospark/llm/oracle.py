@@ -54,6 +54,29 @@ ORACLE_SQL = {
                shared.n / sizes.n AS containment
         FROM shared JOIN sizes ON sizes.id = item_id WHERE shared.n >= 0.8 * sizes.n
     """,
+    "op12_search": r"""
+        WITH texts AS (
+            SELECT 'd' AS kind, doc_id AS id, row_number() OVER () AS nr, text FROM documents UNION ALL
+            SELECT 'i', item_id, row_number() OVER (), text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        found AS (
+            SELECT kind, id, nr, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts),
+        tfs AS (SELECT kind, id, nr, term, count(*) AS tf FROM found GROUP BY ALL),
+        lengths AS (SELECT nr, sum(tf) AS n FROM tfs WHERE kind = 'd' GROUP BY nr),
+        totals AS (SELECT count(*) AS docs, sum(n) AS length FROM lengths),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tfs, totals WHERE kind = 'd' GROUP BY term),
+        scored AS (
+            SELECT i.id AS item_id, i.nr AS item, d.nr, d.id AS doc_id,
+                   CAST(sum(i.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 8 * (25 + CAST((75 * n * docs) // length AS BIGINT))))) AS BIGINT) AS score
+            FROM tfs i JOIN tfs d ON i.kind = 'i' AND d.kind = 'd' AND i.term = d.term JOIN weights w ON w.term = i.term
+            JOIN lengths l ON l.nr = d.nr, totals GROUP BY ALL),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
     "op13_spelling": r"""
         WITH RECURSIVE bytes AS (SELECT CAST(range AS BIGINT) AS i FROM range(256)),
         one_byte(i, v, k) AS (
