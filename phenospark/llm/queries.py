@@ -11,6 +11,7 @@ from phenospark.llm.common import fold, table
 from phenospark.llm.decontam import contained_items
 from phenospark.llm.exact_dedup import exact_duplicates
 from phenospark.llm.html import extract_text
+from phenospark.llm.quality import judge_quality
 from phenospark.llm.search import ranked_search
 from phenospark.llm.simhash import hex_fingerprint, near_duplicates
 from phenospark.llm.urls import judge_urls
@@ -69,6 +70,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring": op9_substring,
     "op10_decontamination": op10_decontamination,
+    "op11_quality": op11_quality,
     "op12_search": op12_search,
     "op13_spelling": op13_spelling,
 }

@@ -19,6 +19,8 @@ COLUMNS = {
                "base_score": "double", "score": "double"},
     "op6_language": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op7_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op11_quality": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint",
+                     "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean", "score": "double"},
 }
 
 
