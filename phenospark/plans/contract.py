@@ -30,9 +30,9 @@ from phenospark.operators.mentions import (
     wide_records,
 )
 from phenospark.operators.reshape import melt, melt_codes
-from phenospark.sinks import materialise
+from phenospark.sinks import materialise, register_view
 from phenospark.session import ensure_checkpoint_dir
-from phenospark.sources.codelists import read_code_files
+from phenospark.sources.codelists import bad_code_rows, list_tables, read_code_files, read_code_tables
 from phenospark.sources.tables import read_abbreviations, read_categories, read_dictionary
 from phenospark.sources.starschema import (
     DIAG_SLOTS,
@@ -181,6 +181,86 @@ def category_mapping_from_csv(s: StarSchema) -> DataFrame:
     return category_ops.build_mapping(read_categories(s.spark, listed), read_abbreviations(s.spark, short))
 
 
+#: Codelists of each terminology in ``codelist_parquet_sources`` (three terminologies: 630 sources).
+PARQUET_LISTS = 210
+
+
+def codelist_parquet_sources(s: StarSchema) -> DataFrame:
+    """630 codelists as parquet folders, their code columns of two types and next to
+    other columns, read by one scan per (route, type); per source its codes."""
+    root = _scratch(s, "codelist parquet")
+    orders = s.table("orders")
+    number = F.col("o_orderkey") % PARQUET_LISTS
+    customer = F.col("o_custkey").cast("string")
+
+    def write(kind: str, suffix: str, rows: DataFrame, **columns: F.Column) -> None:
+        named = rows.select(F.concat(F.lit(f"codes_{kind}_o"), number.cast("string"), F.lit(suffix)).alias("source"),
+                            *[c.alias(n) for n, c in columns.items()])
+        named.repartition("source").write.mode("append").partitionBy("source").parquet(f"{root}/{kind}")
+
+    write("icd", "", orders, ICD10code=F.concat(F.lit("P"), customer), Disease=F.col("o_orderstatus"))
+    write("opcs", "", orders, OPCS4code=F.concat(F.lit("S"), customer))
+    write("cprd", "_snomedct", orders.where(number % 2 == 0), conceptId=F.col("o_custkey"))
+    write("cprd", "_snomedct", orders.where(number % 2 == 1), Term=F.col("o_orderpriority"), conceptId=customer)
+    codes = read_code_files(s.spark, root, fmt="parquet", source_from="partition")
+    return codes.groupBy("source", "terminology").agg(
+        F.count("code").alias("n_codes"), F.count_distinct("code").alias("n_distinct"), F.min("code").alias("first_code"))
+
+
+def codelist_csv_records(s: StarSchema) -> DataFrame:
+    """CSV codelists whose quoted cells hold line breaks, one record of which in ten
+    lacks its code, one has a cell too many, and some repeat the header as data; per
+    source its codes and its bad records."""
+    root = _scratch(s, "codelist records")
+    key = F.col("p_partkey")
+    header = F.lit("Disease,ICD10code")
+    good = F.concat(F.lit('"'), "p_name", F.lit("\n"), "p_type", F.lit('",P'), key.cast("string"))
+    record = (
+        F.when(key % 10 == 3, F.col("p_type")).when(key % 10 == 7, F.concat("p_type", F.lit(",P"), key.cast("string"), F.lit(",x")))
+        .when(key % 50 == 0, header).otherwise(good)
+    )
+    source = F.concat(F.lit("codes_icd_s"), F.col("p_size").cast("string")).alias("source")
+    part = s.table("part")
+    lines = part.select(source, F.lit(1).alias("at"), record.alias("value")).unionByName(
+        part.select(source, F.lit(0).alias("at"), header.alias("value")).distinct())
+    # One file a source, its header first.
+    lines.repartition("source").sortWithinPartitions("source", "at").select("source", "value").write.partitionBy("source").text(root)
+    glob = {"name_glob": "*.txt", "source_from": "partition"}
+    codes = read_code_files(s.spark, root, bad_rows="skip", **glob)
+    bad = bad_code_rows(s.spark, root, **glob).groupBy("source").agg(F.count(F.lit(1)).alias("n_bad"))
+    return (
+        codes.groupBy("source").agg(F.count("code").alias("n_codes"), F.min("code").alias("first_code"))
+        .join(bad, "source", "full").select("source", F.coalesce("n_codes", F.lit(0)).cast("bigint").alias("n_codes"),
+                                            "first_code", F.coalesce("n_bad", F.lit(0)).cast("bigint").alias("n_bad"))
+    )
+
+
+def codelist_tables(s: StarSchema) -> DataFrame:
+    """Codelists stored as tables of a database (plain, partitioned and JSON ones),
+    listed by a glob, read together, and counted by SQL through a global view."""
+    spark, name = s.spark, f"phenospark_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        supplier = s.table("supplier").join(s.table("nation").select("n_nationkey", "n_regionkey"), F.col("s_nationkey") == F.col("n_nationkey"))
+        for (region,) in s.table("region").select("r_regionkey").collect():
+            own = supplier.where(F.col("n_regionkey") == region).select("s_name", F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("OPCS4code"))
+            own.write.saveAsTable(f"{name}.codes_opcs_r{region}")
+        part = s.table("part")
+        part.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("ICD10code"), "p_type").write.partitionBy("p_type").saveAsTable(f"{name}.codes_icd_parts")
+        part.select(F.col("p_size").alias("conceptId")).write.saveAsTable(f"{name}.codes_cprd_sizes_snomedct")
+        part.select(F.col("p_brand").alias("Readcode"), F.col("p_partkey").cast("string").alias("Medcode")).write.format("json").saveAsTable(f"{name}.codes_cprd_brands")
+        part.select("p_name").write.saveAsTable(f"{name}.notes")
+        tables = [f"{name}.{r['table']}" for r in list_tables(spark, name, "codes_*").collect()]
+        register_view(read_code_tables(spark, tables), name, global_view=True)
+        counted = spark.sql(f"""
+            SELECT source, terminology, count(code) AS n_codes, count(DISTINCT code) AS n_distinct
+            FROM global_temp.{name} GROUP BY source, terminology""")
+        return materialise(counted, "codelist_tables")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 def codelist_missing_sources(s: StarSchema) -> DataFrame:
     """Catalog entries whose source does not exist."""
     present = s.sources().select(F.col("stem").alias("source"))
@@ -420,6 +500,9 @@ QUERIES: dict[str, Query] = {
         code_column_routing,
         codelist_build,
         codelist_build_from_files,
+        codelist_parquet_sources,
+        codelist_csv_records,
+        codelist_tables,
         codelist_missing_sources,
         codelist_two_code_columns,
         codelist_totals,

@@ -196,6 +196,32 @@ SELECT c.phenotype, c.terminology,
   CASE WHEN c.terminology IN ('ICD', 'OPCS', 'SNOMEDCT') THEN replace(s.code, '.', '') ELSE s.code END AS code
 FROM f_sources s JOIN f_catalog c ON s.stem = c."table"
 WHERE c.terminology <> 'CPRD'""", "f_sources", "f_catalog"),
+    "codelist_parquet_sources": """
+SELECT source, terminology, COUNT(code) AS n_codes, COUNT(DISTINCT code) AS n_distinct, MIN(code) AS first_code
+FROM (
+  SELECT 'codes_icd_o' || CAST(o_orderkey % 210 AS VARCHAR) AS source, 'ICD' AS terminology, 'P' || CAST(o_custkey AS VARCHAR) AS code FROM orders
+  UNION ALL
+  SELECT 'codes_opcs_o' || CAST(o_orderkey % 210 AS VARCHAR), 'OPCS', 'S' || CAST(o_custkey AS VARCHAR) FROM orders
+  UNION ALL
+  SELECT 'codes_cprd_o' || CAST(o_orderkey % 210 AS VARCHAR) || '_snomedct', 'SNOMEDCT', CAST(o_custkey AS VARCHAR) FROM orders
+) GROUP BY source, terminology""",
+    "codelist_csv_records": """
+SELECT 'codes_icd_s' || CAST(p_size AS VARCHAR) AS source,
+       COUNT(CASE WHEN p_partkey % 10 NOT IN (3, 7) THEN 1 END) AS n_codes,
+       MIN(CASE WHEN p_partkey % 10 IN (3, 7) THEN NULL WHEN p_partkey % 50 = 0 THEN 'ICD10code'
+                ELSE 'P' || CAST(p_partkey AS VARCHAR) END) AS first_code,
+       COUNT(CASE WHEN p_partkey % 10 IN (3, 7) THEN 1 END) AS n_bad
+FROM part GROUP BY p_size""",
+    "codelist_tables": """
+SELECT source, terminology, COUNT(code) AS n_codes, COUNT(DISTINCT code) AS n_distinct
+FROM (
+  SELECT 'codes_opcs_r' || CAST(n_regionkey AS VARCHAR) AS source, 'OPCS' AS terminology, 'S' || CAST(s_suppkey AS VARCHAR) AS code
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION ALL SELECT 'codes_icd_parts', 'ICD', 'P' || CAST(p_partkey AS VARCHAR) FROM part
+  UNION ALL SELECT 'codes_cprd_sizes_snomedct', 'SNOMEDCT', CAST(p_size AS VARCHAR) FROM part
+  UNION ALL SELECT 'codes_cprd_brands', 'Readcode', p_brand FROM part
+  UNION ALL SELECT 'codes_cprd_brands', 'Medcode', CAST(p_partkey AS VARCHAR) FROM part
+) WHERE code IS NOT NULL GROUP BY source, terminology""",
     "codelist_missing_sources": with_ctes("""
 SELECT phenotype, terminology, "table" FROM f_catalog c
 WHERE NOT EXISTS (SELECT 1 FROM f_sources s WHERE s.stem = c."table")""", "f_sources", "f_catalog"),

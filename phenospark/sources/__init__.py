@@ -2,6 +2,7 @@
 star-schema derived fixtures used by the contract queries."""
 
 from phenospark.sources.codelists import (
+    bad_code_rows,
     list_sources,
     list_tables,
     read_code_files,
@@ -15,6 +16,7 @@ from phenospark.sources.tables import (
 )
 
 __all__ = [
+    "bad_code_rows",
     "list_sources",
     "list_tables",
     "read_abbreviations",
