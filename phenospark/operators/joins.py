@@ -7,7 +7,9 @@ third of all records): the fact rows get a salt from a hash of their content and
 of the partition they are in, the lookup rows are replicated once per salt
 value, and the join key is ``(keys..., salt)``, so a hot key, and even copies of
 one hot record, are spread over many tasks. A retried task reads the same rows
-in the same partition, so it sends every row to the same place again.
+in the same partition, so it sends every row to the same place again. Facts whose
+key is not in the lookup need no exchange at all: a Bloom filter of the lookup's
+keys (:mod:`phenospark.operators.bloom`) drops them first, map-side.
 """
 
 from __future__ import annotations
@@ -17,12 +19,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from phenospark.operators.bloom import DEFAULT_MAX_FILTER_BYTES, drop_unmatched, key_filter
+
 # Upper bound for the bytes of a lookup side that is broadcast.
 DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 SALTABLE_JOINS = ("inner", "left", "leftouter", "left_outer", "left_semi", "leftsemi",
                   "semi", "left_anti", "leftanti", "anti")
 
+#: Joins that keep only facts with a match, so others can be dropped early.
+MATCHING_JOINS = ("inner", "left_semi", "leftsemi", "semi")
+
 
 def row_bytes(df: DataFrame) -> Column:
     """Bytes of a row: its strings' bytes, and 16 for every column."""
@@ -60,7 +67,7 @@ def salted_join(
     exactly the rows it would meet without the salt. Streams are salted by their
     content alone."""
     salt_buckets = salt_buckets or salt_count(facts)
-    spread_by = [F.col(c) for c in facts.columns]
+    spread_by = [F.col("`" + c.replace("`", "``") + "`") for c in facts.columns]
     if not facts.isStreaming:
         spread_by.append(F.spark_partition_id())
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salt_buckets))
@@ -77,6 +84,7 @@ def lookup_join(
     max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
     broadcast: bool | None = None,
     salt_buckets: int | None = None,
+    max_filter_bytes: int = DEFAULT_MAX_FILTER_BYTES,
 ) -> DataFrame:
     """Join a large ``facts`` side to a ``lookup`` side on equal keys.
 
@@ -84,13 +92,17 @@ def lookup_join(
     (e.g. once for a codelist used by several joins); ``None`` checks here
     against ``max_broadcast_bytes``. ``max_broadcast_bytes=None`` with
     ``broadcast=None`` leaves the choice to the planner (its size estimate,
-    then AQE's runtime statistics). When the lookup does not fit, the join is
-    salted (``salt_buckets=1``: a plain shuffle join)."""
+    then AQE's runtime statistics). When the lookup does not fit, the facts that
+    match nothing are dropped by a filter of its keys of at most
+    ``max_filter_bytes`` (0: none; inner and semi joins of batch data), and the
+    join is salted (``salt_buckets=1``: a plain shuffle join)."""
     keys = [on] if isinstance(on, str) else list(on)
     if broadcast is None and max_broadcast_bytes is not None:
         broadcast = fits(lookup, max_broadcast_bytes)
     if broadcast:
         return facts.join(F.broadcast(lookup), keys, how)
+    if broadcast is False and how.lower() in MATCHING_JOINS and not facts.isStreaming and max_filter_bytes:
+        facts = drop_unmatched(facts, key_filter(lookup, keys, max_filter_bytes))
     if broadcast is False and salt_buckets != 1 and how.lower() in SALTABLE_JOINS:
         return salted_join(facts, lookup, keys, how, salt_buckets)
     return facts.join(lookup, keys, how)

@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from phenospark.operators.bloom import drop_unmatched, key_filter
 from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits, lookup_join
 from phenospark.operators.reshape import melt_codes
 
@@ -145,8 +146,9 @@ def mentions(
     a distinct codelist a mention is a function of its record, so this equals
     deduplicating the mentions, while the shuffle carries neither the
     phenotype names nor the fan-out copies. If the codelist is too large to
-    broadcast, the records are deduplicated first (partial aggregate before
-    the exchange) and then meet the codelist in a salted shuffle join.
+    broadcast, a Bloom filter of its keys drops unmatched records instead (a few
+    false ones pass), the rest are deduplicated (partial aggregate before the
+    exchange) and then meet the codelist in a salted shuffle join.
     Without ``deduplicate`` the bag of mentions is returned (one row per
     record x codelist entry)."""
     if narrow is None and wide is None and records is None:
@@ -179,10 +181,11 @@ def mentions(
     united = unite(*records)
     keys = ["terminology", "code"]
     if small is False:
-        # Lookup too large to broadcast: collapse repeated records first
-        # (map-side partial aggregate), then a salted join to the codelist.
-        distinct_records = united.where(F.col("code").isNotNull()).dropDuplicates()
-        joined = lookup_join(distinct_records, lookup, keys, "inner", None, False)
+        # Lookup too large to broadcast: a filter of its keys drops the records that
+        # match nothing where they are read, repeated ones are collapsed (map-side
+        # partial aggregate), and what is left meets the codelist in a salted join.
+        known = drop_unmatched(united.where(F.col("code").isNotNull()), key_filter(lookup, keys))
+        joined = lookup_join(known.dropDuplicates(), lookup, keys, "inner", None, False, max_filter_bytes=0)
         return joined.select(*MENTION_COLUMNS)
     known = lookup_join(united, lookup.select(*keys).distinct(), keys, "left_semi", None, small)
     distinct_records = known.dropDuplicates()
