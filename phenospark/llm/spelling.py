@@ -87,24 +87,27 @@ def letter_groups(words: DataFrame, parts: int = PARTS) -> list[str]:
     return ["".join(ranked[i::parts]) for i in range(parts)]
 
 
-def signatures(words: DataFrame, groups: list[str]) -> DataFrame:
-    """sig, word, n, size, other: a row for every signature of every word. ``other``:
-    whether it meets words of another length."""
+def with_parts(words: DataFrame, groups: list[str]) -> DataFrame:
+    """word, n, size, p0, p1, ...: each word's letters of each group, sorted."""
     letters = F.split("word", "")
 
     def part(group: str) -> Column:
         own = F.filter(letters, lambda c: (c != "") & (F.instr(F.lit(group), c) > 0))
         return F.array_join(F.array_sort(own), "")
 
-    parted = words.select("word", "n", F.length("word").alias("size"),
-                          *[part(g).alias(f"p{i}") for i, g in enumerate(groups)])
+    return words.select("word", "n", F.length("word").alias("size"), *[part(g).alias(f"p{i}") for i, g in enumerate(groups)])
+
+
+def signatures(parted: DataFrame, parts: int = PARTS) -> DataFrame:
+    """sig, word, n, size, other: a row for every signature of every word (with its
+    parts). ``other``: whether it meets words of another length."""
     size = F.col("size")
 
     def entries(dropped: int, shorter: Column, half: Column, other: bool) -> list[Column]:
         """``shorter``: length of the shorter word of the pairs meant; ``half``: length of the half that stays."""
         out = []
-        for drop in combinations(range(len(groups)), dropped):
-            kept = [F.col(f"p{i}") for i in range(len(groups)) if i not in drop]
+        for drop in combinations(range(parts), dropped):
+            kept = [F.col(f"p{i}") for i in range(parts) if i not in drop]
             choice = F.lit(".".join(map(str, drop)))
             for side, text in (("first", F.substring(F.col("word"), F.lit(1), half)), ("last", F.substring(F.col("word"), -half, half))):
                 sig = F.xxhash64(shorter, F.lit(other), choice, F.lit(side), text, *kept)
@@ -121,7 +124,7 @@ def signatures(words: DataFrame, groups: list[str]) -> DataFrame:
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """a, na, b, nb: every pair of words (a before b) at edit distance one, once."""
-    sigs = signatures(words, letter_groups(words))
+    sigs = signatures(with_parts(words, letter_groups(words)))
     a = sigs.select("sig", F.col("word").alias("a"), F.col("n").alias("na"), F.col("size").alias("la"), "other")
     b = sigs.select("sig", F.col("word").alias("b"), F.col("n").alias("nb"), F.col("size").alias("lb"))
     meet = (
@@ -147,7 +150,7 @@ def _roots(forms: DataFrame, rounds: int) -> DataFrame:
 def spelling_variants(docs: DataFrame) -> DataFrame:
     """word, form, root, n, n_near, form_n for every word of ``docs`` (doc_id, text)."""
     words = materialise(word_counts(docs), "spelling_words")
-    pairs = near_pairs(words)
+    pairs = materialise(near_pairs(words), "spelling_pairs")
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("nb").alias("m")).unionAll(
         pairs.select(F.col("b").alias("word"), F.col("a").alias("near"), F.col("na").alias("m")))
     best = F.min(F.struct((-F.col("m")).alias("m"), F.col("near")))

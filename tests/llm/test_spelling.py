@@ -97,7 +97,7 @@ def test_near_pairs_are_found_whatever_the_edit(spark):
 
 def test_signatures_per_word_are_bounded(spark):
     table = spark.createDataFrame([("banane", 5), ("zzzzzzzzzzzz", 9)], "word string, n bigint")
-    per_word = spelling.signatures(table, spelling.letter_groups(table)).groupBy("word").count().collect()
+    per_word = spelling.signatures(spelling.with_parts(table, spelling.letter_groups(table))).groupBy("word").count().collect()
     assert {r["count"] for r in per_word} == {2 * (6 + 4 + 4)}
 
 
@@ -110,5 +110,7 @@ def test_variants_of_nothing(spark):
 
 def test_the_join_is_a_merge_join_on_signatures(spark):
     table = spark.createDataFrame([("banane", 5)], "word string, n bigint")
-    plan = spelling.near_pairs(table)._jdf.queryExecution().executedPlan().toString()
+    pairs = spelling.near_pairs(table)
+    assert pairs.count() == 0
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
