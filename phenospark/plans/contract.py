@@ -17,7 +17,7 @@ from phenospark.functions.names import normalise_name
 from phenospark.functions.routing import code_columns_for
 from phenospark.operators import catalog as cat_ops
 from phenospark.operators import categories as category_ops
-from phenospark.operators import checks, features, summary
+from phenospark.operators import checks, features, sparse, summary
 from phenospark.operators.codelist import build_codelist, two_column_codes
 from phenospark.operators.mentions import (
     DIAGNOSIS_SLOTS,
@@ -416,19 +416,38 @@ def features_from_code_summary(s: StarSchema) -> DataFrame:
     return features.features_from_summary(features.code_summary(_mentions_dedup(s)))["features_by_phenotype"]
 
 
-def _matrix(s: StarSchema) -> DataFrame:
-    return features.flag_matrix(_mentions_dedup(s), phenotypes=features.phenotype_names(s.codelist()))
+def _sparse(s: StarSchema) -> tuple[DataFrame, DataFrame]:
+    """(rows, dictionary): the person's phenotype ids, and the codelist's phenotypes."""
+    dictionary = materialise(sparse.phenotype_dictionary(s.codelist()), "phenotype_dictionary")
+    return sparse.person_rows(_mentions_dedup(s), dictionary), dictionary
 
 
 def flag_matrix(s: StarSchema) -> DataFrame:
-    """The person x phenotype matrix (one column for each phenotype of the
-    codelist), as its cells that are one."""
-    return features.flag_cells(_matrix(s)).where("flag = 1")
+    """The person x phenotype flags (over the codelist's phenotypes), as the cells
+    that are one."""
+    return sparse.cells(*_sparse(s))
 
 
 def flag_matrix_sizes(s: StarSchema) -> DataFrame:
-    """Ones and zeros of every column of the matrix."""
-    return features.flag_sizes(_matrix(s))
+    """Ones and zeros of every phenotype."""
+    rows, dictionary = _sparse(s)
+    return sparse.sizes(materialise(rows, "person_rows"), dictionary)
+
+
+def flag_rows_merged(s: StarSchema) -> DataFrame:
+    """The sparse rows of two deliveries (the first half of the years, and all from a
+    year earlier on, under a dictionary that grew in between), merged; per person, the
+    number of phenotypes and the first and last of them."""
+    found = materialise(_mentions_dedup(s), "flag_mentions")
+    first, last = found.agg(F.min(F.year("date")), F.max(F.year("date"))).first()
+    cut = (first + last) // 2
+    early, late = found.where(F.year("date") <= cut), found.where((F.year("date") >= cut) | F.col("date").isNull())
+    older = materialise(sparse.phenotype_dictionary(early), "phenotype_dictionary")
+    stored = materialise(sparse.person_rows(early, older), "person_rows")
+    dictionary = materialise(sparse.phenotype_dictionary(late, older), "phenotype_dictionary")
+    merged = sparse.merge_person_rows(stored, sparse.person_rows(late, dictionary))
+    return sparse.cells(merged, dictionary).groupBy("person_id_deid").agg(
+        F.count(F.lit(1)).alias("n_phenotypes"), F.min("phenotype").alias("first_phenotype"), F.max("phenotype").alias("last_phenotype"))
 
 
 # -- categories ----------------------------------------------------------------
@@ -535,6 +554,7 @@ QUERIES: dict[str, Query] = {
         features_from_code_summary,
         flag_matrix,
         flag_matrix_sizes,
+        flag_rows_merged,
         category_mapping,
         category_mapping_from_csv,
         category_sizes,

@@ -1,0 +1,87 @@
+"""Sparse person rows: dictionary, rows, merge, cells, sizes and the wide form."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from phenospark.operators import features, sparse
+from tests.conftest import rows
+
+MENTION = "person_id_deid string, phenotype string"
+
+
+def _mentions(seed, n=400):
+    rng = random.Random(seed)
+    people = ["hot"] * 30 + [f"p{i}" for i in range(40)] + [None]
+    return [(rng.choice(people), rng.choice([f"ph {i}" for i in range(25)] + [None])) for _ in range(n)]
+
+
+def _frame(spark, data):
+    return spark.createDataFrame(data, MENTION)
+
+
+def test_dictionary_numbers_names_in_order_and_only_grows(spark):
+    names = _frame(spark, [(None, p) for p in ("b", "a", None, "d", "a")])
+    first = sparse.phenotype_dictionary(names)
+    assert rows(first) == [("a", 0), ("b", 1), ("d", 2)]
+    second = sparse.phenotype_dictionary(_frame(spark, [(None, p) for p in ("c", "a", "0")]), first)
+    assert sorted(rows(second), key=lambda r: r[1]) == [("a", 0), ("b", 1), ("d", 2), ("0", 3), ("c", 4)]
+    assert rows(sparse.phenotype_dictionary(names.limit(0))) == []
+    assert rows(sparse.phenotype_dictionary(names, first.limit(0))) == rows(first)
+
+
+def test_dictionary_of_many_names_needs_no_single_task(spark):
+    many = spark.range(5000).select(F.sha1(F.col("id").cast("string")).alias("phenotype"))
+    numbered = sparse.phenotype_dictionary(many)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") == 1  # the sizes of the partitions
+    got = sorted((r.id, r.phenotype) for r in numbered.collect())
+    assert [i for i, _ in got] == list(range(5000)) and [p for _, p in got] == sorted(p for _, p in got)
+
+
+def test_rows_cells_and_sizes_equal_the_pivot(spark):
+    data = _mentions(1)
+    mentions = _frame(spark, data)
+    names = _frame(spark, [(None, f"ph {i}") for i in range(30)])
+    dictionary = sparse.phenotype_dictionary(names)
+    found = sparse.person_rows(mentions, dictionary)
+    own: dict = {}
+    ids = dict(rows(dictionary))
+    for person, phenotype in data:
+        if phenotype is not None:
+            own.setdefault(person, set()).add(ids[phenotype])
+    assert {r[0]: r.ids for r in found.collect()} == {p: sorted(s) for p, s in own.items()}
+    known = mentions.where("phenotype is not null")
+    matrix = features.flag_matrix(known, list(ids))
+    assert rows(sparse.cells(found, dictionary)) == rows(features.flag_cells(matrix).where("flag = 1"))
+    assert rows(sparse.sizes(found, dictionary)) == rows(features.flag_sizes(matrix))
+    wide = sparse.wide_matrix(found, list(ids.items()))
+    assert wide.columns == matrix.columns and rows(wide) == rows(matrix)
+    plan = sparse.wide_matrix(spark.createDataFrame([], "person_id_deid string, ids array<int>"), list(ids.items()))
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_is_a_union_in_any_order_and_may_be_repeated(spark):
+    one, two = _mentions(2), _mentions(3)
+    dictionary = sparse.phenotype_dictionary(_frame(spark, one + two))
+    a, b = (sparse.person_rows(_frame(spark, m), dictionary) for m in (one, two))
+    whole = rows(sparse.person_rows(_frame(spark, one + two), dictionary))
+    assert rows(sparse.merge_person_rows(a, b)) == rows(sparse.merge_person_rows(b, a, b)) == whole
+    empty = spark.createDataFrame([("q", [])], "person_id_deid string, ids array<int>")
+    assert ("q", []) in [tuple(r) for r in sparse.merge_person_rows(a, empty).collect()]
+
+
+def test_an_unknown_phenotype_is_an_error(spark):
+    dictionary = sparse.phenotype_dictionary(_frame(spark, [(None, "a")]))
+    with pytest.raises(Exception, match="not in the dictionary: b"):
+        sparse.person_rows(_frame(spark, [("x", "a"), ("x", "b")]), dictionary).collect()
+
+
+def test_a_dictionary_above_the_broadcast_bound_gives_the_same(spark):
+    mentions = _frame(spark, _mentions(5))
+    dictionary = sparse.phenotype_dictionary(mentions)
+    one = sparse.person_rows(mentions, dictionary)
+    two = sparse.person_rows(mentions, dictionary, max_broadcast_bytes=0)
+    assert rows(one) == rows(two)
+    assert rows(sparse.cells(one, dictionary)) == rows(sparse.cells(two, dictionary, max_broadcast_bytes=0))
