@@ -17,7 +17,7 @@ from phenospark.functions.names import normalise_name
 from phenospark.functions.routing import code_columns_for
 from phenospark.operators import catalog as cat_ops
 from phenospark.operators import categories as category_ops
-from phenospark.operators import checks, features, sparse, summary
+from phenospark.operators import checks, features, history, sparse, summary
 from phenospark.operators.codelist import build_codelist, two_column_codes
 from phenospark.operators.mentions import (
     DIAGNOSIS_SLOTS,
@@ -416,6 +416,20 @@ def features_from_code_summary(s: StarSchema) -> DataFrame:
     return features.features_from_summary(features.code_summary(_mentions_dedup(s)))["features_by_phenotype"]
 
 
+def code_summary_in_deliveries(s: StarSchema) -> DataFrame:
+    """The per-code summary from a stored history that two deliveries made: the first
+    half of the years, then all from a year earlier on; the second is run twice."""
+    found = materialise(_mentions_dedup(s), "history_mentions")
+    first, last = found.agg(F.min(F.year("date")), F.max(F.year("date"))).first()
+    cut = (first + last) // 2
+    path = _scratch(s, "history")
+    history.merge_delivery(found.where(F.year("date") <= cut), path)
+    late = found.where((F.year("date") >= cut) | F.col("date").isNull())
+    history.merge_delivery(late, path)
+    history.merge_delivery(late, path)
+    return history.code_summary_of(history.read_history(s.spark, path))
+
+
 def _sparse(s: StarSchema) -> tuple[DataFrame, DataFrame]:
     """(rows, dictionary): the person's phenotype ids, and the codelist's phenotypes."""
     dictionary = materialise(sparse.phenotype_dictionary(s.codelist()), "phenotype_dictionary")
@@ -552,6 +566,7 @@ QUERIES: dict[str, Query] = {
         n_occurrences,
         features_by_phenotype,
         features_from_code_summary,
+        code_summary_in_deliveries,
         flag_matrix,
         flag_matrix_sizes,
         flag_rows_merged,

@@ -276,6 +276,9 @@ SELECT c.phenotype, COUNT(DISTINCT m.person_id_deid) AS n_ones,
        (SELECT COUNT(DISTINCT person_id_deid) FROM f_mentions) - COUNT(DISTINCT m.person_id_deid) AS n_zeros
 FROM (SELECT DISTINCT phenotype FROM f_codelist) c LEFT JOIN f_mentions m ON m.phenotype = c.phenotype
 GROUP BY c.phenotype""", "f_codelist", "f_mentions"),
+    "code_summary_in_deliveries": with_ctes("""
+SELECT person_id_deid, phenotype, code, terminology, MIN(date) AS date, COUNT(*) AS n
+FROM f_mentions GROUP BY person_id_deid, phenotype, code, terminology""", "f_mentions"),
     "flag_rows_merged": with_ctes("""
 SELECT person_id_deid, COUNT(DISTINCT phenotype) AS n_phenotypes, MIN(phenotype) AS first_phenotype, MAX(phenotype) AS last_phenotype
 FROM f_mentions GROUP BY person_id_deid""", "f_mentions"),

@@ -1,0 +1,74 @@
+"""Histories stored and merged delivery by delivery."""
+
+import datetime as dt
+import glob
+import os
+import random
+
+import pytest
+
+from phenospark.operators import features, history
+from tests.conftest import rows
+
+MENTION = "person_id_deid string, phenotype string, date date, code string, terminology string"
+
+
+def _mentions(seed, people, n=300):
+    rng = random.Random(seed)
+    return [(rng.choice(people), rng.choice("abc"), rng.choice([None, *(dt.date(2000 + y, 1, 1 + d) for y in range(3) for d in range(9))]),
+             rng.choice(["1", "2", None]), "ICD") for _ in range(n)]
+
+
+def _frame(spark, data):
+    return spark.createDataFrame(data, MENTION)
+
+
+def _files(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/part=*/*.parquet")}
+
+
+def test_deliveries_in_any_order_equal_one_pass(spark, tmp_dir):
+    batches = [_mentions(s, ["hot"] * 5 + [f"p{i}" for i in range(30)] + [None]) for s in (1, 2, 3)]
+    batches[1] += batches[0][:100]  # repeats what an earlier one brought
+    whole = rows(features.code_summary(_frame(spark, sum(batches, [])).dropDuplicates()))
+    columns = ["person_id_deid", "phenotype", "code", "terminology", "date", "n"]
+    for k, order in enumerate([(0, 1, 2), (2, 1, 0), (1, 1, 0, 2, 1)]):
+        path = f"{tmp_dir}/store{k}"
+        for b in order:
+            history.merge_delivery(_frame(spark, batches[b]), path, parts=8)
+        got = history.code_summary_of(history.read_history(spark, path))
+        assert got.columns == columns and rows(got) == whole
+
+
+def test_a_delivery_rewrites_only_its_people_s_folders(spark, tmp_dir):
+    path = f"{tmp_dir}/store"
+    assert len(history.merge_delivery(_frame(spark, _mentions(1, [f"p{i}" for i in range(60)])), path, parts=16)) > 10
+    before = _files(path)
+    touched = history.merge_delivery(_frame(spark, _mentions(2, ["p3", "new"], 20)), path, parts=16)
+    after = _files(path)
+    assert 1 <= len(touched) <= 2
+    stay = {f: t for f, t in before.items() if not any(f"/part={p}/" in f for p in touched)}
+    assert stay == {f: t for f, t in after.items() if f in stay} and len(after) == len(before)
+    assert not set(before) - set(stay) & set(after)
+
+
+def test_a_delivery_that_fails_leaves_the_store(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    path = f"{tmp_dir}/store"
+    history.merge_delivery(_frame(spark, _mentions(1, ["a", "b"])), path, parts=4)
+    before, was = _files(path), rows(history.read_history(spark, path).drop("dates"))
+    bad = _frame(spark, _mentions(2, ["a", "c"])).withColumn("code", F.when(F.col("phenotype") == "c", F.raise_error(F.lit("lost"))).otherwise(F.col("code")))
+    with pytest.raises(Exception, match="lost"):
+        history.merge_delivery(bad, path, parts=4)
+    assert _files(path) == before and rows(history.read_history(spark, path).drop("dates")) == was
+
+
+def test_empty_deliveries_other_parts_and_more_files(spark, tmp_dir):
+    path = f"{tmp_dir}/store"
+    assert history.merge_delivery(_frame(spark, []), path) == []
+    history.merge_delivery(_frame(spark, _mentions(1, ["a"])), path, parts=4, files_per_part=3)
+    assert len(_files(path)) <= 3
+    with pytest.raises(ValueError, match="has 4 parts, not 8"):
+        history.merge_delivery(_frame(spark, _mentions(2, ["a"])), path, parts=8)
+    assert history.merge_delivery(_frame(spark, []), path, parts=4) == []
