@@ -9,8 +9,6 @@ an unmapped phenotype gets a NULL category and is never dropped.
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,18 +103,21 @@ def categorise(
     return joined.select(*mentions.columns, "category")
 
 
-def categorise_map(mentions: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Same result as :func:`categorise`, through a literal ``map`` expression
-    (no join in the plan; the map is folded into the projection). The literal
-    holds the whole mapping, a user's list of categories, which therefore comes
-    to the driver; a mapping of another size belongs in :func:`categorise`. Keys
-    must be unique; an existing ``category`` column is replaced."""
+#: Bytes of a mapping that may become one map value of the plan.
+MAX_MAP_BYTES = 4 << 20
+
+
+def categorise_map(mentions: DataFrame, mapping: DataFrame, max_map_bytes: int = MAX_MAP_BYTES) -> DataFrame:
+    """Same result as :func:`categorise`, through a ``map`` looked up in the
+    projection (no join in the plan). The map is a scalar subquery over the mapping, so
+    Spark builds it when the query runs and nothing is collected here; a mapping of more
+    than ``max_map_bytes`` (by measure) is an error, since every task would hold it as
+    one value: it belongs in :func:`categorise`. Keys must be unique; an existing
+    ``category`` column is replaced."""
     lookup = mapping.select("phenotype", "category").where(F.col("phenotype").isNotNull())
-    rows = lookup.collect()
-    mentions = mentions.drop("category")
-    if len({r["phenotype"] for r in rows}) != len(rows):
-        assert_unique_keys(lookup, "phenotype")
-    if not rows:
-        return mentions.withColumn("category", F.lit(None).cast("string"))
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable((r[0], r[1]) for r in rows)])
-    return mentions.withColumn("category", table[F.col("phenotype")])
+    size, repeated, example = key_profile(lookup, "phenotype")
+    _fail_on_repeats(repeated, example, "phenotype")
+    if size > max_map_bytes:
+        raise ValueError(f"the mapping has {size} bytes, the map form takes {max_map_bytes}: use categorise()")
+    table = lookup.agg(F.map_from_entries(F.collect_list(F.struct("phenotype", "category"))).alias("table"))
+    return mentions.drop("category").withColumn("category", F.try_element_at(table.scalar(), F.col("phenotype")))

@@ -201,3 +201,14 @@ def test_mention_volumes_equal_the_separate_counts(spark):
     own = coverage(match(narrow, codelist, "SNOMEDCT")).first()
     assert (v.narrow_raw, v.narrow_pts, v.narrow_phenotypes) == tuple(own)
     assert mention_volumes(codelist.limit(0), narrow, wide).first().n_raw == 0
+
+
+def test_categorise_map_is_a_subquery_with_a_bound(spark, mentions):
+    mapping = spark.createDataFrame([("a", "x"), ("b", None), (None, "z")], "phenotype string, category string")
+    mapped = categorise_map(mentions.withColumn("category", F.lit("old")), mapping)
+    assert "Subquery" in mapped._jdf.queryExecution().executedPlan().toString()
+    assert rows(mapped) == rows(categorise(mentions, mapping))
+    with pytest.raises(ValueError, match="use categorise"):
+        categorise_map(mentions, mapping, max_map_bytes=10)
+    none = mentions.limit(0)
+    assert categorise_map(none, mapping).columns == [*none.columns, "category"] and categorise_map(none, mapping).count() == 0
