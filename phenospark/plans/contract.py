@@ -17,7 +17,7 @@ from phenospark.functions.names import normalise_name
 from phenospark.functions.routing import code_columns_for
 from phenospark.operators import catalog as cat_ops
 from phenospark.operators import categories as category_ops
-from phenospark.operators import checks, features, history, sparse, summary
+from phenospark.operators import checks, features, history, sketches, sparse, summary
 from phenospark.operators.codelist import build_codelist, two_column_codes
 from phenospark.operators.mentions import (
     DIAGNOSIS_SLOTS,
@@ -384,6 +384,22 @@ def mention_volumes(s: StarSchema) -> DataFrame:
     return summary.mention_volumes(s.codelist(), _narrow(s), _wide_long(s))
 
 
+def coverage_by_cut(s: StarSchema) -> DataFrame:
+    """Coverage per source vocabulary and year, per vocabulary, per year and of all, from
+    one stored table of sketches next to the exact counts; ``close``: whether both
+    estimates are within four standard errors of them (or off by one person)."""
+    by, cuts = ["terminology", "year"], [["terminology", "year"], ["terminology"], ["year"], []]
+    found = materialise(_mentions_dedup(s).withColumn("year", F.year("date").cast("string")), "sketched_mentions")
+    stored = materialise(sketches.sketch_coverage(found, by), "coverage_sketches")
+    cut = sketches.with_exact(sketches.coverage_of_cuts(stored, cuts, by), found, cuts, by)
+    bound = 4 * sketches.relative_error()
+
+    def close(name: str) -> F.Column:
+        return F.abs(F.col(f"{name}_estimate") - F.col(name)) <= F.greatest(F.lit(1), bound * F.col(name))
+
+    return cut.select(*by, "cut", "mentions", "unique_pts", "phenotypes", (close("unique_pts") & close("phenotypes")).alias("close"))
+
+
 def mentions_clustered(s: StarSchema) -> DataFrame:
     """The mentions written clustered by phenotype and date and read back; per
     phenotype, its mentions and the date range of what the files hold."""
@@ -560,6 +576,7 @@ QUERIES: dict[str, Query] = {
         mentions_totals_dedup,
         duplicate_volume,
         mention_volumes,
+        coverage_by_cut,
         mentions_clustered,
         first_dates_by_code,
         first_dates_by_phenotype,

@@ -276,6 +276,11 @@ SELECT c.phenotype, COUNT(DISTINCT m.person_id_deid) AS n_ones,
        (SELECT COUNT(DISTINCT person_id_deid) FROM f_mentions) - COUNT(DISTINCT m.person_id_deid) AS n_zeros
 FROM (SELECT DISTINCT phenotype FROM f_codelist) c LEFT JOIN f_mentions m ON m.phenotype = c.phenotype
 GROUP BY c.phenotype""", "f_codelist", "f_mentions"),
+    "coverage_by_cut": with_ctes("""
+SELECT terminology, year, GROUPING(terminology, year) AS cut, COUNT(*) AS mentions, COUNT(DISTINCT person_id_deid) AS unique_pts,
+       COUNT(DISTINCT phenotype) AS phenotypes, TRUE AS close
+FROM (SELECT *, CAST(year(date) AS VARCHAR) AS year FROM f_mentions)
+GROUP BY GROUPING SETS ((terminology, year), (terminology), (year), ())""", "f_mentions"),
     "code_summary_in_deliveries": with_ctes("""
 SELECT person_id_deid, phenotype, code, terminology, MIN(date) AS date, COUNT(*) AS n
 FROM f_mentions GROUP BY person_id_deid, phenotype, code, terminology""", "f_mentions"),

@@ -1,0 +1,52 @@
+"""Coverage of many cuts from stored sketches, against exact counts."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from phenospark.operators import sketches
+from phenospark.operators.summary import coverage
+from tests.conftest import rows
+
+BY = ["terminology", "year"]
+CUTS = [["terminology", "year"], ["terminology"], ["year"], []]
+
+
+def _mentions(spark, n=60_000, people=20_000):
+    return spark.range(n).select(
+        F.concat(F.lit("p"), F.pmod(F.xxhash64("id"), F.lit(people)).cast("string")).alias("person_id_deid"),
+        F.concat(F.lit("ph"), (F.col("id") % 37).cast("string")).alias("phenotype"),
+        F.when(F.col("id") % 3 > 0, "ICD").otherwise("OPCS").alias("terminology"),
+        F.when(F.col("id") % 11 > 0, (2000 + F.col("id") % 5)).alias("year"))
+
+
+def test_estimates_of_every_cut_are_within_their_error(spark):
+    mentions = _mentions(spark)
+    stored = sketches.sketch_coverage(mentions, BY)
+    found = sketches.with_exact(sketches.coverage_of_cuts(stored, CUTS, BY), mentions, CUTS, BY)
+    got = found.collect()
+    assert len(got) == 2 * 6 + 2 + 6 + 1  # a NULL year is a year of its own, and told from the cut without years
+    assert len({(r.terminology, r.year, r.cut) for r in got}) == len(got)
+    for r in got:
+        assert r.unique_pts_error <= 4 * sketches.relative_error() and r.phenotypes_error <= 0.01
+        assert r.unique_pts_error == abs(r.unique_pts_estimate - r.unique_pts) / r.unique_pts
+        assert r.mentions == mentions.where(
+            (F.lit(r.cut >= 2) | F.col("terminology").eqNullSafe(F.lit(r.terminology)))
+            & (F.lit(r.cut % 2 == 1) | F.col("year").eqNullSafe(F.lit(r.year)))).count()
+
+
+def test_sketches_of_overlapping_deliveries_unite(spark):
+    mentions = _mentions(spark, 20_000, 5000)
+    one, two = mentions.where("phenotype < 'ph25'"), mentions.where("phenotype > 'ph15'")
+    united = sketches.unite_sketches(sketches.sketch_coverage(one, BY).unionByName(sketches.sketch_coverage(two, BY)))
+    whole = sketches.unite_sketches(sketches.sketch_coverage(mentions, BY))
+    a, b = sketches.estimates(united).first(), sketches.estimates(whole).first()
+    assert a.unique_pts_estimate == pytest.approx(b.unique_pts_estimate, rel=0.01) and a.phenotypes_estimate == b.phenotypes_estimate == 37
+    exact = coverage(mentions).first()
+    assert abs(b.unique_pts_estimate - exact.unique_pts) <= 4 * sketches.relative_error() * exact.unique_pts
+    assert b.mentions == exact.mentions
+
+
+def test_sketches_of_nothing(spark):
+    none = _mentions(spark).limit(0)
+    assert rows(sketches.estimates(sketches.unite_sketches(sketches.sketch_coverage(none, BY)))) == [(0, 0, 0)]
+    assert sketches.estimates(sketches.sketch_coverage(none, BY)).count() == 0
