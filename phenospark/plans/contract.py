@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from phenospark.operators.mentions import (
     wide_records,
 )
 from phenospark.operators.reshape import melt, melt_codes
-from phenospark.sinks import materialise, register_view
+from phenospark.sinks import compact_table, materialise, register_view, table_files, write_table
 from phenospark.session import ensure_checkpoint_dir
 from phenospark.sources.codelists import bad_code_rows, list_tables, read_code_files, read_code_tables
 from phenospark.sources.tables import read_abbreviations, read_categories, read_dictionary
@@ -408,6 +409,56 @@ def mentions_clustered(s: StarSchema) -> DataFrame:
         F.count("*").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
+def mentions_zorder(s: StarSchema) -> DataFrame:
+    """The mentions written along a Z-curve through person, code and phenotype; per key,
+    the mentions of its least and greatest value, and whether a filter on either skips
+    files (by the files' spans of the key)."""
+    keys = ["person_id_deid", "code", "phenotype"]
+    found = materialise(_mentions_dedup(s), "zorder_mentions")
+    back = materialise(found, "mentions_zorder", zorder_by=keys, partitions=16)
+
+    def probe(key: str) -> DataFrame:
+        least, greatest = back.agg(F.min(key)), back.agg(F.max(key))
+        spans = back.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+        at_least, at_greatest = (F.count_if(F.col(end) == of.scalar()) for end, of in (("lo", least), ("hi", greatest)))
+        skips = spans.agg((F.greatest(at_least, at_greatest) < F.count(F.lit(1))).alias("skips"))
+        rows = back.where((F.col(key) == least.scalar()) | (F.col(key) == greatest.scalar()))
+        return rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(key).alias("key"), "n", skips.scalar().alias("skips"))
+
+    return reduce(DataFrame.unionByName, [probe(k) for k in keys])
+
+
+def mentions_compacted(s: StarSchema) -> DataFrame:
+    """The mentions written by vocabulary in many small files, regrouped where they
+    stand; per vocabulary its mentions, and whether it has fewer files now."""
+    path = _scratch(s, "small files")
+    _mentions_dedup(s).repartition(6, "person_id_deid", "date", "code").write.partitionBy("terminology").parquet(path)
+    before = materialise(table_files(s.spark, path).groupBy("folder").agg(F.count(F.lit(1)).alias("before")), "files_before")
+    compact_table(s.spark, path, order_by=["person_id_deid"])
+    after = table_files(s.spark, path).groupBy("folder").agg(F.count(F.lit(1)).alias("after"))
+    terminology = F.regexp_extract("folder", r"terminology=([^/]+)$", 1).alias("terminology")
+    files = before.join(after, "folder").select(terminology, (F.col("after") < F.col("before")).alias("fewer_files"))
+    counted = s.spark.read.parquet(path).groupBy("terminology").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("person_id_deid").alias("unique_pts"))
+    return counted.join(files, "terminology")
+
+
+def mentions_table_replaced(s: StarSchema) -> DataFrame:
+    """A metastore table of the primary-care mentions, replaced by all mentions (read
+    from the table itself and the wide source) in one switch; per phenotype what it holds."""
+    spark, name = s.spark, f"phenospark_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        write_table(mentions(s.codelist(), narrow=_narrow(s)), f"{name}.mentions", cluster_by=["phenotype"])
+        wide = mentions(s.codelist(), wide=_wide_long(s))
+        write_table(dedup(unite(spark.table(f"{name}.mentions"), wide)), f"{name}.mentions", cluster_by=["phenotype"])
+        held = spark.table(f"{name}.mentions").groupBy("phenotype").agg(
+            F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+        return materialise(held, "mentions_table")
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 # -- features ----------------------------------------------------------------
 
 def first_dates_by_code(s: StarSchema) -> DataFrame:
@@ -578,6 +629,9 @@ QUERIES: dict[str, Query] = {
         mention_volumes,
         coverage_by_cut,
         mentions_clustered,
+        mentions_zorder,
+        mentions_compacted,
+        mentions_table_replaced,
         first_dates_by_code,
         first_dates_by_phenotype,
         n_occurrences,

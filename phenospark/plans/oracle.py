@@ -298,6 +298,16 @@ FROM (SELECT COUNT(*) AS n_raw FROM f_mentions_raw) r,
         "f_mentions_raw", "f_mentions", "f_match_narrow"),
     "mentions_clustered": with_ctes("""
 SELECT phenotype, COUNT(*) AS n, MIN(date) AS first_date, MAX(date) AS last_date
+FROM f_mentions GROUP BY phenotype""", "f_mentions"),
+    "mentions_zorder": with_ctes("\nUNION ALL\n".join(f"""
+SELECT '{k}' AS key, COUNT(*) AS n, TRUE AS skips FROM f_mentions
+WHERE {k} = (SELECT MIN({k}) FROM f_mentions) OR {k} = (SELECT MAX({k}) FROM f_mentions)"""
+        for k in ("person_id_deid", "code", "phenotype")), "f_mentions"),
+    "mentions_compacted": with_ctes("""
+SELECT terminology, COUNT(*) AS n, COUNT(DISTINCT person_id_deid) AS unique_pts, TRUE AS fewer_files
+FROM f_mentions GROUP BY terminology""", "f_mentions"),
+    "mentions_table_replaced": with_ctes("""
+SELECT phenotype, COUNT(*) AS n, MIN(date) AS first_date, MAX(date) AS last_date
 FROM f_mentions GROUP BY phenotype""", "f_mentions"),
     "category_mapping": with_ctes("SELECT phenotype, category, cat FROM f_mapping", "f_mapping"),
     "category_sizes": with_ctes("""

@@ -13,7 +13,6 @@ is ``source, terminology, code`` for all of them.
 from __future__ import annotations
 
 import csv
-import json
 from collections import defaultdict
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -34,6 +33,7 @@ from phenospark.functions.routing import (
 )
 from phenospark.operators.joins import lookup_join
 from phenospark.operators.reshape import melt_codes
+from phenospark.sinks import describe_table
 
 
 def decoded(path: Column) -> Column:
@@ -340,10 +340,6 @@ _PLAIN_TYPES = {"string": "string", "varchar": "string", "char": "string", "int"
 _DESCRIBE_THREADS = 16
 
 
-def _describe(spark: SparkSession, name: str) -> dict:
-    return json.loads(spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name) AS JSON", args={"name": name}).first()[0])
-
-
 def _place(path: Column) -> Column:
     """A folder's address in one form (``file:///a`` and ``file:/a`` are the same)."""
     return F.regexp_replace(F.regexp_replace(path, r"^([A-Za-z0-9+.-]+:)/+", "$1/"), r"/+$", "")
@@ -362,7 +358,7 @@ def read_code_tables(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
     if not names:
         return _union([], spark)
     with ThreadPoolExecutor(_DESCRIBE_THREADS) as pool:
-        described = dict(zip(names, pool.map(lambda n: _describe(spark, n), names)))
+        described = dict(zip(names, pool.map(lambda n: describe_table(spark, n), names)))
     groups, parts = defaultdict(list), []
     for name, table in described.items():
         stem = name.rsplit(".", 1)[-1].lower()
