@@ -33,7 +33,7 @@ from phenospark.operators.mentions import (
 from phenospark.operators.reshape import melt, melt_codes
 from phenospark.sinks import compact_table, materialise, register_view, table_files, write_table
 from phenospark.session import ensure_checkpoint_dir
-from phenospark.sources.codelists import bad_code_rows, list_tables, read_code_files, read_code_tables
+from phenospark.sources.codelists import bad_code_rows, list_sources, list_tables, read_code_files, read_code_tables
 from phenospark.sources.tables import read_abbreviations, read_categories, read_dictionary
 from phenospark.sources.starschema import (
     DIAG_SLOTS,
@@ -262,6 +262,16 @@ def codelist_tables(s: StarSchema) -> DataFrame:
         spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
+def codelist_sources_listed(s: StarSchema) -> DataFrame:
+    """The written sources of two vocabularies, listed by globs of folders and files;
+    per source whether the catalog names it."""
+    root = _scratch(s, "listed sources")
+    s.sources().select(F.col("stem").alias("source"), "code").repartition("source").write.partitionBy("source").parquet(root)
+    found = list_sources(s.spark, f"{root}/source=codes_[io]*", "part-*.parquet", "partition").select("source").distinct()
+    named = _catalog(s).select(F.col("table").alias("source"), F.lit(True).alias("in_catalog")).distinct()
+    return found.join(named, "source", "left").select("source", F.coalesce("in_catalog", F.lit(False)).alias("in_catalog"))
+
+
 def codelist_missing_sources(s: StarSchema) -> DataFrame:
     """Catalog entries whose source does not exist."""
     present = s.sources().select(F.col("stem").alias("source"))
@@ -603,6 +613,7 @@ QUERIES: dict[str, Query] = {
         codelist_parquet_sources,
         codelist_csv_records,
         codelist_tables,
+        codelist_sources_listed,
         codelist_missing_sources,
         codelist_two_code_columns,
         codelist_totals,

@@ -222,6 +222,9 @@ FROM (
   UNION ALL SELECT 'codes_cprd_brands', 'Readcode', p_brand FROM part
   UNION ALL SELECT 'codes_cprd_brands', 'Medcode', CAST(p_partkey AS VARCHAR) FROM part
 ) WHERE code IS NOT NULL GROUP BY source, terminology""",
+    "codelist_sources_listed": with_ctes("""
+SELECT DISTINCT stem AS source, stem IN (SELECT "table" FROM f_catalog) AS in_catalog
+FROM f_sources WHERE stem LIKE 'codes_i%' OR stem LIKE 'codes_o%'""", "f_sources", "f_catalog"),
     "codelist_missing_sources": with_ctes("""
 SELECT phenotype, terminology, "table" FROM f_catalog c
 WHERE NOT EXISTS (SELECT 1 FROM f_sources s WHERE s.stem = c."table")""", "f_sources", "f_catalog"),
