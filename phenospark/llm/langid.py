@@ -8,12 +8,19 @@ for whole texts the tables of neighbouring bytes are added up beforehand (one
 look-up for two bytes).
 
 Training takes a bounded sample of the labelled rows (about ``per_language``
-rows of each language, chosen by a hash of the id, and ``SAMPLE_CHARS``
+different rows of each language, chosen by a hash of id and text, and ``SAMPLE_CHARS``
 characters of each) to the driver; the languages and their counts come from all
 labelled rows. Prediction uses the whole text: it is cut into consecutive
 windows (the last one ends with the text), their log-probabilities are averaged,
 and the largest class wins.
 
+To tell texts in none of its languages, ``train(..., reject=True)`` adds a class of
+its own, learned from noise made of the training windows: their characters shuffled,
+words of random letters, digits and signs, and words of other scripts (random
+neighbourhoods of code points). It takes no part in a text's language and score
+(those are the languages' shares among themselves); ``known_language`` drops a text
+when every one of its windows belongs to it.
+
 Defined results: a text that is null or has no letter is ``und`` with score 0;
 without any labelled row every text is ``und``; equally likely classes go to the
 first in alphabetical order; a text shorter than a window is padded with spaces;
@@ -53,14 +60,15 @@ _BATCH = 1024
 class Network:
     """Byte tables per width and offset (``conv[w][k]``: 256 x FILTERS), biases and the softmax layer."""
 
-    def __init__(self, languages: list[str], seed: int = 1):
+    def __init__(self, languages: list[str], seed: int = 1, reject: bool = False):
         rng = np.random.default_rng(seed)
         self.languages = languages
+        self.classes = len(languages) + reject  # the last one is noise
         self.conv = {w: [rng.normal(0, 0.3, (256, FILTERS)).astype(np.float32) for _ in range(w)] for w in WIDTHS}
         n = FILTERS * len(WIDTHS)
         self.bias = np.zeros(n, dtype=np.float32)
-        self.out = rng.normal(0, 0.1, (n, len(languages))).astype(np.float32)
-        self.out_bias = np.zeros(len(languages), dtype=np.float32)
+        self.out = rng.normal(0, 0.1, (n, self.classes)).astype(np.float32)
+        self.out_bias = np.zeros(self.classes, dtype=np.float32)
 
     # training ------------------------------------------------------------------
 
@@ -80,7 +88,7 @@ class Network:
     def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 1200, batch: int = 48, rate: float = 0.01, seed: int = 2) -> None:
         """Adam on the cross entropy; ``x``: windows, ``y``: class numbers. Classes are drawn evenly."""
         rng = np.random.default_rng(seed)
-        members = [np.flatnonzero(y == c) for c in range(len(self.languages))]
+        members = [np.flatnonzero(y == c) for c in range(self.classes)]
         members = [m for m in members if len(m)]
         params = [t for w in WIDTHS for t in self.conv[w]] + [self.bias, self.out, self.out_bias]
         first = [np.zeros_like(p) for p in params]
@@ -151,22 +159,48 @@ def windows_of(text: bytes) -> np.ndarray:
     return whole if len(data) % WINDOW == 0 else np.concatenate((whole, data[None, -WINDOW:]))
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, steps: int = 1200) -> Network | None:
-    """A network for the languages of ``docs`` (doc_id, text, lang); None without labelled rows."""
+#: Kinds of noise that the reject class is learned from, and signs that words of any text may carry.
+_SIGNS = "0123456789%$#*&@!?.,:;-_=+/()[]{}<>|~^"
+
+
+def noise(text: str, rng: np.random.Generator) -> str:
+    """Text in no language, with about the length of ``text``."""
+    kind = int(rng.integers(0, 4))
+    if kind == 0:  # its own characters, shuffled
+        return "".join(rng.permutation(list(text)))
+    if kind == 1:  # words of random letters
+        letters = [chr(97 + int(c)) for c in rng.integers(0, 26, len(text))]
+    elif kind == 2:  # digits and signs, now and then a letter
+        letters = [_SIGNS[int(c)] if c < len(_SIGNS) else chr(97 + int(c) % 26) for c in rng.integers(0, len(_SIGNS) + int(rng.integers(1, 30)), len(text))]
+    else:  # words of another script: code points of one neighbourhood
+        base = int(rng.choice([0x370, 0x400, 0x530, 0x590, 0x620, 0x900, 0xE00, 0x10A0, 0x3040, 0xAC00, int(rng.integers(0x4E00, 0x9F00))]))
+        letters = [chr(base + int(c)) for c in rng.integers(0, 96, max(1, len(text) // 2))]
+        letters = [c if c.isalpha() else chr(base + 33) for c in letters]
+    length = int(rng.integers(2, 12))
+    for i in range(length, len(letters), length + 1):
+        letters[i] = " "
+    return "".join(letters)
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, steps: int = 1200, reject: bool = False) -> Network | None:
+    """A network for the languages of ``docs`` (doc_id, text, lang), with a class for
+    texts in none of them if ``reject``; None without labelled rows."""
     labelled = docs.select("doc_id", "text", "lang").where("lang is not null and length(text) > 0")
-    # One row per language comes back; a language's share of the sample is decided by a hash of the id.
-    counts = {r["lang"]: r["n"] for r in docs.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # One row per language comes back: the number of its different rows, about (the bound of the sample is met as nearly).
+    different = F.approx_count_distinct(F.xxhash64("doc_id", "text"), 0.02)
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(different.alias("n")).collect()}
     if not counts:
         return None
     share = F.lit(0.0)
     for lang, n in sorted(counts.items()):
-        share = F.when(F.col("lang") == lang, F.lit(per_language / n)).otherwise(share)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        share = F.when(F.col("lang") == lang, F.lit(per_language / max(1, n))).otherwise(share)
+    # By id and text: rows without an id are drawn by themselves, and copies of a row, drawn together, come as one.
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(6)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     place = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
     rows = (
         labelled.where(draw < share)
         .select("lang", "doc_id", F.substr(F.col("text"), place, F.lit(SAMPLE_CHARS)).alias("text"))
-        .collect()
+        .distinct().collect()
     )
     rows.sort(key=lambda r: (str(r["doc_id"]), r["lang"], r["text"]))
     languages = sorted({r["lang"] for r in rows})
@@ -188,18 +222,30 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, steps: int = 1200)
                 y.append(languages.index(r["lang"]))
     if not x:
         return None
-    net = Network(languages)
+    if reject:
+        for r in rows:
+            n = int(rng.integers(2, WINDOW))  # of any length: a few letters are the hardest to tell
+            for text in (r["text"][:WINDOW], r["text"][:n]):
+                x.append(windows_of(noise(text, rng).encode()[:WINDOW].ljust(WINDOW))[0])
+                y.append(len(languages))
+            if _LETTER.search(r["text"]):  # a text with noise in it, up to a half, is still in its language
+                cut, n = sorted(rng.integers(0, WINDOW // 2, 2).tolist())
+                mixed = r["text"][:cut] + noise(r["text"][cut:n] or "-", rng) + r["text"][cut : cut + WINDOW - n]
+                x.append(windows_of(mixed.encode()[:WINDOW].ljust(WINDOW))[0])
+                y.append(languages.index(r["lang"]))
+    net = Network(languages, reject=reject)
     net.fit(np.stack(x), np.array(y), steps)
     return net
 
 
 def judge(texts: list[str | None], net: Network | None, tables: dict[int, list[np.ndarray]] | None) -> list[tuple[str, float, float]]:
-    """(language, score, best score of a single window with letters) of whole
-    texts; windows of several texts go through the network together."""
+    """(language, score, the languages' share in the window with letters where it is
+    largest: 1 without a reject class) of whole texts; windows of several texts go
+    through the network together."""
     out: list[tuple[str, float, float]] = [(UNKNOWN, 0.0, 0.0)] * len(texts)
     if net is None:
         return out
-    total = np.zeros((len(texts), len(net.languages)))
+    total = np.zeros((len(texts), net.classes))
     peak = np.full(len(texts), -np.inf)
     count = np.zeros(len(texts), dtype=np.int64)
     waiting: list[np.ndarray] = []
@@ -211,7 +257,8 @@ def judge(texts: list[str | None], net: Network | None, tables: dict[int, list[n
             logp = net.log_probabilities(x[i : i + _BATCH], tables)
             np.add.at(total, of[i : i + _BATCH], logp)
             letters = _LETTER_BYTE[x[i : i + _BATCH]].any(axis=1)
-            np.maximum.at(peak, of[i : i + _BATCH][letters], logp[letters].max(axis=1))
+            known = np.exp(logp[letters, : len(net.languages)]).sum(axis=1)
+            np.maximum.at(peak, of[i : i + _BATCH][letters], known)
         waiting.clear()
         owner.clear()
 
@@ -229,11 +276,11 @@ def judge(texts: list[str | None], net: Network | None, tables: dict[int, list[n
     if waiting:
         flush()
     for i in np.flatnonzero(count):
-        mean = total[i] / count[i]
+        mean = total[i, : len(net.languages)] / count[i]
         p = np.exp(mean - mean.max())
         p /= p.sum()
         best = int(p.argmax())
-        out[i] = (net.languages[best], float(p[best]), float(np.exp(peak[i])))
+        out[i] = (net.languages[best], float(p[best]), float(max(0.0, peak[i])))
     return out
 
 
@@ -258,14 +305,15 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
 def known_language(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
     """The rows of ``docs`` (all columns) in whose text a learned language is
-    recognised: the whole text or one of its windows has a score of at least
-    ``least``. Windows need not agree, so a text in several languages stays."""
+    recognised: in one of its windows at least, the languages have a share of
+    ``least`` against the reject class. Windows need not agree on the language, so a
+    text in several stays; without a reject class every text with a letter does."""
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.pair_tables() if net else None
         for batch in pieces(batches, at):
             found = judge(batch.column(at).to_pylist(), net, tables)
-            yield batch.filter(pa.array([lang != UNKNOWN and max(score, window) >= least for lang, score, window in found], pa.bool_()))
+            yield batch.filter(pa.array([lang != UNKNOWN and known >= least for lang, _, known in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

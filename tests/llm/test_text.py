@@ -7,7 +7,6 @@ import random
 import zlib
 from collections import Counter
 
-import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -244,15 +243,15 @@ def test_texts_in_several_languages_are_known(spark):
     mixed = [["xx", "yy"], ["zz", "ww"], ["xx", "yy", "zz"], ["yy", "zz", "ww"], list(syllables)]
     texts = [(1000 + i, "".join(map(part, langs)), None) for i, langs in enumerate(mixed)] + [(2000, "12 34 ++ " * 300, None), (2001, "", None)]
     schema = "doc_id bigint, text string, lang string"
-    net = langid.train(spark.createDataFrame(rows, schema), steps=300)
-    left = langid.known_language(spark.createDataFrame(texts, schema), net, corpus_pipeline.LEAST_LANGUAGE_SCORE)
+    net = langid.train(spark.createDataFrame(rows, schema), steps=300, reject=True)
+    left = langid.known_language(spark.createDataFrame(texts, schema), net, 0.5)
     assert {r.doc_id for r in left.collect()} == {1000 + i for i in range(len(mixed))}
 
 
 class _Fixed:
-    """A network whose windows have given log-probabilities, by their first byte."""
+    """A network of three languages and noise whose windows have given log-probabilities, by their first byte."""
 
-    languages = ("en", "es", "fr")
+    languages, classes = ("en", "es", "fr"), 4
 
     def __init__(self, by):
         self.by = {ord(k): np.array(v, dtype=float) for k, v in by.items()}
@@ -262,12 +261,48 @@ class _Fixed:
         return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
-def test_a_runner_up_common_to_all_parts_drops_no_text():
-    net = _Fixed({"a": (0, -4, -8), "b": (-8, -4, 0), "c": (0, 0, 0), "1": (0, -9, -9)})
+def test_a_text_is_known_by_its_best_window_whatever_the_languages_share():
+    net = _Fixed({"a": (0, -4, -8, -9), "b": (-8, -4, 0, -9), "c": (0, 0, 0, 9), "1": (0, -9, -9, -20)})
     part = {k: k * langid.WINDOW for k in "abc1"}
-    found = langid.judge([part["a"] + part["b"], part["c"], part["c"] + part["1"]], net, None)
-    assert [round(score, 3) for _, score, _ in found][:2] == [0.333, 0.333]
-    assert [round(window, 2) for _, _, window in found] == [0.98, 0.33, 0.33]  # a window without letters says nothing
+    found = langid.judge([part["a"] + part["b"], part["c"], part["c"] + part["1"], part["c"] + part["a"]], net, None)
+    assert [round(score, 3) for _, score, _ in found][:2] == [0.333, 0.333]  # among the languages alone
+    assert [round(known, 2) for _, _, known in found] == [1.0, 0.0, 0.0, 1.0]  # a window without letters says nothing
+
+
+def test_looked_up_probabilities_equal_the_forward_pass():
+    rng = np.random.default_rng(4)
+    for reject in (False, True):
+        net = langid.Network(["a", "b", "c"], seed=9, reject=reject)
+        x = rng.integers(0, 256, (40, langid.WINDOW)).astype(np.uint8)
+        z = np.maximum(net._forward(x)[0], 0) @ net.out + net.out_bias
+        expected = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+        assert np.allclose(net.log_probabilities(x, net.pair_tables()), expected, atol=1e-4) and expected.shape[1] == 3 + reject
+
+
+def test_training_lowers_the_loss_as_the_gradient_says():
+    """One step along the gradient's sign: every parameter group moves so that the cross entropy falls."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(97, 110, (64, langid.WINDOW)).astype(np.uint8)
+    y = rng.integers(0, 2, 64)
+    x[y == 1, 10:13] = [200, 201, 202]
+
+    def loss(net):
+        return -net.log_probabilities(x, net.pair_tables())[np.arange(64), y].mean()
+
+    losses = []
+    for steps in (0, 60, 300):
+        net = langid.Network(["a", "b"], seed=3)
+        net.fit(x, y, steps=steps)
+        losses.append(loss(net))
+    assert losses[0] > losses[1] > losses[2] and losses[2] < 0.1
+
+
+def test_the_draw_takes_rows_without_an_id_and_copies_as_one(spark):
+    rows = [(None, f"{w} text of its own {k}", lang) for lang, w in (("xx", "kato"), ("yy", "schlung")) for k in range(30)]
+    rows += [(7, "a hot copy of one row", "xx")] * 400
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    net = langid.train(docs, per_language=10, steps=200)
+    assert net.languages == ["xx", "yy"]
 
 
 def test_windows_cover_the_whole_text():
