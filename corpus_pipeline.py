@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and reread as the next one's ``docs``; all but the last return the
-columns of ``documents``. Stages work on every row that their predecessor kept."""
+columns of ``documents``. Stages work on every row that their predecessor kept.
+
+Defined results: a null or empty text, or one without letters, has no language and
+goes; repeated rows are equal texts, of which one row stays (the largest doc_id, a null
+id only if there is no other); of linked fingerprints the least doc_id stays; clashing
+or further columns pass through every stage unchanged; texts of any length are read
+whole; an empty table, or one that a stage empties, gives an empty result."""
 
 from __future__ import annotations
 
@@ -14,15 +20,16 @@ from phenospark.llm import bpe, decontam, exact_dedup, langid, simhash
 from phenospark.llm.common import fold, table
 from phenospark.sinks import materialise
 
-#: A document goes if neither in it as a whole nor in one of its windows a language reaches this share of the
-#: network's belief (texts in any number of languages stay).
-LEAST_LANGUAGE_SCORE = 0.4
+#: A document goes if in none of its windows the learned languages together reach this share of the network's
+#: belief against noise and unseen scripts (texts in any number of languages stay).
+LEAST_LANGUAGE_SHARE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters or without a recognisable language."""
-    net = langid.train(docs.where(~fold(F.col("doc_id"), 4, 2)))
-    return langid.known_language(docs, net, LEAST_LANGUAGE_SCORE)
+    """Drops documents without letters or without a recognisable language: noise, and
+    scripts that no labelled document has."""
+    net = langid.train(docs.where(~fold(F.col("doc_id"), 4, 2)), reject=True)
+    return langid.known_language(docs, net, LEAST_LANGUAGE_SHARE)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
