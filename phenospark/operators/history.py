@@ -14,11 +14,13 @@ executor costs its tasks, and running the delivery again completes it."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenospark.operators.mentions import PERSON
+from phenospark.operators.mentions import MENTION_COLUMNS, PERSON
 from phenospark.sinks import materialise
 
 KEYS = (PERSON, "phenotype", "code", "terminology")
@@ -47,12 +49,16 @@ def code_summary_of(history: DataFrame) -> DataFrame:
     return history.select(*KEYS, F.get("dates", F.lit(0)).alias("date"), n.cast("bigint").alias("n"))
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The stored history."""
-    return spark.read.parquet(path).select(*KEYS, "dates", "undated")
+def read_history(spark: SparkSession, path: str, only: Sequence[int] | None = None) -> DataFrame:
+    """The stored history, or that of the folders ``only``."""
+    stored = spark.read.parquet(path)
+    if only is not None:
+        stored = stored.where(F.col("part").isin(list(only)))
+    return stored.select(*KEYS, "dates", "undated")
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, if there is one."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
@@ -69,20 +75,38 @@ def merge_delivery(mentions: DataFrame, path: str, parts: int = PARTS, files_per
     is aggregated once into a written table, which also tells the folders (at most
     ``parts`` numbers reach the driver); stored folders it does not touch are not read."""
     spark = mentions.sparkSession
-    part = F.pmod(F.xxhash64(PERSON), F.lit(parts)).cast("int")
-    delivered = materialise(code_history(mentions).withColumn("part", part), "delivery")
+    delivered = materialise(code_history(mentions).withColumn("part", person_part(parts)), "delivery")
     touched = sorted(r["part"] for r in delivered.select("part").distinct().collect())
     if not touched:
         return []
-    merged, stored = delivered.drop("part"), _stored(spark, path)
+    merged, stored = delivered.drop("part"), stored_table(spark, path)
     if stored is not None:
         if (made := stored.select("parts").first()) is not None and made["parts"] != parts:
             raise ValueError(f"{path} has {made['parts']} parts, not {parts}")
         merged = unite_histories(merged, stored.where(F.col("part").isin(touched)).select(*KEYS, "dates", "undated"))
-    file = F.pmod(F.xxhash64(*KEYS), F.lit(files_per_part))
-    out = merged.withColumns({"parts": F.lit(parts), "part": part, "_file": file})
+    rewrite_parts(merged.withColumn("parts", F.lit(parts)), path, touched, parts, files_per_part)
+    return touched
+
+
+def person_part(parts: int) -> Column:
+    """The number of a person's folder."""
+    return F.pmod(F.xxhash64(PERSON), F.lit(parts)).cast("int")
+
+
+def rewrite_parts(rows: DataFrame, path: str, touched: Sequence[int], parts: int, files_per_part: int = FILES_PER_PART) -> None:
+    """Replaces the folders ``touched`` of the table at ``path`` by ``rows`` (which are
+    those of the persons in them, ``person_id_deid`` among their columns)."""
+    file = F.pmod(F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in rows.columns if c != "dates"]), F.lit(files_per_part))
+    order = {p: i * files_per_part for i, p in enumerate(sorted(touched))}
+    first = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])[F.col("part")]
+    out = rows.withColumn("part", person_part(parts))
     (
-        out.repartition(len(touched) * files_per_part, "part", "_file").drop("_file").sortWithinPartitions("part", *KEYS)
+        out.repartitionById(max(1, len(order) * files_per_part), (first + file).cast("int")).sortWithinPartitions("part", PERSON)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
     )
-    return touched
+
+
+def mentions_of(history: DataFrame) -> DataFrame:
+    """The distinct mentions that a history holds, one row each."""
+    dates = F.concat("dates", F.when(F.col("undated"), F.array(F.lit(None).cast("date"))).otherwise(F.array().cast("array<date>")))
+    return history.select(*KEYS, F.explode(dates).alias("date")).select(*MENTION_COLUMNS)

@@ -48,10 +48,15 @@ def fits(df: DataFrame, max_bytes: int) -> bool:
     return size_in_bytes(df) <= max_bytes
 
 
+#: Most salt values of the fallback. The lookup is copied once for each, so they don't grow with the cluster: a key
+#: with a third of all rows is cut into 32 parts, and what is still too large for a task AQE's skew join cuts further.
+MAX_SALTS = 32
+
+
 def salt_count(df: DataFrame) -> int:
     """Salt values of the fallback: as many as the session's shuffle has
-    partitions, so a hot key can use all of them."""
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    partitions, up to ``MAX_SALTS``."""
+    return min(MAX_SALTS, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def salted_join(
@@ -61,8 +66,8 @@ def salted_join(
     how: str = "inner",
     salt_buckets: int | None = None,
 ) -> DataFrame:
-    """Sort-merge join with the facts spread by a salt (default: one value per
-    shuffle partition). Exact for inner, left outer, semi and anti joins: every
+    """Sort-merge join with the facts spread by a salt (default: :func:`salt_count`
+    values). Exact for inner, left outer, semi and anti joins: every
     salt value of a key exists on the lookup side, so each fact row meets
     exactly the rows it would meet without the salt. Streams are salted by their
     content alone."""

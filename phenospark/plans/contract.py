@@ -31,6 +31,7 @@ from phenospark.operators.mentions import (
     wide_records,
 )
 from phenospark.operators.reshape import melt, melt_codes
+from phenospark.plans.jobs import features_job
 from phenospark.sinks import compact_table, materialise, register_view, table_files, write_table
 from phenospark.session import ensure_checkpoint_dir
 from phenospark.sources.codelists import bad_code_rows, list_sources, list_tables, read_code_files, read_code_tables
@@ -507,6 +508,22 @@ def code_summary_in_deliveries(s: StarSchema) -> DataFrame:
     return history.code_summary_of(history.read_history(s.spark, path))
 
 
+def features_kept_in_deliveries(s: StarSchema) -> DataFrame:
+    """The features job over two overlapping deliveries, the second run twice; per person
+    the mentions of the kept histories and the phenotypes of the kept rows."""
+    found = materialise(_mentions_dedup(s), "kept_mentions")
+    first, last = found.agg(F.min(F.year("date")), F.max(F.year("date"))).first()
+    cut = (first + last) // 2
+    out, names = _scratch(s, "kept"), s.codelist().select("phenotype")
+    features_job(s.spark, found.where(F.year("date") <= cut), names, out, parts=16)
+    late = found.where((F.year("date") >= cut) | F.col("date").isNull())
+    features_job(s.spark, late, names, out, parts=16)
+    kept = features_job(s.spark, late, names, out, parts=16)
+    counted = kept["code_summary"].groupBy("person_id_deid").agg(F.sum("n").alias("n_mentions"), F.min("date").alias("first_date"))
+    return counted.join(kept["person_rows"], "person_id_deid").select(
+        "person_id_deid", "n_mentions", "first_date", F.size("ids").cast("bigint").alias("n_phenotypes"))
+
+
 def _sparse(s: StarSchema) -> tuple[DataFrame, DataFrame]:
     """(rows, dictionary): the person's phenotype ids, and the codelist's phenotypes."""
     dictionary = materialise(sparse.phenotype_dictionary(s.codelist()), "phenotype_dictionary")
@@ -649,6 +666,7 @@ QUERIES: dict[str, Query] = {
         features_by_phenotype,
         features_from_code_summary,
         code_summary_in_deliveries,
+        features_kept_in_deliveries,
         flag_matrix,
         flag_matrix_sizes,
         flag_rows_merged,

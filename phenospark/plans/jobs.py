@@ -10,7 +10,12 @@ outputs, each returning the summaries it reports.
    ``category_mapping`` and ``mentions_categorised``; category sizes, codes per
    category and per phenotype, unmapped / orphan checks.
 
-Each written table is read back before anything else uses it, so summaries
+4. :func:`features_job` — a delivery of mentions -> the kept state of every person
+   (histories of mention dates, phenotype ids, coverage sketches), of which only
+   the folders of the delivery's persons are rewritten; the features read from it.
+
+``out_root`` is a folder, or the name of a database whose tables the outputs
+become. Each written table is read back before anything else uses it, so summaries
 share one computation and a lost executor costs a re-read, not a replay.
 """
 
@@ -23,7 +28,7 @@ from pyspark.sql import functions as F
 
 from phenospark.operators import catalog as catalog_ops
 from phenospark.operators import categories as category_ops
-from phenospark.operators import checks, summary
+from phenospark.operators import checks, features, history, sketches, sparse, summary
 from phenospark.operators.codelist import build_codelist
 from phenospark.operators.mentions import (
     HOSPITAL_SLOTS,
@@ -31,8 +36,8 @@ from phenospark.operators.mentions import (
     narrow_records,
     wide_records,
 )
-from phenospark.sinks import write_and_read
-from phenospark.sources.codelists import list_sources, read_code_files
+from phenospark.sinks import is_path, materialise, write_table
+from phenospark.sources.codelists import list_sources, list_tables, read_code_files, read_code_tables
 from phenospark.sources.tables import (
     read_abbreviations,
     read_categories,
@@ -41,31 +46,47 @@ from phenospark.sources.tables import (
 )
 
 
-def _write_read(df: DataFrame, out_root: str, name: str, cluster_by: Sequence[str] | None = None) -> DataFrame:
-    return write_and_read(df, f"{out_root.rstrip('/')}/{name}", cluster_by)
+def _write_read(df: DataFrame, out_root: str, name: str, cluster_by: Sequence[str] | None = None,
+                zorder_by: Sequence[str] | None = None) -> DataFrame:
+    target = f"{out_root.rstrip('/')}/{name}" if is_path(out_root) else f"{out_root}.{name}"
+    if zorder_by:  # the layout is made from a written table
+        df = materialise(df, name)
+    write_table(df, target, cluster_by, zorder_by=zorder_by)
+    return read_table(df.sparkSession, target)
 
 
 def codelist_job(
     spark: SparkSession,
     dictionary_csv: str,
-    codelist_root: str,
+    codelist_root: str | None,
     out_root: str,
     codelist_format: str = "csv",
     table_prefix: str = catalog_ops.DEFAULT_TABLE_PREFIX,
     database: str | None = None,
     source_from: str = "file",
     cluster_by: Sequence[str] | None = None,
+    codelist_database: str | None = None,
 ) -> dict[str, DataFrame]:
-    """``cluster_by``: columns by which the written codelist is ordered."""
+    """Codelists are files below ``codelist_root``, or (``codelist_root`` None) the
+    tables of ``codelist_database`` whose names begin with ``table_prefix``: those that
+    the catalog names are read. ``cluster_by``: columns by which the written codelist
+    is ordered."""
+    if (codelist_root is None) == (codelist_database is None):
+        raise ValueError("codelists are the files of a folder or the tables of a database: name one of them")
     catalog = _write_read(
         catalog_ops.to_catalog(read_dictionary(spark, dictionary_csv), table_prefix, database),
         out_root, "catalog",
     )
     wanted = catalog_ops.without_terminology(catalog, "CPRD")
-    codes = read_code_files(spark, codelist_root, fmt=codelist_format, source_from=source_from, catalog=wanted)
+    if codelist_root is not None:
+        codes = read_code_files(spark, codelist_root, fmt=codelist_format, source_from=source_from, catalog=wanted)
+        # What is missing is decided by the files, not their rows: an empty codelist exists.
+        present = list_sources(spark, codelist_root, f"*.{codelist_format}", source_from)
+    else:
+        present = list_tables(spark, codelist_database, f"{table_prefix}*").select(F.lower("table").alias("source"))
+        named = present.join(wanted.select(F.col("table").alias("source")), "source", "left_semi")
+        codes = read_code_tables(spark, [f"{codelist_database}.{r['source']}" for r in named.collect()])
     codelist = _write_read(build_codelist(catalog, codes), out_root, "codelist", cluster_by)
-    # What is missing is decided by the files, not their rows: an empty codelist exists.
-    present = list_sources(spark, codelist_root, f"*.{codelist_format}", source_from)
     return {
         "catalog": catalog,
         "codelist": codelist,
@@ -88,10 +109,12 @@ def mentions_job(
     narrow_terminology: str = "SNOMEDCT",
     keep_raw: bool = False,
     cluster_by: Sequence[str] | None = None,
+    zorder_by: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """``narrow_columns`` / ``wide_columns`` rename the record columns for the
     adapters (``person``, ``date``[, ``code``]); ``cluster_by``: columns by
-    which the written mentions are ordered.
+    which the written mentions are ordered, ``zorder_by``: columns any of which
+    later filters can use.
 
     ``volumes`` has all counts (raw, deduplicated, duplicates, people,
     phenotypes, the narrow source's coverage) from one pass over each source;
@@ -105,7 +128,7 @@ def mentions_job(
     out: dict[str, DataFrame] = {}
     out["mentions"] = _write_read(
         mentions(cl, narrow=narrow, wide=wide, narrow_terminology=narrow_terminology),
-        out_root, "mentions", cluster_by,
+        out_root, "mentions", cluster_by, zorder_by,
     )
     out["totals_dedup"] = summary.coverage(out["mentions"])
     out["volumes"] = _write_read(
@@ -158,4 +181,52 @@ def categories_job(
     return out
 
 
-__all__ = ["categories_job", "codelist_job", "mentions_job"]
+#: What coverage sketches are kept by.
+SKETCHED_BY = ("terminology", "year")
+
+
+def features_job(
+    spark: SparkSession,
+    mentions_df: DataFrame,
+    phenotypes: DataFrame,
+    out_root: str,
+    parts: int = history.PARTS,
+) -> dict[str, DataFrame]:
+    """Brings the state kept below the folder ``out_root`` up to date with a delivery of
+    mentions (new ones, repeated ones, or all there are) and returns what it says now.
+
+    ``phenotypes`` (``phenotype``; e.g. the codelist) extends the dictionary. Persons
+    lie in ``parts`` folders: the histories of those the delivery mentions are merged,
+    and their phenotype ids and coverage sketches are made again from them, so counts
+    stay exact whatever a delivery repeats; other folders are not read. The job may be
+    run again after a failure at any point.
+
+    ``code_summary``, ``first_dates``, ``features_by_phenotype`` (first date and number
+    of mentions), ``dictionary`` and ``person_rows`` (sorted phenotype ids), ``coverage``
+    (estimates per vocabulary and year, per vocabulary, per year and of all)."""
+    if not is_path(out_root):
+        raise ValueError("the kept state is a folder")
+    root = out_root.rstrip("/")
+    history_at, rows_at, sketches_at, names_at = (f"{root}/{n}" for n in ("history", "person_rows", "coverage_sketches", "dictionary"))
+    known = history.stored_table(spark, names_at)
+    write_table(sparse.phenotype_dictionary(phenotypes, known), names_at)
+    dictionary = spark.read.parquet(names_at)
+    touched = history.merge_delivery(mentions_df, history_at, parts)
+    if touched:
+        own = history.read_history(spark, history_at, touched)
+        history.rewrite_parts(sparse.person_rows(own, dictionary), rows_at, touched, parts)
+        per_part = history.mentions_of(own).withColumns({"year": F.year("date"), "part": history.person_part(parts)})
+        sketched = sketches.sketch_coverage(per_part, ["part", *SKETCHED_BY])
+        sketched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(sketches_at)
+    per_code = history.code_summary_of(history.read_history(spark, history_at))
+    return {
+        "code_summary": per_code,
+        **features.features_from_summary(per_code),
+        "dictionary": dictionary,
+        "person_rows": spark.read.parquet(rows_at).drop("part"),
+        "coverage": sketches.coverage_of_cuts(
+            spark.read.parquet(sketches_at), [list(SKETCHED_BY), [SKETCHED_BY[0]], [SKETCHED_BY[1]], []], SKETCHED_BY),
+    }
+
+
+__all__ = ["categories_job", "codelist_job", "features_job", "mentions_job"]

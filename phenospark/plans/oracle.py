@@ -287,6 +287,9 @@ GROUP BY GROUPING SETS ((terminology, year), (terminology), (year), ())""", "f_m
     "code_summary_in_deliveries": with_ctes("""
 SELECT person_id_deid, phenotype, code, terminology, MIN(date) AS date, COUNT(*) AS n
 FROM f_mentions GROUP BY person_id_deid, phenotype, code, terminology""", "f_mentions"),
+    "features_kept_in_deliveries": with_ctes("""
+SELECT person_id_deid, COUNT(*) AS n_mentions, MIN(date) AS first_date, COUNT(DISTINCT phenotype) AS n_phenotypes
+FROM f_mentions GROUP BY person_id_deid""", "f_mentions"),
     "flag_rows_merged": with_ctes("""
 SELECT person_id_deid, COUNT(DISTINCT phenotype) AS n_phenotypes, MIN(phenotype) AS first_phenotype, MAX(phenotype) AS last_phenotype
 FROM f_mentions GROUP BY person_id_deid""", "f_mentions"),
