@@ -14,8 +14,12 @@ the numbers of tokens seen once and twice). Probabilities of a state sum to one.
 
 The automaton grows with the corpus and is never held whole: each block of
 documents asks for the counts of its own distinct n-grams (blocks.py), which
-are exactly the states and arcs that its texts can touch, and its texts are read
-on that piece of the automaton. Counts cover all training texts. N-grams are
+are exactly the states and arcs that its texts can touch. From the answers the block
+builds that piece of the automaton (:class:`Automaton`: states, arcs, failure arcs
+and their weights) and reads its texts on it, token by token, carrying the state.
+Texts are read side by side, long ones in stretches of ``LANE`` tokens: a state is
+fixed by the last ``order - 1`` tokens, so a stretch takes its first state by reading
+those before it. Counts cover all training texts (64-bit numbers). N-grams are
 told apart by hashes: tokens by 64 bits (two of a billion share one with a chance
 of a few per cent), longer n-grams by 56 (of five billion, one in ten million
 meets another).
@@ -49,6 +53,8 @@ PRIOR = (30.0, 4.0)
 _KEPT = np.uint64(2**64 - 2**8)
 #: Text of a block, and text whose n-grams one part should get.
 _BLOCK_BYTES, _PART_BYTES = 4 << 20, 8 << 20
+#: Tokens that a reader takes in one go; more readers stand side by side.
+LANE = 128
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -63,6 +69,11 @@ def unpack_texts(block: dict) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def add_up(number: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``counts`` by number, in 64-bit whole numbers (exact up to 2^53)."""
+    return np.bincount(number, weights=counts, minlength=n).astype(np.uint64)
+
+
 class _Grams:
     """The tokens of a block: one row of start, words and end per text."""
 
@@ -90,6 +101,108 @@ class _Grams:
         return keys, number.astype(np.int32), last
 
 
+class Automaton:
+    """The states and arcs that a block's texts can touch.
+
+    ``count[n - 1]`` are the training counts of the block's distinct n-grams, ``gram[n -
+    1]`` has the number of the n-gram that ends at each place of the row (-1: none).
+    State 0 has no history; the others are the known histories, numbered by length: the
+    start (as a history of one), then the seen n-grams of 1 .. order - 1 tokens. An arc
+    is a seen n-gram: it leaves its history's state and is found there by its number."""
+
+    def __init__(self, grams: _Grams, count: list[np.ndarray], gram: list[np.ndarray], starts: float,
+                 prior: Sequence[float], n_train: int, v: int, discount: float):
+        self.order, self.grams, self.gram, self.count = len(count), grams, gram, count
+        place = []  # of one occurrence of each distinct n-gram
+        for c, g in zip(count, gram):
+            at = np.zeros(len(c), dtype=np.int64)
+            there = np.flatnonzero(g >= 0)
+            at[g[there]] = there
+            place.append(at)
+        # States: the number of a seen n-gram's own state, 0 for one that was not seen.
+        self.state, n_states = [], 2
+        for n in range(1, self.order):
+            seen = count[n - 1] > 0
+            self.state.append(np.where(seen, n_states + np.cumsum(seen) - 1, 0))
+            n_states += int(seen.sum())
+        self.start = 1 if self.order > 1 and starts > 0 else 0
+        self.length = np.zeros(n_states, dtype=np.int8)  # of a state's history
+        self.fail = np.zeros(n_states, dtype=np.int64)
+        self.fail_weight = np.zeros(n_states)
+        mass = np.zeros(n_states)  # c(h)
+        self.length[1], mass[1] = 1, starts
+        for n in range(1, self.order):
+            own = self.state[n - 1]
+            seen = own > 0
+            self.length[own[seen]], mass[own[seen]] = n, count[n - 1][seen]
+            if n > 1:  # without its oldest token: the shorter n-gram that ends at the same place
+                self.fail[own[seen]] = self.state[n - 2][gram[n - 2][place[n - 1][seen]]]
+        has = self.length > 0
+        weight = np.array([0.0, *prior])[self.length[has]]
+        self.fail_weight[has] = np.log10(weight / (mass[has] + weight))
+        # Arcs: probability of the last token, and the state that it leads to.
+        seen = count[0] > 0
+        p = np.where(seen, count[0] - discount, discount * v) / n_train if n_train else np.ones(len(count[0]))
+        self.arc_weight, self.next = [np.log10(p)], [self.state[0] if self.order > 1 else np.zeros(len(p), dtype=np.int64)]
+        for n in range(2, self.order + 1):
+            at, a = place[n - 1], prior[n - 2]
+            history = self._state_before(at, n - 1)
+            p = (count[n - 1] + a * p[gram[n - 2][at]]) / (mass[history] + a)
+            self.arc_weight.append(np.log10(p))
+            self.next.append(self.state[n - 1] if n < self.order else self.state[n - 2][gram[n - 2][at]])
+
+    def _state_before(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The state of the ``n`` tokens before each place (0 where they are unknown)."""
+        number = self.gram[n - 1][at - 1]
+        found = np.where(number >= 0, self.state[n - 1][np.maximum(number, 0)], 0)
+        return np.where(self.grams.is_start[at - 1], self.start, found) if n == 1 else found
+
+    def step(self, state: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next state, weight) of readers in ``state`` that take the token at ``at``:
+        its arc, or failure arcs until there is one. State 0 has an arc for every token."""
+        state, weight = state.copy(), np.zeros(len(at))
+        todo = np.arange(len(at))
+        while len(todo):
+            length = self.length[state[todo]]
+            rest = []
+            for n in range(self.order):
+                own = todo[length == n]
+                if not len(own):
+                    continue
+                arc = self.gram[n][at[own]]
+                taken = (self.count[n][arc] > 0) & (arc >= 0) if n else np.ones(len(own), bool)
+                arc, go = arc[taken], own[taken]
+                weight[go] += self.arc_weight[n][arc]
+                state[go] = self.next[n][arc]
+                back = own[~taken]
+                weight[back] += self.fail_weight[state[back]]
+                state[back] = self.fail[state[back]]
+                rest.append(back)
+            todo = np.concatenate(rest)
+        return state, weight
+
+    def read(self) -> np.ndarray:
+        """The weight of every place of the row (0 at starts), read from left to right."""
+        weight = np.zeros(len(self.grams.row))
+        first, last = self.grams.begin[:-1] + 1, self.grams.begin[1:]
+        pieces = -(-(last - first) // LANE)
+        text = np.repeat(np.arange(len(first)), pieces)
+        piece = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = first[text] + piece * LANE
+        end = np.minimum(begin + LANE, last[text])
+        warm = np.maximum(first[text], begin - (self.order - 1))  # a reader of a later stretch takes the tokens before it first
+        state = np.where(warm == first[text], self.start, 0)
+        for k in range(LANE + self.order - 1):
+            at = warm + k
+            on = np.flatnonzero(at < end)
+            if not len(on):
+                break
+            state[on], w = self.step(state[on], at[on])
+            own = at[on] >= begin[on]
+            weight[at[on][own]] = w[own]
+        return weight
+
+
 def score_texts(docs: DataFrame, parts_of_fold: int, held_part: int, order: int = ORDER, prior: Sequence[float] = PRIOR) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for
     every row of ``docs`` (doc_id, text). Texts whose crc32(doc_id) mod
@@ -115,7 +228,7 @@ def score_texts(docs: DataFrame, parts_of_fold: int, held_part: int, order: int
             distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
             number = number.astype(np.int32)
             counts = np.concatenate([unpack(c, "<u4") for *_, c in own])
-            total = np.bincount(number, weights=counts, minlength=len(distinct)).astype(np.uint32)
+            total = add_up(number, counts, len(distinct))
             del distinct, counts
             at = 0
             for (g, b, _, _), k in zip(own, keys):
@@ -133,36 +246,21 @@ def score_texts(docs: DataFrame, parts_of_fold: int, held_part: int, order: int
     def work(block: dict, own: list[dict]) -> Iterator[tuple]:
         grams = _Grams(unpack_texts(block))
         size = int(grams.begin[-1])
-        count = []  # by order, of the n-gram that ends at a token; 0 where there is none
+        count, gram = [], []
         for n in range(1, order + 1):
             mine = sorted((r for r in own if r["kind"] == str(n)), key=lambda r: r["part"])
-            total = np.concatenate([unpack(r["reply"], "<u4") for r in mine]) if mine else np.zeros(0, np.uint32)
+            total = np.concatenate([unpack(r["reply"], "<u8") for r in mine]) if mine else np.zeros(0, np.uint64)
             _, number, last = grams.of(n)
-            at = np.zeros(size)
-            at[last] = total[number]
-            count.append(at)
+            at = np.full(size, -1, dtype=np.int64)
+            at[last] = number
+            count.append(total.astype(np.float64))
+            gram.append(at)
         token = ~grams.is_start
-        seen = count[0] > 0
-        base = np.where(token, np.log10((count[0] + 1) / (n_train + v + 1)), 0.0)
-        if n_train:
-            plain = np.where(seen, count[0] - discount, discount * v) / n_train
-        else:
-            plain = np.ones(size)
-        p = np.where(token, plain, 1.0)
-        # The states on the way, from the one without history up: an arc if the n-gram was seen, else the failure arc and what lies below.
-        texts_trained = count[0][grams.begin[1:] - 1]  # every training text has one end
-        history = count[0].copy()
-        history[grams.begin[:-1]] = texts_trained
-        weight = np.log10(p)
-        for n in range(2, order + 1):
-            before = np.concatenate(([0.0], history[:-1]))
-            a = prior[n - 2]
-            has_state = token & (before > 0)
-            arc = np.log10((count[n - 1] + a * p) / (before + a))
-            failure = np.log10(a / (before + a))
-            weight = np.where(has_state, np.where(count[n - 1] > 0, arc, failure + weight), weight)
-            p = 10.0**weight
-            history = count[n - 1]
+        of_token = np.where(token, count[0][gram[0]], 0.0)
+        seen = of_token > 0
+        base = np.where(token, np.log10((of_token + 1) / (n_train + v + 1)), 0.0)
+        texts_trained = of_token[grams.begin[1:] - 1].max()  # every training text has one end
+        weight = Automaton(grams, count, gram, texts_trained, prior, n_train, v, discount).read()
         edges = grams.begin[:-1]
         known, base, score = (np.add.reduceat(x, edges) if size else x for x in ((seen & token).astype(np.int64), base, weight))
         for i, doc_id in enumerate(block["ids"]):

@@ -109,11 +109,73 @@ def test_scores_without_training_texts(spark):
     assert lm.score_texts(empty(spark), 7, 2).count() == 0
 
 
-def test_a_state_s_probabilities_sum_to_one(spark):
-    rows = [(i, t) for i, t in corpus(n=20) if i is not None and i < 20]
-    vocabulary = sorted({w for _, t in rows for w in words(lower(t or ""))})
-    found = lm.score_texts(frame(spark, rows + [(1000 + k, w) for k, w in enumerate([*vocabulary, "unseenword"])]), 7, 2, order=1)
-    assert found.count() == len(rows) + len(vocabulary) + 1  # their sum is checked by the definition in brute_scores
+def automaton_of(texts, trained, order, prior=lm.PRIOR):
+    """The automaton of a block of texts of which the first ``trained`` are learned from, and its row of tokens."""
+    grams = lm._Grams([t.encode() for t in texts])
+    learned = grams.text < trained
+    count, gram = [], []
+    for n in range(1, order + 1):
+        keys, number, last = grams.of(n)
+        count.append(np.bincount(number[learned[last]], minlength=len(keys)).astype(float))
+        at = np.full(len(grams.row), -1)
+        at[last] = number
+        gram.append(at)
+    seen = count[0][count[0] > 0]
+    once, twice = (seen == 1).sum(), (seen == 2).sum()
+    d = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+    return lm.Automaton(grams, count, gram, float(trained), prior, int(seen.sum()), len(seen), d), grams
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_a_state_s_probabilities_sum_to_one(order):
+    rng = random.Random(3)
+    training = [" ".join(rng.choices("abcdef", weights=(9, 5, 3, 2, 1, 1), k=rng.randint(1, 12))) for _ in range(30)]
+    vocabulary = sorted({w for t in training for w in t.split()})
+    histories = ["", "a", "b c", "a a b", "f e", "new", "new a", "a new"]
+    asked = [f"{h} {w}".strip() for h in histories for w in [*vocabulary, "unseen"]] + histories
+    made, grams = automaton_of(training + asked, len(training), order)
+    weight = made.read()
+    of = {t: i for i, t in enumerate(training + asked) if i >= len(training)}
+    for h in histories:
+        words_after = [weight[grams.begin[of[f"{h} {w}".strip()] + 1] - 2] for w in [*vocabulary, "unseen"]]
+        end = weight[grams.begin[of[h] + 1] - 1]
+        assert sum(10.0 ** x for x in [*words_after, end]) == pytest.approx(1.0, abs=1e-9), (order, h)
+
+
+def test_failure_arcs_lead_to_the_longest_known_suffix():
+    made, grams = automaton_of(["a b c", "b d", "x a b d"], 2, 3)
+    known = {(): 0, ("<s>",): made.start}
+    rows = [["<s>", *t.split(), "</s>"] for t in ("a b c", "b d")]
+    for n in (1, 2):
+        for i, row in enumerate(rows):
+            for k in range(len(row) - n + 1):
+                if n > 1 or k:
+                    known[tuple(row[k : k + n])] = made.state[n - 1][made.gram[n - 1][grams.begin[i] + k + n - 1]]
+    assert all(v > 0 for h, v in known.items() if h) and len(set(known.values())) == len(known) == len(made.fail)
+    for h, s in known.items():
+        if h:
+            suffix = next(h[k:] for k in range(1, len(h) + 1) if h[k:] in known)
+            assert made.fail[s] == known[suffix] and made.length[s] == len(h) and made.fail_weight[s] < 0
+    state, _ = made.step(np.array([0]), np.array([grams.begin[2] + 1]))  # an unseen token leads to the state without history
+    assert state[0] == 0
+
+
+def test_reading_in_stretches_equals_reading_whole(monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefg", k=k)) for k in (0, 1, 2, 3, 50, 127, 128, 129, 130, 400)]
+    for order in (1, 2, 3, 4):
+        made, _ = automaton_of(texts, 6, order, prior=(30.0, 4.0, 2.0))
+        whole = {}
+        for lane in (1000, 128, 7, 1):
+            monkeypatch.setattr(lm, "LANE", lane)
+            whole[lane] = made.read()
+        assert all(np.array_equal(whole[1000], w) for w in whole.values())
+
+
+def test_counts_beyond_32_bits_add_up():
+    big = np.array([2**32 - 1, 2**32 - 1, 5], dtype=np.uint32)
+    total = lm.add_up(np.array([1, 1, 0], dtype=np.int32), big, 3)
+    assert total.tolist() == [5, 2**33 - 2, 0] and lm.unpack(lm.pack(total), "<u8").tolist() == total.tolist()
 
 
 # --- toxicity -----------------------------------------------------------------------
