@@ -4,22 +4,24 @@ decision tree on their own and their neighbours' word counts and link density.
 A page is cut at block-level tags into flat blocks (inline markup stays inside
 its block). Each block is described by its number of words and link density
 (share of its words inside links), by the same two of the block before and
-after, and by where it stands: inside a navigation, header, footer, form or
-similar element, inside an element whose class, id or role names boilerplate
-or reader comments, inside an article element, or a heading. A decision tree
-(Gini impurity, axis-parallel splits) trained on ``LABELLED``, a small table of
-labelled blocks given as mini-pages, says which blocks are main text.
+after, by whether it begins like a line on rights, and by where it stands: inside an
+element or name that says boilerplate or reader comments, inside an article element
+or name, in a heading. A decision tree (Gini impurity, axis-parallel splits) trained on
+``LABELLED``, a small table of labelled blocks given as mini-pages, says which blocks
+are main text; where no element or name says so, it decides by the neighbours (a line
+between menus, a linked heading before a long text, remarks between linked names).
 
 The kept blocks' text has its character references decoded and white space
 runs turned into one space, is trimmed, and joined by newlines in page order;
-blocks without visible characters vanish, nothing else is dropped.
+blocks without visible characters vanish, nothing else is dropped. Reading a page
+takes time in proportion to its length, whatever its elements.
 
 Defined results: null or empty html gives an empty text; unclosed, misnested
 or cut-off markup is read leniently (an end tag closes the nearest open element
 of its name, ends of elements that are not open are ignored); contents of
 script, style, svg and the like never count as text, those of math and object
-do; a head ends where anything stands that can't be in it; repeated rows are extracted
-alike; an empty table gives an empty result; further columns are ignored.
+do; a head ends where anything stands that can't be in it; a leaf of the tree as much
+text as not counts as text; repeated rows are extracted alike; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,16 +37,18 @@ from pyspark.sql import DataFrame
 
 from phenospark.llm.common import pieces
 
+#: Attributes: a quote opens a string only right after ``=``; elsewhere it is a character like any other.
+_ATTRS = r"""(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+"""
 #: Tokens of a page, and of an svg's inside, where a raw element may be closed by its own start tag (``<style/>``).
 _TOKEN, _SVG_TOKEN = (
     re.compile(
-        r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|iframe|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*" + closed +
-        r".*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
+        r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|iframe|select|title)\b" + _ATTRS + closed +
+        r".*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>" + _ATTRS + r")(?:>|\Z)|<[!?/][^>]*(?:>|\Z)",
         re.S | re.I,
     )
     for closed in (">", "(?<!/)>")
 )
-_ATTR = re.compile(r"\b(class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTR = re.compile(r"(?<![\w-])(class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 # Fixed values of the HTML standard: elements without contents, and elements whose contents flow inside a line.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -76,7 +80,17 @@ _BOILER_WORD = set(
     "recommendations copyright legal disclaimer pagination pager tags tagcloud skip search form paywall outbrain taboola "
     "complementary contentinfo dialog".split()
 )
-_COMMENT_WORD = set("comment comments commentlist reply replies respond disqus discussion feedback reader readers responses".split())
+_COMMENT_WORD = set("comment comments commentlist reply replies respond disqus discussion feedback reader readers responses reviews".split())
+#: Boilerplate words that tell even beside words nobody foresaw (``google-ad``, ``cookie-policy-banner``).
+_STRONG_WORD = set(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr newsletter subscribe signup "
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar footer sharing related recommended pagination paywall outbrain taboola "
+    "copyright disclaimer".split()
+)
+#: First words of names that tell a state and not what the element is (``has-sidebar``, ``no-ads``).
+_STATE_WORD = set("has have with without no not is hide show".split())
+#: How a line on rights begins.
+_LEGAL = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved\b)", re.I)
 _ARTICLE_WORD = set("article content post entry story main articlebody body text".split())
 
 #: Words that say nothing by themselves: a name of these and boilerplate words names boilerplate (``site-header``), one with
@@ -89,29 +103,69 @@ _NEUTRAL_WORD = set(
 #: Elements that are never boilerplate as a whole, whatever their names say.
 _WHOLE = {"html", "body", "main", "article"}
 
-FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
-            "in_boiler_tag", "boiler_word", "comment_word", "in_article", "article_word", "heading")
+#: What is known of a block: its words and links, those of its neighbours, and where it stands.
+FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "legal",
+            "said", "in_article", "article_word", "heading")
+_IN_TAG, _NAME, _WORD, _COMMENT, _ARTICLE, _ARTICLE_NAME, _IS_HEADING = range(7)
+_NOWHERE = (0,) * 7
+
+
+class _Open:
+    """The open elements, innermost last, with the places of each name and of block
+    elements, so that every step takes constant time (elements are closed once)."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, tuple[int, ...]]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, tag: str, place: tuple[int, ...] = _NOWHERE) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in _INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, place))
+
+    def close_to(self, at: int) -> None:
+        while len(self.stack) > at:
+            tag = self.stack.pop()[0]
+            self.places[tag].pop()
+            if tag not in _INLINE:
+                self.blocks.pop()
+
+    def last(self, tag: str) -> int:
+        """Where the innermost ``tag`` stands (-1: nowhere)."""
+        own = self.places.get(tag)
+        return own[-1] if own else -1
 
+    def block(self) -> int:
+        """Where the innermost block element stands (-1: nowhere)."""
+        return self.blocks[-1] if self.blocks else -1
 
-_NOWHERE = (0, 0, 0, 0, 0, 0)
+    def top(self) -> str:
+        return self.stack[-1][0] if self.stack else ""
+
+    def place(self) -> tuple[int, ...]:
+        return self.stack[-1][1] if self.stack else _NOWHERE
+
+    def links(self) -> int:
+        return len(self.places.get("a", ()))
 
 
 class _Block:
-    __slots__ = ("linked", "parts", "place", "words")
+    __slots__ = ("linked", "parts", "place", "shown", "words")
 
     def __init__(self) -> None:
         self.parts: list[str] = []
         self.words = self.linked = 0
+        self.shown = False
         self.place = _NOWHERE
 
 
 def blocks_of(page: str) -> list[tuple[str, list[float]]]:
     """(text, features) of every flat block that has visible characters, in page order."""
-    stack: list[tuple[str, tuple[int, ...]]] = []
-    hidden: list[str] = []  # open elements from the outermost open svg on
+    opened, hidden = _Open(), _Open()  # hidden: open elements from the outermost open svg on
     blocks: list[_Block] = []
     now = _Block()
-    link = 0
 
     def close_block() -> None:
         nonlocal now
@@ -120,44 +174,39 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
         now = _Block()
 
     def text(run: str) -> None:
-        if not run or hidden:
+        if not run or hidden.stack:
             return
-        if stack and stack[-1][0] == "head" and run.strip():
-            stack.pop()
+        if opened.top() == "head" and run.strip():
+            opened.close_to(len(opened.stack) - 1)
         run = _html.unescape(run) if "&" in run else run
         n = len(run.split())
         if n:
             now.words += n
-            if link:
+            if opened.links():
                 now.linked += n
-            if not any(p.strip() for p in now.parts):
-                now.place = stack[-1][1] if stack else _NOWHERE
+            if not now.shown:
+                now.place, now.shown = opened.place(), True
         now.parts.append(run)
 
     def in_svg(tag: str, end: bool, closed: bool) -> bool:
         """Whether a tag belongs to the open svg; one that doesn't has ended it."""
         if end:
-            for i in range(len(hidden) - 1, -1, -1):
-                if hidden[i] == tag:
-                    del hidden[i:]
-                    return True
-            if any(x == tag for x, _ in stack):
-                hidden.clear()
-            return bool(hidden)
-        if tag in _ENDS_SVG:
-            for i in range(len(hidden) - 1, -1, -1):
-                if hidden[i] in _SVG_HOLDS_HTML:
-                    break
-                if hidden[i] == "svg":
-                    del hidden[i:]
-                    if not hidden:
-                        return False
+            if hidden.last(tag) >= 0:
+                hidden.close_to(hidden.last(tag))
+                return True
+            if opened.last(tag) >= 0:
+                hidden.close_to(0)
+            return bool(hidden.stack)
+        if tag in _ENDS_SVG and hidden.last("svg") > max(map(hidden.last, _SVG_HOLDS_HTML)):
+            hidden.close_to(hidden.last("svg"))
+            if not hidden.stack:
+                return False
         if not closed and tag not in _VOID:
-            hidden.append(tag)
+            hidden.push(tag)
         return True
 
     at = 0
-    while m := (_SVG_TOKEN if hidden else _TOKEN).search(page, at):
+    while m := (_SVG_TOKEN if hidden.stack else _TOKEN).search(page, at):
         text(page[at : m.start()])
         at = m.end()
         tag = m["tag"]
@@ -165,13 +214,13 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
             continue
         tag = tag.lower()
         closed = (m["attrs"] or "").endswith("/")
-        if hidden and in_svg(tag, bool(m["end"]), closed):
+        if hidden.stack and in_svg(tag, bool(m["end"]), closed):
             continue
-        if not m["end"] and stack and stack[-1][0] == "head" and tag not in _IN_HEAD:
-            stack.pop()
+        if not m["end"] and opened.top() == "head" and tag not in _IN_HEAD:
+            opened.close_to(len(opened.stack) - 1)
         if tag == "svg":
             if not m["end"] and not closed:
-                hidden.append(tag)
+                hidden.push(tag)
             continue
         if tag == "br":
             text(" ")
@@ -179,60 +228,68 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
         inline = tag in _INLINE
         if not inline:
             close_block()
-        if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    link -= sum(1 for x in stack[i:] if x[0] == "a")
-                    del stack[i:]
-                    break
-                if inline and tag != "object" and stack[i][0] not in _INLINE:
-                    break
+        if m["end"]:  # the end of inline markup does not reach out of its block
+            own = opened.last(tag)
+            if own >= 0 and (not inline or tag == "object" or own > opened.block()):
+                opened.close_to(own)
             continue
         if tag in _VOID or (tag in _MATH and closed):
             continue
-        if not inline:  # a block element ends an open paragraph
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    link -= sum(1 for x in stack[i:] if x[0] == "a")
-                    del stack[i:]
-                    break
-                if stack[i][0] not in _INLINE:
-                    break
-        stack.append((tag, _place(tag, m["attrs"] or "", stack[-1][1] if stack else _NOWHERE)))
-        link += tag == "a"
+        if not inline and opened.block() >= 0 and opened.stack[opened.block()][0] == "p":
+            opened.close_to(opened.block())  # a block element ends an open paragraph
+        opened.push(tag, _place(tag, m["attrs"] or "", opened.place()))
     text(page[at:])
     close_block()
 
     shown = [(t, b) for b in blocks if (t := " ".join("".join(b.parts).split()))]
     ends = [(0.0, 0.0), *((b.words, b.linked / max(b.words, 1)) for _, b in shown), (0.0, 0.0)]
     return [
-        (t, [*map(float, (*ends[i + 1], *ends[i], *ends[i + 2], *b.place))])
+        (t, [*map(float, (*ends[i + 1], *ends[i], *ends[i + 2], bool(_LEGAL.match(t)), *_said(b.place)))])
         for i, (t, b) in enumerate(shown)
     ]
 
 
+def _said(place: tuple[int, ...]) -> tuple[int, ...]:
+    """Whether an element or a name around a block says that it is boilerplate or a comment
+    (a boilerplate word alone does not where another name says article), and the rest."""
+    said = place[_IN_TAG] or place[_NAME] or place[_COMMENT] or (place[_WORD] and not place[_ARTICLE_NAME])
+    return (int(said), place[_ARTICLE], place[_ARTICLE_NAME], place[_IS_HEADING])
+
+
 @cache
-def _named(tag: str, words: str) -> tuple[int, int, int, int, int, int]:
-    boiler = comment = article = False
-    for name in words.split("\n"):
-        parts = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()))
-        known = parts <= _BOILER_WORD | _COMMENT_WORD | _NEUTRAL_WORD and tag not in _WHOLE
-        boiler |= known and bool(parts & _BOILER_WORD)
-        comment |= known and bool(parts & _COMMENT_WORD)
-        article |= bool(parts & _ARTICLE_WORD)
-    return (int(tag in _BOILER_TAG), int(boiler), int(comment), int(tag in _ARTICLE_TAG), int(article), int(tag in _HEADING))
+def _named(tag: str, words: str) -> tuple[int, ...]:
+    """What an element's own tag and names say, in the order of a place."""
+    name = word = comment = article = False
+    for line in words.split("\n"):
+        parts = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", line).lower())
+        if not parts or parts[0] in _STATE_WORD:
+            continue
+        own = set(parts)
+        article |= bool(own & _ARTICLE_WORD)
+        if tag not in _WHOLE:
+            name |= own <= _BOILER_WORD | _COMMENT_WORD | _NEUTRAL_WORD and bool(own & _BOILER_WORD)
+            word |= bool(own & _STRONG_WORD) and not own & _ARTICLE_WORD
+            comment |= bool(own & _COMMENT_WORD)
+    return (int(tag in _BOILER_TAG), int(name), int(word), int(comment), int(tag in _ARTICLE_TAG), int(article), int(tag in _HEADING))
 
 
 def _place(tag: str, attrs: str, outer: tuple[int, ...]) -> tuple[int, ...]:
+    """Where the contents of an element stand: what holds outside holds inside, but for
+    headings, which are the innermost block's own, and boilerplate words of a wrapper,
+    which an article element inside it ends. An article's own header or address
+    holds its title or authors."""
     words = ""
     if "=" in attrs:  # one name a line: each class by itself, an id, role or label as a whole
         found = [(key.lower(), a or b or c) for key, a, b, c in _ATTR.findall(attrs)]
         words = "\n".join(n for key, value in found for n in (value.split() if key == "class" else [value]))
     own = _named(tag, words) if len(words) < 200 else _named.__wrapped__(tag, words)
     place = [max(a, b) for a, b in zip(own, outer)]
-    place[5] = own[5] if tag in _HEADING else (outer[5] if tag in _INLINE else 0)
-    if own[3]:  # an article's own header element holds its title; an article inside comments stays one
-        place[0] = own[0] if not outer[0] else 1
+    if tag in ("header", "address") and outer[_ARTICLE]:
+        place[_IN_TAG] = outer[_IN_TAG]
+    if own[_ARTICLE]:
+        place[_WORD] = own[_WORD]
+    if tag not in _INLINE:
+        place[_IS_HEADING] = own[_IS_HEADING]
     return tuple(place)
 
 
@@ -280,6 +337,50 @@ LABELLED = (
     """<p data-y=1>Low tide is at six in the morning and at half past six in the evening of the same day.</p>
     <p data-y=1>Walk out to the island only while the sand is dry and the wind is calm.</p><p data-y=0><a>Tide tables</a> <a>Maps</a></p>""",
     """<div data-y=0><a>Fields</a> <a>Barns</a> <a>Tools</a></div><article><p data-y=1>Hay.</p></article>""",
+    # Pages without a telling element or name: neighbours decide.
+    """<div data-y=0><a>Home</a></div><div data-y=0><a>News of the day</a></div><div data-y=0><a>Sport</a></div><div data-y=1>The old mill</div>
+    <div data-y=1>The mill by the river was built of stone and oak, and it ground the corn of four villages for two hundred years.</div>
+    <div data-y=1>It burned down twice.</div><div data-y=1>Each time the villages came together and built it up again before the next harvest was in.</div>
+    <div data-y=0><a>Imprint</a></div><div data-y=0><a>Privacy and terms</a></div><div data-y=0>Copyright the valley press</div>""",
+    """<div data-y=0><a>Start</a> <a>Map</a> <a>Weather</a></div><div data-y=0>Three shirts for the price of two, this week at every shop in town.</div>
+    <h1 data-y=1>The long road</h1><p data-y=1><a>Ann Lee</a></p><p data-y=1>The road runs from the harbour to the pass and on down into the next valley, where it ends.</p>
+    <h2 data-y=1><a>The first stage</a></h2><p data-y=1>It climbs through beech woods for an hour, and then the trees grow thin and the wind picks up.</p>
+    <p data-y=1><a>A drawing of the pass</a></p><p data-y=1>At the top there is a hut where soup is sold in summer and wood is stored for the winter.</p>
+    <div data-y=0><a>More roads</a></div><div data-y=0><a>More maps</a></div>""",
+    """<div data-y=0>By reading on you agree that we store small files on your machine.</div><div data-y=0><a>I agree</a> <a>Tell me more</a></div>
+    <h1 data-y=1>Salt</h1><p data-y=1>Salt was carried over the hills on mules, forty at a time, from the pans on the coast to the towns inland.</p>
+    <p data-y=1>A mule carried two bags.</p><p data-y=1>The trade made the towns on the way rich, and their halls and walls were paid for with its tolls.</p>
+    <div data-y=0><a>Ben</a></div><div data-y=0>Great read.</div><div data-y=0><a>Cleo</a></div><div data-y=0>My grandfather still drove mules!</div><div data-y=0><a>Dora</a></div>
+    <div data-y=0>Thanks for this.</div><div data-y=0><a>Older remarks</a></div>""",
+    """<div data-y=1>Notes on tin</div><div data-y=1>Tin melts over a wood fire, which is why so many old spoons and plates were made of it in the hills.</div>
+    <div data-y=1>It is soft.</div><div data-y=1>Spoons bent and were cast again, so few of them are older than the hands that last held them.</div>
+    <div data-y=0>All rights reserved by the museum</div>""",
+    """<ul><li data-y=0><a>Fish</a><li data-y=0><a>Boats and nets</a><li data-y=0><a>Tides</a></ul><h1 data-y=1>How to mend a net</h1>
+    <ul><li data-y=1>Cut the torn meshes back to whole knots</li><li data-y=1><a>Wind a needle with twine</a></li><li data-y=1>Tie new meshes row by row over a flat stick of the right width</li></ul>
+    <p data-y=1>Hang the net to dry in the shade, and never fold it while it is still wet with salt water.</p>
+    <ul><li data-y=0><a>Other crafts</a><li data-y=0><a>Our shop</a><li data-y=0><a>Write to us</a></ul><div data-y=0>(c) the harbour guild and its members, all rights kept</div>""",
+    """<h2 data-y=1><a>Early pears</a></h2><p data-y=1>The first pears ripen in July on the south wall, a month before those in the open garden do.</p>
+    <p data-y=1>Pick them hard.</p><div data-y=0><a>Jump to the top of this page</a></div><div data-y=0>&copy; garden press of the upper town, all rights reserved, no copies</div>""",
+    # Inside an article links are its text.
+    """<nav><a data-y=0>Up</a></nav><article><header><h1 data-y=1><a>Wells of the plain</a></h1><p data-y=1><a>Ann Lee</a></p></header>
+    <h2 data-y=1><a>Old wells</a></h2><p data-y=1>They were dug by hand.</p><ul><li data-y=1><a>A list of the wells</a></li><li data-y=1><a>A map</a></li><li data-y=1><a>Notes</a></li></ul>
+    <p data-y=1>Most are dry now, since the river was turned and the ground water sank below their floors.</p><p data-y=1>Copyright in old maps is long over.</p>
+    <address data-y=1>Ann Lee writes from the plain</address><footer data-y=0><a>Tags</a></footer></article>""",
+    """<main><h1 data-y=1>Kites</h1><p data-y=1><a>First</a></p><p data-y=1><a>Second kite</a></p><p data-y=1>Paper, glue and two thin sticks make a kite that flies on any hill with a steady wind.</p></main>""",
+    # Names that hold words nobody foresaw.
+    """<div class="post-comments"><p data-y=0>What a fine story this was, I read it twice to my children last night.</p><p data-y=0>So did I.</p></div>
+    <article><p data-y=1>The fair opens on Friday with a race of carts down the main street to the bridge.</p><div class="google-ad" data-y=0>Carts of all kinds, new and used, at prices you will not find elsewhere.</div>
+    <p data-y=1>Bring a hat.</p><div class="user-comment-box"><p data-y=0>See you all there, and do not forget the hat this year!</p></div></article>
+    <div id="disqus_thread"><p data-y=0>Last year the bridge was closed, does anybody know about this year?</p></div>""",
+    """<div class="cookie-policy-banner" data-y=0>This page keeps small files on your machine so that it knows you when you come back.</div>
+    <div class="layout-sidebar-left"><article><h1 data-y=1>Rope</h1><p data-y=1>Rope is laid from yarns of hemp that are twisted against each other on a long walk.</p></article></div>
+    <div class="my-sidebar-x"><p data-y=0>The rope walk can be seen on Sundays, ask for the key at the inn next door.</p></div>
+    <div class="user-reviews"><p data-y=0>Five stars from me, the walk is longer than I had ever thought it would be.</p></div>
+    <div class="page-footer-legal-notice-x" data-y=0>The rope makers of the town, at the old walk, open on Sundays from ten to four.</div>""",
+    """<div class="sidebar-layout"><div class="content"><h1 data-y=1>Ink</h1><p data-y=1>Ink was boiled from oak galls and rusty nails, and it bit into the page and never faded.</p>
+    <p data-y=1>It stains.</p></div><div class="text-promo-teaser"><p data-y=0><a>Quills on sale</a></p></div></div>""",
+    """<div class="story-header"><h1 data-y=1>Bells</h1><p data-y=1><a>Carl Moss</a></p></div><div class="story"><p data-y=1>The great bell cracked in the frost and was cast again in spring.</p><p data-y=1>It rings lower now.</p></div>
+    <div class="story-related-list"><p data-y=0><a>Clocks</a></p><p data-y=0>More about towers and what hangs in them</p></div>""",
 )
 
 
@@ -296,6 +397,25 @@ def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
     return np.array(rows), np.array(labels)
 
 
+def varied(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The labelled blocks and what follows from them: the same with longer blocks and
+    neighbours twice as long; and where an element or name tells and all such blocks have
+    one label (boilerplate that says so, text in an article element), blocks of any length
+    with any neighbours."""
+    counts = [FEATURES.index(f) for f in ("words", "words_before", "words_after")]
+    said, article = FEATURES.index("said"), FEATURES.index("in_article")
+    longer = x.copy()
+    longer[:, counts] = np.where(longer[:, counts] > 7, 2 * longer[:, counts], longer[:, counts])
+    rows, labels = [x, longer], [y, y]
+    for own in (x[:, said] > 0, (x[:, said] == 0) & (x[:, article] > 0)):
+        if own.any() and y[own].min() == y[own].max():
+            like = x.copy()
+            like[:, said:] = x[np.flatnonzero(own)[np.arange(len(x)) % own.sum()], said:]
+            rows.append(like)
+            labels.append(np.full(len(x), y[own][0]))
+    return np.concatenate(rows), np.concatenate(labels)
+
+
 def grow(x: np.ndarray, y: np.ndarray, depth: int, least: int = 1) -> tuple:
     """A tree of (feature, threshold, below-or-equal, above) down to leaves (share of label 1,)."""
     share = float(y.mean())
@@ -320,8 +440,8 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int, least: int = 1) -> tuple:
 
 
 @cache
-def trained_tree(depth: int = 8) -> tuple:
-    return grow(*labelled_blocks(), depth)
+def trained_tree(depth: int = 12) -> tuple:
+    return grow(*varied(*labelled_blocks()), depth)
 
 
 def classify(tree: tuple, features: list[float]) -> bool:
@@ -336,7 +456,7 @@ def main_text(page: str | None, tree: tuple) -> str:
     return "\n".join(t for t, f in blocks_of(page) if classify(tree, f))
 
 
-def extract_text(pages: DataFrame, depth: int = 8) -> DataFrame:
+def extract_text(pages: DataFrame, depth: int = 12) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages`` (page_id, url, html); no shuffle."""
     tree = trained_tree(depth)
 

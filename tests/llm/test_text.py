@@ -4,6 +4,8 @@ import base64
 import hashlib
 import math
 import random
+import re
+import time
 import zlib
 from collections import Counter
 
@@ -459,6 +461,108 @@ def test_a_head_without_end_tag_ends_with_the_body():
     assert [f[6] for _, f in html.blocks_of("<head><title>No</title>Bare words. <p>More.")] == [0.0, 0.0]
 
 
+_PARAGRAPHS = ("<p>The river rose for three days and the bridge was closed to carts and riders until the water fell again on Sunday.</p>"
+               "<p>Nobody was hurt.</p>")
+_TEXT = _PARAGRAPHS.replace("</p><p>", "\n").replace("<p>", "").replace("</p>", "")
+_WORDS = ("Short one.", "This is what I have to say about it all.", " ".join(f"word{i}" for i in range(25)) + ".")
+
+
+@pytest.mark.parametrize("name", ["post-comments", "user-comment-box", "user-reviews", "disqus_thread", "google-ad", "cookie-policy-banner",
+                                  "page-footer-legal-notice-x", "ad", "sidebar", "newsletter", "footer", "related-posts", "myBreadcrumbs"])
+def test_named_boilerplate_goes_wherever_it_stands(name):
+    tree = html.trained_tree()
+    for words in _WORDS:
+        for key in ("class", "id"):
+            box = f"<div {key}={name}><p>{words}</p></div>"
+            assert html.main_text(f"<article>{_PARAGRAPHS}{box}</article>", tree) == _TEXT
+            assert html.main_text(f"<article>{_PARAGRAPHS}</article>{box}", tree) == _TEXT
+            assert html.main_text(f"<h1>Flood</h1>{_PARAGRAPHS}{box}", tree) == f"Flood\n{_TEXT}"
+            assert html.main_text(f"{box}<h1>Flood</h1>{_PARAGRAPHS}", tree) == f"Flood\n{_TEXT}"
+
+
+@pytest.mark.parametrize("inside, text", [
+    ("<h2><a>Short title</a></h2>", "Short title"), ("<h1>Flood</h1><p><a>Ann Lee</a></p>", "Flood\nAnn Lee"),
+    ("<header><h1>Flood</h1><address>Ann Lee, on the coast</address></header>", "Flood\nAnn Lee, on the coast"),
+    ("<ul><li><a>One source</a></li><li><a>Another source of it</a></li></ul>", "One source\nAnother source of it"),
+    ("<p title=don't>One text.</p><p><a href=x\">Two</a> words</p>", "One text.\nTwo words")])
+def test_links_and_short_blocks_of_an_article_stay(inside, text):
+    assert html.main_text(f"<nav><a>Home</a></nav><article>{inside}{_PARAGRAPHS}</article>", html.trained_tree()) == f"{text}\n{_TEXT}"
+
+
+def test_neighbours_decide_where_nothing_is_named():
+    tree = html.trained_tree()
+    menu, links = "<div><a>Home</a></div><div><a>About us</a></div><div><a>Write to us now</a></div>", "<div><a>Next</a></div><div><a>Older posts</a></div>"
+    flood = f"<h1>Flood</h1>{_PARAGRAPHS}"
+    assert html.main_text(menu + flood + links, tree) == f"Flood\n{_TEXT}"
+    ad = "<div>Two coats for one, only this week in all our shops in town.</div>"
+    assert html.main_text(f"<ul><li><a>Home</a><li><a>News</a></ul>{ad}{flood}", tree) == f"Flood\n{_TEXT}"
+    remarks = "<div><a>Ben</a></div><div>So true.</div><div><a>Ann</a></div><div>I was there too.</div><div><a>Reply</a></div>"
+    assert html.main_text(flood + remarks, tree) == f"Flood\n{_TEXT}"
+    assert html.main_text(f"<h2><a>Short title</a></h2>{_PARAGRAPHS}", tree) == f"Short title\n{_TEXT}"
+    assert html.main_text(f"<h1>Flood</h1><p><a>Ann Lee</a></p>{_PARAGRAPHS}", tree) == f"Flood\nAnn Lee\n{_TEXT}"
+    for rights in ("Copyright 2020 by the valley press", "&copy; the valley press, all rights reserved", "All rights reserved."):
+        assert html.main_text(f"{menu}<div>{flood}</div><div>{rights}</div>", tree) == f"Flood\n{_TEXT}"
+        assert html.main_text(f"{menu}<div>{flood}</div><div><a>Terms</a></div><div>{rights}</div>", tree) == f"Flood\n{_TEXT}"
+    state = f"<body class='has-sidebar no-ads'><div class='with-comments' data-class=ad>{_PARAGRAPHS}</div>"
+    assert html.main_text(state, tree) == _TEXT
+
+
+def test_the_tree_splits_on_the_neighbours():
+    def used(t):
+        return {html.FEATURES[t[0]]} | used(t[2]) | used(t[3]) if len(t) == 4 else set()
+
+    assert {"words_before", "words_after", "link_density_before", "link_density"} <= used(html.trained_tree())
+
+
+def test_broken_pages_are_read_in_linear_time():
+    for make in (lambda n: "<div>" * n + "<b>y</i>" * n, lambda n: "<i>" + "<b>y</i>" * n + "<p><b>y</i>" * n, lambda n: "<svg>" + "<g></q>" * n,
+                 lambda n: "<a href='" * n, lambda n: "<p>" * n + "</section>" * n):
+        t = time.perf_counter()
+        html.blocks_of(make(16_000))
+        assert time.perf_counter() - t < 3
+
+
+def brute_tokens(page: str) -> list[tuple[str, str]]:
+    """Tags and text of markup without raw elements, comments or svg, character by character as the HTML standard reads it."""
+    out, i, text = [], 0, ""
+    while i < len(page):
+        m = re.match(r"</?[a-zA-Z]", page[i:])
+        if not m:
+            text += page[i]
+            i += 1
+            continue
+        if text:
+            out.append(("text", text))
+            text = ""
+        j, quote, before = i + 1, "", ""
+        while j < len(page) and (quote or page[j] != ">"):
+            c = page[j]
+            if quote:
+                quote = "" if c == quote else quote
+            elif c in "\"'" and before == "=" and page.find(c, j + 1) >= 0:
+                quote = c
+            before = before if c in " \t\n" and before == "=" else c
+            j += 1
+        out.append(("tag", page[i + 1 : j]))
+        i = j + 1
+    return out + ([("text", text)] if text else [])
+
+
+def test_tokens_equal_a_reader_by_characters():
+    rng = random.Random(12)
+    parts = ["<p>", "</p>", "<a href=x>", '<a href="a>b">', "<b title='>'>", "<i title=don't>", '<a href=x">', "text ", "1 < 2 ", "a=\"b\" ", "<div class=x id='y'>", "</div >", "<br/>", "it's "]
+    for _ in range(400):
+        page = "".join(rng.choices(parts, k=rng.randint(1, 14)))
+        got, at = [], 0
+        for m in html._TOKEN.finditer(page):
+            if m.start() > at:
+                got.append(("text", page[at : m.start()]))
+            got.append(("tag", m[0][1:].removesuffix(">")))
+            at = m.end()
+        got += [("text", page[at:])] if at < len(page) else []
+        assert got == brute_tokens(page), page
+
+
 def test_tree_fits_its_labelled_table():
     x, y = html.labelled_blocks()
     assert [html.classify(html.trained_tree(), list(r)) for r in x] == [bool(v) for v in y]
