@@ -198,7 +198,7 @@ def codelist_parquet_sources(s: StarSchema) -> DataFrame:
     def write(kind: str, suffix: str, rows: DataFrame, **columns: F.Column) -> None:
         named = rows.select(F.concat(F.lit(f"codes_{kind}_o"), number.cast("string"), F.lit(suffix)).alias("source"),
                             *[c.alias(n) for n, c in columns.items()])
-        named.repartition("source").write.mode("append").partitionBy("source").parquet(f"{root}/{kind}")
+        named.repartition(16, "source").write.mode("append").partitionBy("source").parquet(f"{root}/{kind}")
 
     write("icd", "", orders, ICD10code=F.concat(F.lit("P"), customer), Disease=F.col("o_orderstatus"))
     write("opcs", "", orders, OPCS4code=F.concat(F.lit("S"), customer))
@@ -226,7 +226,7 @@ def codelist_csv_records(s: StarSchema) -> DataFrame:
     lines = part.select(source, F.lit(1).alias("at"), record.alias("value")).unionByName(
         part.select(source, F.lit(0).alias("at"), header.alias("value")).distinct())
     # One file a source, its header first.
-    lines.repartition("source").sortWithinPartitions("source", "at").select("source", "value").write.partitionBy("source").text(root)
+    lines.repartition(16, "source").sortWithinPartitions("source", "at").select("source", "value").write.partitionBy("source").text(root)
     glob = {"name_glob": "*.txt", "source_from": "partition"}
     codes = read_code_files(s.spark, root, bad_rows="skip", **glob)
     bad = bad_code_rows(s.spark, root, **glob).groupBy("source").agg(F.count(F.lit(1)).alias("n_bad"))
@@ -267,7 +267,7 @@ def codelist_sources_listed(s: StarSchema) -> DataFrame:
     """The written sources of two vocabularies, listed by globs of folders and files;
     per source whether the catalog names it."""
     root = _scratch(s, "listed sources")
-    s.sources().select(F.col("stem").alias("source"), "code").repartition("source").write.partitionBy("source").parquet(root)
+    s.sources().select(F.col("stem").alias("source"), "code").repartition(16, "source").write.partitionBy("source").parquet(root)
     found = list_sources(s.spark, f"{root}/source=codes_[io]*", "part-*.parquet", "partition").select("source").distinct()
     named = _catalog(s).select(F.col("table").alias("source"), F.lit(True).alias("in_catalog")).distinct()
     return found.join(named, "source", "left").select("source", F.coalesce("in_catalog", F.lit(False)).alias("in_catalog"))
