@@ -32,7 +32,7 @@ from phenospark.operators.mentions import (
 )
 from phenospark.operators.reshape import melt, melt_codes
 from phenospark.plans.jobs import features_job
-from phenospark.sinks import compact_table, materialise, register_view, table_files, write_table
+from phenospark.sinks import compact_table, drop_table, materialise, preview, register_view, table_files, write_table
 from phenospark.session import ensure_checkpoint_dir
 from phenospark.sources.codelists import bad_code_rows, list_sources, list_tables, read_code_files, read_code_tables
 from phenospark.sources.tables import read_abbreviations, read_categories, read_dictionary
@@ -263,6 +263,30 @@ def codelist_tables(s: StarSchema) -> DataFrame:
         spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
+def tables_kept_and_dropped(s: StarSchema) -> DataFrame:
+    """A table per region, written and replaced; those with fewer suppliers than the mean
+    are dropped. The tables that are left, with their rows and those of a preview."""
+    spark, name = s.spark, f"phenospark_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    try:
+        supplier = s.table("supplier").join(s.table("nation").select("n_nationkey", "n_regionkey"), F.col("s_nationkey") == F.col("n_nationkey"))
+        per_region = supplier.groupBy("n_regionkey").count()
+        mean = s.table("supplier").count() / s.table("region").count()
+        for region, n in sorted(tuple(r) for r in per_region.collect()):
+            table = f"{name}.suppliers_r{region}"
+            write_table(supplier.where(F.col("n_regionkey") == region).select("s_suppkey"), table)
+            write_table(spark.table(table).withColumn("region", F.lit(region)), table)  # other columns, read from itself
+            if n < mean:
+                drop_table(spark, table)
+        drop_table(spark, f"{name}.never_made")
+        left = [r["table"] for r in list_tables(spark, name, "suppliers_*").collect()]
+        counted = [spark.table(f"{name}.{t}").agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(t).alias("table"), "n", F.lit(preview(spark.table(f"{name}.{t}"), 3).count()).cast("bigint").alias("previewed")) for t in left]
+        return materialise(reduce(DataFrame.unionByName, counted), "tables_kept")
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 def codelist_sources_listed(s: StarSchema) -> DataFrame:
     """The written sources of two vocabularies, listed by globs of folders and files;
     per source whether the catalog names it."""
@@ -631,6 +655,7 @@ QUERIES: dict[str, Query] = {
         codelist_csv_records,
         codelist_tables,
         codelist_sources_listed,
+        tables_kept_and_dropped,
         codelist_missing_sources,
         codelist_two_code_columns,
         codelist_totals,

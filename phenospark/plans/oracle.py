@@ -222,6 +222,10 @@ FROM (
   UNION ALL SELECT 'codes_cprd_brands', 'Readcode', p_brand FROM part
   UNION ALL SELECT 'codes_cprd_brands', 'Medcode', CAST(p_partkey AS VARCHAR) FROM part
 ) WHERE code IS NOT NULL GROUP BY source, terminology""",
+    "tables_kept_and_dropped": """
+SELECT 'suppliers_r' || CAST(n_regionkey AS VARCHAR) AS "table", COUNT(*) AS n, LEAST(COUNT(*), 3) AS previewed
+FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_regionkey
+HAVING COUNT(*) >= (SELECT COUNT(*) FROM supplier) / (SELECT COUNT(*) FROM region)""",
     "codelist_sources_listed": with_ctes("""
 SELECT DISTINCT stem AS source, stem IN (SELECT "table" FROM f_catalog) AS in_catalog
 FROM f_sources WHERE stem LIKE 'codes_i%' OR stem LIKE 'codes_o%'""", "f_sources", "f_catalog"),
