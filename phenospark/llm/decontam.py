@@ -12,11 +12,13 @@ of them: an item's sketch is that many shingles with its smallest hashes (a
 bottom-k MinHash whose k follows the size partition), and a document meets
 every item of which it has a sketch shingle. So the search misses no pair, at
 whatever difference of length; candidates are then verified on the shingles'
-words. Documents stay where they are read: the items of one block are sent to
-the tasks (a block is bounded by ``block_bytes`` of item text; more items mean
-more blocks, each streamed against all documents).
+words. Documents stay where they are read: the distinct item texts of one block are
+sent to the tasks by a broadcast variable (a block is bounded by ``block_bytes`` of
+text, by measure, and copies of an item are one text, so a benchmark of some GB or of
+many repeated rows needs no more memory; more texts mean more blocks, each streamed
+against all documents). Pairs get their item_ids by a join on the text's digest.
 
-Defined results: null or empty texts have no shingles and meet nothing; a
+Defined results: ids are integers; null or empty texts have no shingles and meet nothing; a
 repeated document row gives its pairs once for each row; repeated items with
 different item_id are different items; an item_id given twice with different
 texts is two items with that id; an empty table gives an empty result; further
@@ -35,15 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenospark.llm.common import WORD, Block, gram_hashes, pieces
+from phenospark.sinks import materialise
 
 SHINGLE = 5
 THRESHOLD = 0.8
 #: Text of the items sent to the tasks at once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 
 _WORD = re.compile(WORD.encode())
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_SCHEMA = "doc_id bigint, item_id bigint, n_shared int, n_shingles int, containment double"
+_SCHEMA = "doc_id bigint, key string, n_shared int, n_shingles int, containment double"
 
 
 def shingles(text: bytes, n: int = SHINGLE) -> set[bytes]:
@@ -60,9 +63,9 @@ def sketch_size(n: int, threshold: float = THRESHOLD) -> int:
 
 
 class _Items:
-    """A block of items as every task holds it."""
+    """A block of item texts (key, text) as every task holds it."""
 
-    def __init__(self, rows: list[tuple[int, str]], threshold: float):
+    def __init__(self, rows: list[tuple[str, str]], threshold: float):
         self.threshold = threshold
         self.items = [(i, sh) for i, text in rows if (sh := shingles(text.encode()))]
         hashes, owners = [], []
@@ -111,14 +114,18 @@ def _matches(texts: pa.Array, items: _Items) -> Iterator[tuple[int, int, int, in
                 yield k, c, n, of
 
 
-def _item_blocks(items: DataFrame, threshold: float, block_bytes: int) -> Iterator[_Items]:
-    """The items in blocks of about ``block_bytes`` of text, one on the driver at a time."""
-    items = items.select("item_id", "text").where(F.length("text") > 0)
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+def _texts(items: DataFrame) -> DataFrame:
+    """The distinct texts of the items that have any, with ``key``: copies of an item are one text."""
+    return items.where(F.length("text") > 0).select("text").distinct().withColumn("key", F.sha2("text", 256))
+
+
+def _item_blocks(texts: DataFrame, threshold: float, block_bytes: int) -> Iterator[_Items]:
+    """Distinct texts in blocks of about ``block_bytes`` (by measure), one on the driver at a time."""
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, math.ceil(total / block_bytes))
     for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()
-        yield _Items([(r["item_id"], r["text"]) for r in rows], threshold)
+        rows = texts.where(F.pmod(F.xxhash64("text"), F.lit(n)) == b).collect()
+        yield _Items([(r["key"], r["text"]) for r in rows], threshold)
 
 
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
@@ -126,34 +133,41 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESH
     """doc_id, item_id, n_shared, n_shingles, containment: every pair of a row
     of ``docs`` (doc_id, text) and a row of ``items`` (item_id, text) with a
     containment of at least ``threshold``."""
-    docs = docs.select("doc_id", "text")
+    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
+    texts = materialise(_texts(items), "item_texts")
     parts = []
-    for block in _item_blocks(items, threshold, block_bytes):
-        def search(batches: Iterator[pa.RecordBatch], block: _Items = block) -> Iterator[pa.RecordBatch]:
+    for block in _item_blocks(texts, threshold, block_bytes):
+        sent = spark.sparkContext.broadcast(block)
+
+        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            block = sent.value
             for batch in pieces(batches, 1):
                 ids = batch.column(0).to_pylist()
                 out = [(ids[r], block.items[c][0], n, of, n / of) for r, c, n, of in _matches(batch.column(1), block)]
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
+                kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.float64())
                 if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(c), k) for c, k in zip(zip(*out), kinds)],
-                        names=["doc_id", "item_id", "n_shared", "n_shingles", "containment"])
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)],
+                                                     names=["doc_id", "key", "n_shared", "n_shingles", "containment"])
         parts.append(docs.mapInArrow(search, _SCHEMA))
     out = parts[0]
     for more in parts[1:]:
         out = out.unionAll(more)
-    return out
+    named = items.where(F.length("text") > 0).select(F.col("item_id").cast("bigint").alias("item_id"), F.sha2("text", 256).alias("key"))
+    return out.join(named, "key").select("doc_id", "item_id", "n_shared", "n_shingles", "containment")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text contains no item; nothing is shuffled."""
     at = docs.columns.index("text")
-    for block in _item_blocks(items, threshold, block_bytes):
-        def clean(batches: Iterator[pa.RecordBatch], block: _Items = block) -> Iterator[pa.RecordBatch]:
+    texts = materialise(_texts(items), "item_texts")
+    for block in _item_blocks(texts, threshold, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches, at):
                 keep = np.ones(batch.num_rows, dtype=bool)
-                keep[[m[0] for m in _matches(batch.column(at), block)]] = False
+                keep[[m[0] for m in _matches(batch.column(at), sent.value)]] = False
                 yield batch.filter(pa.array(keep))
         docs = docs.mapInArrow(clean, docs.schema)
     return docs

@@ -188,6 +188,31 @@ def test_remove_repeats_against_brute_force(spark, window):
     assert sorted((tuple(r) for r in got.collect()), key=key) == brute_repeats(rows, window)
 
 
+@pytest.mark.parametrize("window, piece_words", [(50, 64), (3, 2), (5, 7)])
+def test_pieces_of_documents_lose_no_window(spark, window, piece_words):
+    """Passages that straddle pieces, repeat inside a document and stand in many, against brute force."""
+    rng = random.Random(window)
+    passage = [f"w{rng.randrange(40)}" for _ in range(400)]
+    rows = corpus(seed=window + 1, n=25)
+    for i in range(25, 33):
+        a = rng.randrange(200)
+        rows.append((i, " ".join([*rng.choices(passage, k=rng.randrange(30)), *passage[a : a + 180], "x", *passage[a + 20 : a + 190], *passage[:90] * (i % 3)])))
+    rows.append((40, " ".join(passage * 6)))
+    got = substring.remove_repeats(frame(spark, rows), window=window, piece_words=piece_words)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == brute_repeats(rows, window)
+
+
+def test_shards_are_bounded_by_their_piece(spark):
+    rng = random.Random(2)
+    long = " ".join(f"w{rng.randrange(10_000)}" for _ in range(30_000))
+    docs = frame(spark, [(1, long), (2, long), (3, "start " + long)]).select("doc_id", "text")
+    blocks = substring.store_blocks(docs, "spans", substring.pack_texts, "sizes array<int>, packed binary", 1000)
+    spans = substring.shared_spans(blocks, 50, piece_words=1000).cache()
+    sizes = [len(r.text.split()) for r in spans.where("kind in ('ref', 'text')").collect()]
+    assert len(sizes) >= 60 and max(sizes) <= 1000 + 49
+    assert {r.piece for r in spans.where("kind = 'ref'").collect()} == set(range(30))
+
+
 def test_remove_repeats_of_nothing_and_text_output(spark):
     assert substring.remove_repeats(empty(spark)).count() == 0
     got = substring.remove_repeats(frame(spark, [(1, "a b c d e"), (2, "x  a b c\ny")]), window=3, with_text=True).collect()
@@ -214,6 +239,17 @@ def brute_contained(docs, items):
     return sorted((d, i, len(sh(t) & sh(x)), len(sh(x))) for d, t in docs for i, x in items if sh(x) and len(sh(t) & sh(x)) >= 0.8 * len(sh(x)) - 1e-9)
 
 
+def test_copies_of_an_item_are_searched_once(spark, monkeypatch):
+    made = []
+    init = decontam._Items.__init__
+    monkeypatch.setattr(decontam._Items, "__init__", lambda self, rows, threshold: (made.append(len(rows)), init(self, rows, threshold))[1])
+    text = "one two three four five six seven"
+    items = spark.createDataFrame([(i, text) for i in range(300)] + [(7, "another item of five words more")], "item_id bigint, text string")
+    docs = frame(spark, [(1, f"before {text} after"), (2, "nothing of it")])
+    got = decontam.contained_items(docs, items, block_bytes=100)
+    assert sum(made) == 2 and sorted((r.doc_id, r.item_id) for r in got.collect()) == [(1, i) for i in range(300)]
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 400])
 def test_contained_items_against_brute_force(spark, block_bytes):
     docs = [(i, t) for i, t in corpus() if i is not None]
