@@ -225,11 +225,18 @@ def parquet_columns(spark: SparkSession, root: str, glob: str = "*.parquet") ->
     schema = "path string, columns array<struct<name: string, type: string>>"
 
     def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Uses nothing of this package: workers need not find it.
+        def spark_type(kind: pa.DataType) -> str:
+            try:
+                return from_arrow_type(kind).simpleString()
+            except Exception:  # a type that Spark has no name for: no code column
+                return "unknown"
+
         for batch in batches:
             columns = []
             for tail in batch.column(1):
                 found = pq.read_schema(pa.py_buffer(tail.as_py()))
-                columns.append([{"name": f.name, "type": _spark_type(f.type)} for f in found])
+                columns.append([{"name": f.name, "type": spark_type(f.type)} for f in found])
             kind = pa.list_(pa.struct([("name", pa.string()), ("type", pa.string())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(columns, kind)], names=["path", "columns"])
 
@@ -242,13 +249,6 @@ def parquet_columns(spark: SparkSession, root: str, glob: str = "*.parquet") ->
     return small.unionByName(spark.createDataFrame(rows, schema))
 
 
-def _spark_type(kind: pa.DataType) -> str:
-    try:
-        return from_arrow_type(kind).simpleString()
-    except Exception:  # a type that Spark has no name for: no code column
-        return "unknown"
-
-
 def _parquet_codes(spark: SparkSession, root: str, glob: str, source_from: str, catalog: DataFrame | None,
                    options: Mapping[str, str]) -> DataFrame:
     """Codes of parquet files, one scan for every (route, types of its code columns)."""
