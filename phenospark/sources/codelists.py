@@ -93,6 +93,16 @@ def _melt_routed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return melt_codes(df, ["source"], slots).select("source", "terminology", "code")
 
 
+#: The route with two code columns; every other has one.
+(_TWO_COLUMNS,) = [columns for _, columns in CODE_COLUMN_ROUTES if len(columns) == 2]
+
+
+def _with_terminology(df: DataFrame) -> DataFrame:
+    """``source, code`` of sources with one code column -> ``source, terminology, code``."""
+    named = F.create_map(*[F.lit(x) for pair in TERMINOLOGY_OF_COLUMN.items() for x in pair])
+    return df.select("source", named[code_columns_for("source")].alias("terminology"), "code")
+
+
 def _balanced(parts: list[DataFrame]) -> DataFrame:
     """A union of depth log2 n."""
     while len(parts) > 1:
@@ -120,7 +130,8 @@ _BAD = "_bad record"
 
 def _csv_groups(spark: SparkSession, root: str, glob: str, source_from: str, catalog: DataFrame | None,
                 options: Mapping[str, str]) -> dict[tuple, list[str]]:
-    """Files by (route, number of columns, places of the code columns).
+    """Files by (number of columns, places of the code columns): files of different
+    vocabularies whose code stands in the same place are one group.
 
     Each file's first line is its header. What reaches the driver is a header and a
     path per file, as Spark's own file index does."""
@@ -145,27 +156,28 @@ def _csv_groups(spark: SparkSession, root: str, glob: str, source_from: str, cat
         missing = [c for c in columns if c not in names]
         if missing:
             raise ValueError(f"codelist source {row['source']!r} lacks column(s) {missing}; it has {names}")
-        groups[row["route"], len(names), tuple(names.index(c) for c in columns)].append(row["file"])
+        groups[len(names), tuple(names.index(c) for c in columns)].append(row["file"])
     return groups
 
 
 def _csv_records(spark: SparkSession, root: str, glob: str, source_from: str, catalog: DataFrame | None,
                  options: Mapping[str, str] | None) -> list[tuple[list[str], DataFrame]]:
     """(code columns, records) of every group of CSV files: ``source, file``, the code
-    columns and the raw text of a record that does not fit the header (else NULL).
+    columns (``code``, or the columns of a two-column route) and the raw text of a record
+    that does not fit the header (else NULL).
 
     Records are read by Spark's CSV reader, so quoted cells may hold line breaks,
     separators and (doubled) quotes; a record that repeats the header is data."""
     options = {"sep": ",", "quote": '"', **(options or {})}
     options = {"escape": options["quote"], **options}
     out = []
-    for (route, width, places), files in sorted(_csv_groups(spark, root, glob, source_from, catalog, options).items()):
+    for (width, places), files in sorted(_csv_groups(spark, root, glob, source_from, catalog, options).items()):
         schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)] + [T.StructField(_BAD, T.StringType())])
         reader = spark.read.schema(schema).options(**options).options(
             header="true", multiLine="true", mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD,
             pathGlobFilter=glob, recursiveFileLookup="true")
         path = F.col("_metadata.file_path")
-        columns = route.split(",")
+        columns = ["code"] if len(places) == 1 else list(_TWO_COLUMNS)
         out.append((columns, reader.csv(root).where(path.isin(files)).select(
             _source_of(decoded(path), source_from).alias("source"), path.alias("file"),
             *[F.col(f"c{i}").alias(c) for i, c in zip(places, columns)], _BAD)))
@@ -188,7 +200,7 @@ def _csv_codes(spark: SparkSession, root: str, glob: str, source_from: str, cata
         else:
             told = F.raise_error(F.concat(F.lit("a record does not fit the header of "), "file", F.lit(": "), F.substring(F.col(_BAD), 1, 200)))
             records = records.withColumns({c: F.when(bad, told).otherwise(F.col(c)) for c in columns})
-        parts.append(_melt_routed(records.select("source", *columns), columns))
+        parts.append(_with_terminology(records) if columns == ["code"] else _melt_routed(records.select("source", *columns), columns))
     return _union(parts, spark)
 
 
@@ -251,25 +263,38 @@ def parquet_columns(spark: SparkSession, root: str, glob: str = "*.parquet") ->
 
 def _parquet_codes(spark: SparkSession, root: str, glob: str, source_from: str, catalog: DataFrame | None,
                    options: Mapping[str, str]) -> DataFrame:
-    """Codes of parquet files, one scan for every (route, types of its code columns)."""
+    """Codes of parquet files: files whose code columns (of any route) don't differ in type
+    are one scan, those of the two-column route apart. A column that a file lacks is
+    NULL in it; each row takes the column that its source's name asks for."""
     source = _source_of(F.col("path"), source_from)
     listed = _wanted(parquet_columns(spark, root, glob).withColumn("source", source), catalog)
-    # The listing has plain paths, the scans' metadata encoded ones.
-    groups = defaultdict(set)
+    kinds = defaultdict(set)  # files by the code columns that they have, and whether two are wanted
     for row in listed.select("path", "source", "columns").collect():
         wanted = code_columns_for_name(row["source"])
         types = {c["name"]: c["type"] for c in row["columns"]}
         _check_columns(row["source"], wanted, list(types))
-        groups[tuple((c, types[c]) for c in wanted)].add(row["path"])
+        kinds[len(wanted), tuple(sorted((c, t) for c, t in types.items() if c in TERMINOLOGY_OF_COLUMN))].add(row["path"])
+    groups: list[tuple[int, dict[str, str], set[str]]] = []
+    for (width, columns), paths in sorted(kinds.items()):
+        for of, types, members in groups:
+            if of == width and all(types.get(c, t) == t for c, t in columns):
+                types.update(columns)
+                members |= paths
+                break
+        else:
+            groups.append((width, dict(columns), set(paths)))
     parts = []
-    for columns, paths in sorted(groups.items()):
-        schema = ", ".join(f"`{name}` {kind}" for name, kind in columns)
+    for width, types, paths in groups:
+        schema = ", ".join(f"`{name}` {kind}" for name, kind in sorted(types.items()))
         path = decoded(F.col("_metadata.file_path"))
         files = spark.read.schema(schema).options(**options).options(pathGlobFilter=glob, recursiveFileLookup="true").parquet(root)
-        names = [name for name, _ in columns]
-        files = files.where(path.isin(sorted(paths))).select(
-            _source_of(path, source_from).alias("source"), *[F.col(c).cast("string").alias(c) for c in names])
-        parts.append(_melt_routed(files, names))
+        files = files.where(path.isin(sorted(paths))).withColumn("source", _source_of(path, source_from))
+        if width == 2:
+            parts.append(_melt_routed(files.select("source", *[F.col(c).cast("string").alias(c) for c in _TWO_COLUMNS]), _TWO_COLUMNS))
+        else:
+            route = code_columns_for("source")
+            code = F.coalesce(*[F.when(route == c, F.col(c).cast("string")) for c in sorted(types) if c not in _TWO_COLUMNS])
+            parts.append(_with_terminology(files.select("source", code.alias("code"))))
     return _union(parts, spark)
 
 

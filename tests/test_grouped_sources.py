@@ -30,7 +30,24 @@ def test_parquet_sources_are_one_scan_a_group(spark, tmp_dir):
         assert rows(codes) == sorted(
             [(f"codes_cprd_{k}{i}_snomedct", "SNOMEDCT", str(i)) for k in ("bigint", "string") for i in range(n)] + [("codes_icd_x", "ICD", "N17")])
         plans.append(_plan(codes).count("FileScan parquet"))
-    assert plans == [3, 3]
+    assert plans == [2, 2]  # two types of one column; the other route's files stand with one of them
+
+
+def test_files_with_columns_of_other_routes_and_two_code_columns(spark, tmp_dir):
+    """A file may hold another route's column, of a type that differs from that route's own files."""
+    def write(name, schema, *data):
+        spark.createDataFrame(list(data), schema).coalesce(1).write.parquet(f"{tmp_dir}/{name}")
+
+    write("codes_icd_a", "ICD10code string, conceptId int", ("N17", 5))
+    write("codes_icd_b", "conceptId double, ICD10code string", (0.5, "N18"))
+    write("codes_cprd_c_snomedct", "conceptId bigint", (77,))
+    write("codes_cprd_d", "Readcode string, Medcode bigint", ("A..", 1), (None, 2))
+    write("codes_opcs_e", "OPCS4code string, note string", ("T20", "x"), (None, "y"))
+    got = read_code_files(spark, tmp_dir, fmt="parquet", source_from="directory")
+    assert rows(got) == sorted([
+        ("codes_cprd_c_snomedct", "SNOMEDCT", "77"), ("codes_cprd_d", "Medcode", "1"), ("codes_cprd_d", "Medcode", "2"), ("codes_cprd_d", "Readcode", "A.."),
+        ("codes_icd_a", "ICD", "N17"), ("codes_icd_b", "ICD", "N18"), ("codes_opcs_e", "OPCS", None), ("codes_opcs_e", "OPCS", "T20")],
+        key=lambda t: tuple((v is not None, str(v)) for v in t))
 
 
 def test_a_scan_reads_only_its_group_s_files(spark, tmp_dir):
@@ -105,4 +122,7 @@ def test_csv_files_are_one_scan_a_group(spark, tmp_dir):
         _file(tmp_dir, f"codelist_icd_{i}.csv", f"{'Name' if i % 2 else 'Disease'},ICD10code\nx,N{i}\n")
     codes = read_code_files(spark, tmp_dir)
     assert rows(codes) == sorted((f"codelist_icd_{i}", "ICD", f"N{i}") for i in range(15))
-    assert _plan(codes).count("FileScan csv") == 1  # headers that differ in a name alone are one group
+    assert _plan(codes).count("FileScan csv") == 1
+    _file(tmp_dir, "codelist_opcs_x.csv", "Text,OPCS4code\nx,T20\n")
+    assert _plan(read_code_files(spark, tmp_dir)).count("FileScan csv") == 1  # as is another vocabulary in the same place
+    assert ("codelist_opcs_x", "OPCS", "T20") in rows(read_code_files(spark, tmp_dir))
