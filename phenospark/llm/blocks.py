@@ -10,7 +10,8 @@ are then finished with the answers alone. A key is sent once per block however
 often it occurs, so a hot key costs a part one entry per block.
 
 Blocks are written once, in a table bucketed by the task that made them
-(``grp``), so finishing joins the answers to them without moving them. What the
+(``grp``, a number that Spark's bucket hash sends to the task's own number, so tasks
+fill the buckets evenly), so finishing joins the answers to them without moving them. What the
 parts and blocks exchange is packed in numpy arrays (sorted keys as differences,
 byte planes, zstd)."""
 
@@ -75,6 +76,30 @@ def part_bounds(keys: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate(([0], inner, [len(keys)]))
 
 
+#: Fixed values of MurmurHash3 (32 bits), by which Spark deals rows to buckets, and Spark's seed.
+_MIX_1, _MIX_2, _ADD, _FINAL_1, _FINAL_2, _SEED = 0xCC9E2D51, 0x1B873593, 0xE6546B64, 0x85EBCA6B, 0xC2B2AE35, 42
+
+
+def group_of(task: int) -> int:
+    """The number whose bucket hash is ``task``, so that bucket ``task mod buckets``
+    holds it: the hash of an integer, undone step by step (its steps are one to one)."""
+    def times_inverse(x: int, factor: int) -> int:
+        return x * pow(factor, -1, 1 << 32) & 0xFFFFFFFF
+
+    def turned_back(x: int, by: int) -> int:
+        return (x >> by | x << (32 - by)) & 0xFFFFFFFF
+
+    h = task ^ task >> 16
+    h = times_inverse(h, _FINAL_2)
+    h ^= h >> 13 ^ h >> 26
+    h = times_inverse(h, _FINAL_1)
+    h ^= h >> 16
+    h = times_inverse((h ^ 4) - _ADD & 0xFFFFFFFF, 5)  # 4 bytes were hashed
+    h = turned_back(h, 13) ^ _SEED
+    h = times_inverse(turned_back(times_inverse(h, _MIX_2), 15), _MIX_1)
+    return h - (1 << 32) if h >> 31 else h
+
+
 Packer = Callable[[list, list[str]], dict]
 
 
@@ -89,8 +114,8 @@ def store_blocks(docs: DataFrame, name: str, packer: Packer, fields: str, block_
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grp = TaskContext.get().partitionId()
-        block = grp << 32
+        task = TaskContext.get().partitionId()
+        grp, block = group_of(task), task << 32
         rows: list[tuple] = []
         size = 0
 

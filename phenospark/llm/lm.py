@@ -240,7 +240,7 @@ def score_texts(docs: DataFrame, parts_of_fold: int, held_part: int, order: int
 
     replies = materialise(ask(blocks, ["ids", "sizes", "packed"], request, answer), "lm_counts")
     figure = lambda i: F.coalesce(F.sum(F.split("kind", ":")[i].cast("bigint")), F.lit(0))
-    v, n_train, once, twice = replies.where("grp = -1").agg(*[figure(i) for i in range(1, 5)]).first()
+    v, n_train, once, twice = replies.where("kind like 'stat:%'").agg(*[figure(i) for i in range(1, 5)]).first()
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
 
     def work(block: dict, own: list[dict]) -> Iterator[tuple]:
@@ -271,4 +271,4 @@ def score_texts(docs: DataFrame, parts_of_fold: int, held_part: int, order: int
     schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", long),
         T.StructField("n_known", long), T.StructField("train_tokens", long), T.StructField("base_score", double), T.StructField("score", double)])
-    return finish(blocks, ["ids", "sizes", "packed"], replies.where("grp >= 0"), work, schema)
+    return finish(blocks, ["ids", "sizes", "packed"], replies.where("kind not like 'stat:%'"), work, schema)

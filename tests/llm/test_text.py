@@ -14,7 +14,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from phenospark.llm import bpe, html, langid, lm, toxicity, urls
+from phenospark.llm import blocks, bpe, html, langid, lm, toxicity, urls
 from pyspark.sql import functions as F
 from tests.llm.helpers import corpus, empty, frame, lower, words
 
@@ -62,6 +62,21 @@ def test_tokens_round_trip_and_equal_the_library(spark, ranks, library):
     assert bpe.token_digests(empty(spark), ranks, public_tokenizers.PATTERN).count() == 0
 
 
+# --- blocks ---
+
+
+def test_groups_fill_the_buckets_evenly(spark, tmp_path):
+    tasks = [0, 1, 2, 31, 97, 2**16, 2**20 + 7, 2**31 - 1]
+    rows = spark.createDataFrame([(blocks.group_of(t), t) for t in tasks], "grp int, task int")
+    assert all(r.h == r.task for r in rows.select("task", F.hash("grp").alias("h")).collect())
+    assert len({blocks.group_of(t) for t in range(5000)}) == 5000
+    docs = frame(spark, corpus(n=60)).repartition(6)
+    table = blocks.store_blocks(docs, "even", lambda ids, texts: {"n": len(ids)}, "n int", 500)
+    per_task = table.groupBy("grp").count().count()
+    files = {f.rsplit("_", 1)[1] for f in table.inputFiles()}  # a bucket's number ends a file's name
+    assert len(files) == per_task == 6
+
+
 # --- language model ---------------------------------------------------------------
 
 
