@@ -212,6 +212,8 @@ def features_job(
     write_table(sparse.phenotype_dictionary(phenotypes, known), names_at)
     dictionary = spark.read.parquet(names_at)
     touched = history.merge_delivery(mentions_df, history_at, parts)
+    if not touched and history.stored_table(spark, history_at) is None:
+        raise ValueError(f"nothing is kept at {root} yet, and the delivery has no mentions")
     if touched:
         own = history.read_history(spark, history_at, touched)
         history.rewrite_parts(sparse.person_rows(own, dictionary), rows_at, touched, parts)

@@ -6,7 +6,6 @@ by materialising into the cluster's shared checkpoint folder.
 from __future__ import annotations
 
 import json
-import math
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager

@@ -114,6 +114,10 @@ def test_features_job_keeps_the_state_of_all_deliveries(spark, tmp_dir):
     assert {r.phenotype: r.id for r in got["dictionary"].collect()}["a later one"] == 9
     total = [r for r in got["coverage"].collect() if r.cut == 3]
     assert [(r.mentions, r.unique_pts_estimate, r.phenotypes_estimate) for r in total] == [(whole.count(), whole.select("person_id_deid").distinct().count(), 10)]
+    import pytest
+
+    with pytest.raises(ValueError, match="nothing is kept"):
+        features_job(spark, whole.limit(0), more, f"{tmp_dir}/never", parts=6)
     nothing = features_job(spark, whole.limit(0), more, out, parts=6)
     assert rows(nothing["code_summary"]) == rows(got["code_summary"])
 
