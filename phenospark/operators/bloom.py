@@ -41,7 +41,7 @@ class KeyFilter(NamedTuple):
     keys: tuple[tuple[str, str], ...]
 
 
-def _types(df: DataFrame, on: Sequence[str]) -> tuple[tuple[str, str], ...]:
+def key_types(df: DataFrame, on: Sequence[str]) -> tuple[tuple[str, str], ...]:
     return tuple((c, df.schema[c].dataType.simpleString()) for c in on)
 
 
@@ -70,7 +70,7 @@ def key_filter(lookup: DataFrame, on: Sequence[str], max_bytes: int = DEFAULT_MA
     probes = max(1, min(PROBES, round(bits * math.log(2))))
     words = [F.bit_or(f"_w{i}").alias(f"_w{i}") for i in range(min(_WORDS, probes))]
     blocks = keys.select(_block(on, n_blocks), *[m.alias(f"_w{i}") for i, m in enumerate(_masks(on, probes))]).groupBy("_block").agg(*words)
-    return KeyFilter(materialise(blocks, "key_filter"), n_blocks, probes, _types(lookup, on))
+    return KeyFilter(materialise(blocks, "key_filter"), n_blocks, probes, key_types(lookup, on))
 
 
 def drop_unmatched(facts: DataFrame, known: KeyFilter | None) -> DataFrame:
@@ -78,11 +78,12 @@ def drop_unmatched(facts: DataFrame, known: KeyFilter | None) -> DataFrame:
     others); unchanged without a filter, for a stream, or where the keys' types differ
     (equal values would hash apart). Rows do not move."""
     on = [name for name, _ in known.keys] if known else []
-    if not known or facts.isStreaming or _types(facts, on) != known.keys:
+    if not known or facts.isStreaming or key_types(facts, on) != known.keys:
         return facts
-    masks = _masks(on, known.probes)
-    held = reduce(Column.__and__, [F.col(f"_w{i}").bitwiseAND(m) == m for i, m in enumerate(masks)])
+    # The masks are columns, so that a row's key is hashed once and not for each bit.
+    masks = {f"_m{i}": m for i, m in enumerate(_masks(on, known.probes))}
+    held = reduce(Column.__and__, [F.col(f"_w{i}").bitwiseAND(F.col(m)) == F.col(m) for i, m in enumerate(masks)])
     return (
-        facts.withColumn("_block", _block(on, known.n_blocks))
+        facts.withColumns({"_block": _block(on, known.n_blocks), **masks})
         .join(F.broadcast(known.blocks), "_block").where(held).select(*[F.col("`" + c.replace("`", "``") + "`") for c in facts.columns])
     )

@@ -93,13 +93,13 @@ def categorise(
     bytes for the broadcast decision."""
     lookup = mapping.select("phenotype", "category")
     mentions = mentions.drop("category")
-    broadcast = None
+    broadcast = size = None
     if check_unique:
         size, repeated, example = key_profile(lookup, "phenotype")
         _fail_on_repeats(repeated, example, "phenotype")
         if max_broadcast_bytes is not None:
             broadcast = size <= max_broadcast_bytes
-    joined = lookup_join(mentions, lookup, "phenotype", "left", max_broadcast_bytes, broadcast)
+    joined = lookup_join(mentions, lookup, "phenotype", "left", max_broadcast_bytes, broadcast, lookup_bytes=size)
     return joined.select(*mentions.columns, "category")
 
 

@@ -3,13 +3,15 @@
 A lookup side (codelist, catalog, category mapping) is broadcast only after
 its size in bytes has been summed and checked against a bound. Above the bound
 the join is a sort-merge join that must survive a hot key (one code holding a
-third of all records): the fact rows get a salt from a hash of their content and
-of the partition they are in, the lookup rows are replicated once per salt
-value, and the join key is ``(keys..., salt)``, so a hot key, and even copies of
-one hot record, are spread over many tasks. A retried task reads the same rows
-in the same partition, so it sends every row to the same place again. Facts whose
-key is not in the lookup need no exchange at all: a Bloom filter of the lookup's
-keys (:mod:`phenospark.operators.bloom`) drops them first, map-side.
+third of all records). A lookup whose copies stay small is salted: the fact rows get
+a salt from a hash of their content and of the partition they are in, the lookup rows
+are replicated once per salt value, and the join key is ``(keys..., salt)``, so a hot
+key, and even copies of one hot record, are spread over many tasks. A retried task
+reads the same rows in the same partition, so it sends every row to the same place
+again. A larger lookup is sent once (:func:`keyed_join`), and a hot key's partition is
+cut by AQE's skew join. Facts whose key is not in the lookup need no exchange at all: a
+Bloom filter of the lookup's keys (:mod:`phenospark.operators.bloom`) drops them first,
+map-side.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phenospark.operators.bloom import DEFAULT_MAX_FILTER_BYTES, drop_unmatched, key_filter
+from phenospark.operators.bloom import DEFAULT_MAX_FILTER_BYTES, drop_unmatched, key_filter, key_types
 
 # Upper bound for the bytes of a lookup side that is broadcast.
 DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
@@ -53,6 +55,10 @@ def fits(df: DataFrame, max_bytes: int) -> bool:
 MAX_SALTS = 32
 
 
+#: Bytes that the salted copies of a lookup may take together.
+MAX_REPLICATED_BYTES = DEFAULT_MAX_BROADCAST_BYTES
+
+
 def salt_count(df: DataFrame) -> int:
     """Salt values of the fallback: as many as the session's shuffle has
     partitions, up to ``MAX_SALTS``."""
@@ -81,6 +87,33 @@ def salted_join(
     return spread.join(replicated.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
+def _splits_skew(df: DataFrame) -> bool:
+    """Whether Spark cuts the skewed partitions of a join of ``df`` itself."""
+    conf = df.sparkSession.conf
+    return not df.isStreaming and all(conf.get(f"spark.sql.adaptive.{k}", "true") == "true" for k in ("enabled", "skewJoin.enabled"))
+
+
+def salts_for(facts: DataFrame, lookup: DataFrame, lookup_bytes: int | None = None) -> int:
+    """Salt values of the fallback for a lookup of ``lookup_bytes`` (summed here when not
+    given): :func:`salt_count`, but where Spark splits skewed joins only as many as keep
+    the copies within ``MAX_REPLICATED_BYTES``, so that what a lookup adds to the shuffle
+    grows with the lookup and not with 32 copies of it."""
+    most = salt_count(facts)
+    if not _splits_skew(facts):
+        return most
+    size = size_in_bytes(lookup) if lookup_bytes is None else lookup_bytes
+    return max(1, min(most, MAX_REPLICATED_BYTES // max(1, size)))
+
+
+def keyed_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Sort-merge join with one copy of the lookup. A hash of the keys leads the join's
+    keys: rows sort by a number before their strings are compared, and as the hash is
+    dropped, what follows does not build on this partitioning, so AQE may cut a hot key's
+    partition. The keys' types are the same on both sides (equal values hash alike)."""
+    at = F.xxhash64(*["`" + c.replace("`", "``") + "`" for c in on])
+    return facts.withColumn("_at", at).join(lookup.withColumn("_at", at).hint("merge"), ["_at", *on], how).drop("_at")
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -90,6 +123,7 @@ def lookup_join(
     broadcast: bool | None = None,
     salt_buckets: int | None = None,
     max_filter_bytes: int = DEFAULT_MAX_FILTER_BYTES,
+    lookup_bytes: int | None = None,
 ) -> DataFrame:
     """Join a large ``facts`` side to a ``lookup`` side on equal keys.
 
@@ -100,14 +134,21 @@ def lookup_join(
     then AQE's runtime statistics). When the lookup does not fit, the facts that
     match nothing are dropped by a filter of its keys of at most
     ``max_filter_bytes`` (0: none; inner and semi joins of batch data), and the
-    join is salted (``salt_buckets=1``: a plain shuffle join)."""
+    join is salted (``salt_buckets=1``: a plain shuffle join; default: :func:`salts_for`
+    the ``lookup_bytes``, summed here when not given, and with one value the
+    :func:`keyed_join`)."""
     keys = [on] if isinstance(on, str) else list(on)
     if broadcast is None and max_broadcast_bytes is not None:
-        broadcast = fits(lookup, max_broadcast_bytes)
+        lookup_bytes = size_in_bytes(lookup)
+        broadcast = lookup_bytes <= max_broadcast_bytes
     if broadcast:
         return facts.join(F.broadcast(lookup), keys, how)
     if broadcast is False and how.lower() in MATCHING_JOINS and not facts.isStreaming and max_filter_bytes:
         facts = drop_unmatched(facts, key_filter(lookup, keys, max_filter_bytes))
     if broadcast is False and salt_buckets != 1 and how.lower() in SALTABLE_JOINS:
+        if salt_buckets is None and key_types(facts, keys) == key_types(lookup, keys):
+            salt_buckets = salts_for(facts, lookup, lookup_bytes)
+            if salt_buckets == 1:
+                return keyed_join(facts, lookup, keys, how)
         return salted_join(facts, lookup, keys, how, salt_buckets)
     return facts.join(lookup, keys, how)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenospark.operators.bloom import drop_unmatched, key_filter
-from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits, lookup_join
+from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, lookup_join, size_in_bytes
 from phenospark.operators.reshape import melt_codes
 
 PERSON = "person_id_deid"
@@ -80,6 +80,7 @@ def match(
     terminology: str | None = None,
     max_broadcast_bytes: int | None = DEFAULT_MAX_BROADCAST_BYTES,
     broadcast: bool | None = None,
+    codelist_bytes: int | None = None,
 ) -> DataFrame:
     """Inner join of records to the codelist -> mentions (a bag: a record
     listed twice, or a code listed twice, gives two mentions).
@@ -89,11 +90,10 @@ def match(
     ``terminology`` column and the join key is ``(terminology, code)``.
     A code listed under several phenotypes yields one mention per phenotype.
     ``broadcast`` passes a size decision already taken for ``codelist``
-    (a filtered part of a codelist that fits, fits too).
+    (a filtered part of a codelist that fits, fits too), ``codelist_bytes`` its size.
 
     When the codelist is too large to broadcast, the records meet it in a
-    salted join; copies of a record from different partitions get different
-    salts, so they are spread too."""
+    shuffle join that splits hot codes (see :mod:`phenospark.operators.joins`)."""
     if terminology is not None:
         lookup = codelist.where(F.col("terminology") == F.lit(terminology)).select(
             "code", "phenotype"
@@ -106,8 +106,9 @@ def match(
         keys = ["terminology", "code"]
         out = list(MENTION_COLUMNS)
     if broadcast is None and max_broadcast_bytes is not None:
-        broadcast = fits(lookup, max_broadcast_bytes)
-    return lookup_join(records, lookup, keys, "inner", None, broadcast).select(*out)
+        codelist_bytes = size_in_bytes(lookup)
+        broadcast = codelist_bytes <= max_broadcast_bytes
+    return lookup_join(records, lookup, keys, "inner", None, broadcast, lookup_bytes=codelist_bytes).select(*out)
 
 
 def unite(*mentions: DataFrame) -> DataFrame:
@@ -148,7 +149,7 @@ def mentions(
     phenotype names nor the fan-out copies. If the codelist is too large to
     broadcast, a Bloom filter of its keys drops unmatched records instead (a few
     false ones pass), the rest are deduplicated (partial aggregate before the
-    exchange) and then meet the codelist in a salted shuffle join.
+    exchange) and then meet the codelist in a shuffle join that splits hot codes.
     Without ``deduplicate`` the bag of mentions is returned (one row per
     record x codelist entry)."""
     if narrow is None and wide is None and records is None:
@@ -158,19 +159,21 @@ def mentions(
         if long_sources else None
     lookup = codelist.select("phenotype", "terminology", "code")
     if not deduplicate:
-        small = None
+        small = size = None
         if max_broadcast_bytes is not None:
-            small = fits(lookup, max_broadcast_bytes)
+            size = size_in_bytes(lookup)
+            small = size <= max_broadcast_bytes
         parts = []
         if narrow is not None:
-            parts.append(match(narrow, lookup, narrow_terminology, max_broadcast_bytes, small))
+            parts.append(match(narrow, lookup, narrow_terminology, max_broadcast_bytes, small, size))
         if wide is not None:
-            parts.append(match(wide, lookup, None, max_broadcast_bytes, small))
+            parts.append(match(wide, lookup, None, max_broadcast_bytes, small, size))
         return unite(*parts)
     lookup = lookup.distinct()
-    small = None
+    small = size = None
     if max_broadcast_bytes is not None:
-        small = fits(lookup, max_broadcast_bytes)
+        size = size_in_bytes(lookup)
+        small = size <= max_broadcast_bytes
     records = []
     if narrow is not None:
         records.append(
@@ -183,9 +186,9 @@ def mentions(
     if small is False:
         # Lookup too large to broadcast: a filter of its keys drops the records that
         # match nothing where they are read, repeated ones are collapsed (map-side
-        # partial aggregate), and what is left meets the codelist in a salted join.
+        # partial aggregate), and what is left meets the codelist in a shuffle join.
         known = drop_unmatched(united.where(F.col("code").isNotNull()), key_filter(lookup, keys))
-        joined = lookup_join(known.dropDuplicates(), lookup, keys, "inner", None, False, max_filter_bytes=0)
+        joined = lookup_join(known.dropDuplicates(), lookup, keys, "inner", None, False, max_filter_bytes=0, lookup_bytes=size)
         return joined.select(*MENTION_COLUMNS)
     known = lookup_join(united, lookup.select(*keys).distinct(), keys, "left_semi", None, small)
     distinct_records = known.dropDuplicates()

@@ -42,6 +42,23 @@ def _s(c) -> F.Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
 
+#: Digits that a key may have to be ranked by :func:`_text_rank`.
+RANK_DIGITS = 17
+
+
+def _text_rank(key: str) -> F.Column:
+    """A number that orders non-negative whole numbers of up to ``RANK_DIGITS`` digits as
+    their decimal texts are ordered: the digits, filled up on the right, then how many."""
+    digits = _s(key)
+    return F.shiftleft(F.rpad(digits, RANK_DIGITS, "0").cast("bigint"), 5) + F.length(digits)
+
+
+def _ranked_text(rank: str) -> F.Column:
+    """The decimal text of a :func:`_text_rank`."""
+    digits = F.lpad(_s(F.shiftright(rank, 5)), RANK_DIGITS, "0")
+    return F.substr(digits, F.lit(1), F.col(rank).bitwiseAND(F.lit(31)).cast("int"))
+
+
 _READERS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
@@ -92,22 +109,37 @@ class StarSchema:
     def wide(self) -> DataFrame:
         """Lines are reduced per order before the join (a partial aggregate, so
         a hot order key is collapsed map-side), then attached to their order;
-        the final grouping runs on the join's partitioning."""
+        the final grouping runs on the join's partitioning. The least code of a slot
+        is found by its keys' :func:`_text_rank`, so the aggregates hold numbers
+        (hashed, not sorted), where every key has one; else by the texts."""
         li = self.table("lineitem")
         ln = F.col("l_linenumber")
+        ranked = self._keys_have_ranks(li, "l_partkey", "l_suppkey")
+        rank, text = (_text_rank, _ranked_text) if ranked else (_s, F.col)
         per_order = li.groupBy("l_orderkey").agg(
-            *[F.min(F.when(ln == i, F.concat(F.lit("P"), _s("l_partkey")))).alias(s)
-              for i, s in enumerate(DIAG_SLOTS, 1)],
-            *[F.min(F.when(ln == i, F.concat(F.lit("S"), _s("l_suppkey")))).alias(s)
-              for i, s in enumerate(OPERTN_SLOTS, 1)],
+            *[F.min(F.when(ln == i, rank("l_partkey"))).alias(s) for i, s in enumerate(DIAG_SLOTS, 1)],
+            *[F.min(F.when(ln == i, rank("l_suppkey"))).alias(s) for i, s in enumerate(OPERTN_SLOTS, 1)],
         )
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey)
-        return joined.groupBy(
+        least = joined.groupBy(
             F.col("o_custkey").alias("person_id"),
             F.col("o_orderkey"),
             F.col("o_orderdate").cast("date").alias("dt"),
         ).agg(*[F.min(s).alias(s) for s in DIAG_SLOTS + OPERTN_SLOTS])
+        return least.select(
+            "person_id", "o_orderkey", "dt",
+            *[F.concat(F.lit("P"), text(s)).alias(s) for s in DIAG_SLOTS],
+            *[F.concat(F.lit("S"), text(s)).alias(s) for s in OPERTN_SLOTS],
+        )
+
+    @staticmethod
+    def _keys_have_ranks(df: DataFrame, *keys: str) -> bool:
+        """Whether all integer ``keys`` lie in the range of :func:`_text_rank`."""
+        if any(df.schema[k].dataType.typeName() not in ("byte", "short", "integer", "long") for k in keys):
+            return False
+        ends = df.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]).first()
+        return all(v is None or 0 <= v < 10**RANK_DIGITS for v in ends)
 
     # -- codelists ---------------------------------------------------------
     @_once

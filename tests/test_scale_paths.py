@@ -182,3 +182,30 @@ def test_streaming_match_shuffle_path(spark, tmp_dir):
     got = rows(spark.table("stream_mentions_shuffle"))
     expected = sorted(_brute_mentions(data, entries), key=lambda t: tuple((v is not None, str(v)) for v in t))
     assert got == expected
+
+
+def test_a_large_lookup_is_sent_once(spark, monkeypatch):
+    """Copies for every salt only while they stay small; hot, null and odd keys meet alike."""
+    from phenospark.operators import joins
+
+    facts = spark.createDataFrame([("hot", i) for i in range(200)] + [("c1", 1), ("c1", 1), ("none", 2), (None, 3)], "`the code` string, n int")
+    lookup = spark.createDataFrame([("hot", "p"), ("hot", "q"), ("c1", "r"), (None, "s")], "`the code` string, phenotype string")
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    salted = {how: joins.lookup_join(facts, lookup, "the code", how, broadcast=False) for how in ("inner", "left", "left_semi", "left_anti")}
+    assert all("explode" in plan(df) for df in salted.values())
+    monkeypatch.setattr(joins, "MAX_REPLICATED_BYTES", 100)
+    for how, before in salted.items():
+        once = joins.lookup_join(facts, lookup, "the code", how, broadcast=False)
+        assert "explode" not in plan(once) and once.columns == before.columns and rows(once) == rows(before)
+
+
+def test_a_row_s_key_is_hashed_once_by_the_filter(spark):
+    from phenospark.operators.bloom import drop_unmatched, key_filter
+
+    facts = spark.range(50).select(F.col("id").cast("string").alias("code"))
+    kept = drop_unmatched(facts, key_filter(facts.where("id < 5"), ["code"]))
+    join = next(line for line in kept._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin" in line)
+    assert "xxhash64" not in join and kept.where("code < '5' and length(code) = 1").count() == 5
