@@ -464,10 +464,12 @@ def mentions_zorder(s: StarSchema) -> DataFrame:
 
 
 def mentions_compacted(s: StarSchema) -> DataFrame:
-    """The mentions written by vocabulary in many small files, regrouped where they
-    stand; per vocabulary its mentions, and whether it has fewer files now."""
+    """The mentions written by vocabulary in many small files (one a shuffle partition,
+    six at least), regrouped where they stand; per vocabulary its mentions, and whether
+    it has fewer files now."""
     path = _scratch(s, "small files")
-    _mentions_dedup(s).repartition(6, "person_id_deid", "date", "code").write.partitionBy("terminology").parquet(path)
+    pieces = max(6, int(s.spark.conf.get("spark.sql.shuffle.partitions")))
+    _mentions_dedup(s).repartition(pieces, "person_id_deid", "date", "code").write.partitionBy("terminology").parquet(path)
     before = materialise(table_files(s.spark, path).groupBy("folder").agg(F.count(F.lit(1)).alias("before")), "files_before")
     compact_table(s.spark, path, order_by=["person_id_deid"])
     after = table_files(s.spark, path).groupBy("folder").agg(F.count(F.lit(1)).alias("after"))

@@ -236,18 +236,20 @@ def _partition_values_as_text(spark: SparkSession):
 
 
 def table_files(spark: SparkSession, path: str) -> DataFrame:
-    """``folder, file, length`` of the data files of a table, by a distributed listing."""
+    """``folder, file, length`` of the data files of a table, by a distributed listing, and
+    ``at``, the folder as file metadata writes it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder"),
-                        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length")
+                        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length",
+                        _folder_of("_metadata.file_path").alias("at"))
 
 
 def files_to_regroup(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
-    """``folder, files, bytes, wanted``: the folders that hold more files than their bytes
+    """``folder, at, files, bytes, wanted``: the folders that hold more files than their bytes
     need (``wanted`` of about ``target_bytes``), two of them or more under half that size."""
     wanted = F.greatest(F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("int"), F.lit(1))
     return (
-        table_files(spark, path).groupBy("folder")
+        table_files(spark, path).groupBy("folder", "at")
         .agg(F.count(F.lit(1)).cast("int").alias("files"), F.sum("length").alias("bytes"),
              F.count_if(F.col("length") < target_bytes / 2).alias("small"))
         .withColumn("wanted", wanted).where("files > wanted and small > 1").drop("small")
@@ -274,14 +276,14 @@ def compact_table(spark: SparkSession, target: str, target_bytes: int = TARGET_F
     data = spark.read.format(fmt).option("recursiveFileLookup", "true").load(path).columns
     parts = [c for c in table.columns if c not in data]
     path_of = F.col("_metadata.file_path")
-    folder = F.regexp_extract(_decoded("_metadata.file_path"), r"^(.*)/[^/]+$", 1)
+    at = _folder_of("_metadata.file_path")
     firsts = accumulate([0, *(r["wanted"] for r in todo)])  # number of a folder's first file
-    plan = spark.createDataFrame([(r["folder"], r["wanted"], n) for r, n in zip(todo, firsts)], "_folder string, _wanted int, _first int")
-    rows = table.where(folder.isin([r["folder"] for r in todo])).withColumns({"_folder": folder, "_path": path_of}).join(F.broadcast(plan), "_folder")
+    plan = spark.createDataFrame([(r["at"], r["wanted"], n) for r, n in zip(todo, firsts)], "_at string, _wanted int, _first int")
+    rows = table.where(at.isin([r["at"] for r in todo])).withColumns({"_at": at, "_path": path_of}).join(F.broadcast(plan), "_at")
     total = sum(r["wanted"] for r in todo)
     columns, order = [_quoted(c) for c in table.columns], [_quoted(c) for c in order_by]
     if order:
-        rows = rows.repartitionByRange(total, "_folder", *order, *columns).sortWithinPartitions("_folder", *order)
+        rows = rows.repartitionByRange(total, "_first", *order, *columns).sortWithinPartitions("_first", *order)
     else:
         file = F.col("_first") + F.pmod(F.xxhash64(*columns, "_path"), F.col("_wanted")).cast("int")
         rows = rows.repartitionById(total, file)
@@ -296,9 +298,9 @@ def compact_table(spark: SparkSession, target: str, target_bytes: int = TARGET_F
     return sorted((r["folder"], r["files"], r["wanted"]) for r in todo)
 
 
-def _decoded(path: str) -> Column:
-    """A path of file metadata without URL escapes."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+def _folder_of(path: str) -> Column:
+    """The folder of a path, by what is left of its last part (evaluated for every row)."""
+    return F.left(path, F.length(path) - F.length(F.substring_index(path, "/", -1)) - 1)
 
 
 # -- stages and views ----------------------------------------------------------------------

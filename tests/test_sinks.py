@@ -191,3 +191,38 @@ def test_a_failed_regrouping_leaves_the_files(spark, tmp_dir, monkeypatch):
     with pytest.raises(OSError, match="no rename"):
         sinks.compact_table(spark, path)
     assert _data_files(path) == before and os.listdir(tmp_dir) == ["t"]
+
+
+def test_small_files_of_the_contract_query_grow_with_the_shuffle(spark, monkeypatch):
+    from phenospark.plans import contract
+    from tests.conftest import SMOKE_DIR
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+
+    def compact(session, path, **how):
+        seen.append({r["folder"]: r["count"] for r in contract.table_files(session, path).groupBy("folder").count().collect()})
+        return sinks.compact_table(session, path, **how)
+
+    monkeypatch.setattr(contract, "compact_table", compact)
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    try:
+        got = contract.QUERIES["mentions_compacted"](spark, SMOKE_DIR).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got) == 3 and all(r["fewer_files"] for r in got) and max(seen[0].values()) > 6
+
+
+def test_a_file_s_folder_is_found_without_patterns(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from phenospark.sinks import _folder_of, table_files
+
+    path = f"{tmp_dir}/odd + name"
+    spark.range(6).select("id", F.concat(F.lit("a b%+/"), (F.col("id") % 2).cast("string")).alias("k")).write.partitionBy("k").parquet(path)
+    at = {r[0] for r in spark.read.parquet(path).select(_folder_of("_metadata.file_path")).collect()}
+    assert len(at) == 2 and at == {r["at"] for r in table_files(spark, path).select("at").collect()}
+    spark.range(6, 12).select("id", F.concat(F.lit("a b%+/"), (F.col("id") % 2).cast("string")).alias("k")).write.mode("append").partitionBy("k").parquet(path)
+    was = sorted(map(tuple, spark.read.parquet(path).select("id", "k").collect()))
+    assert len(sinks.compact_table(spark, path, order_by=["id"])) == 2
+    assert sorted(map(tuple, spark.read.parquet(path).select("id", "k").collect())) == was
