@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,13 +75,17 @@ def with_exact(found: DataFrame, mentions: DataFrame, cuts: Sequence[Sequence[st
     """The cuts with exact ``unique_pts`` and ``phenotypes`` and the measured relative
     errors ``unique_pts_error, phenotypes_error`` of the estimates."""
     sets = [[F.col(c) for c in cut] for cut in cuts]
-    exact = mentions.groupingSets(sets, *by).agg(
-        F.grouping_id(*by).alias("cut"), F.count_distinct(PERSON).alias("unique_pts"), F.count_distinct("phenotype").alias("phenotypes"))
-    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"e.{c}")) for c in [*by, "cut"]]
-    on = same[0]
-    for condition in same[1:]:
-        on = on & condition
-    joined = found.alias("f").join(exact.alias("e"), on)
+
+    def exact(column: str, name: str) -> DataFrame:
+        # Distinct per finest value first: the cuts multiply those rows, not the mentions.
+        return mentions.select(*by, column).distinct().groupingSets(sets, *by).agg(
+            F.grouping_id(*by).alias("cut"), F.count_distinct(column).alias(name))
+
+    def same(one: str, other: str) -> Column:
+        return reduce(Column.__and__, [F.col(f"{one}.{c}").eqNullSafe(F.col(f"{other}.{c}")) for c in [*by, "cut"]])
+
+    e = exact(PERSON, "unique_pts").alias("p").join(exact("phenotype", "phenotypes").alias("q"), same("p", "q")).select("p.*", "q.phenotypes")
+    joined = found.alias("f").join(e.alias("e"), same("f", "e"))
 
     def error(name: str) -> Column:
         off = F.abs(F.col(f"f.{name}_estimate") - F.col(f"e.{name}"))

@@ -1,5 +1,7 @@
 """Coverage of many cuts from stored sketches, against exact counts."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,3 +52,17 @@ def test_sketches_of_nothing(spark):
     none = _mentions(spark).limit(0)
     assert rows(sketches.estimates(sketches.unite_sketches(sketches.sketch_coverage(none, BY)))) == [(0, 0, 0)]
     assert sketches.estimates(sketches.sketch_coverage(none, BY)).count() == 0
+
+
+def test_exact_cuts_multiply_distinct_rows_not_mentions(spark):
+    data = [(p, ph, dt.date(2020 + y, 1, 1), "c", t) for p in ("a", "b", None) for ph in ("x", None) for y in (0, 1) for t in ("ICD", None)] * 2
+    found = spark.createDataFrame(data, "person_id_deid string, phenotype string, date date, code string, terminology string")
+    cuts, by = [["terminology", "code"], ["code"], []], ["terminology", "code"]
+    cut = sketches.with_exact(sketches.coverage_of_cuts(sketches.sketch_coverage(found, by), cuts, by), found, cuts, by)
+    got = cut.select("terminology", "code", "cut", "mentions", "unique_pts", "phenotypes")
+    assert rows(got) == rows(spark.createDataFrame(
+        [("ICD", "c", 0, 24, 2, 1), (None, "c", 0, 24, 2, 1), (None, "c", 2, 48, 2, 1), (None, None, 3, 48, 2, 1)], got.schema))
+    lines = cut._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    expands = [i for i, line in enumerate(lines) if "Expand" in line]
+    for i, end in zip(expands, [*expands[1:], len(lines)]):
+        assert any("Aggregate" in line for line in lines[i:end])
