@@ -114,6 +114,40 @@ def keyed_join(facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str
     return facts.withColumn("_at", at).join(lookup.withColumn("_at", at).hint("merge"), ["_at", *on], how).drop("_at")
 
 
+#: Parts into which a key's rows are cut by :func:`grouped_lookup_join`, and bytes of a
+#: lookup that one of its tasks may hold as a hash table.
+GROUP_CUTS, MAX_HASHED_BYTES = 4, 64 << 20
+
+
+def grouped_lookup_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    by: Sequence[str],
+    aggs: Sequence[Column] = (),
+    how: str = "inner",
+    cuts: int = GROUP_CUTS,
+    lookup_bytes: int | None = None,
+) -> DataFrame:
+    """``facts`` grouped by ``by`` (the columns ``on`` are among them; with ``aggs``, or
+    without: their distinct rows), then joined to a lookup too large to broadcast, by one
+    exchange of the facts for both. They move by the join's keys and a cut, a hash of the
+    group's other columns: rows of one group meet, and a hot key's groups are spread over
+    ``cuts`` tasks. The lookup is sent once for every cut; where its ``lookup_bytes``, spread
+    over the shuffle's partitions, are at most ``MAX_HASHED_BYTES`` each, a task holds its
+    part as a hash table and sorts nothing, else (or with none given) both sides are
+    sorted and merged. Only for inner and left joins."""
+    others = [c for c in by if c not in on]
+    cut = F.pmod(F.xxhash64(*["`" + c.replace("`", "``") + "`" for c in others]), F.lit(cuts)) if others else F.lit(0)
+    names = ["`" + c.replace("`", "``") + "`" for c in (*on, *others)]
+    placed = facts.withColumn("_cut", cut.cast("int")).repartition(*names[: len(on)], "_cut")
+    grouped = placed.groupBy(*names, "_cut").agg(*aggs) if aggs else placed.select(*names, "_cut").dropDuplicates()
+    copies = lookup.withColumn("_cut", F.explode(F.sequence(F.lit(0), F.lit(cuts - 1))))
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = lookup_bytes is not None and lookup_bytes * cuts <= partitions * MAX_HASHED_BYTES
+    return grouped.join(copies.hint("shuffle_hash" if hashed else "merge"), [*on, "_cut"], how).drop("_cut")
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenospark.operators.bloom import drop_unmatched, key_filter
-from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, lookup_join, size_in_bytes
+from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, grouped_lookup_join, lookup_join, size_in_bytes
 from phenospark.operators.reshape import melt_codes
 
 PERSON = "person_id_deid"
@@ -148,8 +148,9 @@ def mentions(
     deduplicating the mentions, while the shuffle carries neither the
     phenotype names nor the fan-out copies. If the codelist is too large to
     broadcast, a Bloom filter of its keys drops unmatched records instead (a few
-    false ones pass), the rest are deduplicated (partial aggregate before the
-    exchange) and then meet the codelist in a shuffle join that splits hot codes.
+    false ones pass), and one exchange by code serves both the deduplication of the
+    rest and their shuffle join to the codelist; it splits hot codes
+    (:func:`phenospark.operators.joins.grouped_lookup_join`).
     Without ``deduplicate`` the bag of mentions is returned (one row per
     record x codelist entry)."""
     if narrow is None and wide is None and records is None:
@@ -185,10 +186,11 @@ def mentions(
     keys = ["terminology", "code"]
     if small is False:
         # Lookup too large to broadcast: a filter of its keys drops the records that
-        # match nothing where they are read, repeated ones are collapsed (map-side
-        # partial aggregate), and what is left meets the codelist in a shuffle join.
+        # match nothing where they are read; one exchange brings the rest together with
+        # their copies and with the codelist. Codes lead the keys: they differ early.
         known = drop_unmatched(united.where(F.col("code").isNotNull()), key_filter(lookup, keys))
-        joined = lookup_join(known.dropDuplicates(), lookup, keys, "inner", None, False, max_filter_bytes=0, lookup_bytes=size)
+        # A bound of 0 says that the codelist is to be taken as too large, whatever its size.
+        joined = grouped_lookup_join(known, lookup, keys[::-1], known.columns, lookup_bytes=size if max_broadcast_bytes else None)
         return joined.select(*MENTION_COLUMNS)
     known = lookup_join(united, lookup.select(*keys).distinct(), keys, "left_semi", None, small)
     distinct_records = known.dropDuplicates()

@@ -209,3 +209,37 @@ def test_a_row_s_key_is_hashed_once_by_the_filter(spark):
     kept = drop_unmatched(facts, key_filter(facts.where("id < 5"), ["code"]))
     join = next(line for line in kept._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin" in line)
     assert "xxhash64" not in join and kept.where("code < '5' and length(code) = 1").count() == 5
+
+
+def test_one_exchange_serves_dedup_and_codelist_join(spark):
+    """Above the broadcast bound records move once: to their copies and to the codelist."""
+    from phenospark.operators import mentions
+    from phenospark.operators.summary import mention_volumes
+
+    data, records = _hot_records(spark, 900)
+    entries, codelist = _codelist(spark)
+    doubled = records.unionByName(records).unionByName(records.withColumn("date", F.lit(None).cast("date")))
+    small = mentions(codelist, narrow=doubled)
+    for bound in (0, 1):  # sorted and merged; held as hash tables
+        large = mentions(codelist, narrow=doubled, max_broadcast_bytes=bound)
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" if bound == 0 else "ShuffledHashJoin") in plan
+        assert sum("person_id_deid" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line) == 0
+        assert plan.count("REPARTITION_BY_COL") == 1
+        assert rows(large) == rows(small)
+        assert rows(mention_volumes(codelist, doubled, max_broadcast_bytes=bound)) == rows(mention_volumes(codelist, doubled))
+
+
+def test_hot_key_is_cut_by_the_grouped_join(spark):
+    from phenospark.operators.joins import GROUP_CUTS, grouped_lookup_join
+
+    facts = spark.range(0, 4000, 1, 4).select(F.lit("hot").alias("code"), (F.col("id") % 2000).alias("x"))
+    lookup = spark.createDataFrame([("hot", "p"), ("hot", "q")], "code string, phenotype string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for size in (None, 100):
+            joined = grouped_lookup_join(facts, lookup, ["code"], ["code", "x"], lookup_bytes=size)
+            assert joined.count() == 4000 and joined.distinct().count() == 4000
+            assert 1 < joined.select(F.spark_partition_id()).distinct().count() <= GROUP_CUTS
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
