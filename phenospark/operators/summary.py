@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, lookup_join
+from phenospark.operators.bloom import drop_unmatched, key_filter
+from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, grouped_lookup_join, lookup_join, size_in_bytes
 from phenospark.operators.mentions import PERSON
 
 
@@ -88,10 +89,11 @@ def mention_volumes(
     deduplicated mentions, duplicates, people and phenotypes, and the narrow
     source's own raw coverage.
 
-    Copies of a record are counted first (partial aggregates, so copies never
-    travel), and so are repeated codelist rows; each distinct record then meets
-    the distinct codelist once, and a mention's raw multiplicity is the product
-    of the two counts."""
+    Copies of a record are counted first, and so are repeated codelist rows; each
+    distinct record then meets the distinct codelist once, and a mention's raw
+    multiplicity is the product of the two counts. With a codelist too large to
+    broadcast, records that match nothing are dropped where they are read and one
+    exchange serves both the counts and the join."""
     sources = []
     if narrow is not None:
         sources.append(narrow.select(PERSON, "date", "code", F.lit(narrow_terminology).alias("terminology"),
@@ -99,10 +101,16 @@ def mention_volumes(
     if wide is not None:
         sources.append(wide.select(PERSON, "date", "code", "terminology", F.lit(0).alias("_narrow")))
     keys = [PERSON, "date", "code", "terminology"]
-    records = reduce(DataFrame.unionByName, sources).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_copies"), F.sum("_narrow").alias("_narrow"))
+    records = reduce(DataFrame.unionByName, sources)
+    counts = [F.count(F.lit(1)).alias("_copies"), F.sum("_narrow").alias("_narrow")]
     listed = codelist.groupBy("phenotype", "terminology", "code").agg(F.count(F.lit(1)).alias("_listed"))
-    found = lookup_join(records, listed, ["terminology", "code"], "inner", max_broadcast_bytes)
+    on = ["terminology", "code"]
+    size = size_in_bytes(listed)
+    if size <= max_broadcast_bytes:
+        found = lookup_join(records.groupBy(*keys).agg(*counts), listed, on, "inner", None, True)
+    else:
+        known = drop_unmatched(records.where(F.col("code").isNotNull()), key_filter(listed, on))
+        found = grouped_lookup_join(known, listed, on[::-1], keys, counts, lookup_bytes=size if max_broadcast_bytes else None)
     in_narrow = F.col("_narrow") > 0
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
     return found.agg(
