@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, lookup_join
+from phenospark.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, grouped_lookup_join, lookup_join, size_in_bytes
 from phenospark.operators.mentions import PERSON
 from phenospark.sinks import materialise
 
@@ -49,12 +49,18 @@ def phenotype_dictionary(phenotypes: DataFrame, known: DataFrame | None = None)
 
 
 def person_rows(mentions: DataFrame, dictionary: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``person_id_deid, ids``: every person's phenotype ids, sorted. Pairs are encoded
-    where the mentions are, made distinct map-side first, and meet by person; a person
-    has at most as many ids as the dictionary. A phenotype the dictionary lacks is an
+    """``person_id_deid, ids``: every person's phenotype ids, sorted. Pairs are made
+    distinct, encoded (a dictionary too large to broadcast meets them in the exchange that
+    makes them distinct), and meet by person; a person has at most as many ids as the
+    dictionary. A phenotype the dictionary lacks is an
     error (silently losing it would not show)."""
-    pairs = mentions.select(PERSON, "phenotype").where("phenotype is not null").distinct()
-    coded = lookup_join(pairs, dictionary.select("phenotype", "id"), "phenotype", "left", max_broadcast_bytes)
+    pairs, names = mentions.select(PERSON, "phenotype").where("phenotype is not null"), dictionary.select("phenotype", "id")
+    size = size_in_bytes(names)
+    if size <= max_broadcast_bytes:
+        coded = lookup_join(pairs.distinct(), names, "phenotype", "left", None, True)
+    else:  # rows lie by phenotype then: as pairs they travel to their person lighter than as sets of one id
+        coded = grouped_lookup_join(pairs, names, ["phenotype"], [PERSON, "phenotype"], how="left",
+                                    lookup_bytes=size if max_broadcast_bytes else None).repartition(PERSON)
     known = F.coalesce("id", F.raise_error(F.concat(F.lit("not in the dictionary: "), "phenotype")).cast("int"))
     return coded.groupBy(PERSON).agg(F.array_sort(F.collect_set(known)).alias("ids"))
 
