@@ -439,7 +439,8 @@ def coverage_by_cut(s: StarSchema) -> DataFrame:
 def mentions_clustered(s: StarSchema) -> DataFrame:
     """The mentions written clustered by phenotype and date and read back; per
     phenotype, its mentions and the date range of what the files hold."""
-    back = materialise(_mentions_dedup(s), "mentions_clustered", cluster_by=["phenotype", "date"])
+    found = materialise(_mentions_dedup(s), "unclustered_mentions")  # read twice: for the ranges' bounds, and for the rows
+    back = materialise(found, "mentions_clustered", cluster_by=["phenotype", "date"])
     return back.groupBy("phenotype").agg(
         F.count("*").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 

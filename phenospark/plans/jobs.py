@@ -49,7 +49,7 @@ from phenospark.sources.tables import (
 def _write_read(df: DataFrame, out_root: str, name: str, cluster_by: Sequence[str] | None = None,
                 zorder_by: Sequence[str] | None = None) -> DataFrame:
     target = f"{out_root.rstrip('/')}/{name}" if is_path(out_root) else f"{out_root}.{name}"
-    if zorder_by:  # the layout is made from a written table
+    if cluster_by or zorder_by:  # the layout is made from a written table
         df = materialise(df, name)
     write_table(df, target, cluster_by, zorder_by=zorder_by)
     return read_table(df.sparkSession, target)
