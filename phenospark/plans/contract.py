@@ -528,10 +528,10 @@ def code_summary_in_deliveries(s: StarSchema) -> DataFrame:
     first, last = found.agg(F.min(F.year("date")), F.max(F.year("date"))).first()
     cut = (first + last) // 2
     path = _scratch(s, "history")
-    history.merge_delivery(found.where(F.year("date") <= cut), path)
+    history.merge_delivery(found.where(F.year("date") <= cut), path, written=True)
     late = found.where((F.year("date") >= cut) | F.col("date").isNull())
-    history.merge_delivery(late, path)
-    history.merge_delivery(late, path)
+    history.merge_delivery(late, path, written=True)
+    history.merge_delivery(late, path, written=True)
     return history.code_summary_of(history.read_history(s.spark, path))
 
 
@@ -542,10 +542,10 @@ def features_kept_in_deliveries(s: StarSchema) -> DataFrame:
     first, last = found.agg(F.min(F.year("date")), F.max(F.year("date"))).first()
     cut = (first + last) // 2
     out, names = _scratch(s, "kept"), s.codelist().select("phenotype")
-    features_job(s.spark, found.where(F.year("date") <= cut), names, out, parts=16)
+    features_job(s.spark, found.where(F.year("date") <= cut), names, out, parts=16, written=True)
     late = found.where((F.year("date") >= cut) | F.col("date").isNull())
-    features_job(s.spark, late, names, out, parts=16)
-    kept = features_job(s.spark, late, names, out, parts=16)
+    features_job(s.spark, late, names, out, parts=16, written=True)
+    kept = features_job(s.spark, late, names, out, parts=16, written=True)
     counted = kept["code_summary"].groupBy("person_id_deid").agg(F.sum("n").alias("n_mentions"), F.min("date").alias("first_date"))
     return counted.join(kept["person_rows"], "person_id_deid").select(
         "person_id_deid", "n_mentions", "first_date", F.size("ids").cast("bigint").alias("n_phenotypes"))

@@ -32,6 +32,7 @@ from phenospark.operators import checks, features, history, sketches, sparse, su
 from phenospark.operators.codelist import build_codelist
 from phenospark.operators.mentions import (
     HOSPITAL_SLOTS,
+    PERSON,
     mentions,
     narrow_records,
     wide_records,
@@ -191,6 +192,7 @@ def features_job(
     phenotypes: DataFrame,
     out_root: str,
     parts: int = history.PARTS,
+    written: bool = False,
 ) -> dict[str, DataFrame]:
     """Brings the state kept below the folder ``out_root`` up to date with a delivery of
     mentions (new ones, repeated ones, or all there are) and returns what it says now.
@@ -211,13 +213,14 @@ def features_job(
     known = history.stored_table(spark, names_at)
     write_table(sparse.phenotype_dictionary(phenotypes, known), names_at)
     dictionary = spark.read.parquet(names_at)
-    touched = history.merge_delivery(mentions_df, history_at, parts)
+    touched = history.merge_delivery(mentions_df, history_at, parts, written=written)
     if not touched and history.stored_table(spark, history_at) is None:
         raise ValueError(f"nothing is kept at {root} yet, and the delivery has no mentions")
     if touched:
         own = history.read_history(spark, history_at, touched)
-        history.rewrite_parts(sparse.person_rows(own, dictionary), rows_at, touched, parts)
-        per_part = history.mentions_of(own).withColumns({"year": F.year("date"), "part": history.person_part(parts)})
+        ids = sparse.person_rows(history.code_summary_of(own), dictionary)  # a row a key has all pairs
+        history.rewrite_parts(ids.repartition(parts, PERSON), rows_at, parts)
+        per_part = own.withColumns({"year": F.year("date"), "part": history.person_part(parts)})
         sketched = sketches.sketch_coverage(per_part, ["part", *SKETCHED_BY])
         sketched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(sketches_at)
     per_code = history.code_summary_of(history.read_history(spark, history_at))

@@ -72,3 +72,31 @@ def test_empty_deliveries_other_parts_and_more_files(spark, tmp_dir):
     with pytest.raises(ValueError, match="has 4 parts, not 8"):
         history.merge_delivery(_frame(spark, _mentions(2, ["a"])), path, parts=8)
     assert history.merge_delivery(_frame(spark, []), path, parts=4) == []
+
+
+def test_a_delivery_moves_its_rows_once(spark, tmp_dir, monkeypatch):
+    """One exchange by person, and no sets of dates; folders stand alone in as many files as their rows need."""
+    from pyspark.sql import functions as F
+
+    mentions = _frame(spark, _mentions(1, [f"p{i}" for i in range(40)] + [None], 900))
+    plan = history.code_history(mentions.repartition(8, "person_id_deid"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "ObjectHashAggregate" not in plan
+    monkeypatch.setattr(history, "ROWS_PER_FILE", 50)
+    path = f"{tmp_dir}/store"
+    history.merge_delivery(mentions.where("date < '2001-06-01'"), path, parts=4, written=True)
+    for _ in range(2):
+        history.merge_delivery(mentions, path, parts=4)
+        files = _files(path)
+        assert 4 < len(files) <= 4 * 9  # up to 900 delivered and 900 stored rows in four folders
+        at = spark.read.parquet(path).select("person_id_deid", F.col("_metadata.file_path").alias("file"), "part").distinct()
+        assert at.groupBy("person_id_deid").count().where("count > 1").count() == 0
+    stored = history.read_history(spark, path)
+    assert stored.count() == mentions.distinct().count()
+    assert rows(history.code_summary_of(stored)) == rows(features.code_summary(mentions.distinct()))
+
+
+def test_a_history_of_an_earlier_form_is_an_error(spark, tmp_dir):
+    path = f"{tmp_dir}/store"
+    spark.sql("SELECT 'a' person_id_deid, array(current_date()) dates, 4 parts, 1 part").write.partitionBy("part").parquet(path)
+    with pytest.raises(ValueError, match="earlier version"):
+        history.merge_delivery(_frame(spark, _mentions(1, ["a"])), path, parts=4)
