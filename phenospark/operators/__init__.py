@@ -40,7 +40,14 @@ from phenospark.operators.mentions import (
 )
 from phenospark.operators.reshape import map_columns, melt, melt_codes
 from phenospark.operators.sketches import coverage_of_cuts, sketch_coverage, unite_sketches
-from phenospark.operators.sparse import merge_person_rows, person_rows, phenotype_dictionary, wide_matrix
+from phenospark.operators.sparse import (
+    encode_phenotypes,
+    merge_person_rows,
+    name_phenotypes,
+    person_rows,
+    phenotype_dictionary,
+    wide_matrix,
+)
 
 __all__ = [
     "MENTION_COLUMNS",
@@ -56,6 +63,7 @@ __all__ = [
     "dedup",
     "drop_unmatched",
     "duplicate_keys",
+    "encode_phenotypes",
     "features_by_phenotype",
     "features_from_summary",
     "first_dates",
@@ -72,6 +80,7 @@ __all__ = [
     "merge_person_rows",
     "missing_sources",
     "n_occurrences",
+    "name_phenotypes",
     "narrow_records",
     "null_keys",
     "orphans",

@@ -48,6 +48,26 @@ def phenotype_dictionary(phenotypes: DataFrame, known: DataFrame | None = None)
     return numbered if known is None else known.unionByName(numbered)
 
 
+def encode_phenotypes(df: DataFrame, dictionary: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with its ``phenotype`` replaced by the dictionary's id (NULL stays NULL), so
+    that rows travel with a number instead of a name. As ids and names are one to one,
+    what is grouped, counted or joined by the one is so by the other; the results get
+    their names back from :func:`name_phenotypes`. A phenotype the dictionary lacks is an
+    error."""
+    coded = lookup_join(df, dictionary.select("phenotype", "id"), "phenotype", "left", max_broadcast_bytes)
+    known = F.coalesce("id", F.raise_error(F.concat(F.lit("not in the dictionary: "), "phenotype")).cast("int"))
+    ids = F.when(F.col("phenotype").isNotNull(), known).alias("phenotype")
+    return coded.select(*[ids if c == "phenotype" else "`" + c.replace("`", "``") + "`" for c in df.columns])
+
+
+def name_phenotypes(df: DataFrame, dictionary: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with the ids of :func:`encode_phenotypes` replaced by their names, by a
+    broadcast join where the dictionary fits: no exchange."""
+    names = dictionary.select(F.col("id").alias("phenotype"), F.col("phenotype").alias("_name"))
+    named = lookup_join(df, names, "phenotype", "left", max_broadcast_bytes)
+    return named.select(*[F.col("_name").alias(c) if c == "phenotype" else "`" + c.replace("`", "``") + "`" for c in df.columns])
+
+
 def person_rows(mentions: DataFrame, dictionary: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """``person_id_deid, ids``: every person's phenotype ids, sorted. Pairs are made
     distinct, encoded (a dictionary too large to broadcast meets them in the exchange that

@@ -88,6 +88,23 @@ def _mapping(s: StarSchema) -> DataFrame:
     return category_ops.build_mapping(s.categories(), s.abbreviations())
 
 
+def _coded(s: StarSchema, *more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``_mentions_dedup`` with ids for phenotypes, and the dictionary that names them: the
+    codelist's phenotypes and those of ``more``. The encoded codelist is written once, as
+    the mentions read it several times."""
+    codelist = s.codelist()
+    dictionary = materialise(sparse.phenotype_dictionary(
+        unite(*[df.select("phenotype") for df in (codelist, *more)])), "phenotype_dictionary")
+    coded = materialise(sparse.encode_phenotypes(codelist, dictionary), "coded_codelist")
+    return mentions(coded, narrow=_narrow(s), wide=_wide_long(s)), dictionary
+
+
+def _by_id(s: StarSchema, derive: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``derive`` of the deduplicated mentions; its exchanges carry phenotype ids."""
+    found, dictionary = _coded(s)
+    return sparse.name_phenotypes(derive(found), dictionary)
+
+
 def _scratch(s: StarSchema, name: str) -> str:
     """A folder of its own below the session's shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(s.spark).rstrip('/')}/phenospark/{name}-{uuid.uuid4().hex[:12]}"
@@ -500,25 +517,25 @@ def mentions_table_replaced(s: StarSchema) -> DataFrame:
 # -- features ----------------------------------------------------------------
 
 def first_dates_by_code(s: StarSchema) -> DataFrame:
-    return features.first_dates(_mentions_dedup(s))
+    return _by_id(s, features.first_dates)
 
 
 def first_dates_by_phenotype(s: StarSchema) -> DataFrame:
-    return features.first_dates_by_phenotype(_mentions_dedup(s))
+    return _by_id(s, features.first_dates_by_phenotype)
 
 
 def n_occurrences(s: StarSchema) -> DataFrame:
-    return features.n_occurrences(_mentions_dedup(s))
+    return _by_id(s, features.n_occurrences)
 
 
 def features_by_phenotype(s: StarSchema) -> DataFrame:
     """First date and occurrences in one aggregation."""
-    return features.features_by_phenotype(_mentions_dedup(s))
+    return _by_id(s, features.features_by_phenotype)
 
 
 def features_from_code_summary(s: StarSchema) -> DataFrame:
     """The same, from the per-code summary."""
-    return features.features_from_summary(features.code_summary(_mentions_dedup(s)))["features_by_phenotype"]
+    return _by_id(s, lambda found: features.features_from_summary(features.code_summary(found))["features_by_phenotype"])
 
 
 def code_summary_in_deliveries(s: StarSchema) -> DataFrame:
@@ -601,8 +618,11 @@ def categorise_join(s: StarSchema) -> DataFrame:
 
 def categorise_join_shuffle(s: StarSchema) -> DataFrame:
     """``categorise_join`` with the mapping treated as too large to broadcast
-    (salted left join)."""
-    return category_ops.categorise(_mentions_dedup(s), _mapping(s), max_broadcast_bytes=0)
+    (salted left join on phenotype ids). The mapping's phenotypes are checked by name."""
+    mapping = category_ops.assert_unique_keys(_mapping(s))
+    found, dictionary = _coded(s, mapping)
+    coded = materialise(sparse.encode_phenotypes(mapping, dictionary), "coded_mapping")
+    return sparse.name_phenotypes(category_ops.categorise(found, coded, max_broadcast_bytes=0), dictionary)
 
 
 def categorise_map(s: StarSchema) -> DataFrame:

@@ -46,16 +46,16 @@ def _s(c) -> F.Column:
 RANK_DIGITS = 17
 
 
-def _text_rank(key: str) -> F.Column:
-    """A number that orders non-negative whole numbers of up to ``RANK_DIGITS`` digits as
+def _text_rank(key: str, width: int) -> F.Column:
+    """A number that orders non-negative whole numbers of up to ``width`` digits as
     their decimal texts are ordered: the digits, filled up on the right, then how many."""
     digits = _s(key)
-    return F.shiftleft(F.rpad(digits, RANK_DIGITS, "0").cast("bigint"), 5) + F.length(digits)
+    return F.shiftleft(F.rpad(digits, width, "0").cast("bigint"), 5) + F.length(digits)
 
 
-def _ranked_text(rank: str) -> F.Column:
+def _ranked_text(rank: str, width: int) -> F.Column:
     """The decimal text of a :func:`_text_rank`."""
-    digits = F.lpad(_s(F.shiftright(rank, 5)), RANK_DIGITS, "0")
+    digits = F.lpad(_s(F.shiftright(rank, 5)), width, "0")
     return F.substr(digits, F.lit(1), F.col(rank).bitwiseAND(F.lit(31)).cast("int"))
 
 
@@ -111,15 +111,21 @@ class StarSchema:
         a hot order key is collapsed map-side), then attached to their order;
         the final grouping runs on the join's partitioning. The least code of a slot
         is found by its keys' :func:`_text_rank`, so the aggregates hold numbers
-        (hashed, not sorted), where every key has one; else by the texts."""
+        (hashed, not sorted), where every key has one; else by the texts. A line's two
+        slots stand side by side and the numbers are no wider than the keys need, so that
+        the rows compress well in the exchange."""
         li = self.table("lineitem")
         ln = F.col("l_linenumber")
-        ranked = self._keys_have_ranks(li, "l_partkey", "l_suppkey")
-        rank, text = (_text_rank, _ranked_text) if ranked else (_s, F.col)
+        families = {"l_partkey": DIAG_SLOTS, "l_suppkey": OPERTN_SLOTS}
+        widths = self._rank_widths(li, *families)
+        rank = {k: _text_rank(k, widths[k]) if widths else _s(k) for k in families}
         per_order = li.groupBy("l_orderkey").agg(
-            *[F.min(F.when(ln == i, rank("l_partkey"))).alias(s) for i, s in enumerate(DIAG_SLOTS, 1)],
-            *[F.min(F.when(ln == i, rank("l_suppkey"))).alias(s) for i, s in enumerate(OPERTN_SLOTS, 1)],
+            *[F.min(F.when(ln == i + 1, rank[k])).alias(slots[i]) for i in range(WIDE_SLOTS) for k, slots in families.items()],
         )
+
+        def text(key: str, slot: str) -> F.Column:
+            return _ranked_text(slot, widths[key]) if widths else F.col(slot)
+
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey)
         least = joined.groupBy(
@@ -129,17 +135,20 @@ class StarSchema:
         ).agg(*[F.min(s).alias(s) for s in DIAG_SLOTS + OPERTN_SLOTS])
         return least.select(
             "person_id", "o_orderkey", "dt",
-            *[F.concat(F.lit("P"), text(s)).alias(s) for s in DIAG_SLOTS],
-            *[F.concat(F.lit("S"), text(s)).alias(s) for s in OPERTN_SLOTS],
+            *[F.concat(F.lit("P"), text("l_partkey", s)).alias(s) for s in DIAG_SLOTS],
+            *[F.concat(F.lit("S"), text("l_suppkey", s)).alias(s) for s in OPERTN_SLOTS],
         )
 
     @staticmethod
-    def _keys_have_ranks(df: DataFrame, *keys: str) -> bool:
-        """Whether all integer ``keys`` lie in the range of :func:`_text_rank`."""
+    def _rank_widths(df: DataFrame, *keys: str) -> dict[str, int] | None:
+        """The digits of the largest value of each of the integer ``keys``; None unless
+        all values lie in the range of :func:`_text_rank`."""
         if any(df.schema[k].dataType.typeName() not in ("byte", "short", "integer", "long") for k in keys):
-            return False
+            return None
         ends = df.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]).first()
-        return all(v is None or 0 <= v < 10**RANK_DIGITS for v in ends)
+        if not all(v is None or 0 <= v < 10**RANK_DIGITS for v in ends):
+            return None
+        return {k: len(str(ends[f"max_{k}"] or 0)) for k in keys}
 
     # -- codelists ---------------------------------------------------------
     @_once

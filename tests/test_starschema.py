@@ -29,3 +29,20 @@ def test_wide_records_hold_the_least_text_of_a_slot(spark, tmp_dir, more):
     assert rows(wide) == sorted(expected, key=lambda t: tuple((v is not None, str(v)) for v in t))
     plan = wide._jdf.queryExecution().executedPlan().toString()
     assert ("SortAggregate" in plan) == bool(more)  # numbers are aggregated by hash
+
+
+def test_ranks_are_no_wider_than_the_keys(spark, tmp_dir):
+    """Small numbers travel, a line's two slots side by side."""
+    keys = [0, 7, 70, 1234, 124, 99]
+    lines = [(o, keys[(o + k) % 6], (o + k) % 9, k) for o in range(12) for k in range(1, 8)] * 2
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    orders = [(o, o, dt.datetime(2020, 1, 1)) for o in range(12)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmp_dir}/orders.parquet")
+    wide = StarSchema(spark, tmp_dir).wide()
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "rpad(cast(l_partkey" in plan and ", 4, 0)" in plan and ", 1, 0)" in plan and ", 17, 0)" not in plan
+    assert rows(wide.select("person_id", "diag_03", "opertn_03")) == rows(spark.createDataFrame(
+        [(o, f"P{keys[(o + 3) % 6]}", f"S{(o + 3) % 9}") for o in range(12)], "a long, b string, c string"))
+    empty = StarSchema(spark, tmp_dir)
+    empty.table = lambda name: StarSchema.table(empty, name).limit(0)
+    assert empty.wide().count() == 0
